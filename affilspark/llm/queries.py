@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from affilspark.llm.chat import OP3_SQL, op3_chat_format
 from affilspark.llm.decontaminate import op2_decontaminate
+from affilspark.llm.language import op4_language_id
 from affilspark.llm.mixing import op6_mix_sources
 from affilspark.llm.simhash import op5_simhash_near_dedup
 
 QUERIES = {
     "op2_decontaminate": op2_decontaminate,
     "op3_chat_format": op3_chat_format,
+    "op4_language_id": op4_language_id,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_mix_sources": op6_mix_sources,
 }
