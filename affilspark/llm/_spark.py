@@ -44,6 +44,11 @@ def fold(id_col: str, modulus: int):
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % modulus
 
 
+def small(df: DataFrame, most: int) -> DataFrame:
+    """df with a broadcast hint if a count finds at most `most` rows, else df as it is."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
 def union(dfs: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, dfs)
 

@@ -6,6 +6,7 @@ from affilspark.llm.chat import OP3_SQL, op3_chat_format
 from affilspark.llm.decontaminate import op2_decontaminate
 from affilspark.llm.language import op4_language_id
 from affilspark.llm.mixing import op6_mix_sources
+from affilspark.llm.quality import op8_quality
 from affilspark.llm.simhash import op5_simhash_near_dedup
 
 QUERIES = {
@@ -14,5 +15,6 @@ QUERIES = {
     "op4_language_id": op4_language_id,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_mix_sources": op6_mix_sources,
+    "op8_quality": op8_quality,
 }
 ORACLES = {"op3_chat_format": OP3_SQL}
