@@ -8,6 +8,7 @@ from affilspark.llm.language import op4_language_id
 from affilspark.llm.mixing import op6_mix_sources
 from affilspark.llm.quality import op8_quality
 from affilspark.llm.simhash import op5_simhash_near_dedup
+from affilspark.llm.topk import OP9_SQL, op9_exact_top_k
 
 QUERIES = {
     "op2_decontaminate": op2_decontaminate,
@@ -16,5 +17,6 @@ QUERIES = {
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_mix_sources": op6_mix_sources,
     "op8_quality": op8_quality,
+    "op9_exact_top_k": op9_exact_top_k,
 }
-ORACLES = {"op3_chat_format": OP3_SQL}
+ORACLES = {"op3_chat_format": OP3_SQL, "op9_exact_top_k": OP9_SQL}
