@@ -8,6 +8,7 @@ from affilspark.llm.language import op4_language_id
 from affilspark.llm.mixing import op6_mix_sources
 from affilspark.llm.quality import op8_quality
 from affilspark.llm.simhash import op5_simhash_near_dedup
+from affilspark.llm.tokens import op10_training_order
 from affilspark.llm.topk import OP9_SQL, op9_exact_top_k
 
 QUERIES = {
@@ -18,5 +19,6 @@ QUERIES = {
     "op6_mix_sources": op6_mix_sources,
     "op8_quality": op8_quality,
     "op9_exact_top_k": op9_exact_top_k,
+    "op10_training_order": op10_training_order,
 }
 ORACLES = {"op3_chat_format": OP3_SQL, "op9_exact_top_k": OP9_SQL}
