@@ -112,14 +112,14 @@ def _decide(margins: np.ndarray, models: list, kind: str, names: list[str]) -> t
     return best, least[np.arange(len(best)), best]
 
 
-def identify(docs: DataFrame, models: list, text_col: str = "text") -> DataFrame:
-    """docs without the text, with lang_pred and score (0 to 1) from the whole text.
+def identify(docs: DataFrame, models: list, text_col: str = "text", keep_text: bool = False) -> DataFrame:
+    """docs without the text (unless keep_text), with lang_pred and score (0 to 1) from the whole text.
 
     The score is the least pairwise chance of the family times that of the language in it. Null
     texts and texts without a letter get `und` and score 0, and so does all if nothing was learned.
     Other columns pass; columns named lang_pred or score are replaced.
     """
-    rest = [c for c in docs.columns if c not in (text_col, "lang_pred", "score")]
+    rest = [c for c in docs.columns if c not in ("lang_pred", "score") and (keep_text or c != text_col)]
     langs = sorted({x for a, b, *_ in models for x in (a.split(":", 1)[1], b) if not a.startswith("family:") and x})
     alone = sorted({x for a, b, *_ in models for x in (a.split(":", 1)[1], b) if a.startswith("family:")})
     by_family = {f: [k for k in langs if family(k) == f] for f in alone or sorted({family(k) for k in langs})}
@@ -140,7 +140,7 @@ def identify(docs: DataFrame, models: list, text_col: str = "text") -> DataFrame
                 for at in range(0, hi - lo, 256):
                     margins = features(data, offsets[at : min(at + 256, hi - lo) + 1]) @ weights[:-1] + weights[-1]
                     if not kin:
-                        continue
+                        break
                     fam, p = _decide(margins, plain, "family", kin)
                     for f, name in enumerate(kin):
                         rows = np.flatnonzero(fam == f)
@@ -151,7 +151,19 @@ def identify(docs: DataFrame, models: list, text_col: str = "text") -> DataFrame
                 score[lo:hi][~ok] = 0.0
             yield pa.RecordBatch.from_arrays([*batch.select(rest).columns, pa.array(pred, pa.string()), pa.array(score)], names=[*rest, "lang_pred", "score"])
 
-    return docs.select(*rest, text_col).mapInArrow(run, widen(docs.select(*rest), lang_pred="string", score="double"))
+    read = rest if text_col in rest else [*rest, text_col]
+    return docs.select(*read).mapInArrow(run, widen(docs.select(*rest), lang_pred="string", score="double"))
+
+
+def keep_identified(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", least: float = 0.25) -> DataFrame:
+    """docs without the rows of unknown language: `und`, or a score below `least`; their columns stay as they are."""
+    models = train(docs, text_col, lang_col, id_col)
+    named = docs.select(*[F.col(c).alias(f"_{c}") for c in docs.columns])
+    got = identify(named, models, f"_{text_col}", keep_text=True)
+    ok = F.col("lang_pred") != UNKNOWN
+    if any(not m[0].startswith("only:") for m in models):
+        ok = ok & (F.col("score") >= least)
+    return got.where(ok).select(*[F.col(f"_{c}").alias(c) for c in docs.columns])
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

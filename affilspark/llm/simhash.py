@@ -165,6 +165,12 @@ def links(fps: DataFrame, distance: int = 4, bucket: int = BUCKET) -> DataFrame:
     return dealt.mapInArrow(_compare(distance), "a long, b long").distinct()
 
 
+def components_of(fps: DataFrame, distance: int = 4) -> DataFrame:
+    """fp and component (its least linked fingerprint) of distinct fingerprints."""
+    roots = connected_components(links(fps, distance)).withColumnRenamed("a", "fp")
+    return fps.join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("component"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, distance: int = 4) -> DataFrame:
     """id, fp and component_id (smallest id reachable over links of at most `distance` bits) of each row.
 
@@ -174,13 +180,25 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     fps = cut(fingerprints(docs.select(F.col(id_col), F.col(text_col)), text_col, words))
     nodes = fps.groupBy("fp").agg(F.min(id_col).alias("least"))
-    roots = connected_components(links(nodes.select("fp"), distance))
-    named = nodes.join(roots.withColumnRenamed("a", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = named.select("fp", "root").join(least, "root").select("fp", "component_id")
+    named = nodes.join(components_of(nodes.select("fp"), distance), "fp")
+    least = named.groupBy("component").agg(F.min("least").alias("component_id"))
+    named = named.select("fp", "component").join(least, "component").select("fp", "component_id")
     return fps.join(named, "fp").select(id_col, "fp", "component_id")
 
 
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, distance: int = 4) -> DataFrame:
+    """One row of docs for each group of near duplicates: that of the group's smallest id.
+
+    Of rows that share that id (repeated rows, null ids) the one whose text has the least hash stays,
+    and of equal rows one. Only ids and hashes are grouped; texts meet the kept rows' keys in one join.
+    """
+    marked = docs.withColumn("_uid", F.monotonically_increasing_id())
+    rows = cut(marked.select("_uid", F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_tie"), F.col(text_col).alias("_text")).transform(lambda d: fingerprints(d, "_text", words)))
+    groups = components_of(rows.select("fp").distinct(), distance)
+    first = rows.join(groups, "fp").groupBy("component").agg(F.min(F.struct(F.col("_id").isNull(), F.col("_id"), F.col("_tie"), F.col("_uid"))).alias("m"))
+    return marked.join(first.select(F.col("m._uid").alias("_uid")), "_uid", "left_semi").drop("_uid")
