@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from affilspark.llm.chat import OP3_SQL, op3_chat_format
 from affilspark.llm.decontaminate import op2_decontaminate
+from affilspark.llm.hmm import op7_hmm_score
 from affilspark.llm.language import op4_language_id
 from affilspark.llm.mixing import op6_mix_sources
 from affilspark.llm.quality import op8_quality
@@ -17,6 +18,7 @@ QUERIES = {
     "op4_language_id": op4_language_id,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_mix_sources": op6_mix_sources,
+    "op7_hmm_score": op7_hmm_score,
     "op8_quality": op8_quality,
     "op9_exact_top_k": op9_exact_top_k,
     "op10_training_order": op10_training_order,
