@@ -9,10 +9,12 @@ from affilspark.llm.language import op4_language_id
 from affilspark.llm.mixing import op6_mix_sources
 from affilspark.llm.quality import op8_quality
 from affilspark.llm.simhash import op5_simhash_near_dedup
+from affilspark.llm.substrings import op1_substring_dedup
 from affilspark.llm.tokens import op10_training_order
 from affilspark.llm.topk import OP9_SQL, op9_exact_top_k
 
 QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_decontaminate": op2_decontaminate,
     "op3_chat_format": op3_chat_format,
     "op4_language_id": op4_language_id,
