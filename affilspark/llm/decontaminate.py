@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from affilspark.llm import _words as W
-from affilspark.llm._spark import table, widen
+from affilspark.llm._spark import cut, table, widen
 
 #: Units of measure that become a placeholder after a number.
 UNITS = "% cm day days dollar dollars eur euro euros feet ft g gram grams h hour hours inch inches kg kilometers km l lb litre litres m meter meters mile miles minute minutes ml mm month months pound pounds s second seconds usd week weeks year years".split()
@@ -153,7 +153,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     keyed = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t"), F.xxhash64(text_col).alias("_key"))
     found = windows(keyed, ["_id", "_key"], "_t", lengths, wanted)
     left = index.select("_item", "k", "h", F.col("pos").alias("ipos"), F.col("slots").alias("islots"))
-    hits = found.select("_id", "_key", "k", "h", "pos", "slots").distinct().join(left, ["k", "h"])
+    hits = cut(found.select("_id", "_key", "k", "h", "pos", "slots").join(left, ["k", "h"]).distinct())  # read three times below
     pair = ["_id", "_key", "_item"]
     size = index.groupBy("_item").agg(F.countDistinct("k", "h").alias("n_windows"))
     have = hits.groupBy(*pair).agg(F.countDistinct("k", "h").alias("matched")).join(size, "_item").where(F.col("matched") >= similarity * F.col("n_windows"))
