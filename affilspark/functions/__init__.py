@@ -1 +1 @@
-
+"""Column functions: text normalization, keys, dates and identifiers."""

@@ -1 +1 @@
-
+"""DataFrame operators; none of them runs an action."""

@@ -1 +1 @@
-
+"""Whole workflows, the registered queries and their oracles."""

@@ -2,5 +2,187 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from collections.abc import Callable
+from functools import cached_property, partial
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from affilspark.functions.country import country_map
+from affilspark.functions.text import norm_text, partial_date, token_set, year_dir
+from affilspark.operators import cities as C
+from affilspark.operators import curate as K
+from affilspark.operators import orgs as O
+from affilspark.operators import registry as R
+from affilspark.operators import roles
+from affilspark.operators.matching import unmatched
+from affilspark.plans.fixtures import view
+from affilspark.plans.oracle import ORACLES
+from affilspark.plans.workflow import CityResolution, OrgResolution, resolve_cities, resolve_orgs, stage
+
+__all__ = ["ORACLES", "QUERIES"]
+
+
+class Inputs:
+    """The library's inputs over one folder of test tables; each attribute is a lazy DataFrame."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+
+    def __getattr__(self, name: str) -> DataFrame:
+        return view(self.spark, self.sf_dir, name)
+
+    def table(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+
+    @property
+    def fact(self) -> DataFrame:
+        return K.fact_affiliation(self.aff)
+
+    @property
+    def dim_org(self) -> DataFrame:
+        return K.dim_org_raw(self.aff)
+
+    @property
+    def cmap(self) -> DataFrame:
+        return country_map(K.weighted_distinct(self.dim_org, "organization_country"), self.iso, self.terr)
+
+    @property
+    def cities(self) -> DataFrame:
+        return K.city_text(self.dim_org, self.cmap)
+
+    @property
+    def orgs(self) -> DataFrame:
+        return K.org_text(self.dim_org, self.cmap, self.cities, dedupe_city=True)
+
+    @property
+    def titles(self) -> DataFrame:
+        return K.role_title_text(self.aff)
+
+    @property
+    def raw_registry(self) -> DataFrame:
+        """Nested records as a registry delivers them, from the flat views."""
+        names = self.reg_name.groupBy("id").agg(F.collect_list(F.struct("value", "lang", F.array("type").alias("types"))).alias("names"))
+        ids = self.reg_ext.groupBy("id").agg(F.collect_list(F.struct("type", F.lit(None).cast("string").alias("preferred"), F.array("value").alias("all"))).alias("external_ids"))
+        n = F.col("geonames_id").cast("int")
+        host = F.concat(F.lit("n"), "geonames_id", F.lit(".example.org"))
+        stamp = lambda date, version: F.struct(date.alias("date"), version.alias("schema_version"))
+        none = F.lit(None).cast("string")
+        base = self.reg_loc.select(
+            "id", F.lit("active").alias("status"), F.when(n % 3 == 0, F.array(F.lit("education"), F.lit("funder"))).otherwise(F.array(F.lit("funder"))).alias("types"), (1900 + n % 100).cast("int").alias("established"),
+            F.struct(stamp(F.lit("2020-01-01"), F.lit("1.0")).alias("created"), stamp(F.when(n % 2 == 0, F.lit("2024-02-03")), none).alias("last_modified")).alias("admin"),
+            F.array(F.struct(F.lit("website").alias("type"), F.concat(F.lit("https://"), host).alias("value"))).alias("links"),
+            F.array(F.struct(n.cast("long").alias("geonames_id"), F.struct("country_code", none.alias("country_subdivision_code"), (n / 100).cast("string").alias("lat"), F.lit("north").alias("lng"), F.col("city_name").alias("name")).alias("geonames_details"))).alias("locations"),
+            F.array(F.struct(F.lit("parent").alias("type"), F.col("city_name").alias("label"), none.alias("id"))).alias("relationships"),
+            F.array(F.concat(F.lit('"N'), "geonames_id", F.lit('.Example.ORG"'))).alias("domains"),
+        )
+        return base.join(names, "id", "left").join(ids, "id", "left")
+
+    @cached_property
+    def resolved_cities(self) -> CityResolution:
+        return resolve_cities(self.cities, self.gaz, stage)
+
+    @cached_property
+    def resolved_orgs(self) -> OrgResolution:
+        dim_org = stage(self.dim_org)
+        cmap = stage(country_map(K.weighted_distinct(dim_org, "organization_country"), self.iso, self.terr))
+        cities = stage(K.city_text(dim_org, cmap))
+        orgs = K.org_text(dim_org, cmap, cities, dedupe_city=True)
+        names = R.preferred_name(self.reg_name)
+        return resolve_orgs(orgs, dim_org, cmap, self.reg_ext, self.ring, names, self.reg_loc, lambda: resolve_cities(cities, self.gaz, stage).best, keep=stage)
+
+
+def _registry_audit(x: Inputs) -> DataFrame:
+    raw = x.raw_registry
+    organization, names, ids = R.registry_organization(raw), R.registry_name(raw), R.registry_external_id(raw)
+    preferred = R.preferred_name(names)
+    return R.registry_audit(organization, R.registry_enriched(organization, preferred), name=names, name_preferred=preferred, external_id=ids, location=R.registry_location(raw))
+
+
+def _tokens_documents(x: Inputs) -> DataFrame:
+    """Distinct tokens of each document, the most it shares with a benchmark item, and how many items share any."""
+    docs = x.table("documents").select("doc_id", token_set(norm_text("text", empty_to_null=False)).alias("toks"))
+    items = x.table("benchmark").select("item_id", F.explode(token_set(norm_text("text", empty_to_null=False))).alias("tok"))
+    each = docs.select("doc_id", F.explode("toks").alias("tok")).join(items, "tok").groupBy("doc_id", "item_id").agg(F.count("*").alias("n"))
+    best = each.groupBy("doc_id").agg(F.max("n").alias("most_shared"), F.count("*").alias("items"))
+    out = docs.select("doc_id", F.size("toks").cast("long").alias("n_tokens")).join(best, "doc_id", "left")
+    return out.fillna(0, ["most_shared", "items"])
+
+
+def _partial_dates(x: Inputs) -> DataFrame:
+    part = lambda f, n: F.when((F.col("event_id") % 7 != 0) & (F.col("event_id") % n != 0), f("ts").cast("string"))
+    return x.table("events").select("event_id", partial_date(part(F.year, 7), part(F.month, 5), part(F.dayofmonth, 3)).alias("partial"))
+
+
+def _united(frames) -> DataFrame:
+    first, *rest = frames
+    for f in rest:
+        first = first.unionByName(f)
+    return first
+
+
+def _organization(x: Inputs) -> DataFrame:
+    out = R.registry_organization(x.raw_registry)
+    return out.withColumn("types", F.array_join("types", "|")).withColumn("geonames_id", F.regexp_extract("id", "([0-9]+)$", 1))
+
+
+_PLANS: dict[str, Callable[[Inputs], DataFrame]] = {
+    "fact_affiliation": lambda x: x.fact,
+    "year_layout_counts": lambda x: K.weighted_distinct(x.fact.select(year_dir("start_year").alias("year_dir")), "year_dir"),
+    "dim_person": lambda x: K.dim_person(x.fact),
+    "dim_org_raw": lambda x: x.dim_org,
+    "freq_country": lambda x: K.value_frequency(x.fact, "organization_country"),
+    "freq_city": lambda x: K.value_frequency(x.fact, "organization_city"),
+    "freq_org_name": lambda x: K.value_frequency(x.fact, "organization_name"),
+    "freq_role_title": lambda x: K.value_frequency(x.fact, "role_title"),
+    "country_map": lambda x: x.cmap,
+    "country_audit": lambda x: K.normalization_audit(x.cmap, "cnt", "organization_country_iso2"),
+    "city_text": lambda x: x.cities,
+    "city_text_audit": lambda x: K.normalization_audit(x.cities, "pair_cnt", "organization_city_norm"),
+    "org_text": lambda x: K.org_text(x.dim_org, x.cmap, x.cities),
+    "org_text_audit": lambda x: K.normalization_audit(K.org_text(x.dim_org, x.cmap, x.cities), "pair_cnt", "organization_name_norm"),
+    "role_title_text": lambda x: x.titles,
+    "role_title_text_audit": lambda x: K.normalization_audit(x.titles, "pair_cnt", "role_title_norm"),
+    "city_match_exact": lambda x: C.match_exact(C.city_rows(x.cities), x.gaz),
+    "city_unmatched_exact": lambda x: unmatched(C.city_rows(x.cities), C.match_exact(C.city_rows(x.cities), x.gaz), "city_row_id").select(*C.CITY),
+    "city_match_alias": lambda x: x.resolved_cities.alias,
+    "city_match_fuzzy": lambda x: x.resolved_cities.fuzzy,
+    "city_all": lambda x: x.resolved_cities.all,
+    "city_best": lambda x: x.resolved_cities.best,
+    "city_coverage": lambda x: _united(x.resolved_cities.audits.values()),
+    "registry_name": lambda x: R.registry_name(x.raw_registry),
+    "registry_external_id": lambda x: R.registry_external_id(x.raw_registry),
+    "registry_location": lambda x: R.registry_location(x.raw_registry),
+    "registry_domain": lambda x: R.registry_domain(x.raw_registry),
+    "registry_link": lambda x: R.registry_link(x.raw_registry),
+    "registry_relationship": lambda x: R.registry_relationship(x.raw_registry),
+    "registry_organization": _organization,
+    "registry_org_type": lambda x: R.registry_org_type(R.registry_organization(x.raw_registry)),
+    "registry_preferred_name": lambda x: R.preferred_name(R.registry_name(x.raw_registry)),
+    "registry_enriched": lambda x: R.registry_enriched(R.registry_organization(x.raw_registry), R.preferred_name(R.registry_name(x.raw_registry))),
+    "registry_audit": _registry_audit,
+    "org_match_fundref": lambda x: x.resolved_orgs.fundref,
+    "org_match_grid": lambda x: x.resolved_orgs.grid,
+    "org_match_direct": lambda x: x.resolved_orgs.ror,
+    "org_match_ringgold": lambda x: x.resolved_orgs.ringgold_isni,
+    "org_merge_ids": lambda x: x.resolved_orgs.merged,
+    "org_unmatched_ids": lambda x: x.resolved_orgs.left_ids.select(*O.ORG),
+    "org_match_name_exact": lambda x: x.resolved_orgs.ror_geo_exact,
+    "org_match_fuzzy": lambda x: x.resolved_orgs.ror_geo_fuzzy,
+    "org_best": lambda x: x.resolved_orgs.best,
+    "org_best_by_source": lambda x: x.resolved_orgs.best_by_source,
+    "org_coverage": lambda x: _united(v for k, v in x.resolved_orgs.audits.items() if k != "by_source"),
+    "org_coverage_by_source": lambda x: x.resolved_orgs.audits["by_source"],
+    "role_title_map": lambda x: roles.role_title_map(x.rolemap),
+    "role_title_match": lambda x: roles.match_role_title(x.titles, roles.role_title_map(x.rolemap)),
+    "role_title_audit": lambda x: roles.role_title_audit(roles.match_role_title(x.titles, roles.role_title_map(x.rolemap))),
+    "tokens_documents": _tokens_documents,
+    "partial_dates": _partial_dates,
+}
+
+
+def _run(plan: Callable[[Inputs], DataFrame], spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plan(Inputs(spark, sf_dir))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: partial(_run, plan) for name, plan in _PLANS.items()}
