@@ -12,11 +12,12 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from affilspark.llm import _words as W
-from affilspark.llm._spark import cut, parts, small, table
+from affilspark.llm._spark import cut, parts, small, small_batches, table
 from affilspark.llm.automaton import SuffixAutomaton, spans
 
 #: Words of a window and of an anchor gram; most stretches in one automaton's shard.
@@ -121,7 +122,8 @@ def _automata(window: int):
     def run(batches):
         now, group, out = None, [], []
         for batch in batches:
-            columns = [batch.column(i).to_pylist() for i in range(5)]
+            batch = batch.filter(pa.compute.invert(batch.column(1)))
+            columns = [batch.column(i).to_pylist() for i in (0, 2, 3, 4, 5)]
             for anchor, *row in zip(*columns, strict=True):
                 if anchor != now:
                     out.extend(_shard(group, window))
@@ -141,14 +143,15 @@ def _windows(window: int):
 
     def run(batches):
         for batch in batches:
-            for lo, _, data, offsets in W.blocks(batch.column(3).cast(pa.string()), 1 << 18):
+            batch = batch.filter(batch.column(1))
+            for lo, _, data, offsets in W.blocks(batch.column(5).cast(pa.string()), 1 << 18):
                 starts, ends, first = W.spans(data, offsets)
                 h = W.hashes(data, starts, ends)
                 at, row = W.whole(first, window)
                 one, two = (W.mix(W.rolling(x, window))[at].view(np.int64) if len(h) >= window else np.zeros(0, np.int64) for x in (h, W.mix(h + np.uint64(99))))
                 take = pa.array(row + lo)
-                pos = batch.column(2).to_numpy()[row + lo] + at - first[row]
-                yield pa.RecordBatch.from_arrays([pa.array(one), pa.array(two), batch.column(0).take(take), batch.column(1).take(take), pa.array(pos.astype(np.int64))], names=["h1", "h2", "k1", "k2", "a"])
+                pos = batch.column(4).to_numpy()[row + lo] + at - first[row]
+                yield pa.RecordBatch.from_arrays([pa.array(one), pa.array(two), batch.column(2).take(take), batch.column(3).take(take), pa.array(pos.astype(np.int64))], names=["h1", "h2", "k1", "k2", "a"])
 
     return run
 
@@ -163,18 +166,14 @@ def repeated_spans(keyed: DataFrame, window: int = WINDOW, gram: int = GRAM, sha
     spark = keyed.sparkSession
     found = anchors(keyed, window, gram)
     often = cut(found.groupBy("anchor").agg(F.sum("n").alias("n"), F.count("*").alias("m")).where("n > 1").select("anchor", (F.col("m") > shard).alias("hot")))
-    runs = cut(found.join(small(often, 2_000_000), "anchor").select(*KEYS, "anchor", "hot", "w0", "w1"))
-    kind = "anchor long, hot boolean, k1 long, k2 long, w0 int, stretch binary"
-
-    def stretches(some: DataFrame) -> DataFrame:
-        each = some.groupBy(*KEYS).agg(F.collect_set(F.struct("anchor", "hot", "w0", "w1")).alias("runs"))
-        return keyed.join(each, KEYS).select("k1", "k2", "id", "text", "runs").mapInArrow(_stretches(window), kind)
-
-    cold = stretches(runs.where("not hot")).repartition(parts(spark), "anchor").sortWithinPartitions("anchor").select("anchor", "k1", "k2", "w0", "stretch")
-    cold = cold.mapInArrow(_automata(window), "k1 long, k2 long, a long, b long")
+    runs = found.join(small(often, 2_000_000), "anchor").groupBy(*KEYS).agg(F.collect_set(F.struct("anchor", "hot", "w0", "w1")).alias("runs"))
+    stretches = keyed.join(runs, KEYS).select("k1", "k2", "id", "text", "runs").mapInArrow(_stretches(window), "anchor long, hot boolean, k1 long, k2 long, w0 int, stretch binary")
+    # one exchange, read by the automata and by the window counts: each skips the other's rows
+    stretches = stretches.repartition(parts(spark), "anchor", F.when(F.col("hot"), F.xxhash64("k1", "w0")))
+    cold = stretches.sortWithinPartitions("anchor").mapInArrow(_automata(window), "k1 long, k2 long, a long, b long")
     if not often.where("hot").limit(1).count():
         return cold
-    single = cut(stretches(runs.where("hot")).select("k1", "k2", "w0", "stretch").mapInArrow(_windows(window), "h1 long, h2 long, k1 long, k2 long, a long"))
+    single = stretches.mapInArrow(_windows(window), "h1 long, h2 long, k1 long, k2 long, a long")
     twice = single.groupBy("h1", "h2").count().where("count > 1").select("h1", "h2")
     hot = single.join(twice, ["h1", "h2"]).select("k1", "k2", "a", (F.col("a") + window).alias("b"))
     return cold.unionByName(hot)
@@ -208,6 +207,7 @@ def strip_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     of each other; other columns are ignored; an empty table gives no rows. With `digest` the kept text's
     SHA-256 comes in place of the text.
     """
+    small_batches(docs.sparkSession)
     keyed = _keyed(docs, id_col, text_col)
     lost = repeated_spans(keyed, window, **options).groupBy(*KEYS).agg(F.collect_set(F.struct("a", "b")).alias("lost"))
     kind = docs.schema[id_col].dataType.simpleString()
