@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from affilspark.llm import _words as W
-from affilspark.llm._spark import cut, fold, table, widen
+from affilspark.llm._spark import cut, fold, small_batches, table, widen
 
 #: Latent states, most words with a symbol of their own, word classes, most words whose counts are
 #: sent to every task (the rest are looked up by a join), tokens of a training chunk, documents of
@@ -185,7 +185,7 @@ def _start(states: int, own_keys: np.ndarray):
         rng = np.random.default_rng(5)
         texts = pa.array(g.sort_values(["_h", "_text"])["_text"].tolist(), pa.large_string())
         own = Lookup(own_keys)
-        blocks = [_symbols(data, offsets, own) for _, _, data, offsets in W.blocks(texts, 8 << 20)]
+        blocks = [_symbols(data, offsets, own) for _, _, data, offsets in W.blocks(texts, 2 << 20)]
         counts = _zero(states)
         for s, n in blocks:
             state = np.repeat(rng.integers(0, states, len(n)), n)
@@ -211,7 +211,7 @@ def _round(docs: DataFrame, text_col: str, shared, states: int) -> dict:
         model, own = shared.value
         own, counts = Lookup(own), _zero(states)
         for batch in batches:
-            for _, _, data, offsets in W.blocks(batch.column(0)):
+            for _, _, data, offsets in W.blocks(batch.column(0), 2 << 20):
                 s, n = _symbols(data, offsets, own)
                 expect(s, n, model, counts)
         rows = np.vstack([counts["emit"], counts["move"], counts["first"], counts["later"]])
@@ -228,6 +228,7 @@ def _round(docs: DataFrame, text_col: str, shared, states: int) -> dict:
 
 def train(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", states: int = STATES) -> dict:
     """Counts and model from all rows of docs; null texts count as empty. An empty table gives uniform states."""
+    small_batches(docs.sparkSession)
     vocabulary = cut(word_counts(docs, text_col))
     n_docs = docs.count()
     words, distinct = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
@@ -300,25 +301,43 @@ def score(docs: DataFrame, trained: dict, text_col: str = "text") -> DataFrame:
         base = np.log10((t["c"] + SMOOTH) / whole)
         share = np.log10(t["share"])
         end = np.log10((ends + SMOOTH) / whole)
+        held, symbols, counts, columns = [], [], [], []
+
+        def flush():
+            known, word, inside = (np.concatenate([c[i] for c in columns]) for i in range(3))
+            n = np.concatenate(counts)
+            # the recursion takes all held texts a token at a time
+            likelihood = forward(np.concatenate(symbols), n, t["model"]) + inside
+            own_columns = [pa.concat_arrays([b.column(i) for b in held]) for i in range(len(kept))]
+            out = [*own_columns, pa.array(n), pa.array(known.astype(np.int64) + int(ends > 0)), pa.array(word + end), pa.array(likelihood), pa.concat_arrays([c[3] for c in columns])]
+            for x in (held, symbols, counts, columns):
+                x.clear()
+            return pa.RecordBatch.from_arrays(out, names=[*kept, "n_tokens", "n_known", "base_score", "score", "tail"])
+
         for batch in batches:
-            for lo, hi, data, offsets in W.blocks(batch.column(len(kept)), 16 << 20):
+            if not batch.num_rows:
+                continue
+            held.append(batch.select(kept))
+            for _, _, data, offsets in W.blocks(batch.column(len(kept)), 1 << 20):
                 low, starts, stops, n, row, place, stop = _tokens(data, offsets)
                 at = find(W.hashes(low, starts, stops)) if len(starts) else np.zeros(0, np.int64)
                 known, own = at >= 0, (at >= 0) & (at < t["n_own"])
                 kind = _classes(low, starts, stops) if len(starts) else at
-                s = np.empty(len(starts) + len(n), np.int64)
+                s = np.empty(len(starts) + len(n), np.int32)
                 s[place], s[stop] = np.where(own, at, OWN + kind), OWN + CLASSES
+                symbols.append(s)
+                counts.append(n + 1)
                 word = np.where(known, base[at] if len(base) else 0.0, 0.0)
                 total = lambda x, row=row, n=n: np.bincount(row, x, len(n))
-                inside = total(np.where(own, 0.0, word - share[kind]))
                 text, lost = low.tobytes(), np.flatnonzero(~known)
                 words = [text[a:b] for a, b in zip(starts[lost].tolist(), stops[lost].tolist(), strict=True)]
                 cuts = np.searchsorted(row[lost], np.arange(len(n) + 1)).astype(np.int32)
                 tail = pa.ListArray.from_arrays(pa.array(cuts), pa.array(words, pa.binary()).cast(pa.string()))
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.slice(lo, hi - lo).select(kept).columns, pa.array(n + 1), pa.array(total(known).astype(np.int64) + int(ends > 0)), pa.array(total(word) + end), pa.array(forward(s, n + 1, t["model"]) + inside), tail],
-                    names=[*kept, "n_tokens", "n_known", "base_score", "score", "tail"],
-                )
+                columns.append((total(known), total(word), total(np.where(own, 0.0, word - share[kind])), tail))
+            if sum(map(len, symbols)) > 3_000_000:
+                yield flush()
+        if held:
+            yield flush()
 
     schema = widen(rows.select(*kept), n_tokens="long", n_known="long", base_score="double", score="double", tail="array<string>")
     found = cut(rows.mapInArrow(run, schema))
