@@ -26,7 +26,7 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def blocks(column: pa.Array, max_bytes: int = 4 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def blocks(column: pa.Array, max_bytes: int = 2 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets) over a string column; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()

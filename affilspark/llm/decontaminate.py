@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from affilspark.llm import _words as W
-from affilspark.llm._spark import cut, table, widen
+from affilspark.llm._spark import cut, small_batches, table, widen
 
 #: Units of measure that become a placeholder after a number.
 UNITS = "% cm day days dollar dollars eur euro euros feet ft g gram grams h hour hours inch inches kg kilometers km l lb litre litres m meter meters mile miles minute minutes ml mm month months pound pounds s second seconds usd week weeks year years".split()
@@ -142,6 +142,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     checked by a count; beyond it all document windows meet the benchmark's in Spark's join.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     items = benchmark.select(F.col(item_col).alias("_item"), F.col(text_col).alias("_t"))
     index = windows(items, ["_item"], "_t", list(range(1, words + 1)), whole_only=True).distinct()
     lengths = sorted(r[0] for r in index.select("k").distinct().collect()) or [words]

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from affilspark.llm import _words as W
 from affilspark.llm import svm
-from affilspark.llm._spark import fold, table, widen
+from affilspark.llm._spark import fold, small_batches, table, widen
 
 #: Families of language codes; any other code is a family of its own.
 FAMILIES = {
@@ -119,6 +119,7 @@ def identify(docs: DataFrame, models: list, text_col: str = "text", keep_text: b
     texts and texts without a letter get `und` and score 0, and so does all if nothing was learned.
     Other columns pass; columns named lang_pred or score are replaced.
     """
+    small_batches(docs.sparkSession)
     rest = [c for c in docs.columns if c not in ("lang_pred", "score") and (keep_text or c != text_col)]
     langs = sorted({x for a, b, *_ in models for x in (a.split(":", 1)[1], b) if not a.startswith("family:") and x})
     alone = sorted({x for a, b, *_ in models for x in (a.split(":", 1)[1], b) if a.startswith("family:")})

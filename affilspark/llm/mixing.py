@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from affilspark.llm._spark import cut, parts, table
+from affilspark.llm._spark import cut, parts, small_batches, table
 
 #: Weights of sources in code-point order, repeating.
 WEIGHTS = (5, 2, 1)
@@ -81,6 +81,7 @@ def mix(docs: DataFrame, text_col: str = "text", source_col: str = "source", id_
     size 0 and no copies; repeated rows are rounded separately; an empty table gives no rows.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     own = docs.columns
     sized = docs.withColumn("_size", n_words(F.col(text_col))).withColumn("_tie", F.xxhash64(F.col(id_col), F.col(text_col)))
     if not keep_text:

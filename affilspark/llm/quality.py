@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from affilspark.llm import _words as W
 from affilspark.llm import svm
-from affilspark.llm._spark import fold, small, table, widen
+from affilspark.llm._spark import fold, small, small_batches, table, widen
 
 #: Size of the hashed feature space and most training documents of a label.
 DIMENSIONS, PER_LABEL = 1 << 15, 1500
@@ -94,6 +94,7 @@ def train(labelled: DataFrame, text_col: str = "text", label_col: str = "label",
     least by a hash), in one Spark task. Null texts count as empty; other labels are left out. With
     one label or none the score is that label's smoothed share.
     """
+    small_batches(labelled.sparkSession)
     rows = labelled.where(F.col(label_col).isin(0, 1)).select(F.coalesce(F.col(text_col), F.lit("")).alias("_text"), F.col(label_col).cast("int").alias("_y"), F.xxhash64(F.lit(13), F.col(id_col), F.col(text_col)).alias("_h"))
     counts = {r[0]: r[1] for r in rows.groupBy("_y").count().collect()}
     if len(counts) < 2:

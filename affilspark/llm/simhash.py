@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from affilspark.llm import _words as W
-from affilspark.llm._spark import cut, parts, table, widen
+from affilspark.llm._spark import cut, parts, small_batches, table, widen
 from affilspark.llm.components import connected_components
 
 #: Most distinct fingerprints of a bucket that one comparison takes; larger buckets are split in pairs of chunks.
@@ -63,6 +63,7 @@ def fingerprints(docs: DataFrame, text_col: str = "text", words: int = 4, seed:
     counted; a text with fewer words is one shingle, one with none (or null) has 0. A bit is 1 if
     it is in over half of the shingles' XXH64. Existing columns named `fp` are replaced.
     """
+    small_batches(docs.sparkSession)
     docs = docs.drop("fp")
     rest = [c for c in docs.columns if c != text_col]
     schema = widen(docs.select(*rest), fp="long")

@@ -14,14 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from affilspark.llm import _words as W
-from affilspark.llm._spark import cut, parts, small, table
+from affilspark.llm._spark import cut, parts, small, small_batches, table
 
 #: A public byte-level BPE as rank lines, its pre-token pattern and the free id that ends a document.
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 END, LENGTH, PER_SHARD, KEY = 50256, 512, 4096, 20240229
 #: Distinct pieces of text whose ids a worker keeps.
-CACHE = 300_000
+CACHE = 100_000
 ROUNDS = 6
 
 _encoders: dict[int, _Encoder] = {}
@@ -134,6 +134,7 @@ def materialise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     sequences of their own; an empty table gives no rows; other columns are ignored.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     with open(tokenizer, "rb") as f:
         ranks = f.read()
     ids = cut(encode(docs, id_col, text_col, ranks, end))
