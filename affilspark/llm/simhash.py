@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from affilspark.llm import _words as W
-from affilspark.llm._spark import cut, parts, small_batches, table, widen
+from affilspark.llm._spark import cut, parts, small, small_batches, table, widen
 from affilspark.llm.components import connected_components
 
 #: Most distinct fingerprints of a bucket that one comparison takes; larger buckets are split in pairs of chunks.
@@ -192,14 +192,188 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, distance: int = 4) -> DataFrame:
+#: Bits of a wide fingerprint, of its part that goes along with each block, and the share of pairs at
+#: the least similarity that may share no block.
+WIDE, CHECK, MISSED = 2048, 256, 0.02
+
+
+def _wide_fingerprints(data: np.ndarray, offsets: np.ndarray, words: int) -> np.ndarray:
+    """WIDE SimHash bits of each row's set of word shingles, packed.
+
+    Shingles are hashed with a sign into WIDE sums; a Walsh-Hadamard transform of the sums gives all
+    bits at once, each the sign of a random projection. A tie goes by a fixed coin of the bit.
+    """
+    data = W.LOWER[data]
+    starts, ends, first = W.spans(data, offsets)
+    n, rows_all = np.diff(first), len(offsets) - 1
+    h = W.hashes(data, starts, ends) if len(starts) else np.zeros(0, np.uint64)
+    at, rows = W.whole(first, words)
+    gram = W.mix(W.rolling(h, words))[at] if len(at) else h[:0]
+    few = np.flatnonzero((n > 0) & (n < words))
+    whole = [np.bitwise_xor.reduce(W.mix(h[first[i] : first[i + 1]] + np.arange(1, n[i] + 1, dtype=np.uint64))) for i in few.tolist()]
+    gram, rows = np.concatenate([gram, np.array(whole, np.uint64)]), np.concatenate([rows, few])
+    order = np.lexsort((gram, rows))
+    gram, rows = gram[order], rows[order]
+    new = np.r_[True, (gram[1:] != gram[:-1]) | (rows[1:] != rows[:-1])][: len(gram)]
+    gram, rows = gram[new], rows[new]
+    coin = (W.mix(np.arange(WIDE, dtype=np.uint64)) & np.uint64(1)).astype(np.float32) - np.float32(0.5)
+    out = np.empty((rows_all, WIDE // 8), np.uint8)
+    for lo in range(0, rows_all, 256):
+        hi = min(lo + 256, rows_all)
+        a, b = np.searchsorted(rows, (lo, hi))
+        g = gram[a:b]
+        cell = (rows[a:b] - lo) * WIDE + (g % np.uint64(WIDE)).astype(np.int64)
+        x = np.bincount(cell, 1.0 - 2.0 * ((g >> np.uint64(40)) & np.uint64(1)).astype(float), (hi - lo) * WIDE).astype(np.float32)
+        step = 1
+        while step < WIDE:
+            x = x.reshape(-1, 2, step)
+            x = np.stack([x[:, 0] + x[:, 1], x[:, 0] - x[:, 1]], axis=1)
+            step *= 2
+        out[lo:hi] = np.packbits(x.reshape(hi - lo, WIDE) + coin > 0, axis=1)
+    return out
+
+
+def _differing(similarity: float) -> float:
+    """The expected share of differing bits of two sets with that Jaccard similarity (and sizes alike)."""
+    return math.acos(2 * similarity / (1 + similarity)) / math.pi
+
+
+def _choices(n: int, similarity: float) -> np.ndarray:
+    """Bit positions of each block: as many bits as keep chance meetings among n fingerprints few, and as many
+    blocks as leave MISSED of the pairs at `similarity` without a common one."""
+    bits = int(np.clip(math.ceil(math.log2(max(n, 2))) - 2, 8, 40))
+    blocks = math.ceil(math.log(MISSED) / math.log(1 - (1 - _differing(similarity)) ** bits))
+    rng = np.random.default_rng(17)
+    return np.stack([rng.choice(WIDE, bits, replace=False) for _ in range(blocks)])
+
+
+def _blocks_of(choice: np.ndarray):
+    def run(batches):
+        weight = np.int64(1) << np.arange(choice.shape[1], dtype=np.int64)
+        for batch in batches:
+            node, wide = batch.column(0).to_numpy(), np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(-1, WIDE // 8)
+            for lo in range(0, len(node), 256):
+                bits = np.unpackbits(wide[lo : lo + 256], axis=1)
+                key = (bits[:, choice].astype(np.int64) * weight).sum(axis=2)
+                check = np.ascontiguousarray(wide[lo : lo + 256, : CHECK // 8]).view(np.int64)
+                k, m = key.shape[1], len(key)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.repeat(node[lo : lo + 256], k)), pa.array(np.tile(np.arange(k, dtype=np.int32), m)), pa.array(key.ravel()), *[pa.array(np.repeat(check[:, i], k)) for i in range(CHECK // 64)]],
+                    names=["node", "t", "key", *[f"c{i}" for i in range(CHECK // 64)]],
+                )
+
+    return run
+
+
+def _neighbours(node: np.ndarray, check: np.ndarray, run: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each fingerprint of a run its least and its nearest neighbour within `most` check bits."""
+    a, b, d, lag, at = [], [], [], 1, np.arange(len(node))
+    while True:
+        at = at[: np.searchsorted(at, len(node) - lag)]
+        at = at[run[at] == run[at + lag]]
+        if not len(at):
+            break
+        far = np.bitwise_count(check[at] ^ check[at + lag]).sum(axis=1, dtype=np.int64)
+        near = far <= most
+        a.append(at[near])
+        b.append(at[near] + lag)
+        d.append(far[near])
+        lag += 1
+    if not a:
+        return node[:0], node[:0]
+    a, b, d = np.concatenate(a), np.concatenate(b), np.concatenate(d)
+    mine, other, far = np.r_[a, b], np.r_[b, a], np.r_[d, d]
+    out = []
+    for order in (np.lexsort((node[other], mine)), np.lexsort((node[other], far, mine))):
+        first = order[np.r_[True, mine[order][1:] != mine[order][:-1]][: len(order)]]
+        out.append((node[mine[first]], node[other[first]]))
+    x, y = (np.concatenate([o[i] for o in out]) for i in (0, 1))
+    return np.maximum(x, y), np.minimum(x, y)
+
+
+def _compare_wide(most: int):
+    n_check = CHECK // 64
+
+    def run(batches):
+        held = None
+
+        def links(node, check, key):
+            number = np.cumsum(np.r_[0, (key[1:] != key[:-1]).any(axis=1)]) if len(key) else np.zeros(0, int)
+            a, b = _neighbours(node, check, number, most)
+            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+        for batch in batches:
+            node = batch.column(0).to_numpy()
+            check = np.stack([batch.column(i).to_numpy() for i in range(1, 1 + n_check)], axis=1).view(np.uint64)
+            key = np.stack([batch.column(i).to_numpy().astype(np.int64) for i in range(1 + n_check, 5 + n_check)], axis=1)
+            if held is not None:
+                node, check, key = (np.concatenate(x) for x in zip(held, (node, check, key), strict=True))
+            last = np.flatnonzero((key != key[-1]).any(axis=1))
+            stop = last[-1] + 1 if len(last) else 0
+            yield links(node[:stop], check[:stop], key[:stop])
+            held = node[stop:], check[stop:], key[stop:]
+        if held is not None:
+            yield links(*held)
+
+    return run
+
+
+def _within(most: int):
+    def run(batches):
+        for batch in batches:
+            a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, WIDE // 8) for i in (2, 3))
+            ok = np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64) <= most
+            yield batch.select(["a", "b"]).filter(pa.array(ok))
+
+    return run
+
+
+def similar_links(nodes: DataFrame, similarity: float = 0.8, bucket: int = BUCKET) -> DataFrame:
+    """Edges (a, b) between nodes(node, wide) whose shingle sets are at least about `similarity` alike.
+
+    Pigeonhole blocks of wide fingerprints meet on (block, bits); hot buckets are split in pairs of hashed
+    chunks. In a bucket each node links to its least and its nearest neighbour only, so edges are
+    linear in the rows; each is then verified on all WIDE bits, which are within about 0.02 of the
+    similarity.
+    """
+    spark = nodes.sparkSession
+    choice = _choices(nodes.count(), similarity)
+    checks = [f"c{i}" for i in range(CHECK // 64)]
+    keyed = nodes.select("node", "wide").mapInArrow(_blocks_of(choice), "node long, t int, key long, " + ", ".join(f"{c} long" for c in checks))
+    hot = keyed.groupBy("t", "key").count().where(F.col("count") > bucket).select("t", "key", F.ceil(F.col("count") / bucket).cast("int").alias("chunks"))
+    dealt = keyed.join(small(cut(hot), 1_000_000), ["t", "key"], "left").withColumn("c", F.when(F.col("chunks").isNotNull(), F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")).otherwise(0))
+    dealt = dealt.withColumn("d", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("chunks"), F.lit(1)) - 1)))
+    dealt = dealt.select("node", *checks, "t", "key", F.least("c", "d").alias("x"), F.greatest("c", "d").alias("y"))
+    dealt = dealt.repartition(parts(spark), "t", "key", "x", "y").sortWithinPartitions("t", "key", "x", "y", "node")
+    share = _differing(similarity)
+    loose = CHECK * share + 3 * math.sqrt(CHECK * share * (1 - share))
+    pairs = dealt.mapInArrow(_compare_wide(int(loose)), "a long, b long").distinct()
+    left, right = (nodes.select(F.col("node").alias(x), F.col("wide").alias(f"w{x}")) for x in "ab")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "wa", "wb").mapInArrow(_within(int(WIDE * share)), "a long, b long")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:
     """One row of docs for each group of near duplicates: that of the group's smallest id.
 
-    Of rows that share that id (repeated rows, null ids) the one whose text has the least hash stays,
-    and of equal rows one. Only ids and hashes are grouped; texts meet the kept rows' keys in one join.
+    Near duplicates have shingle sets (A-Z lowered, `words` words; fewer words are one shingle) of
+    Jaccard similarity of about `similarity` or more, or are linked by such. 64 bits within 4 of each
+    other, as near_duplicates() has, would find a fifth of them. Texts without words are one group.
+    Null ids come last; of rows that share the id the one whose text has the least hash stays, and of
+    equal rows one. docs must give its rows in the same partitions when it is read twice, as files do.
     """
+    small_batches(docs.sparkSession)
     marked = docs.withColumn("_uid", F.monotonically_increasing_id())
-    rows = cut(marked.select("_uid", F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_tie"), F.col(text_col).alias("_text")).transform(lambda d: fingerprints(d, "_text", words)))
-    groups = components_of(rows.select("fp").distinct(), distance)
-    first = rows.join(groups, "fp").groupBy("component").agg(F.min(F.struct(F.col("_id").isNull(), F.col("_id"), F.col("_tie"), F.col("_uid"))).alias("m"))
+    plain = marked.select("_uid", F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_tie"), F.col(text_col).alias("_text"))
+
+    def run(batches):
+        for batch in batches:
+            wide = [_wide_fingerprints(data, offsets, words) for _, _, data, offsets in W.blocks(batch.column(3))]
+            wide = pa.array([w.tobytes() for block in wide for w in block], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], wide], names=["_uid", "_id", "_tie", "wide"])
+
+    rows = plain.mapInArrow(run, widen(plain.select("_uid", "_id", "_tie"), wide="binary"))
+    order = F.struct(F.col("_id").isNull().alias("no"), F.col("_id"), F.col("_tie"), F.col("_uid"))
+    nodes = cut(rows.groupBy("wide").agg(F.min("_uid").alias("node"), F.min(order).alias("first")))
+    roots = connected_components(similar_links(nodes, similarity)).withColumnRenamed("a", "node")
+    first = nodes.select("node", "first").join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("first").alias("m"))
     return marked.join(first.select(F.col("m._uid").alias("_uid")), "_uid", "left_semi").drop("_uid")

@@ -117,8 +117,42 @@ def test_simhash(docs, empty):
     want = Counter((r.doc_id, f - (1 << 64) if f >> 63 else f, least[g]) for r, f, g in zip(rows, fps, group, strict=True))
     assert Counter(map(tuple, simhash.near_duplicates(docs).collect())) == want
     assert simhash.near_duplicates(empty).count() == 0
-    kept = simhash.keep_one(docs, words=4).collect()
-    assert Counter(k.doc_id for k in kept) == Counter(set(least.values()))
+
+
+def test_keep_one(spark, docs, empty):
+    r = random.Random(9)
+    fresh = lambda n: [str(r.random()) for _ in range(n)]
+    rows, group = [], {}
+    for g in range(12):
+        base = fresh(300)
+        for k in range(r.randint(1, 6)):
+            near = list(base)
+            for _ in range(3 if k else 0):  # each change costs about 5 of 296 shingles
+                near[r.randrange(300)] = str(r.random())
+            group[len(rows)] = g
+            rows.append((len(rows), " ".join(near).upper() if k == 2 else "  ".join(near)))
+    half = fresh(200)
+    lone = [half + fresh(100), half + fresh(100)]  # half alike: both stay
+    rows += [(700, " ".join(lone[0])), (701, " ".join(lone[1])), (800, None), (801, ""), (None, rows[0][1]), (0, rows[0][1]), (802, "two words"), (803, "Two words")]
+    table = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as fp", "2 as node")
+    want = sorted({g: i for i, g in sorted(group.items(), reverse=True)}.values()) + [700, 701, 800, 802]
+    got = simhash.keep_one(table)
+    assert got.columns == table.columns and sorted(x.doc_id for x in got.collect()) == want
+    assert simhash.keep_one(empty).count() == 0 and simhash.keep_one(docs).columns == docs.columns
+
+
+def test_wide_buckets_split(spark, monkeypatch):
+    rng = np.random.default_rng(0)
+    centre = rng.integers(0, 2, 2048, dtype=np.uint8)
+    rows = []
+    for i in range(60):
+        near = centre.copy()
+        near[rng.choice(2048, 60, replace=False)] ^= 1
+        rows.append((i, bytearray(np.packbits(near).tobytes())))
+    nodes = spark.createDataFrame(rows, "node long, wide binary")
+    for bucket in (512, 8):
+        roots = simhash.connected_components(simhash.similar_links(nodes, 0.8, bucket)).collect()
+        assert len(roots) == 60 and {r.root for r in roots} == {0}
 
 
 def test_links_in_hot_buckets(spark):
