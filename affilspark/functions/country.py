@@ -8,9 +8,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import StringType
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def nfkc(s: pd.Series) -> pd.Series:
     """Spark has no compatibility normalization; meant for distinct values."""
     return s.map(lambda x: None if x is None else unicodedata.normalize("NFKC", x).strip())

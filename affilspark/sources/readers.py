@@ -11,6 +11,10 @@ from affilspark.functions.text import partial_date
 from affilspark.sources.schemas import AFFILIATION, AFFILIATION_COLUMNS, PERSON, REGISTRY
 
 
+def _struct(schema: T.StructType | str) -> T.StructType:
+    return T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+
+
 def affiliations_of(records: DataFrame) -> DataFrame:
     """One row per education and employment summary of parsed person records.
 
@@ -62,24 +66,26 @@ def read_affiliation_ndjson(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(AFFILIATION).json(path)
 
 
-def read_registry_json(spark: SparkSession, path: str, schema: T.StructType = REGISTRY, partitions: int | None = None) -> DataFrame:
+def read_registry_json(spark: SparkSession, path: str, schema: T.StructType | str = REGISTRY, partitions: int | None = None) -> DataFrame:
     """Registry records of JSON array files. A file is one task, so the records are dealt out again."""
     raw = spark.read.schema(schema).option("multiLine", True).json(path)
     return raw.repartition(partitions or int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def read_tsv_lenient(spark: SparkSession, path: str, schema: T.StructType, drop_long: bool = False) -> DataFrame:
+def read_tsv_lenient(spark: SparkSession, path: str, schema: T.StructType | str, drop_long: bool = False) -> DataFrame:
     """A TSV with a header and without quoting; short rows end in nulls, long rows are cut (or dropped)."""
     if not drop_long:
         return spark.read.schema(schema).option("sep", "\t").option("header", True).option("quote", "").option("escape", "").option("mode", "PERMISSIVE").csv(path)
     lines = spark.read.text(path).select("value", F.split("value", "\t", -1).alias("f"), F.col("_metadata.file_block_start").alias("at"))
+    schema = _struct(schema)
     head = "\t".join(schema.fieldNames())
     rows = lines.where((F.size("f") <= len(schema)) & (F.col("value") != head))
     return rows.select(*[F.nullif(F.get("f", F.lit(i)), F.lit("")).cast(x.dataType).alias(x.name) for i, x in enumerate(schema)])
 
 
-def read_tsv_skip(spark: SparkSession, path: str, schema: T.StructType, skip: int = 2) -> DataFrame:
+def read_tsv_skip(spark: SparkSession, path: str, schema: T.StructType | str, skip: int = 2) -> DataFrame:
     """One small TSV file without a header: `skip` lines left out, '' to null, src_rownum the file order from 1."""
+    schema = _struct(schema)
     whole = spark.read.text(path, wholetext=True)
     lines = whole.select(F.posexplode(F.split("value", "\r?\n")).alias("i", "line")).where((F.col("i") >= skip) & (F.col("line") != ""))
     fields = F.split("line", "\t", -1)
@@ -93,11 +99,11 @@ def read_country_lookups(spark: SparkSession, iso_path: str, territory_path: str
     return tsv(iso_path, "alpha2 string").select(clean("alpha2")), tsv(territory_path, "`from` string, alpha2 string").select(clean("from"), clean("alpha2"))
 
 
-def read_if_exists(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_if_exists(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """A Parquet table, or no rows of the schema where the path has none yet."""
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], _struct(schema))

@@ -1,4 +1,4 @@
-"""Schemas of the inputs; none is inferred."""
+"""Schemas of the inputs; none is inferred. Nested ones are DDL text, which needs no session to write down."""
 
 from __future__ import annotations
 
@@ -19,7 +19,7 @@ def _summary(name: str) -> str:
     return f"struct<`{name}`: array<struct<`role-title`: string, `department-name`: string, `start-date`: struct<{_DATE}>, `end-date`: struct<{_DATE}>, organization: struct<{organization}>>>>"
 
 
-PERSON = T.StructType.fromDDL(
+PERSON = (
     "`orcid-identifier` struct<path: string>, "
     "person struct<name: struct<`given-names`: string, `family-name`: string>>, "
     "`activities-summary` struct<"
@@ -27,7 +27,7 @@ PERSON = T.StructType.fromDDL(
     f"employments: struct<`affiliation-group`: array<{_summary('employment-summary')}>>>"
 )
 
-REGISTRY = T.StructType.fromDDL(
+REGISTRY = (
     "id string, status string, types array<string>, established int, "
     "admin struct<created: struct<date: string, schema_version: string>, last_modified: struct<date: string, schema_version: string>>, "
     "names array<struct<value: string, lang: string, types: array<string>>>, links array<struct<type: string, value: string>>, "
@@ -35,5 +35,5 @@ REGISTRY = T.StructType.fromDDL(
     "locations array<struct<geonames_id: bigint, geonames_details: struct<country_code: string, country_subdivision_code: string, lat: string, lng: string, name: string>>>, "
     "relationships array<struct<type: string, label: string, id: string>>, domains array<string>"
 )
-RINGGOLD = T.StructType.fromDDL("ringgold string, isni string, name string, alt_names string, locality string, admin_area_level_1_short string, post_code string, country_code string, urls string, institution string")
-ROLE_MAP = T.StructType.fromDDL("role_title_raw string, edu_level_isced2011 string, career_stage_efrc string, occupation_isco08 string, field_fos2015 string, is_academic int")
+RINGGOLD = ("ringgold string, isni string, name string, alt_names string, locality string, admin_area_level_1_short string, post_code string, country_code string, urls string, institution string")
+ROLE_MAP = ("role_title_raw string, edu_level_isced2011 string, career_stage_efrc string, occupation_isco08 string, field_fos2015 string, is_academic int")
