@@ -1 +1 @@
-
+"""Empty on purpose: every job works on a dated snapshot; there are no streams, watermarks or state."""
