@@ -183,7 +183,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     nodes = fps.groupBy("fp").agg(F.min(id_col).alias("least"))
     named = nodes.join(components_of(nodes.select("fp"), distance), "fp")
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = named.select("fp", "component").join(least, "component").select("fp", "component_id")
+    named = cut(named.select("fp", "component").join(least, "component").select("fp", "component_id"))  # so that Spark can split the join's hot fingerprints
     return fps.join(named, "fp").select(id_col, "fp", "component_id")
 
 

@@ -174,8 +174,11 @@ def repeated_spans(keyed: DataFrame, window: int = WINDOW, gram: int = GRAM, sha
     if not often.where("hot").limit(1).count():
         return cold
     single = stretches.mapInArrow(_windows(window), "h1 long, h2 long, k1 long, k2 long, a long")
-    twice = single.groupBy("h1", "h2").count().where("count > 1").select("h1", "h2")
-    hot = single.join(twice, ["h1", "h2"]).select("k1", "k2", "a", (F.col("a") + window).alias("b"))
+    # a window that many texts hold is counted and joined in as many salts as there are partitions
+    single = single.withColumn("salt", F.pmod(F.xxhash64("k1", "k2", "a"), F.lit(parts(spark))))
+    each = single.groupBy("h1", "h2", "salt").count()
+    twice = each.groupBy("h1", "h2").agg(F.sum("count").alias("n"), F.collect_set("salt").alias("salt")).where("n > 1").select("h1", "h2", F.explode("salt").alias("salt"))
+    hot = single.join(twice, ["h1", "h2", "salt"]).select("k1", "k2", "a", (F.col("a") + window).alias("b"))
     return cold.unionByName(hot)
 
 
