@@ -52,16 +52,21 @@ def features(data: np.ndarray, offsets: np.ndarray, size: int = DIMENSIONS) -> n
     return out
 
 
-def _rows(texts: list) -> np.ndarray:
-    return np.vstack([features(data, offsets) for _, _, data, offsets in W.blocks(pa.array(texts, pa.large_string()), 1 << 20)])
+def _rows(texts: list) -> svm.Rows:
+    out = []
+    for _, _, data, offsets in W.blocks(pa.array(texts, pa.large_string()), 1 << 18):
+        for x in features(data, offsets):
+            at = np.flatnonzero(x)
+            out.append((at, x[at].astype(float)))
+    return out
 
 
 def _train(g: pd.DataFrame) -> pd.DataFrame:
     g = g.sort_values(["_h", "_text"])
     x, y = _rows(g["_text"].tolist()), g["_y"].to_numpy()
     share = np.where(y > 0, len(y) / max(2 * (y > 0).sum(), 1), len(y) / max(2 * (y <= 0).sum(), 1))
-    w = svm.fit(x, y, 10 * share)
-    a, _ = svm.platt(x @ w[:-1] + w[-1], y)
+    w = svm.fit(x, DIMENSIONS, y, 10 * share)
+    a, _ = svm.platt(svm.margins(x, w), y)
     return pd.DataFrame({"model": [g["model"].iloc[0]], "w": [w.astype(np.float32).tobytes()], "a": [min(a, 20.0)]})
 
 

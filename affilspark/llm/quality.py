@@ -78,13 +78,13 @@ def log_count_ratios(rows: DataFrame, text_col: str, label_col: str, smoothing:
     return np.log(up / up.sum()) - np.log(down / down.sum())
 
 
-def _design(texts: list, ratios: np.ndarray) -> np.ndarray:
-    out, at = np.zeros((len(texts), len(ratios)), np.float32), 0
+def _design(texts: list, ratios: np.ndarray) -> svm.Rows:
+    out = []
     for _, _, data, offsets in W.blocks(pa.array(texts, pa.large_string()), 1 << 20):
         for x in features(data, offsets):
-            out[at, x] = ratios[x]
-            at += 1
-    return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-6)
+            v = ratios[x]
+            out.append((x, v / max(np.linalg.norm(v), 1e-6)))
+    return out
 
 
 def train(labelled: DataFrame, text_col: str = "text", label_col: str = "label", id_col: str = "doc_id", per_label: int = PER_LABEL) -> dict:
@@ -114,10 +114,10 @@ def train(labelled: DataFrame, text_col: str = "text", label_col: str = "label",
         weight /= weight.mean()
         margins = np.zeros(len(y))
         for side in (half, ~half):  # the score is fitted to margins of rows that the weights have not seen
-            w = svm.fit(x[side], y[side], 1.0)
-            margins[~side] = x[~side] @ w[:-1] + w[-1]
+            seen, unseen = ([x[i] for i in np.flatnonzero(k)] for k in (side, ~side))
+            margins[~side] = svm.margins(unseen, svm.fit(seen, DIMENSIONS, y[side], 1.0))
         a, b = svm.platt(margins, y, weight)
-        w = svm.fit(x, y, 1.0)
+        w = svm.fit(x, DIMENSIONS, y, 1.0)
         return pd.DataFrame({"w": [w.tobytes()], "a": [a], "b": [b]})
 
     got = least.select("_text", "_y", "_h", F.lit(0).alias("_one")).groupBy("_one").applyInPandas(fit, "w binary, a double, b double").first()

@@ -5,28 +5,34 @@ from __future__ import annotations
 import numpy as np
 
 
-def fit(x: np.ndarray, y: np.ndarray, c: float | np.ndarray = 1.0, epochs: int = 20, tol: float = 1e-3, seed: int = 0) -> np.ndarray:
-    """Weights (the last one a bias) of the L1-loss SVM; y is -1 or 1, c may differ by row.
+Rows = list[tuple[np.ndarray, np.ndarray]]
 
-    Coordinate descent on the dual: each step solves one dual variable exactly and moves w along its
-    row. The order of rows is drawn anew each epoch from `seed`. One class alone gives its bias only.
+
+def fit(rows: Rows, size: int, y: np.ndarray, c: float | np.ndarray = 1.0, epochs: int = 20, tol: float = 1e-3, seed: int = 0) -> np.ndarray:
+    """size + 1 weights (the last one a bias) of the L1-loss SVM; y is -1 or 1, c may differ by row.
+
+    A row is its indices and their values. Coordinate descent on the dual: each step solves one dual
+    variable exactly and moves w along its row. The order of rows is drawn anew each epoch from `seed`.
+    One class alone gives its bias only.
     """
-    x = np.hstack([x, np.ones((len(x), 1), x.dtype)])
-    w = np.zeros(x.shape[1])
+    w = np.zeros(size + 1)
     if len(set(y.tolist())) < 2:
         w[-1] = float(y[0]) if len(y) else 0.0
         return w
-    norm = np.einsum("ij,ij->i", x, x).astype(float)
-    top = np.broadcast_to(np.asarray(c, float), len(y))
-    alpha = np.zeros(len(y))
+    norm = [float(v @ v) + 1.0 for _, v in rows]
+    top = np.broadcast_to(np.asarray(c, float), len(y)).tolist()
+    alpha = [0.0] * len(y)
     rng = np.random.default_rng(seed)
     for _ in range(epochs):
         worst = 0.0
         for i in rng.permutation(len(y)).tolist():
-            g = y[i] * float(x[i] @ w) - 1
+            at, v = rows[i]
+            g = y[i] * (float(v @ w[at]) + w[-1]) - 1
             new = min(max(alpha[i] - g / norm[i], 0.0), top[i])
             if new != alpha[i]:
-                w += (new - alpha[i]) * y[i] * x[i]
+                move = (new - alpha[i]) * y[i]
+                w[at] += move * v
+                w[-1] += move
                 worst = max(worst, abs(new - alpha[i]))
                 alpha[i] = new
         if worst < tol:
@@ -34,6 +40,10 @@ def fit(x: np.ndarray, y: np.ndarray, c: float | np.ndarray = 1.0, epochs: int =
     return w
 
 
+def margins(rows: Rows, w: np.ndarray) -> np.ndarray:
+    return np.array([float(v @ w[at]) + w[-1] for at, v in rows])
+
+
 def platt(margin: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None, steps: int = 50) -> tuple[float, float]:
     """a, b of 1 / (1 + exp(-(a * margin + b))), fitted by Newton steps to smoothed targets."""
     weight = np.ones(len(y)) if weight is None else weight
