@@ -287,9 +287,9 @@ def score(docs: DataFrame, trained: dict, text_col: str = "text") -> DataFrame:
     """docs without the text, with n_tokens, n_known, train_tokens, base_score and score (log10).
 
     Counts of the HEAD most frequent words are in every task; other words meet their counts in a join
-    on the word, whatever their number. Other columns pass.
+    on the word, whatever their number. Other columns pass; columns of the result's names are replaced.
     """
-    rest = [c for c in docs.columns if c != text_col]
+    rest = [c for c in docs.columns if c not in (text_col, "n_tokens", "n_known", "train_tokens", "base_score", "score")]
     shared = docs.sparkSession.sparkContext.broadcast({k: trained[k] for k in ("model", "keys", "n_own", "c", "share")})
     whole, ends = trained["whole"], trained["ends"]
     rows = docs.select(F.monotonically_increasing_id().alias("_uid"), *[F.col(c).alias(f"_{i}") for i, c in enumerate(rest)], F.col(text_col).alias("_text"))

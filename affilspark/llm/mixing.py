@@ -89,12 +89,11 @@ def mix(docs: DataFrame, text_col: str = "text", source_col: str = "source", id_
     stats = sized.groupBy(F.col(source_col).alias("_src")).agg(F.sum("_size").alias("source_size"), F.count("*").alias("n"))
     order = F.row_number().over(Window.orderBy(F.col("_src").isNull(), F.encode("_src", "UTF-8"))) - 1
     stats = cut(stats.withColumn("weight", F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (order % len(weights) + 1).cast("int"))))
-    goal = rates(targets(stats, float(cap))).withColumn("groups", F.ceil(F.greatest(F.col("n") / GROUP_DOCS, F.col("source_size") / GROUP_WORDS)).cast("int"))
-    goal = cut(goal.select("_src", F.col("source_size").alias("_source_size"), F.col("target").alias("_target"), F.col("rate").alias("_rate"), "groups"))
+    goal = rates(targets(stats, float(cap))).withColumn("_groups", F.ceil(F.greatest(F.col("n") / GROUP_DOCS, F.col("source_size") / GROUP_WORDS)).cast("int"))
+    goal = cut(goal.select("_src", F.col("source_size").alias("_source_size"), F.col("target").alias("_target"), F.col("rate").alias("_rate"), "_groups"))
     if goal.count() * 100 < 8 << 20:  # about 100 bytes a source
         goal = F.broadcast(goal)
-    full = sized.join(goal, sized[source_col].eqNullSafe(goal["_src"])).withColumn("_group", F.pmod(F.xxhash64("_tie", F.lit(7)), F.greatest("groups", F.lit(1)))).drop("groups", "_src")
-    full = full.withColumn("_where", F.xxhash64(F.col(source_col), F.col("_group")))
+    full = sized.join(goal, sized[source_col].eqNullSafe(goal["_src"])).withColumn("_group", F.pmod(F.xxhash64("_tie", F.lit(7)), F.greatest("_groups", F.lit(1)))).drop("_groups", "_src")
     schema = full.withColumn("_copies", F.lit(0).cast("long")).schema
     done = full.repartition(parts(spark), source_col, "_group").groupBy(source_col, "_group").applyInPandas(_round(cap), schema)
     return done.select(*[c for c in own if keep_text or c != text_col], "_size", "_source_size", "_target", "_copies")

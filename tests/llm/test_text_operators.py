@@ -12,7 +12,7 @@ import xxhash
 from affilspark.llm import chat, decontaminate, hmm, language, mixing, quality, simhash, substrings, tokens
 from affilspark.llm.automaton import SuffixAutomaton, spans
 
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, fp long, score double, label int"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, groups long, score double, label int"
 
 
 def words(text):
@@ -255,7 +255,7 @@ def test_hmm_base_and_likelihood(docs, empty):
         n += 1
     total, whole = sum(count.values()) + n, sum(count.values()) + n + 0.1 * (len(count) + 2)
     model = hmm.train(train)
-    got = hmm.score(docs.select("doc_id", "text", "score").withColumnRenamed("score", "tail"), model).collect()
+    got = hmm.score(docs.selectExpr("doc_id", "text", "score", "1 as tail", "2 as n_tokens"), model).collect()
     want = Counter()
     for r in docs.collect():
         w = (r.text or "").encode().lower().split()
