@@ -92,8 +92,23 @@ def masks(n: int, distance: int, bits: int = 64) -> list[int]:
     return [sum(block[i] for i in take) for take in combinations(range(b), b - distance)]
 
 
+def _span(n: int, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of links between numbers below n, one from each number to the least of its component, if that is another."""
+    label = np.arange(n)
+    while len(a):
+        new = label.copy()
+        np.minimum.at(new, a, label[b])
+        np.minimum.at(new, b, label[a])
+        new = new[new]
+        if (new == label).all():
+            break
+        label = new
+    hung = np.flatnonzero(label != np.arange(n))
+    return hung, label[hung]
+
+
 def _forest(fp: np.ndarray, run: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links that span what lies within `distance` bits inside each run of equal numbers."""
+    """Links that span what lies within `distance` bits inside each run of equal numbers; fp may have several columns."""
     a, b, lag = [], [], 1
     at = np.arange(len(fp))
     while True:
@@ -101,24 +116,14 @@ def _forest(fp: np.ndarray, run: np.ndarray, distance: int) -> tuple[np.ndarray,
         at = at[run[at] == run[at + lag]]
         if not len(at):
             break
-        near = np.bitwise_count(fp[at] ^ fp[at + lag]) <= distance
+        far = np.bitwise_count(fp[at] ^ fp[at + lag])
+        near = (far.sum(axis=1, dtype=np.int64) if far.ndim > 1 else far) <= distance
         a.append(at[near])
         b.append(at[near] + lag)
         lag += 1
     if not a:
         return at, at
-    a, b = np.concatenate(a), np.concatenate(b)
-    label = np.arange(len(fp))
-    while True:
-        new = label.copy()
-        np.minimum.at(new, a, label[b])
-        np.minimum.at(new, b, label[a])
-        new = new[new]
-        if (new == label).all():
-            break
-        label = new
-    hung = np.flatnonzero(label != np.arange(len(fp)))
-    return hung, label[hung]
+    return _span(len(fp), np.concatenate(a), np.concatenate(b))
 
 
 def _compare(distance: int):
@@ -195,17 +200,15 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 #: Bits of a wide fingerprint, of its part that goes along with each block, and the share of pairs at
 #: the least similarity that may share no block.
 WIDE, CHECK, MISSED = 2048, 256, 0.02
+#: Most shingles of a set that is compared by exact prefixes; fingerprints of few shingles are too coarse.
+FEW = 32
 
 
-def _wide_fingerprints(data: np.ndarray, offsets: np.ndarray, words: int) -> np.ndarray:
-    """WIDE SimHash bits of each row's set of word shingles, packed.
-
-    Shingles are hashed with a sign into WIDE sums; a Walsh-Hadamard transform of the sums gives all
-    bits at once, each the sign of a random projection. A tie goes by a fixed coin of the bit.
-    """
+def _shingles(data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of each row's set of word shingles in rising order, and for each row its first (one more at the end)."""
     data = W.LOWER[data]
     starts, ends, first = W.spans(data, offsets)
-    n, rows_all = np.diff(first), len(offsets) - 1
+    n = np.diff(first)
     h = W.hashes(data, starts, ends) if len(starts) else np.zeros(0, np.uint64)
     at, rows = W.whole(first, words)
     gram = W.mix(W.rolling(h, words))[at] if len(at) else h[:0]
@@ -216,11 +219,31 @@ def _wide_fingerprints(data: np.ndarray, offsets: np.ndarray, words: int) -> np.
     gram, rows = gram[order], rows[order]
     new = np.r_[True, (gram[1:] != gram[:-1]) | (rows[1:] != rows[:-1])][: len(gram)]
     gram, rows = gram[new], rows[new]
+    return gram, np.searchsorted(rows, np.arange(len(offsets)))
+
+
+def _set_keys(gram: np.ndarray, edge: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits that name each row's set: two sums of mixed hashes; an empty set has zeros."""
+    out = []
+    for salt in (1, 2):
+        total = np.r_[np.zeros(1, np.uint64), np.cumsum(W.mix(gram ^ W.mix(np.full(1, salt, np.uint64))))]
+        out.append((total[edge[1:]] - total[edge[:-1]]).view(np.int64))
+    return out[0], out[1]
+
+
+def _wide_fingerprints(gram: np.ndarray, edge: np.ndarray) -> np.ndarray:
+    """WIDE SimHash bits of each row's set of shingles, packed.
+
+    Shingles are hashed with a sign into WIDE sums; a Walsh-Hadamard transform of the sums gives all
+    bits at once, each the sign of a random projection. A tie goes by a fixed coin of the bit.
+    """
+    rows_all = len(edge) - 1
+    rows = np.repeat(np.arange(rows_all), np.diff(edge))
     coin = (W.mix(np.arange(WIDE, dtype=np.uint64)) & np.uint64(1)).astype(np.float32) - np.float32(0.5)
     out = np.empty((rows_all, WIDE // 8), np.uint8)
     for lo in range(0, rows_all, 256):
         hi = min(lo + 256, rows_all)
-        a, b = np.searchsorted(rows, (lo, hi))
+        a, b = edge[lo], edge[hi]
         g = gram[a:b]
         cell = (rows[a:b] - lo) * WIDE + (g % np.uint64(WIDE)).astype(np.int64)
         x = np.bincount(cell, 1.0 - 2.0 * ((g >> np.uint64(40)) & np.uint64(1)).astype(float), (hi - lo) * WIDE).astype(np.float32)
@@ -265,32 +288,6 @@ def _blocks_of(choice: np.ndarray):
     return run
 
 
-def _neighbours(node: np.ndarray, check: np.ndarray, run: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each fingerprint of a run its least and its nearest neighbour within `most` check bits."""
-    a, b, d, lag, at = [], [], [], 1, np.arange(len(node))
-    while True:
-        at = at[: np.searchsorted(at, len(node) - lag)]
-        at = at[run[at] == run[at + lag]]
-        if not len(at):
-            break
-        far = np.bitwise_count(check[at] ^ check[at + lag]).sum(axis=1, dtype=np.int64)
-        near = far <= most
-        a.append(at[near])
-        b.append(at[near] + lag)
-        d.append(far[near])
-        lag += 1
-    if not a:
-        return node[:0], node[:0]
-    a, b, d = np.concatenate(a), np.concatenate(b), np.concatenate(d)
-    mine, other, far = np.r_[a, b], np.r_[b, a], np.r_[d, d]
-    out = []
-    for order in (np.lexsort((node[other], mine)), np.lexsort((node[other], far, mine))):
-        first = order[np.r_[True, mine[order][1:] != mine[order][:-1]][: len(order)]]
-        out.append((node[mine[first]], node[other[first]]))
-    x, y = (np.concatenate([o[i] for o in out]) for i in (0, 1))
-    return np.maximum(x, y), np.minimum(x, y)
-
-
 def _compare_wide(most: int):
     n_check = CHECK // 64
 
@@ -299,8 +296,8 @@ def _compare_wide(most: int):
 
         def links(node, check, key):
             number = np.cumsum(np.r_[0, (key[1:] != key[:-1]).any(axis=1)]) if len(key) else np.zeros(0, int)
-            a, b = _neighbours(node, check, number, most)
-            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+            a, b = _forest(check, number, most)
+            return pa.RecordBatch.from_arrays([pa.array(node[a]), pa.array(node[b])], names=["a", "b"])
 
         for batch in batches:
             node = batch.column(0).to_numpy()
@@ -318,46 +315,118 @@ def _compare_wide(most: int):
     return run
 
 
-def _within(most: int):
+def _alike(sets: list[np.ndarray], similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Links that span the sets whose Jaccard similarity is `similarity` or more, counted over all pairs."""
+    m = len(sets)
+    sizes = np.array([len(x) for x in sets])
+    _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner, shared = np.repeat(np.arange(m), sizes), times[column] > 1
+    owner, column = owner[shared], (np.cumsum(times > 1) - 1)[column[shared]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    both = np.zeros((m, m), np.float32)
+    width = 4096
+    for lo in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+        i, j = np.searchsorted(column, (lo, lo + width))
+        has = np.zeros((m, min(width, int(column[j - 1]) - lo + 1)), np.float32)
+        has[owner[i:j], column[i:j] - lo] = 1
+        both += has @ has.T
+    both = both.astype(np.float64)
+    return _span(m, *np.nonzero(np.triu(both / (sizes[:, None] + sizes[None, :] - both) >= similarity, 1)))
+
+
+def _compare_sets(similarity: float):
+    """Rows node, set, and four key columns in order: the links of each key's sets."""
+
     def run(batches):
+        held = None
+
+        def links(node, sets, key):
+            edge = np.r_[0, np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1, len(node)]
+            a, b = [node[:0]], [node[:0]]
+            for i, j in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
+                if j - i > 1:
+                    x, y = _alike([np.frombuffer(v, np.uint64) for v in sets[i:j]], similarity)
+                    a.append(node[i + x])
+                    b.append(node[i + y])
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
+
         for batch in batches:
-            a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, WIDE // 8) for i in (2, 3))
-            ok = np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64) <= most
-            yield batch.select(["a", "b"]).filter(pa.array(ok))
+            node, sets = batch.column(0).to_numpy(), batch.column(1).to_pylist()
+            key = np.stack([batch.column(i).to_numpy().astype(np.int64) for i in range(2, 6)], axis=1)
+            if held is not None:
+                node, sets, key = np.concatenate([held[0], node]), held[1] + sets, np.concatenate([held[2], key])
+            last = np.flatnonzero((key != key[-1]).any(axis=1))
+            stop = last[-1] + 1 if len(last) else 0
+            yield links(node[:stop], sets[:stop], key[:stop])
+            held = node[stop:], sets[stop:], key[stop:]
+        if held is not None:
+            yield links(*held)
 
     return run
 
 
+def _dealt(keyed: DataFrame, sizes: DataFrame, bucket: int) -> DataFrame:
+    """keyed(node, ..., t, key) sorted by t, key and pair of hashed chunks x, y; sizes: t and key of what is counted.
+
+    A bucket of up to `bucket` rows is one chunk; a larger one meets as pairs of chunks, so no task gets a hot one.
+    """
+    rest = [c for c in keyed.columns if c not in ("t", "key")]
+    hot = sizes.groupBy("t", "key").count().where(F.col("count") > bucket).select("t", "key", F.ceil(F.col("count") / bucket).cast("int").alias("chunks"))
+    dealt = keyed.join(small(cut(hot), 1_000_000), ["t", "key"], "left").withColumn("c", F.when(F.col("chunks").isNotNull(), F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")).otherwise(0))
+    dealt = dealt.withColumn("d", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("chunks"), F.lit(1)) - 1)))
+    dealt = dealt.select(*rest, "t", "key", F.least("c", "d").alias("x"), F.greatest("c", "d").alias("y"))
+    return dealt.repartition(parts(keyed.sparkSession), "t", "key", "x", "y").sortWithinPartitions("t", "key", "x", "y", "node")
+
+
 def similar_links(nodes: DataFrame, similarity: float = 0.8, bucket: int = BUCKET) -> DataFrame:
-    """Edges (a, b) between nodes(node, wide) whose shingle sets are at least about `similarity` alike.
+    """Edges (a, b) that span the candidate pairs of nodes(node, wide): those that share a block and are within a loose bound.
 
     Pigeonhole blocks of wide fingerprints meet on (block, bits); hot buckets are split in pairs of hashed
-    chunks. In a bucket each node links to its least and its nearest neighbour only, so edges are
-    linear in the rows; each is then verified on all WIDE bits, which are within about 0.02 of the
-    similarity.
+    chunks. A bucket emits a spanning forest of all its pairs within the mean and 4 standard
+    deviations of the bits that `similarity` leaves different, so edges are linear in the rows and
+    each pair lies in one component. alike_links() then decides.
     """
-    spark = nodes.sparkSession
     choice = _choices(nodes.count(), similarity)
     checks = [f"c{i}" for i in range(CHECK // 64)]
     keyed = nodes.select("node", "wide").mapInArrow(_blocks_of(choice), "node long, t int, key long, " + ", ".join(f"{c} long" for c in checks))
-    hot = keyed.groupBy("t", "key").count().where(F.col("count") > bucket).select("t", "key", F.ceil(F.col("count") / bucket).cast("int").alias("chunks"))
-    dealt = keyed.join(small(cut(hot), 1_000_000), ["t", "key"], "left").withColumn("c", F.when(F.col("chunks").isNotNull(), F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")).otherwise(0))
-    dealt = dealt.withColumn("d", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("chunks"), F.lit(1)) - 1)))
-    dealt = dealt.select("node", *checks, "t", "key", F.least("c", "d").alias("x"), F.greatest("c", "d").alias("y"))
-    dealt = dealt.repartition(parts(spark), "t", "key", "x", "y").sortWithinPartitions("t", "key", "x", "y", "node")
+    dealt = _dealt(keyed.select("node", *checks, "t", "key"), keyed, bucket)
     share = _differing(similarity)
-    loose = CHECK * share + 3 * math.sqrt(CHECK * share * (1 - share))
-    pairs = dealt.mapInArrow(_compare_wide(int(loose)), "a long, b long").distinct()
-    left, right = (nodes.select(F.col("node").alias(x), F.col("wide").alias(f"w{x}")) for x in "ab")
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "wa", "wb").mapInArrow(_within(int(WIDE * share)), "a long, b long")
+    loose = CHECK * share + 4 * math.sqrt(CHECK * share * (1 - share))
+    return dealt.mapInArrow(_compare_wide(int(loose)), "a long, b long").distinct()
+
+
+def alike_links(sets: DataFrame, groups: DataFrame, similarity: float = 0.8, bucket: int = BUCKET) -> DataFrame:
+    """Edges (a, b) that span the pairs within each group of sets(node, set, t, key) of at least that Jaccard similarity.
+
+    groups: t and key of the same rows, to be counted. All pairs of a group are compared on their whole sets.
+    """
+    return _dealt(sets.select("node", "set", "t", "key"), groups, bucket).mapInArrow(_compare_sets(similarity), "a long, b long").distinct()
+
+
+def _prefixes(similarity: float):
+    """For each small set the shingles of which two alike sets must share one: the least n - ceil(similarity n) + 1."""
+
+    def run(batches):
+        for batch in batches:
+            node, sets = batch.column(0).to_numpy(), batch.column(1).to_pylist()
+            n = np.array([len(x) // 8 for x in sets], np.int64)
+            take = n - np.ceil(similarity * n - 1e-9).astype(np.int64) + 1
+            key = [np.frombuffer(x, np.int64)[:k] for x, k in zip(sets, take.tolist(), strict=True)]
+            at = np.repeat(np.arange(len(n)), take)
+            yield pa.RecordBatch.from_arrays([pa.array(node[at]), batch.column(1).take(pa.array(at)), pa.array(np.zeros(len(at), np.int32)), pa.array(np.concatenate([np.zeros(0, np.int64), *key]))], names=["node", "set", "t", "key"])
+
+    return run
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:
     """One row of docs for each group of near duplicates: that of the group's smallest id.
 
     Near duplicates have shingle sets (A-Z lowered, `words` words; fewer words are one shingle) of
-    Jaccard similarity of about `similarity` or more, or are linked by such. 64 bits within 4 of each
-    other, as near_duplicates() has, would find a fifth of them. Texts without words are one group.
+    Jaccard similarity of `similarity` or more, or are linked by such. 64 bits within 4 of each
+    other, as near_duplicates() has, would find a fifth of them. Equal sets are found by a 128-bit
+    hash; pairs of up to FEW shingles share one of their least shingles; others are candidates by
+    wide fingerprints. All are decided on the sets. Texts without words are one group.
     Null ids come last; of rows that share the id the one whose text has the least hash stays, and of
     equal rows one. docs must give its rows in the same partitions when it is read twice, as files do.
     """
@@ -367,13 +436,35 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
 
     def run(batches):
         for batch in batches:
-            wide = [_wide_fingerprints(data, offsets, words) for _, _, data, offsets in W.blocks(batch.column(3))]
-            wide = pa.array([w.tobytes() for block in wide for w in block], pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], wide], names=["_uid", "_id", "_tie", "wide"])
+            one, two, n, wide, few = [], [], [], [], []
+            for _, _, data, offsets in W.blocks(batch.column(3)):
+                gram, edge = _shingles(data, offsets, words)
+                for out, x in zip((one, two, n), (*_set_keys(gram, edge), np.diff(edge)), strict=True):
+                    out.append(x)
+                wide += [w.tobytes() for w in _wide_fingerprints(gram, edge)]
+                few += [gram[a:b].tobytes() if b - a <= FEW else None for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True)]
+            if not n:
+                continue
+            columns = [*batch.columns[:3], *[pa.array(np.concatenate(x)) for x in (one, two)], pa.array(np.concatenate(n).astype(np.int64)), pa.array(wide, pa.binary()), pa.array(few, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["_uid", "_id", "_tie", "one", "two", "n", "wide", "few"])
+
+    def sets_of(batches):
+        for batch in batches:
+            sets = []
+            for _, _, data, offsets in W.blocks(batch.column(1)):
+                gram, edge = _shingles(data, offsets, words)
+                sets += [gram[a:b].tobytes() for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary()), *batch.columns[2:]], names=["node", "set", "t", "key"])
 
-    rows = plain.mapInArrow(run, widen(plain.select("_uid", "_id", "_tie"), wide="binary"))
+    rows = plain.mapInArrow(run, widen(plain.select("_uid", "_id", "_tie"), one="long", two="long", n="long", wide="binary", few="binary"))
     order = F.struct(F.col("_id").isNull().alias("no"), F.col("_id"), F.col("_tie"), F.col("_uid"))
-    nodes = cut(rows.groupBy("wide").agg(F.min("_uid").alias("node"), F.min(order).alias("first")))
-    roots = connected_components(similar_links(nodes, similarity)).withColumnRenamed("a", "node")
+    kept = [F.first(c).alias(c) for c in ("n", "wide", "few")]
+    nodes = cut(rows.groupBy("one", "two").agg(F.min("_uid").alias("node"), F.min(order).alias("first"), *kept))
+    short = nodes.where((F.col("n") > 0) & F.col("few").isNotNull()).select("node", "few").mapInArrow(_prefixes(similarity), "node long, set binary, t int, key long")
+    found = alike_links(short, short.select("t", "key"), similarity)
+    near = connected_components(similar_links(nodes.where(F.col("n") >= int(FEW * similarity)), similarity)).select(F.col("a").alias("_uid"), F.lit(0).alias("t"), F.col("root").alias("key"))
+    texts = marked.select("_uid", F.col(text_col).alias("_text")).join(small(near, 1_000_000), "_uid").select("_uid", "_text", "t", "key")
+    found = found.unionByName(alike_links(texts.mapInArrow(sets_of, "node long, set binary, t int, key long"), near, similarity))
+    roots = connected_components(found).withColumnRenamed("a", "node")
     first = nodes.select("node", "first").join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("first").alias("m"))
     return marked.join(first.select(F.col("m._uid").alias("_uid")), "_uid", "left_semi").drop("_uid")

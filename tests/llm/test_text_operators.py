@@ -141,6 +141,12 @@ def test_keep_one(spark, docs, empty):
     assert simhash.keep_one(empty).count() == 0 and simhash.keep_one(docs).columns == docs.columns
 
 
+def test_keep_one_short_texts(spark):
+    rows = [(i, f"w{i} x{i}") for i in range(10_000)] + [(20_000 + i, f"W{i}  x{i}") for i in range(50)]
+    got = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(x.doc_id for x in got.collect()) == list(range(10_000))
+
+
 def test_wide_buckets_split(spark, monkeypatch):
     rng = np.random.default_rng(0)
     centre = rng.integers(0, 2, 2048, dtype=np.uint8)
