@@ -147,6 +147,15 @@ def test_keep_one_short_texts(spark):
     assert sorted(x.doc_id for x in got.collect()) == list(range(10_000))
 
 
+def test_keep_one_family_below_the_bound(spark):
+    base = [f"b{i}" for i in range(244)]
+    tail = lambda k, n=40: [f"t{k}x{i}" for i in range(n)]
+    rows = [(i, " ".join(base + tail(i))) for i in range(1500)]  # 0.75 alike
+    rows += [(5000 + i, " ".join(base + tail(i, 20) + tail(5000 + i, 20))) for i in range(60)]  # each 0.87 like row i
+    got = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(x.doc_id for x in got.collect()) == list(range(1500))
+
+
 def test_wide_buckets_split(spark, monkeypatch):
     rng = np.random.default_rng(0)
     centre = rng.integers(0, 2, 2048, dtype=np.uint8)
