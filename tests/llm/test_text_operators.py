@@ -156,6 +156,18 @@ def test_keep_one_family_below_the_bound(spark):
     assert sorted(x.doc_id for x in got.collect()) == list(range(1500))
 
 
+def test_keep_one_decides_on_exact_similarity(spark):
+    rows, want = [], []
+    for g in range(40):
+        n = 5 * (g + 1)  # shingles; 4 of 5 of them are exactly 0.8, one fewer is not
+        text = [f"g{g}w{i}" for i in range(n + 4)]
+        rows += [(10 * g, " ".join(text)), (10 * g + 1, " ".join(text[: n * 4 // 5 + 4])), (10 * g + 2, " ".join(text[-(n * 4 // 5 + 3) :] if n > 25 else ["lone", str(g)]))]
+        want += [10 * g, 10 * g + 2]
+    got = {x.doc_id for x in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert set(want) <= got and not any(10 * g + 1 in got for g in range(6))
+    assert sum(10 * g + 1 in got for g in range(40)) <= 3  # sampled blocks miss few
+
+
 def test_wide_buckets_split(spark, monkeypatch):
     rng = np.random.default_rng(0)
     centre = rng.integers(0, 2, 2048, dtype=np.uint8)
