@@ -30,16 +30,17 @@ def _unit_hashes() -> np.ndarray:
 
 
 def canonical(data: np.ndarray, offsets: np.ndarray):
-    """The template words of a block: hash, type, start, end, and each row's first word.
+    """The template words of a block: hash, type, start, end, each row's first word, the hash as a literal, and doubt.
 
     Edge punctuation goes and A-Z are lowered (also two-byte capitals); words of punctuation alone
     are left out. Words with a leading digit (or sign and digit) are numbers; a unit is a listed word
-    after a number; a capital inside a sentence is a name.
+    after a number; a capital inside a sentence is a name, one at the start of a row, line or sentence is a
+    literal in doubt: it may be a name.
     """
     starts, ends, first = W.spans(data, offsets)
     s, e = starts.copy(), ends.copy()
     if not len(s):
-        return np.zeros(0, np.uint64), np.zeros(0, np.int8), s, e, first
+        return np.zeros(0, np.uint64), np.zeros(0, np.int8), s, e, first, np.zeros(0, np.uint64), np.zeros(0, bool)
     live = np.arange(len(s))
     while len(live):
         live = live[(s[live] < e[live])]
@@ -66,7 +67,7 @@ def canonical(data: np.ndarray, offsets: np.ndarray):
     h = W.hashes(low, s, e)
     kind = np.zeros(len(s), np.int8)
     if not len(s):
-        return h, kind, s, e, first
+        return h, kind, s, e, first, h, np.zeros(0, bool)
     head = data[s]
     second = data[np.minimum(s + 1, len(data) - 1)]
     digit = lambda x: (x >= 48) & (x <= 57)
@@ -79,17 +80,48 @@ def canonical(data: np.ndarray, offsets: np.ndarray):
     after[first[:-1][first[:-1] < len(after)]] = False
     kind[after & np.isin(h, _unit_hashes())] = UNIT
     marks = W.mix(np.arange(1, 5, dtype=np.uint64))
-    return np.where(kind == WORD, h, marks[kind]), kind, s, e, first
+    return np.where(kind == WORD, h, marks[kind]), kind, s, e, first, h, capital & lead & (kind == WORD)
+
+
+#: How a window is read: as its types say, by its plain words, or (from here on, plus how many) with words in doubt as names.
+TYPED, PLAIN, DOUBT = 0, 1, 2
+
+
+def _readings(h, plain, doubt, literal, at, k: int, least: int):
+    """The readings of the windows of k words that begin at `at`: how, the words read as names, which windows, their hashes."""
+    finish = lambda x: W.mix(x + np.uint64(k))
+    raw = W.rolling(h, k)[at]
+    yield TYPED, [], literal >= least, finish(raw)
+    yield PLAIN, [], literal < k, finish(W.rolling(plain, k)[at])
+    code = sum((doubt[at + j].astype(np.int64) << j for j in range(k)), np.zeros(len(at), np.int64))
+    masks = set()
+    for full in np.unique(code).tolist():
+        sub = full
+        while sub:
+            masks.add(sub)
+            sub = (sub - 1) & full
+    name = W.mix(np.arange(1, 5, dtype=np.uint64))[NAME]
+    for mask in sorted(masks):
+        names = [j for j in range(k) if mask >> j & 1]
+        ok = ((code & mask) == mask) & (literal - len(names) >= least)
+        x = raw[ok]
+        for j in names:
+            x = x + (name - h[at[ok] + j]) * np.uint64(pow(int(W.BASE), k - 1 - j, 1 << 64))
+        out = np.zeros(len(at), np.uint64)
+        out[ok] = finish(x)
+        yield DOUBT + len(names), names, ok, out
 
 
 def windows(df: DataFrame, keys: list[str], text_col: str, lengths: list[int], wanted=None, whole_only: bool = False, min_literals: int = 2) -> DataFrame:
-    """Template windows of each row: keys, k, h, pos, slots (array of type:value).
+    """Readings of the windows of each row: keys, k, h, w, how, low, pos, slots (array of type:value).
 
-    `lengths`: window lengths; whole_only: lengths below the longest only as a whole text.
-    Windows with fewer than `min_literals` literal words (or than their length) carry no template and
-    are left out. wanted: a broadcast of sorted hashes; other windows are left out.
+    `lengths`: window lengths; whole_only: lengths below the longest only as a whole text. Each window is
+    read with its types, by its plain words (also of numbers and names), and with each choice of words in
+    doubt as names; h is the reading's hash, w the window's. Windows with fewer than `min_literals`
+    literal words (or than their length) carry no template: they are `low` and have their plain reading
+    only. wanted: a broadcast of sorted hashes; other readings are left out.
     """
-    schema = widen(df.select(*keys), k="int", h="long", pos="int", slots="array<string>")
+    schema = widen(df.select(*keys), k="int", h="long", w="long", how="int", low="boolean", pos="int", slots="array<string>")
     longest = max(lengths)
 
     def run(batches):
@@ -97,33 +129,39 @@ def windows(df: DataFrame, keys: list[str], text_col: str, lengths: list[int], w
         for batch in batches:
             own = batch.select(keys)
             for lo, hi, data, offsets in W.blocks(batch.column(batch.schema.get_field_index(text_col))):
-                h, kind, s, e, first = canonical(data, offsets)
+                h, kind, s, e, first, plain, doubt = canonical(data, offsets)
                 n = np.diff(first)
-                literal = np.r_[0, np.cumsum(kind == WORD)]
+                literals = np.r_[0, np.cumsum(kind == WORD)]
+                text = data.tobytes()
                 for k in lengths:
-                    roll = W.mix(W.rolling(h, k) + np.uint64(k)) if len(h) >= k else h[:0]
-                    at, rows = W.whole(first, k)
-                    least = min(k, min_literals)
-                    ok = literal[at + k] - literal[at] >= least
-                    if whole_only and k < longest:
-                        ok &= n[rows] == k  # a benchmark item shorter than the window is one window
-                    if want is not None and len(at):
-                        place = np.searchsorted(want, roll[at])
-                        ok &= want[np.minimum(place, len(want) - 1)] == roll[at] if len(want) else False
-                    at, rows = at[ok], rows[ok]
-                    if not len(at):
+                    every, row_of = W.whole(first, k)
+                    if not len(every):
                         continue
-                    text = data.tobytes()
-                    typed = kind[at[:, None] + np.arange(k)] != WORD
-                    slots = [[] for _ in range(len(at))]
-                    for i in np.flatnonzero(typed.any(axis=1)).tolist():
-                        w = at[i] + np.flatnonzero(typed[i])
-                        slots[i] = [f"{kind[j]}:{text[s[j]:e[j]].decode('utf-8', 'replace')}" for j in w.tolist()]
-                    columns = [c.take(pa.array(rows + lo)) for c in own.columns]
-                    yield pa.RecordBatch.from_arrays(
-                        [*columns, pa.array(np.full(len(at), k, np.int32)), pa.array(roll[at].view(np.int64)), pa.array((at - first[rows]).astype(np.int32)), pa.array(slots, pa.list_(pa.string()))],
-                        names=schema.names,
-                    )
+                    least = min(k, min_literals)
+                    literal = literals[every + k] - literals[every]
+                    whose = literal < least
+                    itself = np.where(whose, W.mix(W.rolling(plain, k)[every] + np.uint64(k)), W.mix(W.rolling(h, k)[every] + np.uint64(k)))
+                    for how, names, ok, roll in _readings(h, plain, doubt, literal, every, k, least):
+                        if whole_only and k < longest:
+                            ok = ok & (n[row_of] == k)  # a benchmark item shorter than the window is one window
+                        if want is not None:
+                            place = np.searchsorted(want, roll)
+                            ok = ok & (want[np.minimum(place, len(want) - 1)] == roll) if len(want) else ok & False
+                        at, rows = every[ok], row_of[ok]
+                        if not len(at):
+                            continue
+                        slots = [[] for _ in range(len(at))]
+                        if how != PLAIN:
+                            types = kind[at[:, None] + np.arange(k)]
+                            types[:, names] = NAME
+                            for i in np.flatnonzero((types != WORD).any(axis=1)).tolist():
+                                j = at[i] + np.flatnonzero(types[i] != WORD)
+                                slots[i] = [f"{types[i, x - at[i]]}:{text[s[x]:e[x]].decode('utf-8', 'replace')}" for x in j.tolist()]
+                        columns = [c.take(pa.array(rows + lo)) for c in own.columns]
+                        yield pa.RecordBatch.from_arrays(
+                            [*columns, pa.array(np.full(len(at), k, np.int32)), pa.array(roll[ok].view(np.int64)), pa.array(itself[ok].view(np.int64)), pa.array(np.full(len(at), how, np.int32)), pa.array(whose[ok]), pa.array((at - first[rows]).astype(np.int32)), pa.array(slots, pa.list_(pa.string()))],
+                            names=schema.names,
+                        )
 
     return df.select(*keys, text_col).where(F.col(text_col).isNotNull()).mapInArrow(run, schema)
 
@@ -135,8 +173,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     matched, containment, n_slots, slot_consistent (each value of the item stands for one value of the
     document along the passage), reparameterised (some value differs). A pair is reported if
     containment is at least `similarity` and its slots are consistent. Windows have `words` words; an
-    item with fewer is one window. Items of one template are all reported. Null or empty texts on
-    either side give nothing; repeated rows count once; other columns are ignored.
+    item with fewer is one window. A window also matches by its plain words in any case, and with capitals
+    in doubt as names; a pair that holds without these names is reported so. An item none of
+    whose windows carries a template (numbers, names) is matched by its plain words. Items of one
+    template are all reported. Null or empty texts on either side give nothing; repeated rows count
+    once; other columns are ignored.
 
     The benchmark's window hashes go to every task as a filter while there are at most filter_max,
     checked by a count; beyond it all document windows meet the benchmark's in Spark's join.
@@ -145,6 +186,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     small_batches(spark)
     items = benchmark.select(F.col(item_col).alias("_item"), F.col(text_col).alias("_t"))
     index = windows(items, ["_item"], "_t", list(range(1, words + 1)), whole_only=True).distinct()
+    index = cut(index.join(index.where("not low").select("_item").distinct().withColumn("_any", F.lit(True)), "_item", "left").where("not low or _any is null").drop("_any", "low"))
     lengths = sorted(r[0] for r in index.select("k").distinct().collect()) or [words]
     if index.limit(filter_max + 1).count() <= filter_max:
         hashes = np.array([r[0] for r in index.select("h").distinct().collect()], np.int64).view(np.uint64)
@@ -153,22 +195,28 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         wanted = None
     keyed = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t"), F.xxhash64(text_col).alias("_key"))
     found = windows(keyed, ["_id", "_key"], "_t", lengths, wanted)
-    left = index.select("_item", "k", "h", F.col("pos").alias("ipos"), F.col("slots").alias("islots"))
-    hits = cut(found.select("_id", "_key", "k", "h", "pos", "slots").join(left, ["k", "h"]).distinct())  # read three times below
-    pair = ["_id", "_key", "_item"]
-    size = index.groupBy("_item").agg(F.countDistinct("k", "h").alias("n_windows"))
-    have = hits.groupBy(*pair).agg(F.countDistinct("k", "h").alias("matched")).join(size, "_item").where(F.col("matched") >= similarity * F.col("n_windows"))
+    left = index.select("_item", "k", "h", "w", F.col("how").alias("ihow"), F.col("pos").alias("ipos"), F.col("slots").alias("islots"))
+    met = found.select("_id", "_key", "k", "h", "how", "pos", "slots").join(left, ["k", "h"])
+    best = F.min(F.struct((F.col("how") + F.col("ihow")).alias("how"), "islots", "slots")).alias("best")
+    met = met.groupBy("_id", "_key", "_item", "k", "w", "pos", "ipos").agg(best).select("_id", "_key", "_item", "k", "w", "pos", "ipos", "best.*")
+    tiers = F.when(F.col("how") < DOUBT, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(1)))
+    hits = cut(met.withColumn("tier", F.explode(tiers)))  # read three times below; tier 0 is without words in doubt as names
+    pair = ["_id", "_key", "_item", "tier"]
+    size = index.groupBy("_item").agg(F.countDistinct("k", "w").alias("n_windows"))
+    have = hits.groupBy(*pair).agg(F.countDistinct("k", "w").alias("matched")).join(size, "_item").where(F.col("matched") >= similarity * F.col("n_windows"))
     slot = hits.where(F.size("slots") > 0).select(*pair, (F.col("pos") - F.col("ipos")).alias("off"), F.explode(F.arrays_zip("islots", "slots")).alias("z"))
     per_value = slot.groupBy(*pair, "off", F.col("z.islots").alias("mine")).agg(F.min("z.slots").alias("least"), F.max("z.slots").alias("most"))
     per_passage = per_value.groupBy(*pair, "off").agg(F.count("*").alias("n_slots"), F.sum(F.when(F.col("least") == F.col("most"), 1).otherwise(0)).alias("one"), F.max(F.when(F.col("least") != F.col("mine"), True).otherwise(False)).alias("other"))
     per_pair = per_passage.groupBy(*pair).agg(F.sum("n_slots").alias("n_slots"), F.max(F.col("one") == F.col("n_slots")).alias("slot_consistent"), F.max("other").alias("reparameterised"))
-    null_safe = (F.col("p._id").eqNullSafe(F.col("q._id"))) & (F.col("p._key") == F.col("q._key")) & (F.col("p._item").eqNullSafe(F.col("q._item")))
+    null_safe = (F.col("p._id").eqNullSafe(F.col("q._id"))) & (F.col("p._key") == F.col("q._key")) & (F.col("p._item").eqNullSafe(F.col("q._item"))) & (F.col("p.tier") == F.col("q.tier"))
     out = have.alias("p").join(per_pair.alias("q"), null_safe, "left").select(
-        F.col("p._id").alias(id_col), F.col("p._key").alias("text_key"), F.col("p._item").alias(item_col), "n_windows", "matched",
+        F.col("p.tier").alias("_tier"), F.col("p._id").alias(id_col), F.col("p._key").alias("text_key"), F.col("p._item").alias(item_col), "n_windows", "matched",
         (F.col("matched") / F.col("n_windows")).alias("containment"), F.coalesce("n_slots", F.lit(0)).cast("long").alias("n_slots"),
         F.coalesce("slot_consistent", F.lit(True)).alias("slot_consistent"), F.coalesce("reparameterised", F.lit(False)).alias("reparameterised"),
     )
-    return out.where("slot_consistent")
+    rest = [c for c in out.columns if c not in ("_tier", id_col, "text_key", item_col)]
+    first = F.min(F.struct("_tier", *rest)).alias("first")
+    return out.where("slot_consistent").groupBy(id_col, "text_key", item_col).agg(first).select(id_col, "text_key", item_col, *[F.col(f"first.{c}").alias(c) for c in rest])
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

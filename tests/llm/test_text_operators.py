@@ -141,6 +141,21 @@ def test_keep_one(spark, docs, empty):
     assert simhash.keep_one(empty).count() == 0 and simhash.keep_one(docs).columns == docs.columns
 
 
+def held(spark, texts, items):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    return {(x.doc_id, x.item_id) for x in decontaminate.contaminated(docs, bench).collect()}
+
+
+def test_decontaminate_capitals_in_doubt(spark):
+    items = ["Anna has 5 apples. Anna gives Tom 3 apples. How many apples does Anna have left?", "Name the largest river of Peru today."]
+    texts = [
+        items[0].replace("Anna", "Peter"), items[0].upper(), items[0].lower(), "He said Name the largest river of Peru today. Then he left.",
+        "Peter has 5 apples. Maria gives Tom 3 apples. How many apples does Julia have left?", "Nothing of the kind is in this text, not a single window.",
+    ]
+    assert held(spark, texts, items) == {(0, 0), (1, 0), (2, 0), (3, 1)}
+
+
 def test_keep_one_short_texts(spark):
     rows = [(i, f"w{i} x{i}") for i in range(10_000)] + [(20_000 + i, f"W{i}  x{i}") for i in range(50)]
     got = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string"))
