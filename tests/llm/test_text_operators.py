@@ -156,6 +156,12 @@ def test_decontaminate_capitals_in_doubt(spark):
     assert held(spark, texts, items) == {(0, 0), (1, 0), (2, 0), (3, 1)}
 
 
+def test_decontaminate_items_without_templates(spark):
+    items = ["Compute 12 * 7 - 3", "3 5 7 11 13 17 19 23"]
+    texts = ["We ask: Compute 12 * 7 - 3 and wait", "Compute 12 * 8 - 3", "see 3 5 7 11 13 17 19 23 there", "3 5 7 12 13 17 19 24"]
+    assert held(spark, texts, items) == {(0, 0), (2, 1)}
+
+
 def test_keep_one_short_texts(spark):
     rows = [(i, f"w{i} x{i}") for i in range(10_000)] + [(20_000 + i, f"W{i}  x{i}") for i in range(50)]
     got = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string"))
