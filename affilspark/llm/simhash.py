@@ -7,12 +7,13 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from xxhash import xxh64_intdigest
 
 from affilspark.llm import _words as W
-from affilspark.llm._spark import cut, parts, small, small_batches, table, widen
+from affilspark.llm._spark import cut, parts, small_batches, table, widen
 from affilspark.llm.components import connected_components
 
 #: Most distinct fingerprints of a bucket that one comparison takes; larger buckets are split in pairs of chunks.
@@ -197,10 +198,10 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-#: Bits of a wide fingerprint, of its part that goes along with each block, and the share of pairs at
-#: the least similarity that may share no block.
-WIDE, CHECK, MISSED = 2048, 256, 0.02
-#: Most shingles of a set that is compared by exact prefixes; fingerprints of few shingles are too coarse.
+#: Bits of a wide fingerprint, and how many standard deviations a pair at the least similarity may lie beyond its mean distance.
+WIDE, MARGIN = 256, 5
+CHECKS = [f"c{i}" for i in range(WIDE // 64)]
+#: Most shingles of a set that is compared by its whole prefix; fingerprints of few shingles are too coarse.
 FEW = 32
 
 
@@ -232,7 +233,7 @@ def _set_keys(gram: np.ndarray, edge: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def _wide_fingerprints(gram: np.ndarray, edge: np.ndarray) -> np.ndarray:
-    """WIDE SimHash bits of each row's set of shingles, packed.
+    """WIDE SimHash bits of each row's set of shingles, as a row of longs.
 
     Shingles are hashed with a sign into WIDE sums; a Walsh-Hadamard transform of the sums gives all
     bits at once, each the sign of a random projection. A tie goes by a fixed coin of the bit.
@@ -241,8 +242,8 @@ def _wide_fingerprints(gram: np.ndarray, edge: np.ndarray) -> np.ndarray:
     rows = np.repeat(np.arange(rows_all), np.diff(edge))
     coin = (W.mix(np.arange(WIDE, dtype=np.uint64)) & np.uint64(1)).astype(np.float32) - np.float32(0.5)
     out = np.empty((rows_all, WIDE // 8), np.uint8)
-    for lo in range(0, rows_all, 256):
-        hi = min(lo + 256, rows_all)
+    for lo in range(0, rows_all, 1024):
+        hi = min(lo + 1024, rows_all)
         a, b = edge[lo], edge[hi]
         g = gram[a:b]
         cell = (rows[a:b] - lo) * WIDE + (g % np.uint64(WIDE)).astype(np.int64)
@@ -253,43 +254,61 @@ def _wide_fingerprints(gram: np.ndarray, edge: np.ndarray) -> np.ndarray:
             x = np.stack([x[:, 0] + x[:, 1], x[:, 0] - x[:, 1]], axis=1)
             step *= 2
         out[lo:hi] = np.packbits(x.reshape(hi - lo, WIDE) + coin > 0, axis=1)
-    return out
+    return out.view(np.int64)
 
 
-def _differing(similarity: float) -> float:
-    """The expected share of differing bits of two sets with that Jaccard similarity (and sizes alike)."""
-    return math.acos(2 * similarity / (1 + similarity)) / math.pi
+def _loose(similarity: float) -> int:
+    """A bound on the differing bits of two sets with that Jaccard similarity: the mean and MARGIN standard deviations."""
+    share = math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return int(WIDE * share + MARGIN * math.sqrt(WIDE * share * (1 - share)))
 
 
-def _choices(n: int, similarity: float) -> np.ndarray:
-    """Bit positions of each block: as many bits as keep chance meetings among n fingerprints few, and as many
-    blocks as leave MISSED of the pairs at `similarity` without a common one."""
-    bits = int(np.clip(math.ceil(math.log2(max(n, 2))) - 2, 8, 40))
-    blocks = math.ceil(math.log(MISSED) / math.log(1 - (1 - _differing(similarity)) ** bits))
-    rng = np.random.default_rng(17)
-    return np.stack([rng.choice(WIDE, bits, replace=False) for _ in range(blocks)])
+def _lead(n: np.ndarray, similarity: float) -> np.ndarray:
+    """Of how many of its least shingles a set of n must share one with every set that is alike."""
+    return n - np.ceil(similarity * n - 1e-9).astype(np.int64) + (n > 0)
 
 
-def _blocks_of(choice: np.ndarray):
-    def run(batches):
-        weight = np.int64(1) << np.arange(choice.shape[1], dtype=np.int64)
-        for batch in batches:
-            node, wide = batch.column(0).to_numpy(), np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(-1, WIDE // 8)
-            for lo in range(0, len(node), 256):
-                bits = np.unpackbits(wide[lo : lo + 256], axis=1)
-                key = (bits[:, choice].astype(np.int64) * weight).sum(axis=2)
-                check = np.ascontiguousarray(wide[lo : lo + 256, : CHECK // 8]).view(np.int64)
-                k, m = key.shape[1], len(key)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(node[lo : lo + 256], k)), pa.array(np.tile(np.arange(k, dtype=np.int32), m)), pa.array(key.ravel()), *[pa.array(np.repeat(check[:, i], k)) for i in range(CHECK // 64)]],
-                    names=["node", "t", "key", *[f"c{i}" for i in range(CHECK // 64)]],
-                )
+def _classes(largest: int, similarity: float) -> list[int]:
+    """Sizes at which classes begin: two sets that are alike lie in one class or in neighbouring ones."""
+    edge = [1]
+    while edge[-1] <= largest:
+        edge.append(max(int((edge[-1] - 1) / similarity), edge[-1]) + 1)
+    return [*edge, max(int((edge[-1] - 1) / similarity), edge[-1]) + 1]
 
-    return run
+
+def _part_keys(gram: np.ndarray, edge: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pigeonhole blocks of each row's set: row, kind (1, or 2 for prefixes) and key.
+
+    The hash range is cut in more parts than two alike sets of a size class can differ in shingles, so
+    some part agrees; its shingles and the class are the key. A set serves its class and the next. Empty parts give
+    no key; a set with too few others for the guarantee also gives its prefix, where any two such sets meet.
+    """
+    n = np.diff(edge)
+    start = np.array(_classes(int(n.max(initial=1)), similarity))
+    own = np.searchsorted(start, n, "right") - 1
+    total = np.r_[np.zeros(1, np.uint64), np.cumsum(W.mix(gram))]
+    rows, kinds, keys = [], [], []
+    for level in (own, own + 1):
+        differ = ((1 - similarity) / (1 + similarity) * 2 * (start[level + 1] - 1) + 1e-9).astype(np.int64)
+        m = differ + differ // 4 + 2
+        row = np.repeat(np.arange(len(n)), n)
+        part = (((gram >> np.uint64(32)) * m[row].astype(np.uint64)) >> np.uint64(32)).astype(np.int64)
+        begin = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (part[1:] != part[:-1])][: len(row)])
+        end = np.r_[begin[1:], len(row)][: len(begin)]
+        place = W.mix((level[row[begin]] << 32).astype(np.uint64) + part[begin].astype(np.uint64))
+        rows.append(row[begin])
+        kinds.append(np.ones(len(begin), np.int32))
+        keys.append(W.mix((total[end] - total[begin]) ^ place))
+        poor = np.flatnonzero(np.bincount(row[begin], minlength=len(n)) <= differ)
+        lead = _lead(n[poor], similarity)
+        rows.append(np.repeat(poor, lead))
+        kinds.append(np.full(lead.sum(), 2, np.int32))
+        keys.append(gram[np.repeat(edge[poor] - np.cumsum(lead) + lead, lead) + np.arange(lead.sum())] if len(poor) else gram[:0])
+    return np.concatenate(rows), np.concatenate(kinds), np.concatenate(keys)
 
 
 def _compare_wide(most: int):
-    n_check = CHECK // 64
+    n_check = len(CHECKS)
 
     def run(batches):
         held = None
@@ -373,27 +392,49 @@ def _dealt(keyed: DataFrame, sizes: DataFrame, bucket: int) -> DataFrame:
     """
     rest = [c for c in keyed.columns if c not in ("t", "key")]
     hot = sizes.groupBy("t", "key").count().where(F.col("count") > bucket).select("t", "key", F.ceil(F.col("count") / bucket).cast("int").alias("chunks"))
-    dealt = keyed.join(small(cut(hot), 1_000_000), ["t", "key"], "left").withColumn("c", F.when(F.col("chunks").isNotNull(), F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")).otherwise(0))
+    dealt = keyed.join(hot, ["t", "key"], "left").withColumn("c", F.when(F.col("chunks").isNotNull(), F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")).otherwise(0))
     dealt = dealt.withColumn("d", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("chunks"), F.lit(1)) - 1)))
     dealt = dealt.select(*rest, "t", "key", F.least("c", "d").alias("x"), F.greatest("c", "d").alias("y"))
     return dealt.repartition(parts(keyed.sparkSession), "t", "key", "x", "y").sortWithinPartitions("t", "key", "x", "y", "node")
 
 
-def similar_links(nodes: DataFrame, similarity: float = 0.8, bucket: int = BUCKET) -> DataFrame:
-    """Edges (a, b) that span the candidate pairs of nodes(node, wide): those that share a block and are within a loose bound.
+def _set_parts(similarity: float, words: int):
+    """Rows node, text, ... to node, t and key of the blocks of the text's set."""
+
+    def run(batches):
+        for batch in batches:
+            for lo, _, data, offsets in W.blocks(batch.column(1)):
+                row, kind, key = _part_keys(*_shingles(data, offsets, words), similarity)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row + lo)), pa.array(kind), pa.array(key.view(np.int64))], names=["node", "t", "key"])
+
+    return run
 
-    Pigeonhole blocks of wide fingerprints meet on (block, bits); hot buckets are split in pairs of hashed
-    chunks. A bucket emits a spanning forest of all its pairs within the mean and 4 standard
-    deviations of the bits that `similarity` leaves different, so edges are linear in the rows and
-    each pair lies in one component. alike_links() then decides.
+
+def similar_links(nodes: DataFrame, texts_of, similarity: float = 0.8, bucket: int = BUCKET, words: int = 5) -> DataFrame:
+    """Edges (a, b) that span the candidate pairs of nodes(node, lead, c0, ...): those that share a block and are within a loose bound.
+
+    Any two alike sets share one of their `lead` least shingles, so these are the blocks that they meet on.
+    A shingle that more than `bucket` nodes lead with is no block: its nodes meet on parts of their
+    sets instead (see _part_keys; texts_of gives the texts of a table of nodes), as a passage that many
+    texts hold seldom fills a part alone. Blocks that are still larger meet as pairs of
+    hashed chunks. A block emits a spanning forest of all its pairs within _loose() differing bits, so edges are
+    linear in the rows and each pair lies in one component. alike_links() then decides.
     """
-    choice = _choices(nodes.count(), similarity)
-    checks = [f"c{i}" for i in range(CHECK // 64)]
-    keyed = nodes.select("node", "wide").mapInArrow(_blocks_of(choice), "node long, t int, key long, " + ", ".join(f"{c} long" for c in checks))
-    dealt = _dealt(keyed.select("node", *checks, "t", "key"), keyed, bucket)
-    share = _differing(similarity)
-    loose = CHECK * share + 4 * math.sqrt(CHECK * share * (1 - share))
-    return dealt.mapInArrow(_compare_wide(int(loose)), "a long, b long").distinct()
+    keyed = nodes.select("node", F.explode("lead").alias("key"))
+    counts = cut(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
+    met = keyed.join(counts, "key")
+    bits = nodes.select("node", *CHECKS)
+    compare = _compare_wide(_loose(similarity))
+    cold = met.where(F.col("n") <= bucket).select("node", F.lit(0).alias("t"), "key").join(bits, "node")
+    cold = cold.select("node", *CHECKS, "t", "key", F.lit(0).alias("x"), F.lit(0).alias("y")).repartition(parts(nodes.sparkSession), "key").sortWithinPartitions("key", "node")
+    found = cold.mapInArrow(compare, "a long, b long")
+    if counts.where(F.col("n") > bucket).limit(1).count():
+        crowd = met.where(F.col("n") > bucket).select("node").distinct()
+        block = cut(texts_of(crowd).mapInArrow(_set_parts(similarity, words), "node long, t int, key long").distinct())
+        often = block.groupBy("t", "key").count().where("count > 1").select("t", "key")
+        block = block.join(often, ["t", "key"]).join(bits, "node").select("node", *CHECKS, "t", "key")
+        found = found.unionByName(_dealt(block, block, bucket).mapInArrow(compare, "a long, b long"))
+    return found.distinct()
 
 
 def alike_links(sets: DataFrame, groups: DataFrame, similarity: float = 0.8, bucket: int = BUCKET) -> DataFrame:
@@ -411,7 +452,7 @@ def _prefixes(similarity: float):
         for batch in batches:
             node, sets = batch.column(0).to_numpy(), batch.column(1).to_pylist()
             n = np.array([len(x) // 8 for x in sets], np.int64)
-            take = n - np.ceil(similarity * n - 1e-9).astype(np.int64) + 1
+            take = _lead(n, similarity)
             key = [np.frombuffer(x, np.int64)[:k] for x, k in zip(sets, take.tolist(), strict=True)]
             at = np.repeat(np.arange(len(n)), take)
             yield pa.RecordBatch.from_arrays([pa.array(node[at]), batch.column(1).take(pa.array(at)), pa.array(np.zeros(len(at), np.int32)), pa.array(np.concatenate([np.zeros(0, np.int64), *key]))], names=["node", "set", "t", "key"])
@@ -419,34 +460,43 @@ def _prefixes(similarity: float):
     return run
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8, bucket: int = BUCKET) -> DataFrame:
     """One row of docs for each group of near duplicates: that of the group's smallest id.
 
     Near duplicates have shingle sets (A-Z lowered, `words` words; fewer words are one shingle) of
     Jaccard similarity of `similarity` or more, or are linked by such. 64 bits within 4 of each
     other, as near_duplicates() has, would find a fifth of them. Equal sets are found by a 128-bit
-    hash; pairs of up to FEW shingles share one of their least shingles; others are candidates by
-    wide fingerprints. All are decided on the sets. Texts without words are one group.
-    Null ids come last; of rows that share the id the one whose text has the least hash stays, and of
-    equal rows one. docs must give its rows in the same partitions when it is read twice, as files do.
+    hash; pairs of up to FEW shingles share one of their least shingles; others share a pigeonhole block of
+    their sets and are candidates by SimHash distance. All are decided on the sets. Null texts and
+    texts without words are one group. Very long texts are treated as others. Null ids come last; of rows that share
+    the id the one whose text has the least hash stays, and of equal rows one. Columns
+    may have any names and pass as they are; an empty table gives no rows.
     """
     small_batches(docs.sparkSession)
-    marked = docs.withColumn("_uid", F.monotonically_increasing_id())
-    plain = marked.select("_uid", F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("_tie"), F.col(text_col).alias("_text"))
+    marked = docs.toDF(*[f"u{i}" for i in range(len(docs.columns))])
+    own = dict(zip(docs.columns, marked.columns, strict=True))
+    key = [F.xxhash64(F.lit(i), own[id_col], own[text_col]).alias(f"k{i}") for i in (1, 2)]
+    marked = marked.select("*", *key)
+    plain = marked.select("k1", "k2", F.col(own[id_col]).alias("id"), F.xxhash64(own[text_col]).alias("tie"), F.col(own[text_col]).alias("text"))
+    low = int(FEW * similarity)
 
     def run(batches):
         for batch in batches:
-            one, two, n, wide, few = [], [], [], [], []
-            for _, _, data, offsets in W.blocks(batch.column(3)):
+            one, two, n, wide, few, lead = [], [], [], [], [], []
+            for _, _, data, offsets in W.blocks(batch.column(4)):
                 gram, edge = _shingles(data, offsets, words)
-                for out, x in zip((one, two, n), (*_set_keys(gram, edge), np.diff(edge)), strict=True):
+                size = np.diff(edge)
+                for out, x in zip((one, two, n, wide), (*_set_keys(gram, edge), size, _wide_fingerprints(gram, edge)), strict=True):
                     out.append(x)
-                wide += [w.tobytes() for w in _wide_fingerprints(gram, edge)]
                 few += [gram[a:b].tobytes() if b - a <= FEW else None for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True)]
+                take = np.where(size >= low, _lead(size, similarity), 0)
+                at = np.repeat(edge[:-1] - np.cumsum(take) + take, take) + np.arange(take.sum())
+                lead.append(pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(take)].astype(np.int32)), pa.array(gram[at].view(np.int64))))
             if not n:
                 continue
-            columns = [*batch.columns[:3], *[pa.array(np.concatenate(x)) for x in (one, two)], pa.array(np.concatenate(n).astype(np.int64)), pa.array(wide, pa.binary()), pa.array(few, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["_uid", "_id", "_tie", "one", "two", "n", "wide", "few"])
+            bits = np.concatenate(wide)
+            columns = [*batch.columns[:4], *[pa.array(np.concatenate(x)) for x in (one, two)], pa.array(np.concatenate(n).astype(np.int64)), pa.array(few, pa.binary()), pa.concat_arrays(lead), *[pa.array(np.ascontiguousarray(bits[:, i])) for i in range(len(CHECKS))]]
+            yield pa.RecordBatch.from_arrays(columns, names=["k1", "k2", "id", "tie", "one", "two", "n", "few", "lead", *CHECKS])
 
     def sets_of(batches):
         for batch in batches:
@@ -456,15 +506,28 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
                 sets += [gram[a:b].tobytes() for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary()), *batch.columns[2:]], names=["node", "set", "t", "key"])
 
-    rows = plain.mapInArrow(run, widen(plain.select("_uid", "_id", "_tie"), one="long", two="long", n="long", wide="binary", few="binary"))
-    order = F.struct(F.col("_id").isNull().alias("no"), F.col("_id"), F.col("_tie"), F.col("_uid"))
-    kept = [F.first(c).alias(c) for c in ("n", "wide", "few")]
-    nodes = cut(rows.groupBy("one", "two").agg(F.min("_uid").alias("node"), F.min(order).alias("first"), *kept))
+    more = {c: "long" for c in ("one", "two", "n")} | {"few": "binary", "lead": "array<long>"} | {c: "long" for c in CHECKS}
+    rows = plain.mapInArrow(run, widen(plain.drop("text"), **more))
+    order = F.struct(F.col("id").isNull().alias("no"), "id", "tie", "k1", "k2")
+    kept = [F.first(c).alias(c) for c in ("n", "few", "lead", *CHECKS)]
+    nodes = cut(rows.groupBy("one", "two").agg(F.min(order).alias("first"), *kept).withColumn("node", F.monotonically_increasing_id()))
+
+    def texts_of(some: DataFrame) -> DataFrame:
+        named = some.join(nodes.select("node", "first.k1", "first.k2"), "node")
+        return plain.select("k1", "k2", "text").join(named, ["k1", "k2"]).select("node", "text", *[c for c in some.columns if c != "node"])
+
     short = nodes.where((F.col("n") > 0) & F.col("few").isNotNull()).select("node", "few").mapInArrow(_prefixes(similarity), "node long, set binary, t int, key long")
-    found = alike_links(short, short.select("t", "key"), similarity)
-    near = connected_components(similar_links(nodes.where(F.col("n") >= int(FEW * similarity)), similarity)).select(F.col("a").alias("_uid"), F.lit(0).alias("t"), F.col("root").alias("key"))
-    texts = marked.select("_uid", F.col(text_col).alias("_text")).join(small(near, 1_000_000), "_uid").select("_uid", "_text", "t", "key")
-    found = found.unionByName(alike_links(texts.mapInArrow(sets_of, "node long, set binary, t int, key long"), near, similarity))
+    found = alike_links(short, short.select("t", "key"), similarity, bucket)
+    near = similar_links(nodes.where(F.col("n") >= low), texts_of, similarity, bucket, words)
+    near = connected_components(near).select(F.col("a").alias("node"), F.lit(0).alias("t"), F.col("root").alias("key"))
+    found = found.unionByName(alike_links(texts_of(near).mapInArrow(sets_of, "node long, set binary, t int, key long"), near, similarity, bucket))
     roots = connected_components(found).withColumnRenamed("a", "node")
     first = nodes.select("node", "first").join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("first").alias("m"))
-    return marked.join(first.select(F.col("m._uid").alias("_uid")), "_uid", "left_semi").drop("_uid")
+    out = marked.join(first.select("m.k1", "m.k2"), ["k1", "k2"], "left_semi")
+    again = plain.groupBy("k1", "k2").count().where("count > 1").select("k1", "k2")
+    if again.limit(1).count():  # rows that agree in id and text: the first by their other columns stays
+        rest = [c for c in marked.columns if c not in ("k1", "k2", own[text_col]) and not isinstance(marked.schema[c].dataType, (T.MapType, T.VariantType))]
+        place = F.row_number().over(Window.partitionBy("k1", "k2").orderBy(F.xxhash64(*rest)))
+        twice = out.join(again, ["k1", "k2"], "left_semi").withColumn("place", place).where("place = 1").drop("place")
+        out = out.join(again, ["k1", "k2"], "left_anti").unionByName(twice)
+    return out.drop("k1", "k2").toDF(*docs.columns)
