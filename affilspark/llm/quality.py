@@ -13,7 +13,7 @@ from affilspark.llm import svm
 from affilspark.llm._spark import fold, small, small_batches, table, widen
 
 #: Size of the hashed feature space and most training documents of a label.
-DIMENSIONS, PER_LABEL = 1 << 15, 1500
+DIMENSIONS, PER_LABEL = 1 << 18, 1500
 THRESHOLD = 0.3
 
 # shape of a word: case (none, lower, upper, title or mixed) and kind of its last byte
@@ -30,19 +30,27 @@ def _shapes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarra
 def features(data: np.ndarray, offsets: np.ndarray, size: int = DIMENSIONS) -> list[np.ndarray]:
     """The n-gram indicators of each row, as sorted indices below size.
 
-    n-grams: words of up to 3 bytes with their case, pairs of words' shapes, whether a word repeats
-    one of the three before it, and byte 3-grams around punctuation. An n-gram's share of the text,
-    in steps of four, is part of the indicator, so that a long text differs from a long junk one.
+    n-grams: words (A-Z lowered) and pairs of neighbours; and of how a text is written: words of up to 3 bytes
+    with their case, pairs of words' shapes, whether a word repeats one of the three before it, and
+    byte 3-grams around punctuation. The latter's share of the text, in steps of four, is part of the
+    indicator, so that a long text differs from a long junk one.
     """
     starts, ends, first = W.spans(data, offsets)
     if not len(starts):
         return [np.zeros(1, np.int64) for _ in range(len(offsets) - 1)]
     h, shape = W.hashes(data, starts, ends), _shapes(data, starts, ends).astype(np.uint64)
+    word = W.hashes(W.LOWER[data], starts, ends)
+    after, follows = np.r_[shape[1:], shape[:1]], np.r_[word[1:], word[:1]]
+    last = first[1:][np.diff(first) > 0] - 1
+    after[last], follows[last] = 0, 0  # a text's last word has no neighbour
+    single = W.mix(word + np.uint64(8 << 40))
+    double = W.mix(word * W.BASE + follows + np.uint64(9 << 40))
     short = np.where(ends - starts <= 3, h, np.uint64(1) + shape)
-    pair = W.mix(shape * np.uint64(4096) + np.r_[shape[1:], 0].astype(np.uint64) + np.uint64(1 << 40))
+    pair = W.mix(shape * np.uint64(4096) + after + np.uint64(1 << 40))
     again = np.zeros(len(h), bool)
+    place = np.arange(len(h)) - np.repeat(first[:-1], np.diff(first))
     for k in (1, 2, 3):
-        again[k:] |= h[k:] == h[:-k]
+        again[k:] |= (h[k:] == h[:-k]) & (place[k:] >= k)
     again = W.mix(again.astype(np.uint64) + np.uint64(2 << 40))
     tail = np.maximum(ends - 3, starts)
     edge = np.where(_PUNCT[data[ends - 1]], W.mix(W.hashes(data, tail, ends) + np.uint64(3)), np.uint64(5) << np.uint64(40))
@@ -52,7 +60,7 @@ def features(data: np.ndarray, offsets: np.ndarray, size: int = DIMENSIONS) -> l
         got, n = np.unique(grams[:, a:b], return_counts=True)
         level = np.floor(np.log(n / max(b - a, 1) + 1e-9) / np.log(4)).astype(np.int64)
         length = np.array([min(int(np.log2(b - a + 1)), 12)], np.uint64) + np.uint64(7 << 40)
-        keys = np.concatenate([W.mix(got + (level + 64).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), W.mix(got), W.mix(length)])
+        keys = np.concatenate([W.mix(got + (level + 64).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), W.mix(got), W.mix(length), single[a:b], double[a:b]])
         out.append(np.unique((keys >> np.uint64(20)) % np.uint64(size)).astype(np.int64))
     return out
 
