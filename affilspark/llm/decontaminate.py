@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from affilspark.llm import _words as W
@@ -166,57 +166,84 @@ def windows(df: DataFrame, keys: list[str], text_col: str, lengths: list[int], w
     return df.select(*keys, text_col).where(F.col(text_col).isNotNull()).mapInArrow(run, schema)
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", words: int = 5, similarity: float = 0.8, filter_max: int = FILTER_MAX) -> DataFrame:
-    """Pairs of a document and a benchmark item whose template it holds.
+def _filter(index: DataFrame, most: int):
+    """A broadcast of the index's sorted window hashes if a count finds at most `most` of its rows (8 bytes each), else None."""
+    if index.limit(most + 1).count() > most:
+        return None
+    hashes = index.select("h").distinct().toArrow().column(0).to_numpy().view(np.uint64)
+    return index.sparkSession.sparkContext.broadcast(np.sort(hashes))
+
+
+def _candidates(found: DataFrame, index: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (k1, k2, item) that share one of the item's least frequent windows.
+
+    A pair that holds `similarity` of an item's n windows holds one of any n - ceil(similarity n) + 1 of
+    them. With the rarest ones a stock phrase of many items and documents makes no pairs.
+    """
+    often = found.groupBy("k", "h").agg(F.count("*").alias("n"))
+    each = index.select("item", "k", "h", "w").join(often, ["k", "h"], "left").groupBy("item", "k", "w").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+    place = F.row_number().over(Window.partitionBy("item").orderBy("n", "k", "w"))
+    whole = F.count("*").over(Window.partitionBy("item"))
+    rare = each.withColumn("place", place).withColumn("whole", whole).where(F.col("place") <= F.col("whole") - F.ceil(similarity * F.col("whole") - 1e-9) + 1)
+    lead = index.select("item", "k", "h", "w").join(rare.select("item", "k", "w"), ["item", "k", "w"]).select("item", "k", "h")
+    return found.select("k1", "k2", "k", "h").join(lead, ["k", "h"]).select("k1", "k2", "item").distinct()
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", words: int = 5, similarity: float = 0.8, drift: int = 64, filter_max: int = FILTER_MAX) -> DataFrame:
+    """Pairs of a document and a benchmark item whose template one of its passages holds.
 
     Rows: id, text_key (a hash of the text), item, n_windows (the item's distinct template windows),
-    matched, containment, n_slots, slot_consistent (each value of the item stands for one value of the
-    document along the passage), reparameterised (some value differs). A pair is reported if
-    containment is at least `similarity` and its slots are consistent. Windows have `words` words; an
-    item with fewer is one window. A window also matches by its plain words in any case, and with capitals
-    in doubt as names; a pair that holds without these names is reported so. An item none of
-    whose windows carries a template (numbers, names) is matched by its plain words. Items of one
-    template are all reported. Null or empty texts on either side give nothing; repeated rows count
-    once; other columns are ignored.
+    matched, containment, n_slots, slot_consistent, reparameterised (some value differs). A passage is what
+    matches at offsets (place in the document less place in the item) up to `drift` words apart, for each
+    place of the item the match nearest to the passage's main offset, or what matches at the main
+    offset alone. A pair is reported if a passage holds `similarity` of the item's windows and each value of
+    the item stands for one value in it; the best such passage is the one described.
+
+    Windows have `words` words; an item with fewer is one window. A window also matches by its plain words in
+    any case, and with capitals in doubt as names; a pair that holds without these names is reported
+    so. An item none of whose windows carries a template (numbers, names) is matched by its plain words.
+    Items of one template are all reported. Null or empty texts on either side give nothing; very long
+    texts are searched whole; null ids are ids; repeated rows count once; other columns are ignored; an empty
+    table on either side gives no rows.
 
     The benchmark's window hashes go to every task as a filter while there are at most filter_max,
     checked by a count; beyond it all document windows meet the benchmark's in Spark's join.
     """
-    spark = docs.sparkSession
-    small_batches(spark)
-    items = benchmark.select(F.col(item_col).alias("_item"), F.col(text_col).alias("_t"))
-    index = windows(items, ["_item"], "_t", list(range(1, words + 1)), whole_only=True).distinct()
-    index = cut(index.join(index.where("not low").select("_item").distinct().withColumn("_any", F.lit(True)), "_item", "left").where("not low or _any is null").drop("_any", "low"))
+    small_batches(docs.sparkSession)
+    items = benchmark.select(F.xxhash64(F.col(item_col), F.col(text_col)).alias("item"), F.col(item_col).alias("item_id"), F.col(text_col).alias("text"))
+    index = windows(items, ["item", "item_id"], "text", list(range(1, words + 1)), whole_only=True).distinct()
+    index = cut(index.join(index.where("not low").select("item").distinct().withColumn("any", F.lit(True)), "item", "left").where("not low or any is null").drop("any", "low"))
     lengths = sorted(r[0] for r in index.select("k").distinct().collect()) or [words]
-    if index.limit(filter_max + 1).count() <= filter_max:
-        hashes = np.array([r[0] for r in index.select("h").distinct().collect()], np.int64).view(np.uint64)
-        wanted = spark.sparkContext.broadcast(np.sort(hashes))
-    else:
-        wanted = None
-    keyed = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_t"), F.xxhash64(text_col).alias("_key"))
-    found = windows(keyed, ["_id", "_key"], "_t", lengths, wanted)
-    left = index.select("_item", "k", "h", "w", F.col("how").alias("ihow"), F.col("pos").alias("ipos"), F.col("slots").alias("islots"))
-    met = found.select("_id", "_key", "k", "h", "how", "pos", "slots").join(left, ["k", "h"])
+    key = [F.xxhash64(F.lit(i), F.col(id_col), F.col(text_col)).alias(f"k{i}") for i in (1, 2)]
+    keyed = docs.select(*key, F.col(id_col).alias("id"), F.xxhash64(text_col).alias("key"), F.col(text_col).alias("text"))
+    found = cut(windows(keyed, ["k1", "k2", "id", "key"], "text", lengths, _filter(index, filter_max)))
+    pairs = _candidates(found, index, similarity)
+    left = index.select("item", "k", "h", "w", F.col("how").alias("ihow"), F.col("pos").alias("ipos"), F.col("slots").alias("islots"))
+    met = found.select("k1", "k2", "k", "h", "how", "pos", "slots").join(pairs, ["k1", "k2"]).join(left, ["item", "k", "h"])
     best = F.min(F.struct((F.col("how") + F.col("ihow")).alias("how"), "islots", "slots")).alias("best")
-    met = met.groupBy("_id", "_key", "_item", "k", "w", "pos", "ipos").agg(best).select("_id", "_key", "_item", "k", "w", "pos", "ipos", "best.*")
-    tiers = F.when(F.col("how") < DOUBT, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(1)))
-    hits = cut(met.withColumn("tier", F.explode(tiers)))  # read three times below; tier 0 is without words in doubt as names
-    pair = ["_id", "_key", "_item", "tier"]
-    size = index.groupBy("_item").agg(F.countDistinct("k", "w").alias("n_windows"))
-    have = hits.groupBy(*pair).agg(F.countDistinct("k", "w").alias("matched")).join(size, "_item").where(F.col("matched") >= similarity * F.col("n_windows"))
-    slot = hits.where(F.size("slots") > 0).select(*pair, (F.col("pos") - F.col("ipos")).alias("off"), F.explode(F.arrays_zip("islots", "slots")).alias("z"))
-    per_value = slot.groupBy(*pair, "off", F.col("z.islots").alias("mine")).agg(F.min("z.slots").alias("least"), F.max("z.slots").alias("most"))
-    per_passage = per_value.groupBy(*pair, "off").agg(F.count("*").alias("n_slots"), F.sum(F.when(F.col("least") == F.col("most"), 1).otherwise(0)).alias("one"), F.max(F.when(F.col("least") != F.col("mine"), True).otherwise(False)).alias("other"))
-    per_pair = per_passage.groupBy(*pair).agg(F.sum("n_slots").alias("n_slots"), F.max(F.col("one") == F.col("n_slots")).alias("slot_consistent"), F.max("other").alias("reparameterised"))
-    null_safe = (F.col("p._id").eqNullSafe(F.col("q._id"))) & (F.col("p._key") == F.col("q._key")) & (F.col("p._item").eqNullSafe(F.col("q._item"))) & (F.col("p.tier") == F.col("q.tier"))
-    out = have.alias("p").join(per_pair.alias("q"), null_safe, "left").select(
-        F.col("p.tier").alias("_tier"), F.col("p._id").alias(id_col), F.col("p._key").alias("text_key"), F.col("p._item").alias(item_col), "n_windows", "matched",
-        (F.col("matched") / F.col("n_windows")).alias("containment"), F.coalesce("n_slots", F.lit(0)).cast("long").alias("n_slots"),
-        F.coalesce("slot_consistent", F.lit(True)).alias("slot_consistent"), F.coalesce("reparameterised", F.lit(False)).alias("reparameterised"),
-    )
-    rest = [c for c in out.columns if c not in ("_tier", id_col, "text_key", item_col)]
-    first = F.min(F.struct("_tier", *rest)).alias("first")
-    return out.where("slot_consistent").groupBy(id_col, "text_key", item_col).agg(first).select(id_col, "text_key", item_col, *[F.col(f"first.{c}").alias(c) for c in rest])
+    met = met.groupBy("k1", "k2", "item", "k", "w", "pos", "ipos").agg(best).select("k1", "k2", "item", "k", "w", "pos", "ipos", "best.*")
+    tiers = F.when(F.col("how") < DOUBT, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(1)))  # tier 0 is without words in doubt as names
+    off = F.col("pos") - F.col("ipos")
+    bands = F.array(F.floor(off / (2 * drift)) * 2, F.floor((off + drift) / (2 * drift)) * 2 + 1)  # two offsets up to drift apart share one
+    hits = cut(met.withColumn("off", off).withColumn("band", F.explode(bands)).withColumn("tier", F.explode(tiers)))
+    band = ["k1", "k2", "item", "tier", "band"]
+    main = hits.groupBy(*band, "off").agg(F.countDistinct("k", "w").alias("n")).groupBy(*band).agg(F.max(F.struct("n", (-F.col("off")).alias("off"))).alias("m")).select(*band, (-F.col("m.off")).alias("main"))
+    away = F.abs(F.col("off") - F.col("main"))
+    near = hits.join(main, band).groupBy(*band, "k", "w", "ipos").agg(F.min(F.struct(away.alias("away"), "off", "islots", "slots")).alias("hit")).select(*band, "k", "w", "hit.*")
+    near = near.withColumn("only", F.explode(F.when(F.col("away") == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(1)))))
+    passage = [*band, "only"]
+    size = index.groupBy("item").agg(F.countDistinct("k", "w").alias("n_windows"), F.first("item_id").alias("item_id"))
+    have = near.groupBy(*passage).agg(F.countDistinct("k", "w").alias("matched")).join(size, "item").where(F.col("matched") >= similarity * F.col("n_windows"))
+    slot = near.where(F.size("slots") > 0).select(*passage, F.explode(F.arrays_zip("islots", "slots")).alias("z"))
+    value = slot.groupBy(*passage, F.col("z.islots").alias("mine")).agg(F.min("z.slots").alias("least"), F.max("z.slots").alias("most"))
+    slots = value.groupBy(*passage).agg(F.count("*").alias("n_slots"), F.min(F.col("least") == F.col("most")).alias("one"), F.max(F.col("least") != F.col("mine")).alias("other"))
+    held = have.join(slots, passage, "left").where(F.coalesce("one", F.lit(True)))
+    rest = {"n_windows": F.col("n_windows"), "matched": F.col("matched"), "containment": F.col("matched") / F.col("n_windows"), "n_slots": F.coalesce("n_slots", F.lit(0)).cast("long"), "slot_consistent": F.lit(True), "reparameterised": F.coalesce("other", F.lit(False))}
+    first = F.min(F.struct("tier", (-F.col("matched")).alias("less"), *[c.alias(n) for n, c in rest.items()])).alias("first")
+    named = found.groupBy("k1", "k2").agg(F.first("id").alias("id"), F.first("key").alias("key"))
+    out = held.groupBy("k1", "k2", "item", "item_id").agg(first).join(named, ["k1", "k2"])
+    out = out.groupBy(F.col("id").alias(id_col), F.col("key").alias("text_key"), F.col("item_id").alias(item_col)).agg(F.min("first").alias("first"))
+    return out.select(id_col, "text_key", item_col, *[F.col(f"first.{n}").alias(n) for n in rest])
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -224,6 +251,8 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """docs without the rows that hold a benchmark item; null texts stay."""
-    bad = contaminated(docs, benchmark, id_col, text_col, **options).select(F.col(id_col).alias("_bad"), "text_key").distinct()
-    return docs.join(bad, docs[id_col].eqNullSafe(bad["_bad"]) & (F.xxhash64(docs[text_col]) == bad["text_key"]), "left_anti")
+    """docs without the rows that hold a benchmark item; null texts stay, and columns of any name pass."""
+    bad = contaminated(docs, benchmark, id_col, text_col, **options).select(id_col, "text_key").distinct().toDF("bad", "text_key")
+    own = docs.toDF(*[f"u{i}" for i in range(len(docs.columns))])
+    the_id, text = (own[f"u{docs.columns.index(c)}"] for c in (id_col, text_col))
+    return own.join(bad, the_id.eqNullSafe(bad["bad"]) & (F.xxhash64(text) == bad["text_key"]), "left_anti").toDF(*docs.columns)

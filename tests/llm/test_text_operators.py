@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from affilspark.llm import chat, decontaminate, hmm, language, mixing, quality, simhash, substrings, tokens
+from affilspark.llm import chat, decontaminate, hmm, language, mixing, quality, simhash, substrings, svm, tokens
 from affilspark.llm.automaton import SuffixAutomaton, spans
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, groups long, score double, label int"
@@ -162,6 +162,31 @@ def test_decontaminate_items_without_templates(spark):
     assert held(spark, texts, items) == {(0, 0), (2, 1)}
 
 
+def test_decontaminate_by_passage(spark):
+    item = "The train leaves Bonn at 5 and covers 120 km in 2 hours . How far does the train go in 5 minutes if it keeps the pace ?"
+    broken = item.replace("at 5", "at 7")  # 5 stands for 7 and for 5
+    fill = " ".join(f"word{i}" for i in range(300))
+    middle = item.split()
+    texts = [
+        broken, broken + " leaves Bonn at 5 and", "how far does the train go in 5 " + fill + " " + broken, broken + " then the train go in 5 minutes if it goes",
+        " ".join(middle[:12]) + " " + fill + " " + " ".join(middle[12:]),  # two halves far apart are no passage
+        " ".join([*middle[:13], "and", "more", *middle[13:]]), item.replace("5", "8") + " " + broken, fill,
+    ]
+    assert held(spark, texts, [item]) == {(5, 0), (6, 0)}
+
+
+def test_decontaminate_stock_phrases(spark):
+    stock = "choose the right answer from the list below and explain it in two full sentences please"
+    items = [f"{stock} question{i} alpha{i} beta{i} gamma{i} delta{i} epsilon{i} zeta{i} eta{i} theta{i} iota{i} kappa{i} lambda{i}" for i in range(40)]
+    texts = [stock] * 3 + [f"see {items[k]} there" for k in (3, 17)]
+    assert held(spark, texts, items) == {(3, 3), (4, 17)}
+    twice = spark.createDataFrame([(None, items[5], 1), (None, items[5], 2)], "item_id long, text string, h int")
+    docs = spark.createDataFrame([(None, items[5]), (None, items[5]), (1, "x")], "doc_id long, text string").selectExpr("*", "1 as k1", "2 as bad", "3 as text_key", "4 as u0")
+    assert decontaminate.contaminated(docs, twice).count() == 1
+    kept = decontaminate.drop_contaminated(docs, twice)
+    assert kept.columns == docs.columns and [r.doc_id for r in kept.collect()] == [1]
+
+
 def test_keep_one_short_texts(spark):
     rows = [(i, f"w{i} x{i}") for i in range(10_000)] + [(20_000 + i, f"W{i}  x{i}") for i in range(50)]
     got = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string"))
@@ -299,6 +324,39 @@ def test_quality(spark, empty):
     assert quality.score(table, quality.train(empty)).select("score").distinct().count() == 1
 
 
+def test_quality_sees_words(spark):
+    r = random.Random(7)
+    words_of = [["".join(r.choice("abcdefghij") for _ in range(8)) for _ in range(400)] for _ in range(2)]
+    rows = [(i, " ".join(r.choice(words_of[i % 2]) for _ in range(30)), i % 2) for i in range(400)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, label int")
+    got = quality.score(table.where("doc_id >= 300"), quality.train(table.where("doc_id < 300"))).collect()
+    assert np.mean([(g.score >= 0.5) == bool(g.label) for g in got]) >= 0.95
+
+
+def test_quality_features_of_a_row_do_not_depend_on_its_neighbours():
+    texts = ["A small text, here.", "", "here HERE here", "x"]
+    block = lambda t: quality.features(np.frombuffer("".join(t).encode(), np.uint8), np.cumsum([0, *[len(x) for x in t]]))
+    for t, got in zip(texts, block(texts), strict=True):
+        if t:
+            assert (got == block([t])[0]).all()
+
+
+def test_svm_meets_the_optimality_conditions_of_its_dual():
+    rng = np.random.default_rng(3)
+    x, c = rng.normal(size=(80, 6)), 0.7
+    y = np.where(x[:, 0] + 0.8 * rng.normal(size=80) > 0, 1.0, -1.0)
+    rows = [(np.arange(6), v) for v in x]
+    w = svm.fit(rows, 6, y, c, epochs=3000, tol=1e-9)
+    margin = y * (np.c_[x, np.ones(80)] @ w)
+    free = np.c_[x, np.ones(80)][np.abs(margin - 1) < 1e-5] * y[np.abs(margin - 1) < 1e-5, None]
+    inside = c * (np.c_[x, np.ones(80)] * y[:, None])[margin < 1 - 1e-5].sum(axis=0)
+    alpha = np.linalg.lstsq(free.T, w - inside, rcond=None)[0]  # w is the sum of alpha y x: c below the margin, 0 above it
+    assert np.allclose(free.T @ alpha + inside, w, atol=1e-5) and (alpha > -1e-4).all() and (alpha < c + 1e-4).all()
+    a, b = svm.platt(svm.margins(rows, w), y)
+    p = 1 / (1 + np.exp(-(a * svm.margins(rows, w) + b)))
+    assert a > 0 and abs(p.mean() - (y > 0).mean()) < 0.02
+
+
 def test_mixing(docs, empty):
     got = mixing.mix(docs).collect()
     assert len(got) == docs.count() and all(0 <= g._copies <= 3 and g._size == len(words(g.text)) for g in got)
