@@ -311,6 +311,18 @@ def test_language(docs, spark, empty):
     assert kept.columns == table.columns and kept.count() == 241
 
 
+def test_language_learns_every_value(spark):
+    r = random.Random(12)
+    own = {f"q{i:02d}": ["".join(r.choice("abcdefghijklmnop") for _ in range(5)) for _ in range(12)] for i in range(40)}
+    own |= {"en-GB": "the and thing with".split(), "de_AT": "und der nicht ein".split()}
+    rows = [(i, " ".join(r.choice(own[k]) for _ in range(25)), k) for i in range(42 * 14) for k in [sorted(own)[i % 42]]]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    models = language.train(table.where("doc_id < 504"))
+    assert {x for m in models if m[0] for x in m[1:3] if x} == set(own) and len({m[0] for m in models if m[0]}) == 5
+    got = language.identify(table.where("doc_id >= 504"), models).collect()
+    assert np.mean([x.lang_pred == x.lang for x in got]) > 0.95
+
+
 def test_quality(spark, empty):
     r = random.Random(4)
     good = lambda: " ".join(r.choice(["the", "house", "Stands", "there,", "is", "nice."]) for _ in range(r.randint(5, 80)))
