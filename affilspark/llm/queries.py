@@ -9,7 +9,7 @@ from affilspark.llm.language import op4_language_id
 from affilspark.llm.mixing import op6_mix_sources
 from affilspark.llm.quality import op8_quality
 from affilspark.llm.simhash import op5_simhash_near_dedup
-from affilspark.llm.substrings import op1_substring_dedup
+from affilspark.llm.substrings import OP1_SQL, op1_substring_dedup
 from affilspark.llm.tokens import op10_training_order
 from affilspark.llm.topk import OP9_SQL, op9_exact_top_k
 
@@ -25,4 +25,4 @@ QUERIES = {
     "op9_exact_top_k": op9_exact_top_k,
     "op10_training_order": op10_training_order,
 }
-ORACLES = {"op3_chat_format": OP3_SQL, "op9_exact_top_k": OP9_SQL}
+ORACLES = {"op1_substring_dedup": OP1_SQL, "op3_chat_format": OP3_SQL, "op9_exact_top_k": OP9_SQL}

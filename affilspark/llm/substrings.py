@@ -20,8 +20,8 @@ from affilspark.llm import _words as W
 from affilspark.llm._spark import cut, parts, small, small_batches, table
 from affilspark.llm.automaton import SuffixAutomaton, spans
 
-#: Words of a window and of an anchor gram; most stretches in one automaton's shard.
-WINDOW, GRAM, SHARD = 35, 8, 1000
+#: Words of a window and of an anchor gram; most stretches in one automaton's shard, most windows of a stretch.
+WINDOW, GRAM, SHARD, LONGEST = 35, 8, 1000, 256
 KEYS = ["k1", "k2"]
 
 
@@ -43,6 +43,9 @@ def _runs(data: np.ndarray, offsets: np.ndarray, window: int, gram: int):
     least = W.sliding_min(g, width)[at]
     new = np.r_[True, (least[1:] != least[:-1]) | (row[1:] != row[:-1])]
     begin = np.flatnonzero(new)
+    size = np.diff(np.r_[begin, len(at)])
+    pieces = -(-size // LONGEST)  # a periodic text has one anchor throughout; its run is cut, so that shards are bounded in words
+    begin = np.repeat(begin, pieces) + LONGEST * (np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces))
     end = np.r_[begin[1:], len(at)] - 1
     anchor = least[begin]
     left, right = np.empty(len(begin), np.int64), np.empty(len(begin), np.int64)
@@ -55,7 +58,7 @@ def _runs(data: np.ndarray, offsets: np.ndarray, window: int, gram: int):
 
 
 def anchors(keyed: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """k1, k2, anchor, w0, w1 (first and last window of the run), n of every run of every text."""
+    """k1, k2, anchor, w0, w1 (first and last window of the run, at most LONGEST of them), n of every run of every text."""
 
     def run(batches):
         for batch in batches:
@@ -206,8 +209,8 @@ def strip_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     A window is `window` consecutive words of one text; it is repeated if its words start at any
     other place, in the same text too. Windows are judged on the input: of copies all go. Null and
-    empty texts have no words; a text shorter than the window stays whole; repeated rows are copies
-    of each other; other columns are ignored; an empty table gives no rows. With `digest` the kept text's
+    empty texts have no words; a text shorter than the window stays whole; very long texts are judged whole;
+    repeated rows are copies of each other, ties do not arise; other columns are ignored; an empty table gives no rows. With `digest` the kept text's
     SHA-256 comes in place of the text.
     """
     small_batches(docs.sparkSession)
@@ -228,3 +231,21 @@ def strip_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = strip_repeats(table(spark, sf_dir, "documents"), digest=True)
     return got.withColumnRenamed("kept", "kept_sha256")
+
+
+#: DuckDB: counts of all windows of 35 words, spelled out.
+OP1_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents
+), p AS (
+  SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i, CASE WHEN i + 34 <= len(w) THEN array_to_string(w[i:i + 34], ' ') END AS key FROM d
+), c AS (
+  SELECT r, i, word, key IS NOT NULL AND count(*) OVER (PARTITION BY key) > 1 AS again FROM p
+), g AS (
+  SELECT r, i, word, bool_or(again) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) AS gone FROM c
+), s AS (
+  SELECT r, count(*) FILTER (gone) AS n_removed, coalesce(string_agg(word, ' ' ORDER BY i) FILTER (NOT gone), '') AS kept FROM g GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN s USING (r)
+"""
