@@ -40,63 +40,105 @@ def targets(sources: DataFrame, cap: float = 3.0) -> DataFrame:
     return sources.withColumn("target", whole.cast("double") if tau is None or not free else F.least(whole.cast("double"), F.col("weight") * F.lit(float(tau))))
 
 
-def rates(sources: DataFrame, steps: int = 60) -> DataFrame:
-    """`tilt`, the dual variable of each source's word constraint, and `rate` = exp(tilt).
-
-    Entropy balancing minimises sum(size * r * log r) under sum(size * r) = target for each source, so
-    r = exp(tilt) and the dual is convex with a diagonal Hessian, as a document is in one source.
-    Newton steps, damped to at most 1, run on every source's row at once. A source without words
-    (or without a target) has rate 0.
+def _ordered(stats: DataFrame) -> DataFrame:
+    """Sources with `place`, their number in order of code points, null last; the driver sees a count for each partition."""
+    spark = stats.sparkSession
+    order = [F.col("source").isNull(), F.encode("source", "UTF-8")]
+    ranged = cut(stats.repartitionByRange(parts(spark), *order).withColumn("pid", F.spark_partition_id()))
+    before, total = [], 0
+    for pid, n in sorted(map(tuple, ranged.groupBy("pid").count().collect())):
+        before.append((pid, total))
+        total += n
+    base = spark.createDataFrame(before, "pid int, base long")
+    within = F.row_number().over(Window.partitionBy("pid").orderBy(*order)) - 1
+    return ranged.withColumn("within", within).join(F.broadcast(base), "pid").withColumn("place", F.col("base") + F.col("within")).drop("pid", "within", "base")
+
+
+def rates(sized: DataFrame, sources: DataFrame, steps: int = 40, close: float = 1e-9) -> DataFrame:
+    """sources with `tilt`, the dual variable of each source's word constraint, and `rate` = exp(tilt).
+
+    Entropy balancing minimises sum(size * r * log r) over the documents of sized(source, size) under
+    sum(size * r) = target for each source. Its dual is convex, with r = exp(tilt); as a document is in one
+    source, the gradient (target less words taken) and the Hessian (words taken) are a sum each.
+    Every Newton step, damped to at most 1, sums them over all documents in the tasks, until no
+    source is farther than `close` of its target from it. A source without words (or target) has rate 0.
     """
-    mass = lambda x: F.col("source_size") * F.exp(x)
-    step = lambda x: F.greatest(F.lit(-1.0), F.least(F.lit(1.0), (F.col("target") - mass(x)) / mass(x)))
-    tilt = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), F.lit(0.0), lambda x, _: x + step(x))
-    some = (F.col("source_size") > 0) & (F.col("target") > 0)
-    return sources.withColumn("tilt", F.when(some, tilt)).withColumn("rate", F.coalesce(F.exp("tilt"), F.lit(0.0)))
+    same = F.col("source").eqNullSafe(F.col("s"))
+    dual = sources.select(F.col("source").alias("s"), "target").withColumn("tilt", F.lit(0.0)).where("target > 0")
+    for _ in range(steps):
+        rated = sized.where("size > 0").select("source", "size").join(hint(dual), same).select("s", "target", "tilt", (F.col("size") * F.exp("tilt")).alias("mass"))
+        sums = cut(rated.groupBy("s", "target", "tilt").agg(F.sum("mass").alias("mass")))
+        far = sums.agg(F.max(F.abs(F.col("target") - F.col("mass")) / F.col("target"))).first()[0]
+        if far is None or far <= close:
+            break
+        step = (F.col("target") - F.col("mass")) / F.col("mass")
+        dual = sums.select("s", "target", (F.col("tilt") + F.greatest(F.lit(-1.0), F.least(F.lit(1.0), step))).alias("tilt"))
+    return sources.join(dual.select("s", "tilt"), same, "left").drop("s").withColumn("rate", F.coalesce(F.exp("tilt"), F.lit(0.0)))
+
+
+def hint(sources: DataFrame) -> DataFrame:
+    """A broadcast hint if a count finds that a row of about 100 bytes for each source is at most 8 MB."""
+    return F.broadcast(sources) if sources.count() * 100 < 8 << 20 else sources
 
 
 def _round(cap: int):
     def run(g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values(["_size", "_tie"], ascending=[False, True], kind="stable")
+        g = g.sort_values(["size", "k1", "k2"], ascending=[False, True, True], kind="stable")
         copies = np.zeros(len(g), np.int64)
         owed = 0.0
-        for i, (size, rate) in enumerate(zip(g["_size"].tolist(), g["_rate"].tolist(), strict=True)):
+        for i, (size, rate, n) in enumerate(zip(g["size"].tolist(), g["rate"].tolist(), g["n"].tolist(), strict=True)):
             if size > 0:
-                owed += rate * size
-                copies[i] = min(cap, max(0, round(owed / size)))
+                owed += rate * size * n
+                copies[i] = min(cap * n, max(0, round(owed / size)))
                 owed -= copies[i] * size
-        g["_copies"] = copies
-        return g
+        g["copies"] = copies
+        return g[["k1", "k2", "s", "size", "n", "copies"]]
 
     return run
 
 
+def _mixed(docs: DataFrame, text_col: str, source_col: str, id_col: str, weights, cap: int, keep_text: bool) -> DataFrame:
+    """docs with their columns as u0, u1, ... in order (without the text's unless keep_text), and size, source_size, target and copies."""
+    small_batches(docs.sparkSession)
+    own = docs.toDF(*[f"u{i}" for i in range(len(docs.columns))])
+    text, source, the_id = (f"u{docs.columns.index(c)}" for c in (text_col, source_col, id_col))
+    named = own.select("*", *[F.xxhash64(F.lit(i), the_id, text).alias(f"k{i}") for i in (1, 2)])
+    sized = cut(named.withColumn("size", n_words(F.col(text))).drop(text))
+    rows = sized.select("k1", "k2", F.col(source).alias("source"), "size")
+    stats = _ordered(rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("docs")))
+    stats = cut(stats.withColumn("weight", F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("place") % len(weights) + 1).cast("int"))))
+    goal = rates(rows, targets(stats, float(cap))).withColumn("groups", F.greatest(F.lit(1), F.ceil(F.greatest(F.col("docs") / GROUP_DOCS, F.col("source_size") / GROUP_WORDS))))
+    goal = cut(goal.select(F.col("source").alias("s"), "source_size", "target", "rate", "groups"))
+    # equal rows of a source are one row with a number and are rounded together
+    each = rows.groupBy("k1", "k2", "source", "size").agg(F.count("*").alias("n"))
+    each = each.join(hint(goal), F.col("source").eqNullSafe(F.col("s"))).withColumn("part", F.pmod(F.xxhash64("k1", F.lit(7)), F.col("groups")))
+    each = each.select("k1", "k2", "source", "s", "part", "size", "n", "rate").repartition(parts(docs.sparkSession), "s", "part")
+    done = each.groupBy("s", "part").applyInPandas(_round(cap), f"k1 long, k2 long, s {docs.schema[source_col].dataType.simpleString()}, size long, n long, copies long")
+    done = cut(done)
+    done = done.select(F.col("k1").alias("a"), F.col("k2").alias("b"), F.col("s").alias("t"), *(["size"] if keep_text else []), "n", "copies")
+    full = named if keep_text else sized
+    full = full.join(done, (F.col("k1") == F.col("a")) & (F.col("k2") == F.col("b")) & F.col(source).eqNullSafe(F.col("t")))
+    many = full.where("n > 1").withColumn("nth", F.row_number().over(Window.partitionBy("a", "b", "t").orderBy("a")))
+    share = F.expr("copies div n") + (F.col("nth") <= F.col("copies") % F.col("n")).cast("long")
+    full = full.where("n = 1").unionByName(many.withColumn("copies", share).drop("nth"))
+    full = full.join(hint(goal), F.col("t").eqNullSafe(F.col("s")))
+    return full.select(*[c for c in own.columns if keep_text or c != text], "size", "source_size", "target", "copies")
+
+
 def mix(docs: DataFrame, text_col: str = "text", source_col: str = "source", id_col: str = "doc_id", weights=WEIGHTS, cap: int = 3, keep_text: bool = True) -> DataFrame:
     """docs with _size, _source_size, _target and _copies (0 to cap).
 
     A document's rate is exp(tilt of its source); within groups of a source it is rounded to copies
     from the longest document down, each rounding passing its remainder on, so a group ends within
     half its shortest document of its share (unless all are at 0 or cap copies). Groups are made by
-    a hash of the row, so reruns agree. Null sources are one source, last in order; null texts have
-    size 0 and no copies; repeated rows are rounded separately; an empty table gives no rows.
+    a hash of the row and hold ids' hashes and sizes, no texts, so reruns agree and long texts do not weigh. Null
+    sources are one source, last in order; null texts have size 0 and no copies; equal rows are
+    rounded together and share their copies; ties in size go by hash; an empty table gives no rows. Columns of docs
+    named as the four new ones are replaced, all others pass whatever their names.
     """
-    spark = docs.sparkSession
-    small_batches(spark)
-    own = docs.columns
-    sized = docs.withColumn("_size", n_words(F.col(text_col))).withColumn("_tie", F.xxhash64(F.col(id_col), F.col(text_col)))
-    if not keep_text:
-        sized = sized.drop(text_col)
-    stats = sized.groupBy(F.col(source_col).alias("_src")).agg(F.sum("_size").alias("source_size"), F.count("*").alias("n"))
-    order = F.row_number().over(Window.orderBy(F.col("_src").isNull(), F.encode("_src", "UTF-8"))) - 1
-    stats = cut(stats.withColumn("weight", F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (order % len(weights) + 1).cast("int"))))
-    goal = rates(targets(stats, float(cap))).withColumn("_groups", F.ceil(F.greatest(F.col("n") / GROUP_DOCS, F.col("source_size") / GROUP_WORDS)).cast("int"))
-    goal = cut(goal.select("_src", F.col("source_size").alias("_source_size"), F.col("target").alias("_target"), F.col("rate").alias("_rate"), "_groups"))
-    if goal.count() * 100 < 8 << 20:  # about 100 bytes a source
-        goal = F.broadcast(goal)
-    full = sized.join(goal, sized[source_col].eqNullSafe(goal["_src"])).withColumn("_group", F.pmod(F.xxhash64("_tie", F.lit(7)), F.greatest("_groups", F.lit(1)))).drop("_groups", "_src")
-    schema = full.withColumn("_copies", F.lit(0).cast("long")).schema
-    done = full.repartition(parts(spark), source_col, "_group").groupBy(source_col, "_group").applyInPandas(_round(cap), schema)
-    return done.select(*[c for c in own if keep_text or c != text_col], "_size", "_source_size", "_target", "_copies")
+    docs = docs.drop("_size", "_source_size", "_target", "_copies")
+    names = [c for c in docs.columns if keep_text or c != text_col]
+    return _mixed(docs, text_col, source_col, id_col, weights, cap, keep_text).toDF(*names, "_size", "_source_size", "_target", "_copies")
 
 
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,7 +146,8 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), (F.col("_copies") * F.col("_size")).alias("taken"))
 
 
-def mixed(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: each row of docs as often as it is taken."""
-    got = mix(docs, **options)
-    return got.where("_copies > 0").withColumn("_n", F.explode(F.array_repeat(F.lit(0), F.col("_copies").cast("int")))).select(*docs.columns)
+def mixed(docs: DataFrame, text_col: str = "text", source_col: str = "source", id_col: str = "doc_id", weights=WEIGHTS, cap: int = 3) -> DataFrame:
+    """The mix itself: each row of docs as often as it is taken; columns of any names pass as they are."""
+    got = _mixed(docs, text_col, source_col, id_col, weights, cap, True).where("copies > 0")
+    copied = got.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    return copied.drop("copy", "size", "source_size", "target", "copies").toDF(*docs.columns)
