@@ -17,15 +17,16 @@ QUERIES, SEEDS, BLOCK = 8192, 2048, 1024
 
 
 def quantised(vectors: DataFrame, id_col: str, vec_col: str, scale: int = 256) -> DataFrame:
-    """id, copy (1 for an id's first row), v = floor(scale * x) as array<long>, norm2.
+    """id, copy (1 for an id's first row), v = floor(scale * x) as array<long>, norm2 (a double).
 
     Vectors that are null, empty or hold null or non-finite components, and rows without an id, are left out.
+    Components beyond a long are held at its ends; ids are whole numbers.
     """
     x = F.col(vec_col)
     bad = F.exists(x, lambda y: y.isNull() | F.isnan(y) | (F.abs(y.cast("double")) == float("inf")))
     ints = vectors.where(F.col(id_col).isNotNull() & x.isNotNull() & (F.size(x) > 0)).where(~bad).select(F.col(id_col).cast("long").alias("id"), F.transform(x, lambda y: F.floor(F.lit(float(scale)) * y.cast("double")).cast("long")).alias("v"))
     copy = F.row_number().over(Window.partitionBy("id").orderBy("v"))
-    return ints.withColumn("copy", copy).withColumn("norm2", F.aggregate("v", F.lit(0).cast("long"), lambda a, y: a + y * y))
+    return ints.withColumn("copy", copy).withColumn("norm2", F.aggregate("v", F.lit(0.0), lambda a, y: a + y.cast("double") * y.cast("double")))
 
 
 def _matrix(column: pa.Array, d: int) -> np.ndarray:
@@ -64,11 +65,14 @@ def _best(q: np.ndarray, s: np.ndarray, i: np.ndarray, k: int):
     return q[keep], s[keep], i[keep]
 
 
-def _exact(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.einsum("ij,ij->i", a, b)
+def _exact(a: np.ndarray, b: np.ndarray, large: bool) -> np.ndarray:
+    """Inner products of rows; if sums may pass a long, in whole numbers of any size, held at its ends."""
+    if not large:
+        return np.einsum("ij,ij->i", a, b)
+    return np.array([max(min(sum(x * y for x, y in zip(p, q, strict=True)), (1 << 63) - 1), -(1 << 63)) for p, q in zip(a.tolist(), b.tolist(), strict=True)], np.int64)
 
 
-def _search(shared, k: int, d: int):
+def _search(shared, k: int, d: int, large: bool):
     """Scores the candidates of a partition, longest first, against all queries of the broadcast."""
 
     def run(batches):
@@ -84,7 +88,7 @@ def _search(shared, k: int, d: int):
             for lo in range(0, len(ids), BLOCK):
                 c, cid, ccopy = x[lo : lo + BLOCK], ids[lo : lo + BLOCK], copies[lo : lo + BLOCK]
                 longest = math.sqrt(float((c.astype(float) ** 2).sum(axis=1).max()))
-                slack = 1e-9 * qlen * longest + 1e-6
+                slack = 1e-9 * qlen * longest + 1e-6  # more than what sums of doubles can be off
                 live = np.flatnonzero(qlen * longest + slack >= theta)
                 if not len(live):
                     continue
@@ -97,7 +101,7 @@ def _search(shared, k: int, d: int):
                 a, b = a[~own], b[~own]
                 for at in range(0, len(a), 1 << 18):
                     p, r = a[at : at + (1 << 18)], b[at : at + (1 << 18)]
-                    s = _exact(qv[p], c[r])
+                    s = _exact(qv[p], c[r], large)
                     ok = s >= theta[p]
                     best = _best(np.r_[best[0], p[ok]], np.r_[best[1], s[ok]], np.r_[best[2], cid[r][ok]], k)
                     n = np.bincount(best[0], minlength=len(qid))
@@ -118,7 +122,9 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 5, id_col: str = "vec_id
     length is below it, and of the rest only pairs whose rotated partial sum plus the product of the
     residual lengths reaches it are multiplied out, in integers. Ties go to smaller ids. Queries meet
     the candidates in chunks of QUERIES. Fewer candidates than k give fewer rows. Shorter vectors
-    count as ending in zeros. An id that occurs twice is two rows: each is the other's candidate.
+    count as ending in zeros. An id that occurs twice is two rows: each is the other's candidate. Ids are
+    whole numbers; scores beyond a long's range are held at its ends. Other columns are ignored, whatever
+    their names; an empty table gives no rows.
     """
     spark = vectors.sparkSession
     q = quantised(vectors, id_col, vec_col, scale)
@@ -149,7 +155,7 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 5, id_col: str = "vec_id
         if float(most) >= 2.0**52:  # sums of floats would not be exact
             theta[:] = -np.inf
         shared = spark.sparkContext.broadcast((qid, qcopy, qv, rot, theta))
-        got = ranged.select("id", "copy", "v").mapInArrow(_search(shared, k, d), kind)
+        got = ranged.select("id", "copy", "v").mapInArrow(_search(shared, k, d, float(most) >= 2.0**61), kind)
         found.append(got if chunks == 1 else cut(got))
     if not found:
         return top_k(vectors.limit(0), queries, k, id_col, vec_col, scale)
