@@ -3,18 +3,21 @@
 from __future__ import annotations
 
 import base64
-import os
+import re
 from array import array
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
 import tiktoken
 import zstandard
+from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from affilspark.llm import _words as W
-from affilspark.llm._spark import cut, parts, small, small_batches, table
+from affilspark.llm._spark import cut, parts, small, small_batches, table, widen
 
 #: A public byte-level BPE as rank lines, its pre-token pattern and the free id that ends a document.
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -24,30 +27,42 @@ END, LENGTH, PER_SHARD, KEY = 50256, 512, 4096, 20240229
 CACHE = 100_000
 ROUNDS = 6
 
+# spaces and line breaks that are not between two words
+_ODD = re.compile(r"[ \n]\s|\s[ \n]|^[ \n]|[ \n]$|[^\S \n]")
+
 _encoders: dict[int, _Encoder] = {}
 
 
-class _Encoder(dict):
-    """Ids of text pieces as bytes; a piece starts at a space that follows something else, where no token crosses."""
+class _Pieces(dict):
+    """Ids of pieces of text as bytes; short pieces are kept, up to CACHE of them."""
 
-    def __init__(self, ranks: bytes):
+    def __init__(self, encode, before: str):
         super().__init__()
-        pairs = (line.split() for line in ranks.splitlines() if line)
-        self.encode = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks={base64.b64decode(a): int(b) for a, b in pairs}, special_tokens={}).encode_ordinary
+        self.encode, self.before = encode, before
 
     def __missing__(self, piece: str) -> bytes:
-        ids = array("H", self.encode(piece)).tobytes()
-        if len(self) < CACHE:
+        ids = array("H", self.encode(self.before + piece)).tobytes()
+        if len(piece) <= 64 and len(self) < CACHE:
             self[piece] = ids
         return ids
 
+
+class _Encoder:
+    """Ids of texts as bytes. No token crosses a lone line break between words, or ends in a space that a word follows."""
+
+    def __init__(self, ranks: bytes):
+        pairs = (line.split() for line in ranks.splitlines() if line)
+        self.encode = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks={base64.b64decode(a): int(b) for a, b in pairs}, special_tokens={}).encode_ordinary
+        self.first, self.later = _Pieces(self.encode, ""), _Pieces(self.encode, " ")
+
     def ids(self, text: str) -> bytes:
-        if "  " in text or text[:1] == " " or text[-1:] == " ":
-            return array("H", self.encode(text)).tobytes()
-        head, *rest = text.split(" ")
-        if any(r[:1].isspace() for r in rest) or any(r[-1:].isspace() for r in (head, *rest[:-1])):
+        if not text or _ODD.search(text):
             return array("H", self.encode(text)).tobytes()
-        return self[head] + b"".join([self[" " + r] for r in rest])
+        lines = []
+        for line in text.split("\n"):
+            head, *rest = line.split(" ")
+            lines.append(self.first[head] + b"".join(map(self.later.__getitem__, rest)))
+        return self.first["\n"].join(lines)
 
 
 def _encoder(ranks: bytes) -> _Encoder:
@@ -63,7 +78,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rank
     Null texts count as empty: the end token alone. uid numbers the rows of this run only.
     """
     shared = docs.sparkSession.sparkContext.broadcast(ranks)
-    rows = docs.select(F.monotonically_increasing_id().alias("uid"), F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("tie"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows = docs.select(F.monotonically_increasing_id().alias("uid"), F.col(id_col).alias("id"), F.xxhash64(text_col).alias("tie"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     last = array("H", [end]).tobytes()
 
     def run(batches):
@@ -77,7 +92,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rank
                     packed.append(squeeze.compress(ids))
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(n, pa.int64()), pa.array(packed, pa.binary())], names=["uid", "id", "tie", "n_tokens", "packed"])
 
-    return rows.mapInArrow(run, "uid long, id long, tie long, n_tokens long, packed binary")
+    return rows.mapInArrow(run, widen(rows.select("uid", "id", "tie"), n_tokens="long", packed="binary"))
 
 
 def permute(x: np.ndarray, n: int, key: int) -> np.ndarray:
@@ -119,8 +134,8 @@ def ordinals(sized: DataFrame) -> tuple[DataFrame, int]:
     local = ranged.mapInArrow(_starts, "uid long, part_id int, start long")
     if not before:
         return local.select("uid", "start"), 0
-    base = F.create_map(*[F.lit(x) for k, v in before.items() for x in (k, v)])
-    return local.select("uid", (F.col("start") + base[F.col("part_id")]).alias("start")), total
+    base = F.broadcast(spark.createDataFrame(list(before.items()), "part_id int, base long"))  # a row for each partition
+    return local.join(base, "part_id").select("uid", (F.col("start") + F.col("base")).alias("start")), total
 
 
 def materialise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str = TOKENIZER, length: int = LENGTH, per_shard: int = PER_SHARD, key: int = KEY, end: int = END) -> DataFrame:
@@ -130,7 +145,8 @@ def materialise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     the end token to the fixed stride of 2 * length bytes (little-endian 16-bit ids). Sequences are
     numbered by (id, hash of text, part), so the same documents get the same slots whatever their
     layout; permute() maps numbers to slots. Shard = slot // per_shard, byte_offset = stride * (slot
-    mod per_shard). A shard lies in one partition, in order. Null ids come first; repeated rows are
+    mod per_shard). A shard lies in one partition, in order. Ids keep their type and null ones come first; null and
+    empty texts are one sequence of end tokens; texts of any length are written whole; repeated rows are
     sequences of their own; an empty table gives no rows; other columns are ignored.
     """
     spark = docs.sparkSession
@@ -166,44 +182,43 @@ def materialise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     names=["slot", "shard", "byte_offset", id_col, "part", "n_tokens", "tokens"],
                 )
 
-    records = placed.mapInArrow(split, f"slot long, shard long, byte_offset long, `{id_col}` long, part int, n_tokens int, tokens binary")
+    id_type = docs.schema[id_col].dataType.simpleString()
+    records = placed.mapInArrow(split, f"slot long, shard long, byte_offset long, `{id_col}` {id_type}, part int, n_tokens int, tokens binary")
     shards = -(-max(total, 1) // per_shard)
     p = min(parts(spark), shards)
     return records.repartitionById(p, F.expr(f"cast(shard * {p} div {shards} as int)")).sortWithinPartitions("slot")
 
 
 def write_shards(records: DataFrame, path: str) -> None:
-    """Writes shard-NNNNNNNN.bin files of records end to end; path is a folder that all tasks share.
+    """Writes shard-NNNNNNNN.bin files of records end to end; path is a folder or URI that all tasks reach (also hdfs, s3, gs).
 
-    A file appears under its name only when whole, so a task that runs again replaces equal bytes. The
-    record of slot s is at byte_offset of file shard: reading on, or resuming at any slot, is a seek.
+    A file is written under a name of its task's attempt and then moved to its own, so a task that runs
+    again replaces equal bytes. The record of slot s is at byte_offset of file shard: reading on, or
+    resuming at any slot, is a seek.
     """
-    os.makedirs(path, exist_ok=True)
+    fs.FileSystem.from_uri(path)[0].create_dir(fs.FileSystem.from_uri(path)[1], recursive=True)
 
     def write(rows):
-        out, name = None, None
-        for row in rows:
-            if name != row["shard"]:
-                if out:
-                    out.close()
-                    os.replace(out.name, f"{path}/shard-{name:08d}.bin")
-                name = row["shard"]
-                out = open(f"{path}/.shard-{name:08d}.{os.getpid()}", "wb")  # noqa: SIM115
-            out.write(row["tokens"])
-        if out:
-            out.close()
-            os.replace(out.name, f"{path}/shard-{name:08d}.bin")
+        store, folder = fs.FileSystem.from_uri(path)
+        attempt = TaskContext.get().taskAttemptId()
+        for shard, group in groupby(rows, key=lambda row: row["shard"]):
+            name = f"{folder}/.shard-{shard:08d}.{attempt}"
+            with store.open_output_stream(name) as out:
+                for row in group:
+                    out.write(bytes(row["tokens"]))
+            store.move(name, f"{folder}/shard-{shard:08d}.bin")
 
     records.select("shard", "tokens").foreachPartition(write)
 
 
 def read_from(path: str, slot: int = 0, length: int = LENGTH, per_shard: int = PER_SHARD):
     """Sequences of written shards from `slot` on, as arrays of 16-bit ids."""
+    store, folder = fs.FileSystem.from_uri(path)
     stride = 2 * length
     shard = slot // per_shard
     skip = slot % per_shard * stride
-    while os.path.exists(name := f"{path}/shard-{shard:08d}.bin"):
-        with open(name, "rb") as f:
+    while store.get_file_info(name := f"{folder}/shard-{shard:08d}.bin").type == fs.FileType.File:
+        with store.open_input_file(name) as f:
             f.seek(skip)
             while record := f.read(stride):
                 yield np.frombuffer(record, "<u2")
