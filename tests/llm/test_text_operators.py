@@ -392,6 +392,17 @@ def test_mixing(docs, empty):
     assert mixing.mixed(docs).columns == docs.columns and mixing.mixed(docs).count() == sum(g._copies for g in got)
 
 
+def test_mixing_passes_columns_of_any_name(spark):
+    inner = ["_size", "_rate", "_src", "size", "rate", "tilt", "target", "copies", "k1", "k2", "s", "n", "u0", "u1", "source_size", "groups", "part", "nth", "a", "b", "t", "copy"]
+    rows = [(None if i == 5 else str(i), "w " * (i % 7), None if i % 3 == 0 else "s", *[7] * len(inner)) for i in range(40)] + [("9", "w w", "s", *[7] * len(inner))] * 5
+    docs = spark.createDataFrame(rows, "doc_id string, text string, source string, " + ", ".join(f"`{c}` int" for c in inner))
+    got = mixing.mixed(docs)
+    assert got.columns == docs.columns and set(map(tuple, got.collect())) <= set(map(tuple, docs.collect()))
+    assert mixing.mix(docs).drop("_size", "_source_size", "_target", "_copies").columns == [c for c in docs.columns if c != "_size"]
+    size, taken = (mixing.mix(docs).selectExpr(x).first()[0] for x in ("sum(_size)", "sum(_size * _copies)"))
+    assert abs(size - taken) <= 6
+
+
 def test_mixing_reshares_the_excess(spark):
     rows = [(i, "w " * (10 if s == "a" else 200), s) for i in range(30) for s in ["a", "b", "c"]]
     got = {r.source: r._target for r in mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
@@ -461,7 +472,10 @@ def test_training_order_round_trip(docs, empty, tmp_path):
     rows = out.collect()
     assert [r.slot for r in rows] == list(range(len(rows)))
     assert all(r.shard == r.slot // 10 and r.byte_offset == r.slot % 10 * 32 and len(r.tokens) == 32 for r in rows)
-    encode = tokens._Encoder(open(tokens.TOKENIZER, "rb").read()).encode
+    encode = tokens._Encoder(ranks := open(tokens.TOKENIZER, "rb").read()).encode
+    odd = ["a\nb c", "a\n\nb", " a", "a ", "\na", "a\tb", "a \nb", "a\n b", "don't\nstop 12\n34", "\u00a0x y", "x\u2003y", "é è\nü", "", "\n", " ", "a\rb", "x" * 500]
+    for t in odd:
+        assert list(np.frombuffer(tokens._Encoder(ranks).ids(t), "<u2")) == encode(t)
     want = Counter()
     for r in docs.collect():
         ids = [*encode(r.text or ""), tokens.END]
@@ -475,6 +489,8 @@ def test_training_order_round_trip(docs, empty, tmp_path):
     read = list(tokens.read_from(str(tmp_path / "shards"), 13, 16, 10))
     assert [x.tobytes() for x in read] == [bytes(r.tokens) for r in rows[13:]]
     assert tokens.materialise(empty).count() == 0
+    named = docs.selectExpr("cast(doc_id as string) as doc_id", "text", "1 as uid", "2 as id", "3 as tie", "4 as start", "5 as slot")
+    assert Counter((r.doc_id, r.part) for r in tokens.materialise(named).collect()) == Counter((r.doc_id and str(r.doc_id), r.part) for r in tokens.materialise(docs.select("doc_id", "text").withColumn("doc_id", docs.doc_id.cast("string"))).collect())
 
 
 def test_chat(spark):

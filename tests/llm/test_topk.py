@@ -30,6 +30,15 @@ def test_top_k_brute_force(spark, monkeypatch):
     assert sorted(map(tuple, got)) == sorted(want)
 
 
+def test_top_k_large_components(spark):
+    rows = [(0, [2e7, 1.0]), (1, [1e7, 3.0]), (2, [2e7, -1.0]), (3, [1e30, 0.0]), (4, [0.0, 0.0])]
+    got = [tuple(r)[2:] for r in topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("id") == 0, k=3).orderBy("rank").collect()]
+    assert got == [(1, (1 << 63) - 1), (2, (1 << 63) - 1), (3, (1 << 63) - 1)]
+    rows = [(0, [5e6, 1.0]), (1, [4e6, 3.0]), (2, [-5e6, -1.0])]
+    got = [tuple(r) for r in topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("id") == 0).orderBy("rank").collect()]
+    assert got == [(0, 1, 1, 65536 * (20_000_000_000_000 + 3)), (0, 2, 2, -65536 * (25_000_000_000_000 + 1))]
+
+
 def test_top_k_small(spark):
     none = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert topk.top_k(none, F.col("id") % 50 == 0).count() == 0
