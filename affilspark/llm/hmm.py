@@ -20,9 +20,11 @@ from affilspark.llm import _words as W
 from affilspark.llm._spark import cut, fold, small_batches, table, widen
 
 #: Latent states, most words with a symbol of their own, word classes, most words whose counts are
-#: sent to every task (the rest are looked up by a join), tokens of a training chunk, documents of
-#: the start sample, rounds on the sample and on all documents.
-STATES, OWN, CLASSES, HEAD, CHUNK, SAMPLE, WARM, ROUNDS = 8, 1 << 14, 1024, 1 << 18, 64, 1000, 12, 2
+#: sent to every task (the rest are looked up by a join), tokens of a training piece and of its overlap on
+#: either side, documents of the start sample, rounds on the sample.
+STATES, OWN, CLASSES, HEAD, PIECE, OVERLAP, SAMPLE, WARM = 8, 1 << 14, 1024, 1 << 18, 112, 12, 1000, 12
+#: Rounds on all documents end when one gains less than this many log10 a token, or after so many.
+GAIN, ROUNDS = 0.005, 8
 SMOOTH = 0.1
 
 
@@ -119,20 +121,26 @@ def _symbols(data, offsets, own: Lookup):
 
 
 def expect(s: np.ndarray, n: np.ndarray, model: dict, counts: dict) -> float:
-    """Adds the expected counts of one block to `counts`; texts are cut in chunks of CHUNK tokens.
+    """Adds the expected counts of one block to `counts` and returns the log10 likelihood of its tokens.
 
-    A chunk that does not begin a text starts from `later`, the mean state.
+    Texts are taken in pieces of PIECE tokens. A piece also reads OVERLAP tokens before it, from the mean
+    state `later` on, and as many after it, so that the states at its edges are those of the whole
+    text but for what is forgotten in that distance; each token and each transition, also from piece to
+    piece, counts once.
     """
     a, b = model["move"], model["emit"]
     k = len(a)
     begin = np.cumsum(n) - n
-    pieces = -(-n // CHUNK)
+    pieces = -(-n // PIECE)
     row = np.repeat(np.arange(len(n)), pieces)
     nth = np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-    start, size = begin[row] + nth * CHUNK, np.minimum(n[row] - nth * CHUNK, CHUNK)
+    at, to = nth * PIECE, np.minimum((nth + 1) * PIECE, n[row])
+    low, high = np.maximum(at - OVERLAP, 0), np.minimum(to + OVERLAP, n[row])
+    size = high - low
     order = np.argsort(-size, kind="stable")
-    start, size, head = start[order], size[order], nth[order] == 0
-    live = np.searchsorted(-size, -np.arange(1, CHUNK + 1), "right")
+    start, size, head = (begin[row] + low)[order], size[order], (nth == 0)[order]
+    own_lo, own_hi = (at - low)[order], (to - low)[order]
+    live = np.searchsorted(-size, -np.arange(1, PIECE + 2 * OVERLAP + 1), "right")
     steps = int(size[0]) if len(size) else 0
     forward, scale, seen, gain = [], [], [], 0.0
     for t in range(steps):
@@ -142,7 +150,7 @@ def expect(s: np.ndarray, n: np.ndarray, model: dict, counts: dict) -> float:
         z = x.sum(axis=1)
         forward.append(x / z[:, None])
         scale.append(z)
-        gain += float(np.log10(z).sum())
+        gain += float(np.log10(z[(own_lo[:m] <= t) & (t < own_hi[:m])]).sum())
     back = np.ones((0, k), np.float32)
     total = np.zeros((k, len(b)))
     for t in range(steps - 1, -1, -1):
@@ -151,11 +159,13 @@ def expect(s: np.ndarray, n: np.ndarray, model: dict, counts: dict) -> float:
         if t + 1 < steps:
             w = seen[t + 1] * back / scale[t + 1][:, None]
             beta[: len(w)] = w @ a.T
-            counts["move"] += (forward[t][: len(w)].T @ w) * a
-        gamma = forward[t] * beta
-        at = s[start[:m] + t]
+            into = (own_lo[: len(w)] <= t + 1) & (t + 1 < own_hi[: len(w)])
+            counts["move"] += (forward[t][: len(w)].T @ (w * into[:, None])) * a
+        own = (own_lo[:m] <= t) & (t < own_hi[:m])
+        gamma = forward[t] * beta * own[:, None]
+        symbol = s[start[:m] + t]
         for j in range(k):
-            total[j] += np.bincount(at, gamma[:, j], len(b))
+            total[j] += np.bincount(symbol, gamma[:, j], len(b))
         if t == 0:
             counts["first"] += gamma[head].sum(axis=0)
         counts["later"] += gamma.sum(axis=0)
@@ -203,31 +213,35 @@ def _start(states: int, own_keys: np.ndarray):
     return run
 
 
-def _round(docs: DataFrame, text_col: str, shared, states: int) -> dict:
-    """Expected counts over all rows: summed in each task, then by Spark over the tasks."""
+def _round(docs: DataFrame, text_col: str, shared, states: int) -> tuple[dict, float]:
+    """Expected counts over all rows, summed in each task, then by Spark over the tasks; and the log10 likelihood."""
     names = [f"e{j}" for j in range(states)]
 
     def run(batches):
         model, own = shared.value
-        own, counts = Lookup(own), _zero(states)
+        own, counts, gain = Lookup(own), _zero(states), np.zeros(states)
         for batch in batches:
             for _, _, data, offsets in W.blocks(batch.column(0), 2 << 20):
                 s, n = _symbols(data, offsets, own)
-                expect(s, n, model, counts)
-        rows = np.vstack([counts["emit"], counts["move"], counts["first"], counts["later"]])
-        at = np.flatnonzero(rows.sum(axis=1))
+                gain[0] += expect(s, n, model, counts)
+        rows = np.vstack([counts["emit"], counts["move"], counts["first"], counts["later"], gain])
+        at = np.flatnonzero(rows.any(axis=1))
         yield pa.RecordBatch.from_arrays([pa.array(at), *[pa.array(rows[at, j]) for j in range(states)]], names=["i", *names])
 
     parts = docs.select(text_col).mapInArrow(run, "i long, " + ", ".join(f"{x} double" for x in names))
-    got = parts.groupBy("i").agg(*[F.sum(x).alias(x) for x in names]).toPandas()  # at most OWN + CLASSES + states + 3 rows
-    rows = np.zeros((OWN + CLASSES + 1 + states + 2, states))
+    got = parts.groupBy("i").agg(*[F.sum(x).alias(x) for x in names]).toPandas()  # at most OWN + CLASSES + states + 4 rows
+    rows = np.zeros((OWN + CLASSES + 1 + states + 3, states))
     rows[got["i"].to_numpy()] = got[names].to_numpy()
     s = OWN + CLASSES + 1
-    return {"emit": rows[:s], "move": rows[s : s + states], "first": rows[s + states], "later": rows[s + states + 1]}
+    return {"emit": rows[:s], "move": rows[s : s + states], "first": rows[s + states], "later": rows[s + states + 1]}, float(rows[s + states + 2, 0])
 
 
 def train(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", states: int = STATES) -> dict:
-    """Counts and model from all rows of docs; null texts count as empty. An empty table gives uniform states."""
+    """Counts and model from all rows of docs; null texts count as empty. An empty table gives uniform states.
+
+    Rounds of Baum-Welch over all texts go on until one gains less than GAIN a token. Very long texts are
+    taken in pieces (see expect); repeated rows count as often as they occur; other columns are ignored.
+    """
     small_batches(docs.sparkSession)
     vocabulary = cut(word_counts(docs, text_col))
     n_docs = docs.count()
@@ -258,10 +272,15 @@ def train(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", state
     got = some.withColumn("_one", F.lit(1)).groupBy("_one").applyInPandas(_start(states, keys[:n_own]), fields).first()
     shape = {"move": (states, states), "emit": (OWN + CLASSES + 1, states), "first": (states,), "later": (states,)}
     model = {k: np.frombuffer(got[k], np.float32).reshape(v) for k, v in shape.items()} if got else maximise(_zero(states))
+    before = -np.inf
     for _ in range(ROUNDS if n_docs else 0):
         shared = spark.sparkContext.broadcast((model, keys[:n_own]))
-        model = maximise(_round(docs, text_col, shared, states))
+        counts, likelihood = _round(docs, text_col, shared, states)
         shared.unpersist()
+        model = maximise(counts)
+        if likelihood - before < GAIN * total:
+            break
+        before = likelihood
     return {"model": model, "keys": keys, "n_own": n_own, "c": head["c"].to_numpy(np.int64) if len(head) else np.zeros(0, np.int64), "rest": vocabulary.where(F.col("c") < cut_head), "total": int(total), "whole": float(whole), "ends": int(n_docs), "share": share}
 
 

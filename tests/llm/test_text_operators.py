@@ -444,7 +444,7 @@ def test_forward_is_exact():
         assert g == pytest.approx(math.log10(x.sum()))
     counts, gains = hmm._zero(k), []
     n = np.array([len(q) for q in seqs])
-    for _ in range(5):  # texts are shorter than a chunk, so each round must not lose likelihood
+    for _ in range(5):  # texts are shorter than a piece, so each round must not lose likelihood
         counts = hmm._zero(k)
         gains.append(hmm.expect(np.concatenate(seqs), n, m, counts))
         assert counts["emit"].sum() == pytest.approx(n.sum(), rel=1e-3)
@@ -452,6 +452,33 @@ def test_forward_is_exact():
     assert all(b >= a - 1e-3 for a, b in zip(gains, gains[1:], strict=False))
 
 
+def test_expected_counts_of_long_texts():
+    rng = np.random.default_rng(2)
+    k, symbols = 3, hmm.OWN + hmm.CLASSES + 1
+    norm = lambda x: x / x.sum(axis=-1, keepdims=True)
+    m = {"move": norm(rng.random((k, k)) + 2 * np.eye(k)), "emit": np.ascontiguousarray(norm(rng.random((k, symbols)) ** 4).T), "first": norm(rng.random(k)), "later": norm(rng.random(k))}
+    texts = [rng.integers(0, 50, size) for size in (1, hmm.PIECE, hmm.PIECE + 1, 3 * hmm.PIECE + 5, 700)]
+    got = hmm._zero(k)
+    hmm.expect(np.concatenate(texts), np.array([len(t) for t in texts]), m, got)
+    want = hmm._zero(k)
+    for q in texts:  # forward and backward over the whole text
+        e = m["emit"][q]
+        f = np.empty((len(q), k))
+        for t in range(len(q)):
+            f[t] = norm((m["first"] if t == 0 else f[t - 1] @ m["move"]) * e[t])
+        g = np.ones(k)
+        for t in range(len(q) - 1, -1, -1):
+            gamma = norm(f[t] * g)
+            want["emit"][q[t]] += gamma
+            if t:
+                want["move"] += (x := np.outer(f[t - 1], e[t] * g) * m["move"]) / x.sum()
+            g = norm(m["move"] @ (e[t] * g))
+        want["first"] += gamma
+    assert got["move"].sum() == pytest.approx(sum(len(t) - 1 for t in texts), rel=1e-3)  # no transition is lost
+    for x in ("move", "first", "emit"):
+        assert np.abs(got[x] - want[x]).max() < 0.01 * want[x].max()
+
+
 def test_lookup():
     rng = np.random.default_rng(1)
     keys = rng.integers(0, 1 << 63, 5000, dtype=np.uint64) * np.uint64(2)
