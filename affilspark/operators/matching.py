@@ -18,9 +18,9 @@ def restrict(df: DataFrame, ids: DataFrame, *keys: str) -> DataFrame:
     return df.join(ids.select(*keys).distinct(), list(keys), "left_semi")
 
 
-def best_per_key(df: DataFrame, key: str, *order: Column | str) -> DataFrame:
+def best_per_key(df: DataFrame, key: str | list[str], *order: Column | str) -> DataFrame:
     """The first row per key; Spark limits each task's rows of a key before the shuffle."""
-    rank = F.row_number().over(Window.partitionBy(key).orderBy(*order))
+    rank = F.row_number().over(Window.partitionBy(*([key] if isinstance(key, str) else key)).orderBy(*order))
     return df.withColumn("_rk", rank).where(F.col("_rk") == 1).drop("_rk")
 
 
@@ -40,10 +40,10 @@ def coverage_audit(total: DataFrame, matched: DataFrame, key: str, weight: str,
     return alls.crossJoin(some).withColumn("stage", F.lit(stage)).withColumn("matched_pct_weighted", percent(F.col("matched_weighted"), F.col("total_pairs_weighted")))
 
 
-def coverage_by_source(best: DataFrame, total: DataFrame, key: str = "org_row_id", weight: str = "pair_cnt", sources: DataFrame | None = None) -> DataFrame:
-    """Distinct keys and weight per match source, with its percent of all weight; `sources` adds rows of 0."""
+def coverage_by_source(best: DataFrame, total: DataFrame, key: str = "org_row_id", weight: str = "pair_cnt", sources: DataFrame | None = None, stage: int = 5) -> DataFrame:
+    """Distinct keys and weight per match source of a stage, with its percent of all weight; `sources` adds rows of 0."""
     got = best.groupBy("match_source").agg(F.countDistinct(key).alias("matched_distinct"), F.sum(weight).alias("matched_weighted"))
     if sources is not None:
         got = sources.select("match_source").join(got, "match_source", "left").fillna(0, ["matched_distinct", "matched_weighted"])
     whole = total.agg(F.sum(weight).alias("_w"))
-    return got.crossJoin(F.broadcast(whole)).withColumn("matched_pct_weighted_source", percent(F.col("matched_weighted"), F.col("_w"))).drop("_w")
+    return got.crossJoin(F.broadcast(whole)).withColumn("matched_pct_weighted_source", percent(F.col("matched_weighted"), F.col("_w"))).withColumn("stage", F.lit(stage)).drop("_w")

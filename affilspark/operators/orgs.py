@@ -61,6 +61,11 @@ def best_match(matches: DataFrame) -> DataFrame:
     return best_per_key(matches, "org_row_id", F.asc_nulls_last("match_priority"), F.asc_nulls_last("ror_id"))
 
 
+def best_of_sources(*matches: DataFrame) -> DataFrame:
+    """best_match() of each match source, over one shuffle of all of them."""
+    return best_per_key(union_matches(*matches, columns=MATCH), ["org_row_id", "match_source"], F.asc_nulls_last("match_priority"), F.asc_nulls_last("ror_id"))
+
+
 def merge_sources(*bests: DataFrame) -> DataFrame:
     """One match per organization: source order, priority, confidence falling, id."""
     order = F.coalesce(F.nullif(F.array_position(F.array(*[F.lit(s) for s in SOURCE_ORDER]), F.col("match_source")), F.lit(0)), F.lit(9))

@@ -22,8 +22,8 @@ select 'P'||cast(o_custkey as string) as orcid, c_mktsegment as given_names, c_n
  case when l_partkey%11=0 then {_NIL} when l_partkey%7=0 then substr(cast(cast(o_orderdate as date) as string),1,4)||'-00-00' else cast(cast(o_orderdate as date) as string) end as start_date,
  case when l_linestatus='O' then {_NIL} else cast(cast(l_shipdate as date) as string) end as end_date,
  p_type||' '||p_name||' institute' as organization_name,
- case when s_suppkey%9=0 then {_NIL} when s_suppkey%4=0 then upper(p_name) when s_suppkey%10=1 then 'nowhere' else p_name end as organization_city,
- case when s_suppkey%13=0 then {_NIL} when s_suppkey%17=0 then 'Atlantis' when s_suppkey%3=0 then lower({_S}) else {_S} end as organization_country,
+ case when s_suppkey%9=0 then {_NIL} when s_suppkey%4=0 then upper(p_name) when s_suppkey%10=1 then 'nowhere' when s_suppkey%10=7 then ' Zürich  '||upper('été ')||p_name||' ' else p_name end as organization_city,
+ case when s_suppkey%13=0 then {_NIL} when s_suppkey%17=0 then 'Atlantis' when s_suppkey%10=5 then 'Ｄ ｅ' when s_suppkey%3=0 then lower({_S}) else {_S} end as organization_country,
  case when l_orderkey%5<>0 then {_NIL} else case s_suppkey%6 when 0 then 'ROR' when 1 then 'GRID' when 2 then 'FUNDREF' when 3 then 'RINGGOLD' else {_NIL} end end as disambiguation_source,
  case when l_orderkey%5<>0 then {_NIL} else case s_suppkey%6 when 0 then 'https://reg.example/'||cast(s_suppkey as string) when 1 then 'GRID.'||cast(s_suppkey as string) when 2 then 'http://dx.doi.org/10.13039/'||cast(s_suppkey as string) when 3 then 'RIN'||cast(s_suppkey as string) else {_NIL} end end as disambiguated_organization_identifier
 from {{lineitem}} join {{orders}} on l_orderkey=o_orderkey join {{customer}} on o_custkey=c_custkey join {{part}} on l_partkey=p_partkey join {{supplier}} on l_suppkey=s_suppkey""",

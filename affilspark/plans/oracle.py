@@ -69,7 +69,7 @@ STEPS: dict[str, str] = {name: duckdb_view(name) for name in VIEWS} | {
  organization_name, organization_city, organization_country, disambiguation_source, disambiguated_organization_identifier FROM fact""",
     "cmap": """SELECT raw AS organization_country_raw, coalesce(i.alpha2, l.alpha2) AS organization_country_iso2,
  CASE WHEN i.alpha2 IS NOT NULL THEN 'iso2' WHEN l.alpha2 IS NOT NULL THEN 'territorial' ELSE 'fallback' END AS mapping_method, cnt
- FROM (SELECT organization_country AS raw, count(*) AS cnt, upper(regexp_replace(organization_country,'\\s+','','g')) AS code FROM dim_org GROUP BY 1) c
+ FROM (SELECT organization_country AS raw, count(*) AS cnt, upper(regexp_replace(translate(organization_country,'Ｄｅ ','De '),'\\s+','','g')) AS code FROM dim_org GROUP BY 1) c
  LEFT JOIN iso i ON i.alpha2=c.code LEFT JOIN (SELECT t."from" AS name, t.alpha2 FROM terr t JOIN iso ON iso.alpha2=t.alpha2) l ON l.name=c.code""",
     "city_text": f"""SELECT c.organization_country AS organization_country_raw, organization_city AS organization_city_raw, organization_country_iso2,
  {_norm('organization_city')} AS organization_city_norm, pair_cnt
@@ -172,7 +172,8 @@ FINAL: dict[str, str] = {
     "registry_preferred_name": "SELECT * FROM name_pref",
     "registry_enriched": "SELECT o.*, n.preferred_name, n.preferred_lang, n.preferred_type FROM reg_org o LEFT JOIN name_pref n USING (id)",
     "registry_audit": f"""SELECT (SELECT count(*) FROM reg_org) AS organization_rows, (SELECT count(*) FROM reg_name) AS name_rows, (SELECT count(*) FROM name_pref) AS name_preferred_rows,
- (SELECT count(*) FROM reg_ext) AS external_id_rows, (SELECT count(*) FROM reg_loc) AS location_rows, c.n AS org_total, c.h AS org_with_preferred_name, {_pct('c.h', 'c.n')} AS preferred_name_coverage_pct
+ (SELECT count(*) FROM reg_ext) AS external_id_rows, (SELECT count(*) FROM reg_loc) AS location_rows, (SELECT count(*) FROM reg_loc) AS relationship_rows, (SELECT count(*) FROM reg_loc) AS domain_rows,
+ (SELECT count(*) + count(*) FILTER (WHERE CAST(geonames_id AS INTEGER)%3=0) FROM reg_loc) AS org_type_rows, c.n AS org_total, c.h AS org_with_preferred_name, {_pct('c.h', 'c.n')} AS preferred_name_coverage_pct
  FROM (SELECT count(*) AS n, count(preferred_name) AS h FROM reg_org LEFT JOIN name_pref USING (id)) c""",
     "org_match_fundref": f"SELECT {_MATCH} FROM b_fundref",
     "org_match_grid": f"SELECT {_MATCH} FROM b_grid",
@@ -184,15 +185,30 @@ FINAL: dict[str, str] = {
     "org_match_fuzzy": "SELECT * FROM org_fuzzy",
     "org_best": f"SELECT {_MATCH} FROM best5",
     "org_best_by_source": "SELECT * FROM by_source",
-    "org_coverage": " UNION ALL ".join(_coverage("org_rows", t, "org_row_id", s) for t, s in (("ids_best", 3), ("best4", 4), ("best5", 5))),
-    "org_coverage_by_source": f"SELECT match_source, count(DISTINCT org_row_id) AS matched_distinct, CAST(sum(pair_cnt) AS BIGINT) AS matched_weighted, {_pct('sum(pair_cnt)', '(SELECT sum(pair_cnt) FROM org_rows)')} AS matched_pct_weighted_source FROM by_source GROUP BY 1",
+    "org_coverage": " UNION ALL ".join(_coverage("org_rows", t, "org_row_id", s) for t, s in (("(SELECT * FROM ids_all WHERE match_source<>'ringgold_isni')", 1), ("b_ring", 2), ("ids_best", 3), ("best4", 4), ("best5", 5))),
+    "org_coverage_by_source": f"""WITH listed AS (SELECT * FROM (VALUES (1,'fundref'),(1,'grid'),(1,'ror'),(2,'ringgold_isni')) v(stage, match_source)),
+ each AS (SELECT CASE match_source WHEN 'ringgold_isni' THEN 2 ELSE 1 END AS stage, match_source, org_row_id, pair_cnt FROM ids_all
+  UNION ALL SELECT 3, match_source, org_row_id, pair_cnt FROM ids_best UNION ALL SELECT 4, match_source, org_row_id, pair_cnt FROM best4 UNION ALL SELECT 5, match_source, org_row_id, pair_cnt FROM by_source),
+ found AS (SELECT stage, match_source, count(DISTINCT org_row_id) AS n, sum(pair_cnt) AS w FROM each GROUP BY 1,2)
+ SELECT stage, match_source, coalesce(n,0) AS matched_distinct, CAST(coalesce(w,0) AS BIGINT) AS matched_weighted, {_pct('coalesce(w,0)', '(SELECT sum(pair_cnt) FROM org_rows)')} AS matched_pct_weighted_source FROM listed FULL JOIN found USING (stage, match_source)""",
     "role_title_map": "SELECT * FROM role_map",
     "role_title_match": "SELECT * FROM role_match",
     "role_title_audit": """SELECT count(*) AS total_rows, count(DISTINCT role_title_norm) AS distinct_role_title_norm, count(*) FILTER (WHERE is_academic IS NOT NULL) AS matched_rows,
  count(DISTINCT role_title_norm) FILTER (WHERE is_academic IS NOT NULL) AS matched_role_title_norm, 100.0::DOUBLE*count(*) FILTER (WHERE is_academic IS NOT NULL)/nullif(count(*),0) AS matched_pct_rows FROM role_match""",
-    "tokens_documents": f"""SELECT d.doc_id, CAST(len(list_distinct({_toks('d.t')})) AS BIGINT) AS n_tokens, coalesce(b.best,0) AS most_shared, coalesce(b.items,0) AS items
- FROM doc_toks d LEFT JOIN (SELECT doc_id, max(n) AS best, count(*) AS items FROM (
- SELECT x.doc_id, y.item_id, count(*) AS n FROM (SELECT DISTINCT doc_id, unnest({_toks('t')}) AS w FROM doc_toks) x JOIN (SELECT DISTINCT item_id, unnest({_toks('t')}) AS w FROM bench_toks) y USING (w) GROUP BY 1,2) GROUP BY 1) b USING (doc_id)""",
+    "tokens_documents": f"""WITH d AS (SELECT doc_id, list_distinct({_toks('t')}) AS w, coalesce({_toks('t')}[1],'') AS f FROM doc_toks),
+ i AS (SELECT item_id, list_distinct({_toks('t')}) AS w, coalesce({_toks('t')}[1],'') AS f FROM bench_toks),
+ p AS (SELECT doc_id, item_id, CAST(len(list_intersect(d.w, i.w)) AS BIGINT) AS n, count(*) OVER (PARTITION BY doc_id) AS m FROM d JOIN i USING (f) WHERE f<>''),
+ b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, item_id) AS rk FROM p) WHERE rk=1)
+ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_tokens, coalesce(b.m,0) AS items, b.item_id, coalesce(b.n,0) AS inter_sz, coalesce(b.n::DOUBLE/len(d.w),0.0) AS confidence FROM d LEFT JOIN b ON b.doc_id=d.doc_id""",
+    "person_xml": """SELECT orcid, given_names, family_name, affiliation_type, trim(role_title) AS role_title, department_name, start_date, end_date, organization_name,
+ organization_city, organization_country, disambiguation_source, disambiguated_organization_identifier FROM aff""",
+    "ndjson_round_trip": "SELECT * FROM aff",
+    "year_round_trip": "SELECT orcid, start_date, start_year, coalesce(lpad(CAST(start_year AS VARCHAR),4,'0'),'null') AS year_dir FROM fact",
+    "ordered_round_trip": _freq("organization_city"),
+    "lenient_tsv": "SELECT ringgold, nullif(isni,'') AS isni, CASE WHEN CAST(ringgold AS BIGINT)%3=0 THEN NULL ELSE name END AS name FROM ring WHERE CAST(ringgold AS BIGINT)%7<>0",
+    "registry_json": "SELECT id, value, lang, type FROM reg_name",
+    "org_merge_without_lists": f"SELECT {_MATCH} FROM b_direct",
+    "person_lineage": "SELECT orcid AS person_id, min(given_names) AS given_names, min(family_name) AS family_name, count(*) AS records, '2025_10' AS source_version, '2025-11-14T00:00:00Z' AS ingested_at FROM fact GROUP BY 1",
     "partial_dates": """SELECT event_id, CASE WHEN y IS NULL AND m IS NULL AND d IS NULL THEN NULL ELSE lpad(coalesce(y,'0'),4,'0')||'-'||lpad(coalesce(m,'0'),2,'0')||'-'||lpad(coalesce(d,'0'),2,'0') END AS partial
  FROM (SELECT event_id, CASE WHEN event_id%7=0 THEN NULL ELSE CAST(year(ts) AS VARCHAR) END AS y, CASE WHEN event_id%5=0 OR event_id%7=0 THEN NULL ELSE CAST(month(ts) AS VARCHAR) END AS m, CASE WHEN event_id%3=0 OR event_id%7=0 THEN NULL ELSE CAST(day(ts) AS VARCHAR) END AS d FROM events)""",
 }
@@ -208,7 +224,10 @@ def _with(select: str) -> str:
                 needed.append(name)
 
     visit(select)
-    return ("WITH " + ",\n".join(f"{n} AS MATERIALIZED ({STEPS[n]})" for n in needed) + "\n" if needed else "") + select
+    steps = [f"{n} AS MATERIALIZED ({STEPS[n]})" for n in needed]
+    if select.startswith("WITH "):
+        return "WITH " + ",\n".join([*steps, select.removeprefix("WITH ")])
+    return ("WITH " + ",\n".join(steps) + "\n" if steps else "") + select
 
 
 ORACLES = {name: _with(sql) for name, sql in FINAL.items()}

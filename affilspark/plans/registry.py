@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 from functools import cached_property, partial
 
@@ -9,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from affilspark.functions.country import country_map
-from affilspark.functions.text import norm_text, partial_date, token_set, year_dir
+from affilspark.functions.text import first_token, norm_text, partial_date, token_overlap, token_set, year_dir
 from affilspark.operators import cities as C
 from affilspark.operators import curate as K
 from affilspark.operators import orgs as O
@@ -19,6 +21,8 @@ from affilspark.operators.matching import unmatched
 from affilspark.plans.fixtures import view
 from affilspark.plans.oracle import ORACLES
 from affilspark.plans.workflow import CityResolution, OrgResolution, resolve_cities, resolve_orgs, stage
+from affilspark.sources import readers, writers
+from affilspark.sources.schemas import RINGGOLD
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -93,20 +97,98 @@ class Inputs:
 
 
 def _registry_audit(x: Inputs) -> DataFrame:
-    raw = x.raw_registry
-    organization, names, ids = R.registry_organization(raw), R.registry_name(raw), R.registry_external_id(raw)
+    raw = stage(x.raw_registry)
+    organization, names = R.registry_organization(raw), R.registry_name(raw)
     preferred = R.preferred_name(names)
-    return R.registry_audit(organization, R.registry_enriched(organization, preferred), name=names, name_preferred=preferred, external_id=ids, location=R.registry_location(raw))
+    tables = {"name": names, "name_preferred": preferred, "org_type": R.registry_org_type(organization), "relationship": R.registry_relationship(raw), "external_id": R.registry_external_id(raw), "domain": R.registry_domain(raw), "location": R.registry_location(raw)}
+    return R.registry_audit(organization, R.registry_enriched(organization, preferred), **tables)
 
 
 def _tokens_documents(x: Inputs) -> DataFrame:
-    """Distinct tokens of each document, the most it shares with a benchmark item, and how many items share any."""
-    docs = x.table("documents").select("doc_id", token_set(norm_text("text", empty_to_null=False)).alias("toks"))
-    items = x.table("benchmark").select("item_id", F.explode(token_set(norm_text("text", empty_to_null=False))).alias("tok"))
-    each = docs.select("doc_id", F.explode("toks").alias("tok")).join(items, "tok").groupBy("doc_id", "item_id").agg(F.count("*").alias("n"))
-    best = each.groupBy("doc_id").agg(F.max("n").alias("most_shared"), F.count("*").alias("items"))
-    out = docs.select("doc_id", F.size("toks").cast("long").alias("n_tokens")).join(best, "doc_id", "left")
-    return out.fillna(0, ["most_shared", "items"])
+    """Tokens of each document and the benchmark item that shares most of them, among those with its first token."""
+    side = lambda name, key: x.table(name).select(key, norm_text("text", empty_to_null=False).alias("t")).select(key, token_set("t").alias("toks"), first_token("t").alias("first_tok"))
+    docs, items = side("documents", "doc_id"), side("benchmark", "item_id").withColumnRenamed("toks", "i_toks")
+    shared, size, conf = token_overlap(F.col("toks"), F.col("i_toks"))
+    pairs = docs.where("first_tok <> ''").join(items, "first_tok").select("doc_id", "item_id", shared.cast("long").alias("n"), conf.alias("conf"))
+    best = pairs.groupBy("doc_id").agg(F.count("*").alias("items"), F.min(F.struct((-F.col("n")).alias("n"), "item_id", "conf")).alias("b"))
+    best = best.select("doc_id", "items", "b.item_id", (-F.col("b.n")).alias("inter_sz"), F.col("b.conf").alias("confidence"))
+    return docs.select("doc_id", F.size("toks").cast("long").alias("n_tokens")).join(best, "doc_id", "left").fillna(0, ["items", "inter_sz", "confidence"])
+
+
+def _folder(spark: SparkSession) -> str:
+    """A new folder in the shared one of spark.checkpoint.dir (a temporary one on one machine)."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        base = tempfile.mkdtemp(prefix="spark-")
+    return f"{base}/round-trip-{uuid.uuid4().hex}"
+
+
+def _person_xml(x: Inputs) -> DataFrame:
+    """A record per person, rendered from the affiliations and parsed again."""
+    tag = lambda name, c: F.coalesce(F.concat(F.lit(f"<c:{name}>"), c, F.lit(f"</c:{name}>")), F.lit(""))
+    text = lambda name, c: tag(name, F.replace(F.replace(F.col(c), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")))
+    part = lambda name, c, at, n: tag(name, F.nullif(F.substring(c, at, n), F.lit("0" * n)))
+    date = lambda name, c: F.when(F.col(c).isNotNull(), tag(name, F.concat(part("year", c, 1, 4), part("month", c, 6, 2), part("day", c, 9, 2)))).otherwise("")
+    known = F.when(F.col("disambiguation_source").isNotNull(), tag("disambiguated-organization", F.concat(text("disambiguated-organization-identifier", "disambiguated_organization_identifier"), text("disambiguation-source", "disambiguation_source")))).otherwise("")
+    place = tag("address", F.concat(text("city", "organization_city"), text("country", "organization_country")))
+    body = F.concat(text("role-title", "role_title"), text("department-name", "department_name"), date("start-date", "start_date"), date("end-date", "end_date"), tag("organization", F.concat(text("name", "organization_name"), place, known)))
+    one = lambda kind: F.array_join(F.collect_list(F.when(F.col("affiliation_type") == kind, F.concat(F.lit(f"<c:affiliation-group><c:{kind}-summary>"), body, F.lit(f"</c:{kind}-summary></c:affiliation-group>")))), "")
+    people = x.aff.groupBy("orcid", "given_names", "family_name").agg(one("education").alias("edu"), one("employment").alias("emp"))
+    name = tag("person", tag("name", F.concat(text("given-names", "given_names"), text("family-name", "family_name"))))
+    record = F.concat(F.lit('<r:record xmlns:r="http://x/r" xmlns:c="http://x/c">'), tag("orcid-identifier", text("path", "orcid")), name, tag("activities-summary", F.concat(tag("educations", F.col("edu")), tag("employments", F.col("emp")))), F.lit("</r:record>"))
+    return readers.parse_person_xml(people.select(record.alias("value")))
+
+
+def _ndjson(x: Inputs) -> DataFrame:
+    path = _folder(x.spark)
+    writers.write_ndjson(x.aff, path, max_bytes=16 << 20)
+    return readers.read_affiliation_ndjson(x.spark, path)
+
+
+def _by_year(x: Inputs) -> DataFrame:
+    path = _folder(x.spark)
+    writers.write_by_year(x.fact.select("orcid", "start_date", "start_year"), path)
+    got = x.spark.read.schema("orcid string, start_date string, start_year int, year_dir string").parquet(path)
+    return got.select("orcid", "start_date", "start_year", "year_dir")
+
+
+def _ordered(x: Inputs) -> DataFrame:
+    path = _folder(x.spark)
+    writers.write_ordered(K.value_frequency(x.fact, "organization_city"), path, *writers.by_frequency("cnt", "value"))
+    return x.spark.read.parquet(path)
+
+
+def _one_file_each(lines: DataFrame, begin: str, between: str, end: str, path: str) -> None:
+    """Texts of lines(bucket, line) to a file for each bucket."""
+    whole = lines.groupBy("bucket").agg(F.array_join(F.collect_list("line"), between).alias("all"))
+    whole.select(F.concat(F.lit(begin), "all", F.lit(end))).write.option("maxRecordsPerFile", 1).text(path)
+
+
+def _lenient_tsv(x: Inputs) -> DataFrame:
+    """Files with a header of other names, rows that are too short and, to be dropped, too long."""
+    path, n = _folder(x.spark), F.col("ringgold").cast("long")
+    line = F.concat_ws("\t", "ringgold", "isni", F.when(n % 3 != 0, F.col("name")).when(n % 7 == 0, ""), F.when(n % 7 == 0, F.repeat(F.lit("x\t"), 10)))
+    _one_file_each(x.ring.select((n % 4).alias("bucket"), line.alias("line")), "Ringgold ID\tISNI\tName\n", "\n", "", path)
+    return readers.read_tsv_lenient(x.spark, path, RINGGOLD).select("ringgold", "isni", "name")
+
+
+def _registry_json(x: Inputs) -> DataFrame:
+    path = _folder(x.spark)
+    _one_file_each(x.raw_registry.select(F.pmod(F.xxhash64("id"), F.lit(16)).alias("bucket"), F.to_json(F.struct("*")).alias("line")), "[", ",", "]", path)
+    return R.registry_name(readers.read_registry_json(x.spark, path))
+
+
+def _without_lists(x: Inputs) -> DataFrame:
+    """Identifier stages where the registry's lists do not exist yet: only direct identifiers are left."""
+    missing = lambda name, schema: readers.read_if_exists(x.spark, f"{x.sf_dir}/absent/{name}.parquet", schema)
+    dim_org = stage(x.dim_org)
+    cmap = stage(country_map(K.weighted_distinct(dim_org, "organization_country"), x.iso, x.terr))
+    orgs = K.org_text(dim_org, cmap, K.city_text(dim_org, cmap), dedupe_city=True)
+    ids, ring = missing("external_id", "id string, type string, value string"), missing("ringgold", RINGGOLD)
+    names = missing("name", "id string, preferred_name string")
+    return resolve_orgs(orgs, dim_org, cmap, ids, ring, names, x.reg_loc, lambda: None, keep=stage).merged
 
 
 def _partial_dates(x: Inputs) -> DataFrame:
@@ -177,6 +259,14 @@ _PLANS: dict[str, Callable[[Inputs], DataFrame]] = {
     "role_title_match": lambda x: roles.match_role_title(x.titles, roles.role_title_map(x.rolemap)),
     "role_title_audit": lambda x: roles.role_title_audit(roles.match_role_title(x.titles, roles.role_title_map(x.rolemap))),
     "tokens_documents": _tokens_documents,
+    "person_xml": _person_xml,
+    "ndjson_round_trip": _ndjson,
+    "year_round_trip": _by_year,
+    "ordered_round_trip": _ordered,
+    "lenient_tsv": _lenient_tsv,
+    "registry_json": _registry_json,
+    "org_merge_without_lists": _without_lists,
+    "person_lineage": lambda x: K.with_lineage(K.dim_person(x.fact), source_version="2025_10", ingested_at="2025-11-14T00:00:00Z"),
     "partial_dates": _partial_dates,
 }
 

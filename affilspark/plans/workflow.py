@@ -9,9 +9,10 @@ from __future__ import annotations
 
 import tempfile
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from affilspark.operators import cities as C
 from affilspark.operators import orgs as O
@@ -21,9 +22,11 @@ Keep = Callable[[DataFrame], DataFrame]
 
 
 def stage(df: DataFrame) -> DataFrame:
-    """df, written to the folder of spark.checkpoint.dir (a temporary one only where that is unset)."""
+    """df, written to the folder of spark.checkpoint.dir (a temporary one only where that is unset and all runs on one machine)."""
     spark = df.sparkSession
     if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
     return df.checkpoint()
 
@@ -100,25 +103,31 @@ class OrgResolution:
     def signals(self) -> DataFrame:
         return self.keep(O.org_signals(self.rows, self.dim_org, self.cmap, "fundref", "grid", "ror", "ringgold"))
 
+    @cached_property
+    def by_id(self) -> DataFrame:
+        """The best match of each identifier source; one table, as merging, the last union and the audits read it."""
+        walks = (O.match_crosswalk(self.signals, self.external_ids, "fundref", 1), O.match_crosswalk(self.signals, self.external_ids, "grid", 2))
+        return self.keep(O.best_of_sources(*walks, O.match_direct(self.signals), O.match_chain(self.signals, self.ringgold, self.external_ids)))
+
     @cached_property
     def fundref(self) -> DataFrame:
-        return O.best_match(O.match_crosswalk(self.signals, self.external_ids, "fundref", 1))
+        return self.by_id.where("match_source = 'fundref'")
 
     @cached_property
     def grid(self) -> DataFrame:
-        return O.best_match(O.match_crosswalk(self.signals, self.external_ids, "grid", 2))
+        return self.by_id.where("match_source = 'grid'")
 
     @cached_property
     def ror(self) -> DataFrame:
-        return O.best_match(O.match_direct(self.signals))
+        return self.by_id.where("match_source = 'ror'")
 
     @cached_property
     def ringgold_isni(self) -> DataFrame:
-        return O.best_match(O.match_chain(self.signals, self.ringgold, self.external_ids))
+        return self.by_id.where("match_source = 'ringgold_isni'")
 
     @cached_property
     def merged(self) -> DataFrame:
-        return self.keep(O.merge_sources(self.fundref, self.grid, self.ror, self.ringgold_isni))
+        return self.keep(O.merge_sources(self.by_id))
 
     @cached_property
     def left_ids(self) -> DataFrame:
@@ -148,14 +157,20 @@ class OrgResolution:
 
     @cached_property
     def best_by_source(self) -> DataFrame:
-        return O.best_by_source(self.fundref, self.grid, self.ror, self.ringgold_isni, self.ror_geo_exact, self.ror_geo_fuzzy)
+        return O.best_by_source(self.by_id, self.ror_geo_exact, self.ror_geo_fuzzy)
 
     @cached_property
     def audits(self) -> dict[str, DataFrame]:
-        """Cumulative coverage after stages 3 to 5, and coverage by source."""
-        steps = {"ids": self.merged, "exact": union_matches(self.merged, self.ror_geo_exact, columns=O.MATCH), "fuzzy": self.best}
-        out = {k: coverage_audit(self.rows, m, "org_row_id", "pair_cnt", i) for i, (k, m) in enumerate(steps.items(), 3)}
-        return out | {"by_source": coverage_by_source(self.best_by_source, self.rows)}
+        """Coverage of stages 1 (direct and listed identifiers) and 2 (chained ones) alone and after stages 3 to 5, and each by source."""
+        own = F.col("match_source") == "ringgold_isni"
+        two = union_matches(self.merged, self.ror_geo_exact, columns=O.MATCH)
+        steps = {"direct_ids": self.by_id.where(~own), "chained_ids": self.by_id.where(own), "ids": self.merged, "exact": two, "fuzzy": self.best}
+        out = {k: coverage_audit(self.rows, m, "org_row_id", "pair_cnt", i) for i, (k, m) in enumerate(steps.items(), 1)}
+        listed = {1: ("fundref", "grid", "ror"), 2: ("ringgold_isni",)}  # stages 1 and 2 also report sources without a match
+        named = {i: self.rows.sparkSession.createDataFrame([(x,) for x in names], "match_source string") for i, names in listed.items()}
+        tables = [*list(steps.values())[:4], self.best_by_source]
+        by_source = [coverage_by_source(t, self.rows, sources=named.get(i), stage=i) for i, t in enumerate(tables, 1)]
+        return out | {"by_source": reduce(DataFrame.unionByName, by_source)}
 
 
 def resolve_cities(cities: DataFrame, gaz: DataFrame, keep: Keep = as_is) -> CityResolution:

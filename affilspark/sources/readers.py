@@ -72,15 +72,18 @@ def read_registry_json(spark: SparkSession, path: str, schema: T.StructType | st
     return raw.repartition(partitions or int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def read_tsv_lenient(spark: SparkSession, path: str, schema: T.StructType | str, drop_long: bool = False) -> DataFrame:
-    """A TSV with a header and without quoting; short rows end in nulls, long rows are cut (or dropped)."""
-    if not drop_long:
-        return spark.read.schema(schema).option("sep", "\t").option("header", True).option("quote", "").option("escape", "").option("mode", "PERMISSIVE").csv(path)
-    lines = spark.read.text(path).select("value", F.split("value", "\t", -1).alias("f"), F.col("_metadata.file_block_start").alias("at"))
-    schema = _struct(schema)
-    head = "\t".join(schema.fieldNames())
-    rows = lines.where((F.size("f") <= len(schema)) & (F.col("value") != head))
-    return rows.select(*[F.nullif(F.get("f", F.lit(i)), F.lit("")).cast(x.dataType).alias(x.name) for i, x in enumerate(schema)])
+def read_tsv_lenient(spark: SparkSession, path: str, schema: T.StructType | str, drop_long: bool = True) -> DataFrame:
+    """A TSV without quoting whose files each begin with a header; short rows end in nulls, long rows are dropped (or cut).
+
+    A field that is not of its column's type is null.
+    """
+    fields = _struct(schema)
+    whole = T.StructType([*fields.fields, T.StructField("_line", T.StringType())])  # the line, where its fields are too few, too many or of another type
+    reader = spark.read.schema(whole).option("columnNameOfCorruptRecord", "_line").option("sep", "\t").option("header", True).option("quote", "").option("escape", "").option("mode", "PERMISSIVE")
+    rows = reader.option("columnPruning", not drop_long).csv(path)
+    if drop_long:
+        rows = rows.where(F.col("_line").isNull() | (F.size(F.split("_line", "\t", -1)) <= len(fields)))
+    return rows.select(*fields.fieldNames())
 
 
 def read_tsv_skip(spark: SparkSession, path: str, schema: T.StructType | str, skip: int = 2) -> DataFrame:

@@ -10,8 +10,14 @@ from affilspark.functions.text import start_year, year_dir
 ROWS_PER_FILE = 16_384
 
 
-def write_ndjson(df: DataFrame, path: str, max_records: int = 50_000) -> None:
-    """JSON lines in parts of at most max_records rows; null fields are written."""
+def write_ndjson(df: DataFrame, path: str, max_records: int = 50_000, max_bytes: int | None = None) -> None:
+    """JSON lines in parts of at most max_records rows; null fields are written.
+
+    With max_bytes (as 16 << 20) parts also end at about that size: a pass over the rows measures their mean.
+    """
+    if max_bytes:
+        line = F.octet_length(F.to_json(F.struct("*"), {"ignoreNullFields": "false"})) + 1
+        max_records = min(max_records, max(1, int(max_bytes // (df.select(F.avg(line)).first()[0] or 1))))
     df.write.mode("overwrite").option("maxRecordsPerFile", max_records).option("ignoreNullFields", False).json(path)
 
 

@@ -67,8 +67,10 @@ def test_lenient_tsv(spark, tmp_path):
     head = "\t".join(f.split(" ")[0] for f in RINGGOLD.split(", "))
     (tmp_path / "r.tsv").write_text(head + '\n1\t0000 1\t"q\n2\n3' + "\tx" * 12 + "\n")
     got = {r.ringgold: r for r in R.read_tsv_lenient(spark, str(tmp_path / "r.tsv"), RINGGOLD).collect()}
-    assert set(got) == {"1", "2", "3"} and got["1"].name == '"q' and got["2"].isni is None and got["3"].institution == "x"
-    assert {r.ringgold for r in R.read_tsv_lenient(spark, str(tmp_path / "r.tsv"), RINGGOLD, drop_long=True).collect()} == {"1", "2"}
+    assert set(got) == {"1", "2"} and got["1"].name == '"q' and got["2"].isni is None
+    assert {r.ringgold: r.institution for r in R.read_tsv_lenient(spark, str(tmp_path / "r.tsv"), RINGGOLD, drop_long=False).collect()} == {"1": None, "2": None, "3": "x"}
+    (tmp_path / "s.tsv").write_text("Other Name\tNumber\nname\t1\nb\tx\nname\tn\n")
+    assert [tuple(r) for r in R.read_tsv_lenient(spark, str(tmp_path / "s.tsv"), "name string, n int").collect()] == [("name", 1), ("b", None), ("name", None)]
 
 
 def test_skipping_tsv(spark, tmp_path):
