@@ -17,10 +17,12 @@ def session(df: DataFrame) -> SparkSession:
 def cut(df: DataFrame) -> DataFrame:
     """Cuts the lineage with a reliable checkpoint in the shared folder of spark.checkpoint.dir.
 
-    Only where that setting is absent (tests, local runs) a temporary folder is taken.
+    Only where that setting is absent and all runs on one machine (tests) a temporary folder is taken.
     """
     spark = df.sparkSession
     if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
     return df.checkpoint(eager=True)
 
