@@ -201,6 +201,8 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 #: Bits of a wide fingerprint, and how many standard deviations a pair at the least similarity may lie beyond its mean distance.
 WIDE, MARGIN = 256, 5
 CHECKS = [f"c{i}" for i in range(WIDE // 64)]
+#: So many buckets' worth of nodes may share a shingle before they meet on parts of their sets instead.
+CROWD = 64
 #: Most shingles of a set that is compared by its whole prefix; fingerprints of few shingles are too coarse.
 FEW = 32
 
@@ -351,7 +353,7 @@ def _alike(sets: list[np.ndarray], similarity: float) -> tuple[np.ndarray, np.nd
         has[owner[i:j], column[i:j] - lo] = 1
         both += has @ has.T
     both = both.astype(np.float64)
-    return _span(m, *np.nonzero(np.triu(both / (sizes[:, None] + sizes[None, :] - both) >= similarity, 1)))
+    return _span(m, *np.nonzero(np.triu(both >= similarity * (sizes[:, None] + sizes[None, :] - both) - 1e-9, 1)))
 
 
 def _compare_sets(similarity: float):
@@ -385,17 +387,16 @@ def _compare_sets(similarity: float):
     return run
 
 
-def _dealt(keyed: DataFrame, sizes: DataFrame, bucket: int) -> DataFrame:
-    """keyed(node, ..., t, key) sorted by t, key and pair of hashed chunks x, y; sizes: t and key of what is counted.
+def _in_chunks(sized: DataFrame, bucket: int) -> DataFrame:
+    """sized(node, ..., t, key, n) sorted by t, key and pair of hashed chunks x, y; n: the rows of t and key.
 
     A bucket of up to `bucket` rows is one chunk; a larger one meets as pairs of chunks, so no task gets a hot one.
     """
-    rest = [c for c in keyed.columns if c not in ("t", "key")]
-    hot = sizes.groupBy("t", "key").count().where(F.col("count") > bucket).select("t", "key", F.ceil(F.col("count") / bucket).cast("int").alias("chunks"))
-    dealt = keyed.join(hot, ["t", "key"], "left").withColumn("c", F.when(F.col("chunks").isNotNull(), F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")).otherwise(0))
-    dealt = dealt.withColumn("d", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("chunks"), F.lit(1)) - 1)))
+    rest = [c for c in sized.columns if c not in ("t", "key", "n")]
+    chunks = F.ceil(F.col("n") / bucket).cast("int")
+    dealt = sized.withColumn("c", F.pmod(F.xxhash64("node"), chunks).cast("int")).withColumn("d", F.explode(F.sequence(F.lit(0), chunks - 1)))
     dealt = dealt.select(*rest, "t", "key", F.least("c", "d").alias("x"), F.greatest("c", "d").alias("y"))
-    return dealt.repartition(parts(keyed.sparkSession), "t", "key", "x", "y").sortWithinPartitions("t", "key", "x", "y", "node")
+    return dealt.repartition(parts(sized.sparkSession), "t", "key", "x", "y").sortWithinPartitions("t", "key", "x", "y", "node")
 
 
 def _set_parts(similarity: float, words: int):
@@ -410,39 +411,74 @@ def _set_parts(similarity: float, words: int):
     return run
 
 
-def similar_links(nodes: DataFrame, texts_of, similarity: float = 0.8, bucket: int = BUCKET, words: int = 5) -> DataFrame:
+def similar_links(nodes: DataFrame, texts_of, similarity: float = 0.8, bucket: int = BUCKET, words: int = 5, crowd: int = CROWD) -> DataFrame:
     """Edges (a, b) that span the candidate pairs of nodes(node, lead, c0, ...): those that share a block and are within a loose bound.
 
-    Any two alike sets share one of their `lead` least shingles, so these are the blocks that they meet on.
-    A shingle that more than `bucket` nodes lead with is no block: its nodes meet on parts of their
-    sets instead (see _part_keys; texts_of gives the texts of a table of nodes), as a passage that many
-    texts hold seldom fills a part alone. Blocks that are still larger meet as pairs of
-    hashed chunks. A block emits a spanning forest of all its pairs within _loose() differing bits, so edges are
-    linear in the rows and each pair lies in one component. alike_links() then decides.
+    Any two alike sets share one of their `lead` least shingles, so these are the blocks that they meet on; a
+    block of more than `bucket` nodes meets as pairs of hashed chunks. A shingle that more than
+    crowd * bucket nodes lead with is no block: its nodes meet on parts of their sets instead (see _part_keys;
+    texts_of gives the texts of a table of nodes), as a passage that many texts hold seldom fills a part
+    alone. A block emits a spanning forest of all its pairs within _loose() differing bits, so edges are
+    linear in the rows and each pair lies in one component. alike_pairs() then decides.
     """
     keyed = nodes.select("node", F.explode("lead").alias("key"))
     counts = cut(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
-    met = keyed.join(counts, "key")
     bits = nodes.select("node", *CHECKS)
     compare = _compare_wide(_loose(similarity))
-    cold = met.where(F.col("n") <= bucket).select("node", F.lit(0).alias("t"), "key").join(bits, "node")
-    cold = cold.select("node", *CHECKS, "t", "key", F.lit(0).alias("x"), F.lit(0).alias("y")).repartition(parts(nodes.sparkSession), "key").sortWithinPartitions("key", "node")
-    found = cold.mapInArrow(compare, "a long, b long")
-    if counts.where(F.col("n") > bucket).limit(1).count():
-        crowd = met.where(F.col("n") > bucket).select("node").distinct()
-        block = cut(texts_of(crowd).mapInArrow(_set_parts(similarity, words), "node long, t int, key long").distinct())
-        often = block.groupBy("t", "key").count().where("count > 1").select("t", "key")
-        block = block.join(often, ["t", "key"]).join(bits, "node").select("node", *CHECKS, "t", "key")
-        found = found.unionByName(_dealt(block, block, bucket).mapInArrow(compare, "a long, b long"))
-    return found.distinct()
-
-
-def alike_links(sets: DataFrame, groups: DataFrame, similarity: float = 0.8, bucket: int = BUCKET) -> DataFrame:
+    most = crowd * bucket
+    block = keyed.join(counts.where(F.col("n") <= most), "key").select("node", F.lit(0).alias("t"), "key", "n")
+    if counts.where(F.col("n") > most).limit(1).count():
+        crowded = keyed.join(counts.where(F.col("n") > most), "key").select("node").distinct()
+        part = texts_of(crowded).mapInArrow(_set_parts(similarity, words), "node long, t int, key long")
+        block = block.unionByName(part.join(part.groupBy("t", "key").agg(F.count("*").alias("n")).where("n > 1"), ["t", "key"]).select("node", "t", "key", "n"))
+    block = _in_chunks(block.join(bits, "node").select("node", *CHECKS, "t", "key", "n"), bucket)
+    return block.mapInArrow(compare, "a long, b long").distinct()
+
+
+def alike_links(sets: DataFrame, similarity: float = 0.8, bucket: int = BUCKET) -> DataFrame:
     """Edges (a, b) that span the pairs within each group of sets(node, set, t, key) of at least that Jaccard similarity.
 
-    groups: t and key of the same rows, to be counted. All pairs of a group are compared on their whole sets.
+    All pairs of a group are compared on their whole sets.
+    """
+    sizes = sets.groupBy("t", "key").agg(F.count("*").alias("n")).where("n > 1")
+    return _in_chunks(sets.join(sizes, ["t", "key"]), bucket).mapInArrow(_compare_sets(similarity), "a long, b long").distinct()
+
+
+def _like_first(similarity: float):
+    """Rows node, key, set, first to node, key and whether the two sets are alike."""
+
+    def run(batches):
+        for batch in batches:
+            ok = []
+            for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                both = len(np.intersect1d(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64), assume_unique=True))
+                ok.append(both >= similarity * ((len(a) + len(b)) // 8 - both) - 1e-9)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ok, pa.bool_())], names=["node", "key", "alike"])
+
+    return run
+
+
+def alike_pairs(sets: DataFrame, similarity: float = 0.8, bucket: int = BUCKET) -> DataFrame:
+    """Edges (a, b) that span the pairs of alike sets within each group of sets(node, set, key); key: the group's least node.
+
+    Sets that are alike to the group's first one need no other link to it, so a large family of copies costs
+    a comparison a member. What is not is compared with the whole group, as pairs of hashed chunks.
     """
-    return _dealt(sets.select("node", "set", "t", "key"), groups, bucket).mapInArrow(_compare_sets(similarity), "a long, b long").distinct()
+    first = sets.where("node = key").groupBy("key").agg(F.first("set").alias("first"))
+    star = cut(sets.join(first, "key").select("node", "key", "set", "first").mapInArrow(_like_first(similarity), "node long, key long, alike boolean").distinct())
+    found = star.where("alike and node <> key").select(F.col("node").alias("a"), F.col("key").alias("b"))
+    rest = star.where("not alike").select("node", F.lit(True).alias("lone"))
+    if not rest.limit(1).count():
+        return found
+    chunks = lambda n: F.ceil(n / bucket).cast("int")
+    sizes = star.groupBy("key").agg(chunks(F.count("*")).alias("every"), chunks(F.count_if(~F.col("alike"))).alias("some")).where("some > 0")
+    mixed = sets.join(sizes, "key").join(rest, "node", "left")
+    h = F.xxhash64("node")
+    own = mixed.select("node", "set", "key", F.explode(F.sequence(F.lit(0), F.col("some") - 1)).alias("x"), F.pmod(h, "every").cast("int").alias("y"))
+    lone = mixed.where("lone").select("node", "set", "key", F.pmod(h, "some").cast("int").alias("x"), F.explode(F.sequence(F.lit(0), F.col("every") - 1)).alias("y"))
+    dealt = own.unionByName(lone).select("node", "set", F.lit(0).alias("t"), "key", "x", "y")
+    dealt = dealt.repartition(parts(sets.sparkSession), "key", "x", "y").sortWithinPartitions("key", "x", "y", "node")
+    return found.unionByName(dealt.mapInArrow(_compare_sets(similarity), "a long, b long")).where("a <> b").distinct()
 
 
 def _prefixes(similarity: float):
@@ -460,7 +496,7 @@ def _prefixes(similarity: float):
     return run
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8, bucket: int = BUCKET) -> DataFrame:
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8, bucket: int = BUCKET, crowd: int = CROWD) -> DataFrame:
     """One row of docs for each group of near duplicates: that of the group's smallest id.
 
     Near duplicates have shingle sets (A-Z lowered, `words` words; fewer words are one shingle) of
@@ -504,7 +540,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
             for _, _, data, offsets in W.blocks(batch.column(1)):
                 gram, edge = _shingles(data, offsets, words)
                 sets += [gram[a:b].tobytes() for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary()), *batch.columns[2:]], names=["node", "set", "t", "key"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary()), *batch.columns[2:]], names=["node", "set", "key"])
 
     more = {c: "long" for c in ("one", "two", "n")} | {"few": "binary", "lead": "array<long>"} | {c: "long" for c in CHECKS}
     rows = plain.mapInArrow(run, widen(plain.drop("text"), **more))
@@ -517,10 +553,10 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
         return plain.select("k1", "k2", "text").join(named, ["k1", "k2"]).select("node", "text", *[c for c in some.columns if c != "node"])
 
     short = nodes.where((F.col("n") > 0) & F.col("few").isNotNull()).select("node", "few").mapInArrow(_prefixes(similarity), "node long, set binary, t int, key long")
-    found = alike_links(short, short.select("t", "key"), similarity, bucket)
-    near = similar_links(nodes.where(F.col("n") >= low), texts_of, similarity, bucket, words)
-    near = connected_components(near).select(F.col("a").alias("node"), F.lit(0).alias("t"), F.col("root").alias("key"))
-    found = found.unionByName(alike_links(texts_of(near).mapInArrow(sets_of, "node long, set binary, t int, key long"), near, similarity, bucket))
+    near = similar_links(nodes.where(F.col("n") >= low), texts_of, similarity, bucket, words, crowd)
+    near = connected_components(near).select(F.col("a").alias("node"), F.col("root").alias("key"))
+    sets = cut(texts_of(near).mapInArrow(sets_of, "node long, set binary, key long"))
+    found = alike_links(short, similarity, bucket).unionByName(alike_pairs(sets, similarity, bucket))
     roots = connected_components(found).withColumnRenamed("a", "node")
     first = nodes.select("node", "first").join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("first").alias("m"))
     out = marked.join(first.select("m.k1", "m.k2"), ["k1", "k2"], "left_semi")

@@ -231,8 +231,8 @@ def jaccard_groups(rows, similarity=0.8):
     return sorted(least.values())
 
 
-@pytest.mark.parametrize("bucket", [512, 4])
-def test_keep_one_brute_force(spark, bucket):
+@pytest.mark.parametrize(("bucket", "crowd"), [(512, 64), (4, 1), (5, 64)])
+def test_keep_one_brute_force(spark, bucket, crowd):
     r = random.Random(bucket)
     passage = " ".join(f"p{i}" for i in range(60))
     rows = []
@@ -245,7 +245,7 @@ def test_keep_one_brute_force(spark, bucket):
             rows.append((len(rows), " ".join([passage, *near] if g % 2 else near)))
     rows += [(len(rows) + i, passage + " " + " ".join(f"l{i}x{j}" for j in range(90))) for i in range(40)]
     rows += [(len(rows), passage), (len(rows) + 1, passage + " end")]
-    got = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), bucket=bucket)
+    got = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), bucket=bucket, crowd=crowd)
     assert sorted(x.doc_id for x in got.collect()) == jaccard_groups(rows)
 
 
