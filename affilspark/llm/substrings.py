@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from affilspark.llm import _words as W
-from affilspark.llm._spark import cut, parts, small, small_batches, table
+from affilspark.llm._spark import cut, parts, small_batches, table
 from affilspark.llm.automaton import SuffixAutomaton, spans
 
 #: Words of a window and of an anchor gram; most stretches in one automaton's shard, most windows of a stretch.
@@ -169,7 +169,7 @@ def repeated_spans(keyed: DataFrame, window: int = WINDOW, gram: int = GRAM, sha
     spark = keyed.sparkSession
     found = anchors(keyed, window, gram)
     often = cut(found.groupBy("anchor").agg(F.sum("n").alias("n"), F.count("*").alias("m")).where("n > 1").select("anchor", (F.col("m") > shard).alias("hot")))
-    runs = found.join(small(often, 2_000_000), "anchor").groupBy(*KEYS).agg(F.collect_set(F.struct("anchor", "hot", "w0", "w1")).alias("runs"))
+    runs = found.join(often, "anchor").groupBy(*KEYS).agg(F.collect_set(F.struct("anchor", "hot", "w0", "w1")).alias("runs"))
     stretches = keyed.join(runs, KEYS).select("k1", "k2", "id", "text", "runs").mapInArrow(_stretches(window), "anchor long, hot boolean, k1 long, k2 long, w0 int, stretch binary")
     # one exchange, read by the automata and by the window counts: each skips the other's rows
     stretches = stretches.repartition(parts(spark), "anchor", F.when(F.col("hot"), F.xxhash64("k1", "w0")))
