@@ -130,3 +130,18 @@ def test_plans(spark):
         plan = frame._jdf.queryExecution().executedPlan().toString()
         assert "Window" not in plan or "SinglePartition" not in plan.split("Window")[1]
         assert "CartesianProduct" not in plan
+
+
+def test_plans_without_checkpoints(spark):
+    from affilspark.plans.registry import QUERIES
+    from affilspark.plans.workflow import resolve_cities
+
+    x = Inputs(spark, SF)
+    found = resolve_cities(x.cities, x.gaz)
+    for frame in (found.fuzzy, found.best, QUERIES["tokens_documents"](spark, SF)):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "CartesianProduct" not in plan and "BatchEvalPython" not in plan
+        # the fixture's territory map is one constant row (XK, RS), whose joins Spark folds to comparisons
+        assert all("XK" in line or "RS" in line or "LeftSemi" in line for line in plan.splitlines() if "BroadcastNestedLoopJoin" in line)
+        assert "Window" not in plan or "SinglePartition" not in plan
+        assert all("nfkc" in line for line in plan.splitlines() if "ArrowEvalPython" in line)
