@@ -1,9 +1,10 @@
 """Hidden Markov language model: Baum-Welch over all training texts, exact scores by the scaled forward recursion.
 
-A token is a word (A-Z lowered) or the end of a text. Frequent words are symbols of their own; any
-other word is its class (a hash of its last bytes) followed by a choice within the class, in
-proportion to smoothed counts, with one share for unseen words. So the model is a distribution over
-the same tokens as the smoothed unigram base, and the two scores compare.
+A token is a word (A-Z lowered) or the end of a text. In the rounds of training frequent words are symbols
+of their own and any other word is its class (a hash of its last bytes). A last pass counts the states
+of every other word in a table that grows with the vocabulary: a state emits the class, then a word of it
+by the word's smoothed count and its own states, with one share for unseen words. So the model
+is a distribution over the same tokens as the smoothed unigram base, and the two scores compare.
 """
 
 from __future__ import annotations
@@ -19,13 +20,15 @@ from pyspark.sql import functions as F
 from affilspark.llm import _words as W
 from affilspark.llm._spark import cut, fold, small_batches, table, widen
 
-#: Latent states, most words with a symbol of their own, word classes, most words whose counts are
-#: sent to every task (the rest are looked up by a join), tokens of a training piece and of its overlap on
-#: either side, documents of the start sample, rounds on the sample.
+#: Latent states, most words with a symbol of their own in the rounds, word classes, most words whose
+#: emissions are sent to every task (the rest are looked up by a join), tokens of a training piece and of its
+#: overlap on either side, documents of the start sample, rounds on the sample.
 STATES, OWN, CLASSES, HEAD, PIECE, OVERLAP, SAMPLE, WARM = 8, 1 << 14, 1024, 1 << 18, 112, 12, 1000, 12
 #: Rounds on all documents end when one gains less than this many log10 a token, or after so many.
 GAIN, ROUNDS = 0.005, 8
 SMOOTH = 0.1
+#: Tokens of its class's states that a word's own states are smoothed with.
+PRIOR = 8.0
 
 
 class Lookup:
@@ -110,18 +113,32 @@ def _threshold(histogram: list, most: int) -> int:
     return least
 
 
-def _symbols(data, offsets, own: Lookup):
+def _read(data, offsets, own: Lookup):
+    """Lowered bytes, words, their token places and hashes, the symbols of all tokens and each row's number of tokens."""
     low, starts, ends, n, _, place, stop = _tokens(data, offsets)
-    s = np.empty(len(starts) + len(n), np.int64)
+    s, h = np.empty(len(starts) + len(n), np.int64), np.zeros(0, np.uint64)
     if len(starts):
-        at = own(W.hashes(low, starts, ends))
+        h = W.hashes(low, starts, ends)
+        at = own(h)
         s[place] = np.where(at >= 0, at, OWN + _classes(low, starts, ends))
     s[stop] = OWN + CLASSES
-    return s, n + 1
+    return low, starts, ends, place, h, s, n + 1
+
+
+def _symbols(data, offsets, own: Lookup):
+    return _read(data, offsets, own)[-2:]
 
 
 def expect(s: np.ndarray, n: np.ndarray, model: dict, counts: dict) -> float:
-    """Adds the expected counts of one block to `counts` and returns the log10 likelihood of its tokens.
+    """Adds the expected counts of one block to `counts` and returns the log10 likelihood of its tokens."""
+    gain, gamma = posteriors(s, n, model, counts)
+    for j in range(gamma.shape[1]):
+        counts["emit"][:, j] += np.bincount(s, gamma[:, j], len(counts["emit"]))
+    return gain
+
+
+def posteriors(s: np.ndarray, n: np.ndarray, model: dict, counts: dict) -> tuple[float, np.ndarray]:
+    """The log10 likelihood of one block's tokens and each token's states; adds all counts but emissions to `counts`.
 
     Texts are taken in pieces of PIECE tokens. A piece also reads OVERLAP tokens before it, from the mean
     state `later` on, and as many after it, so that the states at its edges are those of the whole
@@ -152,7 +169,7 @@ def expect(s: np.ndarray, n: np.ndarray, model: dict, counts: dict) -> float:
         scale.append(z)
         gain += float(np.log10(z[(own_lo[:m] <= t) & (t < own_hi[:m])]).sum())
     back = np.ones((0, k), np.float32)
-    total = np.zeros((k, len(b)))
+    states = np.zeros((len(s), k), np.float32)
     for t in range(steps - 1, -1, -1):
         m = live[t]
         beta = np.ones((m, k), np.float32)
@@ -161,17 +178,14 @@ def expect(s: np.ndarray, n: np.ndarray, model: dict, counts: dict) -> float:
             beta[: len(w)] = w @ a.T
             into = (own_lo[: len(w)] <= t + 1) & (t + 1 < own_hi[: len(w)])
             counts["move"] += (forward[t][: len(w)].T @ (w * into[:, None])) * a
-        own = (own_lo[:m] <= t) & (t < own_hi[:m])
-        gamma = forward[t] * beta * own[:, None]
-        symbol = s[start[:m] + t]
-        for j in range(k):
-            total[j] += np.bincount(symbol, gamma[:, j], len(b))
+        own = ((own_lo[:m] <= t) & (t < own_hi[:m]))[:, None]
+        gamma = forward[t] * beta * own
+        states[start[:m][own[:, 0]] + t] = gamma[own[:, 0]]
         if t == 0:
             counts["first"] += gamma[head].sum(axis=0)
         counts["later"] += gamma.sum(axis=0)
         back = beta
-    counts["emit"] += total.T
-    return gain
+    return gain, states
 
 
 def _zero(k: int) -> dict:
@@ -236,11 +250,57 @@ def _round(docs: DataFrame, text_col: str, shared, states: int) -> tuple[dict, f
     return {"emit": rows[:s], "move": rows[s : s + states], "first": rows[s + states], "later": rows[s + states + 1]}, float(rows[s + states + 2, 0])
 
 
+def _lexicon(docs: DataFrame, text_col: str, shared, states: int) -> DataFrame:
+    """word, kind (its class), c, e0, e1 ...: how often each word without a symbol of its own occurs in each state."""
+    names = [f"e{j}" for j in range(states)]
+
+    def run(batches):
+        model, own = shared.value
+        own, counts = Lookup(own), _zero(states)
+        for batch in batches:
+            for _, _, data, offsets in W.blocks(batch.column(0), 2 << 20):
+                low, starts, ends, place, h, s, n = _read(data, offsets, own)
+                rare = np.flatnonzero(s[place] >= OWN)
+                if not len(rare):
+                    continue
+                gamma = posteriors(s, n, model, counts)[1][place[rare]]
+                each, at, which, c = np.unique(h[rare], return_index=True, return_inverse=True, return_counts=True)
+                at, text = rare[at], low.tobytes()
+                words = [text[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)]
+                sums = [pa.array(np.bincount(which, gamma[:, j], len(each))) for j in range(states)]
+                yield pa.RecordBatch.from_arrays([pa.array(words, pa.binary()).cast(pa.string()), pa.array((s[place[at]] - OWN).astype(np.int32)), pa.array(c), *sums], names=["word", "kind", "c", *names])
+
+    found = docs.select(text_col).mapInArrow(run, "word string, kind int, c long, " + ", ".join(f"{x} double" for x in names))
+    return found.groupBy("word", "kind").agg(F.sum("c").alias("c"), *[F.sum(x).cast("float").alias(x) for x in names])
+
+
+def _choice(lexicon: DataFrame, states: int) -> dict:
+    """What the choice of a word in its class needs of all words of the class: a few numbers for each of CLASSES."""
+    names, c = [f"e{j}" for j in range(states)], F.col("c")
+    own = [F.sum((c + SMOOTH) / (c + PRIOR) * F.col(x)).alias(f"a{x}") for x in names]
+    got = lexicon.groupBy("kind").agg(F.sum(c + SMOOTH).alias("mass"), F.sum((c + SMOOTH) * PRIOR / (c + PRIOR)).alias("lent"), *own, *[F.sum(x).alias(x) for x in names]).toPandas()
+    at, mass, lent = got["kind"].to_numpy(), np.full(CLASSES, SMOOTH), np.full(CLASSES, SMOOTH)  # unseen words have SMOOTH
+    mass[at] += got["mass"].to_numpy()
+    lent[at] += got["lent"].to_numpy()
+    spread, norm = np.full((CLASSES, states), 0.001), np.zeros((CLASSES, states))
+    spread[at] += got[names].to_numpy()
+    spread /= spread.sum(axis=1, keepdims=True)
+    norm[at] = got[[f"a{x}" for x in names]].to_numpy()
+    return {"mass": mass, "spread": spread, "norm": (norm + spread * lent[:, None]) / mass[:, None]}
+
+
+def _emissions(kind: np.ndarray, c: np.ndarray, e: np.ndarray, classes: np.ndarray, choice: dict) -> np.ndarray:
+    """Each word's probability in each state: of its class there, times its share of the class there."""
+    own = (e + PRIOR * choice["spread"][kind]) / (c + PRIOR)[:, None]
+    return classes[kind] * ((c + SMOOTH) / choice["mass"][kind])[:, None] * own / choice["norm"][kind]
+
+
 def train(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", states: int = STATES) -> dict:
     """Counts and model from all rows of docs; null texts count as empty. An empty table gives uniform states.
 
-    Rounds of Baum-Welch over all texts go on until one gains less than GAIN a token. Very long texts are
-    taken in pieces (see expect); repeated rows count as often as they occur; other columns are ignored.
+    Rounds of Baum-Welch over all texts go on until one gains less than GAIN a token; then one more pass counts
+    the states of every word that had no symbol of its own. Very long texts are taken in pieces (see
+    posteriors); repeated rows count as often as they occur; other columns are ignored.
     """
     small_batches(docs.sparkSession)
     vocabulary = cut(word_counts(docs, text_col))
@@ -250,38 +310,32 @@ def train(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", state
     whole = total + SMOOTH * (types + 1)
     histogram = [tuple(r) for r in vocabulary.groupBy("c").count().collect()]
     cut_head, cut_own = _threshold(histogram, HEAD), _threshold(histogram, OWN)
-    head = vocabulary.where(F.col("c") >= cut_head).orderBy(F.desc("c"), "word").toPandas()
-    keys = _hash_words(head["word"].tolist()) if len(head) else np.zeros(0, np.uint64)
-    n_own = int((head["c"] >= cut_own).sum())
-
-    def mass(batches):
-        sums = np.zeros(CLASSES)
-        for batch in batches:
-            c = batch.column(1).to_numpy()
-            for lo, hi, data, offsets in W.blocks(batch.column(0)):
-                sums += np.bincount(_classes(data, offsets[:-1], offsets[1:]), (c[lo:hi] + SMOOTH) / whole, CLASSES)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(CLASSES)), pa.array(sums)], names=["k", "p"])
-
-    shares = vocabulary.where(F.col("c") < cut_own).mapInArrow(mass, "k long, p double").groupBy("k").agg(F.sum("p").alias("p")).toPandas()
-    share = np.full(CLASSES, SMOOTH / whole)
-    share[shares["k"].to_numpy()] += shares["p"].to_numpy()
+    top = vocabulary.where(F.col("c") >= cut_own).orderBy(F.desc("c"), "word").toPandas()  # at most OWN rows
+    keys = _hash_words(top["word"].tolist())
     spark = docs.sparkSession
     h = F.pmod(F.xxhash64(F.lit(17), F.col(id_col), F.col(text_col)), F.lit(1 << 20))
     some = docs.where(h < min(1.0, 1.3 * SAMPLE / max(n_docs, 1) + 0.0001) * (1 << 20)).select(F.coalesce(F.col(text_col), F.lit("")).alias("_text"), h.alias("_h")).orderBy("_h", "_text").limit(SAMPLE)
     fields = "move binary, emit binary, first binary, later binary"
-    got = some.withColumn("_one", F.lit(1)).groupBy("_one").applyInPandas(_start(states, keys[:n_own]), fields).first()
+    got = some.withColumn("_one", F.lit(1)).groupBy("_one").applyInPandas(_start(states, keys), fields).first()
     shape = {"move": (states, states), "emit": (OWN + CLASSES + 1, states), "first": (states,), "later": (states,)}
     model = {k: np.frombuffer(got[k], np.float32).reshape(v) for k, v in shape.items()} if got else maximise(_zero(states))
     before = -np.inf
     for _ in range(ROUNDS if n_docs else 0):
-        shared = spark.sparkContext.broadcast((model, keys[:n_own]))
+        shared = spark.sparkContext.broadcast((model, keys))
         counts, likelihood = _round(docs, text_col, shared, states)
         shared.unpersist()
         model = maximise(counts)
         if likelihood - before < GAIN * total:
             break
         before = likelihood
-    return {"model": model, "keys": keys, "n_own": n_own, "c": head["c"].to_numpy(np.int64) if len(head) else np.zeros(0, np.int64), "rest": vocabulary.where(F.col("c") < cut_head), "total": int(total), "whole": float(whole), "ends": int(n_docs), "share": share}
+    lexicon = cut(_lexicon(docs, text_col, spark.sparkContext.broadcast((model, keys)), states))
+    choice, classes = _choice(lexicon, states), model["emit"][OWN : OWN + CLASSES].astype(float)
+    head = lexicon.where(F.col("c") >= cut_head).orderBy(F.desc("c"), "word").toPandas()  # at most HEAD rows
+    more = _emissions(head["kind"].to_numpy(np.int64), head["c"].to_numpy(np.int64), head[[f"e{j}" for j in range(states)]].to_numpy(float), classes, choice)
+    emit = np.vstack([model["emit"][: len(keys)], more, model["emit"][OWN + CLASSES :]]).astype(np.float32)
+    c = np.concatenate([top["c"].to_numpy(np.int64), head["c"].to_numpy(np.int64)])
+    keys = np.concatenate([keys, _hash_words(head["word"].tolist())])
+    return {"move": model["move"], "first": model["first"], "emit": emit, "classes": classes, "choice": choice, "keys": keys, "c": c, "rest": lexicon.where(F.col("c") < cut_head), "total": int(total), "whole": float(whole), "ends": int(n_docs)}
 
 
 def forward(s: np.ndarray, n: np.ndarray, model: dict) -> np.ndarray:
@@ -305,67 +359,96 @@ def forward(s: np.ndarray, n: np.ndarray, model: dict) -> np.ndarray:
 def score(docs: DataFrame, trained: dict, text_col: str = "text") -> DataFrame:
     """docs without the text, with n_tokens, n_known, train_tokens, base_score and score (log10).
 
-    Counts of the HEAD most frequent words are in every task; other words meet their counts in a join
-    on the word, whatever their number. Other columns pass; columns of the result's names are replaced.
+    Emissions of the HEAD most frequent words are in every task; a text with other words meets theirs
+    in a join on the word, whatever their number, before its recursion. Null texts are empty; very long texts are
+    scored whole; repeated rows get equal scores; an empty table gives no rows. Other columns pass;
+    columns of the result's names are replaced.
     """
     rest = [c for c in docs.columns if c not in (text_col, "n_tokens", "n_known", "train_tokens", "base_score", "score")]
-    shared = docs.sparkSession.sparkContext.broadcast({k: trained[k] for k in ("model", "keys", "n_own", "c", "share")})
-    whole, ends = trained["whole"], trained["ends"]
+    spark, whole, ends, lexicon = docs.sparkSession, trained["whole"], trained["ends"], trained["rest"]
+    shared = spark.sparkContext.broadcast({k: trained[k] for k in ("move", "first", "emit", "classes", "choice", "keys", "c")})
     rows = docs.select(F.monotonically_increasing_id().alias("_uid"), *[F.col(c).alias(f"_{i}") for i, c in enumerate(rest)], F.col(text_col).alias("_text"))
     kept = [c for c in rows.columns if c != "_text"]
-
-    def run(batches):
+    results = ["n_tokens", "n_known", "base_score", "score"]
+    names = [f"e{j}" for j in range(trained["emit"].shape[1])]
+    fields = {"n_tokens": "long", "n_known": "long", "base_score": "double", "score": "double"}
+
+    def scores(s, n, emit, c, t):
+        """Columns of `results` from tokens that index emit; c: their words' counts (the end's is `ends`)."""
+        row = np.repeat(np.arange(len(n)), n)
+        base = np.log10((c + SMOOTH) / whole)
+        likelihood = forward(s, n, {"move": t["move"], "first": t["first"], "emit": emit})
+        return [pa.array(n), pa.array(np.bincount(row, c[s] > 0, len(n)).astype(np.int64)), pa.array(np.bincount(row, base[s], len(n))), pa.array(likelihood)]
+
+    def known(batches):
         t = shared.value
-        find = Lookup(t["keys"])
-        base = np.log10((t["c"] + SMOOTH) / whole)
-        share = np.log10(t["share"])
-        end = np.log10((ends + SMOOTH) / whole)
-        held, symbols, counts, columns = [], [], [], []
+        find, c = Lookup(t["keys"]), np.append(t["c"], ends)
+        held, symbols, counts = [], [], []
 
         def flush():
-            known, word, inside = (np.concatenate([c[i] for c in columns]) for i in range(3))
-            n = np.concatenate(counts)
             # the recursion takes all held texts a token at a time
-            likelihood = forward(np.concatenate(symbols), n, t["model"]) + inside
-            own_columns = [pa.concat_arrays([b.column(i) for b in held]) for i in range(len(kept))]
-            out = [*own_columns, pa.array(n), pa.array(known.astype(np.int64) + int(ends > 0)), pa.array(word + end), pa.array(likelihood), pa.concat_arrays([c[3] for c in columns])]
-            for x in (held, symbols, counts, columns):
+            out = scores(np.concatenate(symbols), np.concatenate(counts), t["emit"], c, t)
+            own = [pa.concat_arrays([b.column(i) for b in held]) for i in range(len(kept))]
+            none = len(own[0])
+            for x in (held, symbols, counts):
                 x.clear()
-            return pa.RecordBatch.from_arrays(out, names=[*kept, "n_tokens", "n_known", "base_score", "score", "tail"])
+            return pa.RecordBatch.from_arrays([*own, *out, pa.nulls(none, pa.string()), pa.nulls(none, pa.list_(pa.string()))], names=[*kept, *results, "_text", "tail"])
 
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            held.append(batch.select(kept))
-            for _, _, data, offsets in W.blocks(batch.column(len(kept)), 1 << 20):
+            for lo, hi, data, offsets in W.blocks(batch.column(len(kept)), 1 << 20):
                 low, starts, stops, n, row, place, stop = _tokens(data, offsets)
                 at = find(W.hashes(low, starts, stops)) if len(starts) else np.zeros(0, np.int64)
-                known, own = at >= 0, (at >= 0) & (at < t["n_own"])
-                kind = _classes(low, starts, stops) if len(starts) else at
+                lost = np.flatnonzero(at < 0)
+                part = batch.slice(lo, hi - lo)
+                wait = np.zeros(len(n), bool)
+                wait[row[lost]] = True
                 s = np.empty(len(starts) + len(n), np.int32)
-                s[place], s[stop] = np.where(own, at, OWN + kind), OWN + CLASSES
-                symbols.append(s)
-                counts.append(n + 1)
-                word = np.where(known, base[at] if len(base) else 0.0, 0.0)
-                total = lambda x, row=row, n=n: np.bincount(row, x, len(n))
-                text, lost = low.tobytes(), np.flatnonzero(~known)
-                words = [text[a:b] for a, b in zip(starts[lost].tolist(), stops[lost].tolist(), strict=True)]
-                cuts = np.searchsorted(row[lost], np.arange(len(n) + 1)).astype(np.int32)
-                tail = pa.ListArray.from_arrays(pa.array(cuts), pa.array(words, pa.binary()).cast(pa.string()))
-                columns.append((total(known), total(word), total(np.where(own, 0.0, word - share[kind])), tail))
-            if sum(map(len, symbols)) > 3_000_000:
-                yield flush()
+                s[place], s[stop] = at, len(t["keys"])
+                held.append(part.select(kept).filter(pa.array(~wait)))
+                symbols.append(s[np.repeat(~wait, n + 1)])
+                counts.append((n + 1)[~wait])
+                if wait.any():
+                    text = low.tobytes()
+                    words = [[] for _ in range(len(n))]
+                    for r, a, b in zip(row[lost].tolist(), starts[lost].tolist(), stops[lost].tolist(), strict=True):
+                        words[r].append(text[a:b])
+                    later, where = part.filter(pa.array(wait)), np.flatnonzero(wait).tolist()
+                    tail = pa.array([list(dict.fromkeys(words[r])) for r in where], pa.list_(pa.binary())).cast(pa.list_(pa.string()))
+                    none = [pa.nulls(len(where), kind) for kind in (pa.int64(), pa.int64(), pa.float64(), pa.float64())]
+                    yield pa.RecordBatch.from_arrays([*later.columns[: len(kept)], *none, later.column(len(kept)), tail], names=[*kept, *results, "_text", "tail"])
+                if sum(map(len, symbols)) > 3_000_000:
+                    yield flush()
         if held:
             yield flush()
 
-    schema = widen(rows.select(*kept), n_tokens="long", n_known="long", base_score="double", score="double", tail="array<string>")
-    found = cut(rows.mapInArrow(run, schema))
-    tail = found.select("_uid", F.explode("tail").alias("word")).join(trained["rest"], "word", "left")
-    p = F.log10((F.coalesce("c", F.lit(0)) + SMOOTH) / whole)
-    tail = tail.groupBy("_uid").agg(F.sum(p).alias("_p"), F.count("c").alias("_k"))
-    out = found.drop("tail").join(tail, "_uid", "left")
-    add = lambda c, x: (F.col(c) + F.coalesce(F.col(x), F.lit(0))).alias(c)
-    return out.select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(rest)], "n_tokens", add("n_known", "_k"), F.lit(trained["total"]).cast("long").alias("train_tokens"), add("base_score", "_p"), add("score", "_p"))
+    def waiting(batches):
+        t = shared.value
+        find = Lookup(t["keys"])
+        for batch in batches:
+            for lo, hi, data, offsets in W.blocks(batch.column(len(kept)), 4 << 20):
+                low, starts, stops, n, _, place, stop = _tokens(data, offsets)
+                tail = batch.column(len(kept) + 1).slice(lo, hi - lo).flatten()
+                _, _, raw, cuts = next(W.blocks(tail.field(0), 1 << 62))
+                h, at = np.unique(W.hashes(raw, cuts[:-1], cuts[1:]), return_index=True)
+                c = np.nan_to_num(tail.field(1).to_numpy(zero_copy_only=False).astype(float))[at].astype(np.int64)
+                e = np.nan_to_num(np.column_stack([tail.field(2 + j).to_numpy(zero_copy_only=False).astype(float) for j in range(len(names))]))[at]
+                kind = _classes(raw, cuts[:-1][at], cuts[1:][at])
+                emit = np.vstack([t["emit"], _emissions(kind, c, e, t["classes"], t["choice"]).astype(np.float32)])
+                q = W.hashes(low, starts, stops)
+                head = find(q)
+                s = np.empty(len(starts) + len(n), np.int32)
+                s[place] = np.where(head >= 0, head, len(t["emit"]) + np.searchsorted(h, q))
+                s[stop] = len(t["keys"])
+                out = scores(s, n + 1, emit, np.concatenate([t["c"], [ends], c]), t)
+                yield pa.RecordBatch.from_arrays([*batch.slice(lo, hi - lo).columns[: len(kept)], *out], names=[*kept, *results])
+
+    found = cut(rows.mapInArrow(known, widen(rows.select(*kept), **fields, _text="string", tail="array<string>")))
+    tail = found.where("tail is not null").select("_uid", F.explode("tail").alias("word")).join(lexicon, "word", "left")
+    tail = tail.groupBy("_uid").agg(F.collect_list(F.struct("word", "c", *names)).alias("tail"))
+    late = found.where("tail is not null").select(*kept, "_text").join(tail, "_uid").select(*kept, "_text", "tail")
+    late = late.mapInArrow(waiting, widen(rows.select(*kept), **fields))
+    out = found.where("tail is null").select(*kept, *results).unionByName(late)
+    return out.select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(rest)], "n_tokens", "n_known", F.lit(trained["total"]).cast("long").alias("train_tokens"), "base_score", "score")
 
 
 def is_training(id_col: str = "doc_id") -> Column:

@@ -479,6 +479,50 @@ def test_expected_counts_of_long_texts():
         assert np.abs(got[x] - want[x]).max() < 0.01 * want[x].max()
 
 
+def test_hmm_words_beyond_the_symbols(spark, monkeypatch):
+    """Every word of a vocabulary larger than OWN and HEAD has its own emissions; they sum to one, and the recursion uses them."""
+    monkeypatch.setattr(hmm, "HEAD", 300)
+    r = random.Random(4)
+    topics = [[f"{a}{i:x}{'xyz'[i % 3]}" for i in range(11_000)] for a in ("ka", "lo")]
+    texts = [" ".join(r.choice(topics[i % 2][: r.choice([50, 11_000])]) for _ in range(r.randint(1, 400))) for i in range(400)]
+    docs = spark.createDataFrame([*enumerate(texts), (400, None), (401, ""), (402, texts[1].upper()), (403, "never seen " + texts[0]), (403, "never seen " + texts[0])], "doc_id long, text string").repartition(3)
+    model = hmm.train(docs.where("doc_id < 400"))
+    states = range(hmm.STATES)
+    assert model["rest"].count() > 2000
+    rest = {x["word"]: x for x in model["rest"].collect()}
+    seen = set(" ".join(texts).split())
+    have = dict(zip(model["keys"].tolist(), range(len(model["keys"])), strict=True))
+    emit = {}
+    for w in [*sorted(seen), "never"]:
+        raw = np.frombuffer(w.encode(), np.uint8)
+        span = np.array([0]), np.array([len(raw)])
+        kind = hmm._classes(raw, *span)
+        at = have.get(int(hmm.W.hashes(raw, *span)[0]))
+        assert at is not None or w in rest or w == "never"
+        x = rest.get(w)
+        c, e = (x["c"], [x[f"e{j}"] for j in states]) if x else (0, [0.0] * hmm.STATES)
+        emit[w] = model["emit"][at] if at is not None else hmm._emissions(kind, np.array([c]), np.array([e]), model["classes"], model["choice"])[0]
+    none = np.zeros(hmm.CLASSES)
+    unseen = hmm._emissions(np.arange(hmm.CLASSES), none, np.zeros((hmm.CLASSES, hmm.STATES)), model["classes"], model["choice"])
+    assert np.sum([emit[w] for w in seen], axis=0) + unseen.sum(axis=0) + model["emit"][-1] == pytest.approx(np.ones(hmm.STATES), abs=1e-3)
+    emit["seen"] = unseen[hmm._classes(np.frombuffer(b"seen", np.uint8), np.array([0]), np.array([4]))[0]]
+
+    def likelihood(text):
+        out, x = 0.0, None
+        for e in [*(emit[w] for w in (text or "").lower().split()), model["emit"][-1]]:
+            x = (model["first"] if x is None else x @ model["move"].astype(float)) * e.astype(float)
+            out, x = out + math.log10(x.sum()), x / x.sum()
+        return out
+
+    got = hmm.score(docs, model).collect()
+    whole = {r.doc_id: r.text for r in docs.collect()}
+    assert sorted(g.doc_id for g in got) == sorted([*range(404), 403])
+    for g in got:
+        assert g.score == pytest.approx(likelihood(whole[g.doc_id]), abs=1e-3)
+        w = (whole[g.doc_id] or "").lower().split()
+        assert (g.n_tokens, g.n_known) == (len(w) + 1, sum(x in seen for x in w) + 1)
+
+
 def test_lookup():
     rng = np.random.default_rng(1)
     keys = rng.integers(0, 1 << 63, 5000, dtype=np.uint64) * np.uint64(2)
