@@ -251,7 +251,7 @@ def _round(docs: DataFrame, text_col: str, shared, states: int) -> tuple[dict, f
 
 
 def _lexicon(docs: DataFrame, text_col: str, shared, states: int) -> DataFrame:
-    """word, kind (its class), c, e0, e1 ...: how often each word without a symbol of its own occurs in each state."""
+    """word, c, q: how often each word without a symbol of its own occurs, and its share of each state in 255ths, a byte a state."""
     names = [f"e{j}" for j in range(states)]
 
     def run(batches):
@@ -267,32 +267,59 @@ def _lexicon(docs: DataFrame, text_col: str, shared, states: int) -> DataFrame:
                 each, at, which, c = np.unique(h[rare], return_index=True, return_inverse=True, return_counts=True)
                 at, text = rare[at], low.tobytes()
                 words = [text[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)]
-                sums = [pa.array(np.bincount(which, gamma[:, j], len(each))) for j in range(states)]
-                yield pa.RecordBatch.from_arrays([pa.array(words, pa.binary()).cast(pa.string()), pa.array((s[place[at]] - OWN).astype(np.int32)), pa.array(c), *sums], names=["word", "kind", "c", *names])
+                # whole numbers, whose zero bytes the shuffle's compression removes
+                sums = [pa.array(np.rint(255 * np.bincount(which, gamma[:, j], len(each))).astype(np.int64)) for j in range(states)]
+                yield pa.RecordBatch.from_arrays([pa.array(words, pa.binary()).cast(pa.string()), pa.array(c), *sums], names=["word", "c", *names])
 
-    found = docs.select(text_col).mapInArrow(run, "word string, kind int, c long, " + ", ".join(f"{x} double" for x in names))
-    return found.groupBy("word", "kind").agg(F.sum("c").alias("c"), *[F.sum(x).cast("float").alias(x) for x in names])
+    found = docs.select(text_col).mapInArrow(run, "word string, c long, " + ", ".join(f"{x} long" for x in names))
+    found = found.groupBy("word").agg(F.sum("c").alias("c"), *[F.sum(x).alias(x) for x in names])
+    share = [F.lpad(F.hex(F.least(F.lit(255), F.round(F.col(x) / F.col("c"))).cast("long")), 2, "0") for x in names]
+    return found.select("word", "c", F.unhex(F.concat(*share)).alias("q"))
+
+
+def _states(c: np.ndarray, q: pa.Array, states: int) -> np.ndarray:
+    """Expected counts of words in each state from their counts and shares; none for a word without shares."""
+    out = np.zeros((len(c), states))
+    have = np.flatnonzero(q.is_valid().to_numpy(zero_copy_only=False))
+    if len(have):
+        share = np.frombuffer(b"".join(q.drop_null().to_pylist()), np.uint8).reshape(-1, states).astype(float)
+        out[have] = c[have, None] * share / np.maximum(share.sum(axis=1, keepdims=True), 1)
+    return out
+
+
+def _kinds(words: pa.Array) -> np.ndarray:
+    found = [_classes(data, cuts[:-1], cuts[1:]) for _, _, data, cuts in W.blocks(words)]
+    return np.concatenate(found) if found else np.zeros(0, np.int64)
 
 
 def _choice(lexicon: DataFrame, states: int) -> dict:
     """What the choice of a word in its class needs of all words of the class: a few numbers for each of CLASSES."""
-    names, c = [f"e{j}" for j in range(states)], F.col("c")
-    own = [F.sum((c + SMOOTH) / (c + PRIOR) * F.col(x)).alias(f"a{x}") for x in names]
-    got = lexicon.groupBy("kind").agg(F.sum(c + SMOOTH).alias("mass"), F.sum((c + SMOOTH) * PRIOR / (c + PRIOR)).alias("lent"), *own, *[F.sum(x).alias(x) for x in names]).toPandas()
-    at, mass, lent = got["kind"].to_numpy(), np.full(CLASSES, SMOOTH), np.full(CLASSES, SMOOTH)  # unseen words have SMOOTH
-    mass[at] += got["mass"].to_numpy()
-    lent[at] += got["lent"].to_numpy()
-    spread, norm = np.full((CLASSES, states), 0.001), np.zeros((CLASSES, states))
-    spread[at] += got[names].to_numpy()
+    names = [f"x{j}" for j in range(2 + 2 * states)]
+
+    def run(batches):
+        sums = np.zeros((CLASSES, len(names)))
+        for batch in batches:
+            kind, c = _kinds(batch.column(0)), batch.column(1).to_numpy()
+            e, part = _states(c, batch.column(2), states), (c + SMOOTH) / (c + PRIOR)
+            rows = np.column_stack([c + SMOOTH, part * PRIOR, e, part[:, None] * e])
+            for j in range(len(names)):
+                sums[:, j] += np.bincount(kind, rows[:, j], CLASSES)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(CLASSES)), *[pa.array(x) for x in sums.T]], names=["kind", *names])
+
+    got = lexicon.mapInArrow(run, "kind long, " + ", ".join(f"{x} double" for x in names)).groupBy("kind").agg(*[F.sum(x).alias(x) for x in names]).toPandas()
+    sums = np.zeros((CLASSES, len(names)))
+    sums[got["kind"].to_numpy()] = got[names].to_numpy()
+    mass, lent = sums[:, 0] + SMOOTH, sums[:, 1] + SMOOTH  # unseen words have SMOOTH
+    spread = sums[:, 2 : 2 + states] + 0.001
     spread /= spread.sum(axis=1, keepdims=True)
-    norm[at] = got[[f"a{x}" for x in names]].to_numpy()
-    return {"mass": mass, "spread": spread, "norm": (norm + spread * lent[:, None]) / mass[:, None]}
+    return {"mass": mass, "spread": spread, "norm": (sums[:, 2 + states :] + spread * lent[:, None]) / mass[:, None]}
 
 
-def _emissions(kind: np.ndarray, c: np.ndarray, e: np.ndarray, classes: np.ndarray, choice: dict) -> np.ndarray:
+def _emissions(words: pa.Array, c: np.ndarray, q: pa.Array, classes: np.ndarray, choice: dict) -> np.ndarray:
     """Each word's probability in each state: of its class there, times its share of the class there."""
-    own = (e + PRIOR * choice["spread"][kind]) / (c + PRIOR)[:, None]
-    return classes[kind] * ((c + SMOOTH) / choice["mass"][kind])[:, None] * own / choice["norm"][kind]
+    kind = _kinds(words)
+    own = (_states(c, q, classes.shape[1]) + PRIOR * choice["spread"][kind]) / (c + PRIOR)[:, None]
+    return (classes[kind] * ((c + SMOOTH) / choice["mass"][kind])[:, None] * own / choice["norm"][kind]).astype(np.float32)
 
 
 def train(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", states: int = STATES) -> dict:
@@ -331,8 +358,8 @@ def train(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", state
     lexicon = cut(_lexicon(docs, text_col, spark.sparkContext.broadcast((model, keys)), states))
     choice, classes = _choice(lexicon, states), model["emit"][OWN : OWN + CLASSES].astype(float)
     head = lexicon.where(F.col("c") >= cut_head).orderBy(F.desc("c"), "word").toPandas()  # at most HEAD rows
-    more = _emissions(head["kind"].to_numpy(np.int64), head["c"].to_numpy(np.int64), head[[f"e{j}" for j in range(states)]].to_numpy(float), classes, choice)
-    emit = np.vstack([model["emit"][: len(keys)], more, model["emit"][OWN + CLASSES :]]).astype(np.float32)
+    more = _emissions(pa.array(head["word"], pa.string()), head["c"].to_numpy(np.int64), pa.array(head["q"], pa.binary()), classes, choice)
+    emit = np.vstack([model["emit"][: len(keys)], more, model["emit"][OWN + CLASSES :]])
     c = np.concatenate([top["c"].to_numpy(np.int64), head["c"].to_numpy(np.int64)])
     keys = np.concatenate([keys, _hash_words(head["word"].tolist())])
     return {"move": model["move"], "first": model["first"], "emit": emit, "classes": classes, "choice": choice, "keys": keys, "c": c, "rest": lexicon.where(F.col("c") < cut_head), "total": int(total), "whole": float(whole), "ends": int(n_docs)}
@@ -367,87 +394,73 @@ def score(docs: DataFrame, trained: dict, text_col: str = "text") -> DataFrame:
     rest = [c for c in docs.columns if c not in (text_col, "n_tokens", "n_known", "train_tokens", "base_score", "score")]
     spark, whole, ends, lexicon = docs.sparkSession, trained["whole"], trained["ends"], trained["rest"]
     shared = spark.sparkContext.broadcast({k: trained[k] for k in ("move", "first", "emit", "classes", "choice", "keys", "c")})
-    rows = docs.select(F.monotonically_increasing_id().alias("_uid"), *[F.col(c).alias(f"_{i}") for i, c in enumerate(rest)], F.col(text_col).alias("_text"))
-    kept = [c for c in rows.columns if c != "_text"]
-    results = ["n_tokens", "n_known", "base_score", "score"]
-    names = [f"e{j}" for j in range(trained["emit"].shape[1])]
-    fields = {"n_tokens": "long", "n_known": "long", "base_score": "double", "score": "double"}
-
-    def scores(s, n, emit, c, t):
-        """Columns of `results` from tokens that index emit; c: their words' counts (the end's is `ends`)."""
-        row = np.repeat(np.arange(len(n)), n)
-        base = np.log10((c + SMOOTH) / whole)
-        likelihood = forward(s, n, {"move": t["move"], "first": t["first"], "emit": emit})
-        return [pa.array(n), pa.array(np.bincount(row, c[s] > 0, len(n)).astype(np.int64)), pa.array(np.bincount(row, base[s], len(n))), pa.array(likelihood)]
-
-    def known(batches):
+    named = [F.col(c).alias(f"_{i}") for i, c in enumerate(rest)]
+    plain = [c for c in (*rest, text_col) if "map<" not in docs.schema[c].dataType.simpleString()]
+    # rows that agree in all columns share a key and have the same words; copies with other ids do not
+    key = [F.xxhash64(F.lit(i), *plain).alias(f"_k{i}") for i in (1, 2)]
+    rows = docs.select(*key, *named, F.col(text_col).alias("_text"))
+    kept = [f"_{i}" for i in range(len(rest))]
+
+    def unlisted(batches):
+        find = Lookup(shared.value["keys"])
+        for batch in batches:
+            for lo, _, data, offsets in W.blocks(batch.column(2), 1 << 20):
+                low, starts, stops, _, row, _, _ = _tokens(data, offsets)
+                if not len(starts):
+                    continue
+                h = W.hashes(low, starts, stops)
+                lost = np.flatnonzero(find(h) < 0)
+                lost = lost[np.unique(W.mix(h[lost] + row[lost].astype(np.uint64) * W.BASE), return_index=True)[1]]  # once a row
+                text, take = low.tobytes(), pa.array(row[lost] + lo)
+                words = [text[a:b] for a, b in zip(starts[lost].tolist(), stops[lost].tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array(words, pa.binary()).cast(pa.string())], names=["_k1", "_k2", "word"])
+
+    def run(batches):
         t = shared.value
-        find, c = Lookup(t["keys"]), np.append(t["c"], ends)
-        held, symbols, counts = [], [], []
+        find = Lookup(t["keys"])
+        held, symbols, counts, seen, emit = [], [], [], [], []
 
         def flush():
-            # the recursion takes all held texts a token at a time
-            out = scores(np.concatenate(symbols), np.concatenate(counts), t["emit"], c, t)
+            """The recursion takes all held texts a token at a time."""
+            s, n, c = np.concatenate(symbols), np.concatenate(counts), np.concatenate([t["c"], [ends], *seen])
+            row, base = np.repeat(np.arange(len(n)), n), np.log10((c + SMOOTH) / whole)
+            likelihood = forward(s, n, {"move": t["move"], "first": t["first"], "emit": np.vstack([t["emit"], *emit])})
             own = [pa.concat_arrays([b.column(i) for b in held]) for i in range(len(kept))]
-            none = len(own[0])
-            for x in (held, symbols, counts):
+            out = [*own, pa.array(n), pa.array(np.bincount(row, c[s] > 0, len(n)).astype(np.int64)), pa.array(np.bincount(row, base[s], len(n))), pa.array(likelihood)]
+            for x in (held, symbols, counts, seen, emit):
                 x.clear()
-            return pa.RecordBatch.from_arrays([*own, *out, pa.nulls(none, pa.string()), pa.nulls(none, pa.list_(pa.string()))], names=[*kept, *results, "_text", "tail"])
+            return pa.RecordBatch.from_arrays(out, names=[*kept, "n_tokens", "n_known", "base_score", "score"])
 
         for batch in batches:
             for lo, hi, data, offsets in W.blocks(batch.column(len(kept)), 1 << 20):
-                low, starts, stops, n, row, place, stop = _tokens(data, offsets)
-                at = find(W.hashes(low, starts, stops)) if len(starts) else np.zeros(0, np.int64)
-                lost = np.flatnonzero(at < 0)
-                part = batch.slice(lo, hi - lo)
-                wait = np.zeros(len(n), bool)
-                wait[row[lost]] = True
+                low, starts, stops, n, _, place, stop = _tokens(data, offsets)
+                tail = batch.column(len(kept) + 1).slice(lo, hi - lo).flatten()
+                h, begin = np.zeros(0, np.uint64), len(t["emit"]) + sum(map(len, emit))
+                if len(tail):
+                    _, _, raw, cuts = next(W.blocks(tail.field(0), 1 << 62))
+                    h, at = np.unique(W.hashes(raw, cuts[:-1], cuts[1:]), return_index=True)
+                    each = tail.take(pa.array(at))
+                    c = each.field(1).fill_null(0).to_numpy()
+                    seen.append(c)
+                    emit.append(_emissions(each.field(0), c, each.field(2), t["classes"], t["choice"]))
                 s = np.empty(len(starts) + len(n), np.int32)
-                s[place], s[stop] = at, len(t["keys"])
-                held.append(part.select(kept).filter(pa.array(~wait)))
-                symbols.append(s[np.repeat(~wait, n + 1)])
-                counts.append((n + 1)[~wait])
-                if wait.any():
-                    text = low.tobytes()
-                    words = [[] for _ in range(len(n))]
-                    for r, a, b in zip(row[lost].tolist(), starts[lost].tolist(), stops[lost].tolist(), strict=True):
-                        words[r].append(text[a:b])
-                    later, where = part.filter(pa.array(wait)), np.flatnonzero(wait).tolist()
-                    tail = pa.array([list(dict.fromkeys(words[r])) for r in where], pa.list_(pa.binary())).cast(pa.list_(pa.string()))
-                    none = [pa.nulls(len(where), kind) for kind in (pa.int64(), pa.int64(), pa.float64(), pa.float64())]
-                    yield pa.RecordBatch.from_arrays([*later.columns[: len(kept)], *none, later.column(len(kept)), tail], names=[*kept, *results, "_text", "tail"])
-                if sum(map(len, symbols)) > 3_000_000:
+                if len(starts):
+                    q = W.hashes(low, starts, stops)
+                    head = find(q)
+                    s[place] = np.where(head >= 0, head, begin + np.searchsorted(h, q))
+                s[stop] = len(t["keys"])
+                held.append(batch.slice(lo, hi - lo).select(kept))
+                symbols.append(s)
+                counts.append(n + 1)
+                if sum(map(len, symbols)) > 2_000_000:
                     yield flush()
         if held:
             yield flush()
 
-    def waiting(batches):
-        t = shared.value
-        find = Lookup(t["keys"])
-        for batch in batches:
-            for lo, hi, data, offsets in W.blocks(batch.column(len(kept)), 4 << 20):
-                low, starts, stops, n, _, place, stop = _tokens(data, offsets)
-                tail = batch.column(len(kept) + 1).slice(lo, hi - lo).flatten()
-                _, _, raw, cuts = next(W.blocks(tail.field(0), 1 << 62))
-                h, at = np.unique(W.hashes(raw, cuts[:-1], cuts[1:]), return_index=True)
-                c = np.nan_to_num(tail.field(1).to_numpy(zero_copy_only=False).astype(float))[at].astype(np.int64)
-                e = np.nan_to_num(np.column_stack([tail.field(2 + j).to_numpy(zero_copy_only=False).astype(float) for j in range(len(names))]))[at]
-                kind = _classes(raw, cuts[:-1][at], cuts[1:][at])
-                emit = np.vstack([t["emit"], _emissions(kind, c, e, t["classes"], t["choice"]).astype(np.float32)])
-                q = W.hashes(low, starts, stops)
-                head = find(q)
-                s = np.empty(len(starts) + len(n), np.int32)
-                s[place] = np.where(head >= 0, head, len(t["emit"]) + np.searchsorted(h, q))
-                s[stop] = len(t["keys"])
-                out = scores(s, n + 1, emit, np.concatenate([t["c"], [ends], c]), t)
-                yield pa.RecordBatch.from_arrays([*batch.slice(lo, hi - lo).columns[: len(kept)], *out], names=[*kept, *results])
-
-    found = cut(rows.mapInArrow(known, widen(rows.select(*kept), **fields, _text="string", tail="array<string>")))
-    tail = found.where("tail is not null").select("_uid", F.explode("tail").alias("word")).join(lexicon, "word", "left")
-    tail = tail.groupBy("_uid").agg(F.collect_list(F.struct("word", "c", *names)).alias("tail"))
-    late = found.where("tail is not null").select(*kept, "_text").join(tail, "_uid").select(*kept, "_text", "tail")
-    late = late.mapInArrow(waiting, widen(rows.select(*kept), **fields))
-    out = found.where("tail is null").select(*kept, *results).unionByName(late)
+    tail = rows.select("_k1", "_k2", "_text").mapInArrow(unlisted, "_k1 long, _k2 long, word string").join(lexicon, "word", "left")
+    tail = tail.groupBy("_k1", "_k2").agg(F.collect_set(F.struct("word", "c", "q")).alias("tail"))
+    met = rows.join(tail, ["_k1", "_k2"], "left").select(*kept, "_text", "tail")
+    out = met.mapInArrow(run, widen(docs.select(*named), n_tokens="long", n_known="long", base_score="double", score="double"))
     return out.select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(rest)], "n_tokens", "n_known", F.lit(trained["total"]).cast("long").alias("train_tokens"), "base_score", "score")
 
 

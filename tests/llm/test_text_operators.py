@@ -6,6 +6,7 @@ import random
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -487,25 +488,23 @@ def test_hmm_words_beyond_the_symbols(spark, monkeypatch):
     texts = [" ".join(r.choice(topics[i % 2][: r.choice([50, 11_000])]) for _ in range(r.randint(1, 400))) for i in range(400)]
     docs = spark.createDataFrame([*enumerate(texts), (400, None), (401, ""), (402, texts[1].upper()), (403, "never seen " + texts[0]), (403, "never seen " + texts[0])], "doc_id long, text string").repartition(3)
     model = hmm.train(docs.where("doc_id < 400"))
-    states = range(hmm.STATES)
     assert model["rest"].count() > 2000
     rest = {x["word"]: x for x in model["rest"].collect()}
     seen = set(" ".join(texts).split())
     have = dict(zip(model["keys"].tolist(), range(len(model["keys"])), strict=True))
-    emit = {}
-    for w in [*sorted(seen), "never"]:
-        raw = np.frombuffer(w.encode(), np.uint8)
-        span = np.array([0]), np.array([len(raw)])
-        kind = hmm._classes(raw, *span)
-        at = have.get(int(hmm.W.hashes(raw, *span)[0]))
-        assert at is not None or w in rest or w == "never"
+    one = lambda w, c, q: hmm._emissions(pa.array([w]), np.array([c]), pa.array([q], pa.binary()), model["classes"], model["choice"])[0]
+    emit, unseen = {}, {}
+    for w in [*sorted(seen), "never", "seen", *map(str, range(10_000))]:
+        at = have.get(int(hmm._hash_words([w])[0]))
+        assert at is not None or w in rest or w not in seen
         x = rest.get(w)
-        c, e = (x["c"], [x[f"e{j}"] for j in states]) if x else (0, [0.0] * hmm.STATES)
-        emit[w] = model["emit"][at] if at is not None else hmm._emissions(kind, np.array([c]), np.array([e]), model["classes"], model["choice"])[0]
-    none = np.zeros(hmm.CLASSES)
-    unseen = hmm._emissions(np.arange(hmm.CLASSES), none, np.zeros((hmm.CLASSES, hmm.STATES)), model["classes"], model["choice"])
-    assert np.sum([emit[w] for w in seen], axis=0) + unseen.sum(axis=0) + model["emit"][-1] == pytest.approx(np.ones(hmm.STATES), abs=1e-3)
-    emit["seen"] = unseen[hmm._classes(np.frombuffer(b"seen", np.uint8), np.array([0]), np.array([4]))[0]]
+        emit[w] = model["emit"][at] if at is not None else one(w, x["c"], x["q"]) if x else one(w, 0, None)
+        if w not in seen:
+            unseen[int(hmm._kinds(pa.array([w]))[0])] = emit[w]
+    for kind in range(hmm.CLASSES):  # of each class all unseen words have one share
+        if kind not in unseen:
+            unseen[kind] = model["classes"][kind] * hmm.SMOOTH / model["choice"]["mass"][kind] * model["choice"]["spread"][kind] / model["choice"]["norm"][kind]
+    assert np.sum([emit[w] for w in seen], axis=0) + np.sum(list(unseen.values()), axis=0) + model["emit"][-1] == pytest.approx(np.ones(hmm.STATES), abs=1e-3)
 
     def likelihood(text):
         out, x = 0.0, None
