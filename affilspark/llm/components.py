@@ -5,27 +5,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from affilspark.llm._spark import cut
+from affilspark.llm._spark import cut, parts
+
+
+def with_least(rows: DataFrame, key: str, value: str) -> DataFrame:
+    """rows with `m`, the least `value` of their `key`, which is not null.
+
+    Rows are dealt by key and a salt of their content, and a key's least value is sent once to each salt it
+    has, so the rows of a hot key stay in as many tasks as there are partitions.
+    """
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64(*rows.columns), F.lit(parts(rows.sparkSession))).cast("int"))
+    each = salted.groupBy(key, "salt").agg(F.min(value).alias("m"))
+    least = each.groupBy(key).agg(F.min("m").alias("m"), F.collect_list("salt").alias("salt")).select(key, "m", F.explode("salt").alias("salt"))
+    return salted.join(least, [key, "salt"]).drop("salt")
 
 
 def _stars(edges: DataFrame, large: bool) -> DataFrame:
     """One half-step: hangs each vertex's larger (or smaller) neighbours on the least vertex around it."""
     if large:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        return both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+        near = with_least(both, "a", "b").where("b > a")
+        return near.select(F.col("b").alias("a"), F.least("a", "m").alias("b")).distinct()
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = down.groupBy("a").agg(F.min("b").alias("m"))
-    hung = down.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return hung.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
+    hung = with_least(down, "a", "b").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return hung.unionByName(down.groupBy("a").agg(F.min("b").alias("b"))).distinct()
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Vertices of edges(a, b) with `root`, the least vertex of their component.
 
     Alternating large-star and small-star steps; a round makes no more edges than it gets, and
-    a hub's edges stay one row each, so no task gathers a component. Loops are dropped; no
-    edges give no rows. The driver sees one checksum a round.
+    a hub's edges stay one row each and meet its least neighbour in salts, so no task gathers a
+    component. Loops are dropped; no edges give no rows. The driver sees one checksum a round.
     """
     now = cut(edges.select("a", "b").where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     seen = None

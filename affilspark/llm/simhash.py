@@ -14,7 +14,7 @@ from xxhash import xxh64_intdigest
 
 from affilspark.llm import _words as W
 from affilspark.llm._spark import cut, parts, small_batches, table, widen
-from affilspark.llm.components import connected_components
+from affilspark.llm.components import connected_components, with_least
 
 #: Most distinct fingerprints of a bucket that one comparison takes; larger buckets are split in pairs of chunks.
 BUCKET = 512
@@ -188,8 +188,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     fps = cut(fingerprints(docs.select(F.col(id_col), F.col(text_col)), text_col, words))
     nodes = fps.groupBy("fp").agg(F.min(id_col).alias("least"))
     named = nodes.join(components_of(nodes.select("fp"), distance), "fp")
-    least = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = cut(named.select("fp", "component").join(least, "component").select("fp", "component_id"))  # so that Spark can split the join's hot fingerprints
+    named = with_least(named, "component", "least").select("fp", F.col("m").alias("component_id"))
+    named = cut(named)  # so that Spark can split the join's hot fingerprints
     return fps.join(named, "fp").select(id_col, "fp", "component_id")
 
 
