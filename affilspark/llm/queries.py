@@ -7,6 +7,7 @@ from affilspark.llm.decontaminate import op2_decontaminate
 from affilspark.llm.hmm import op7_hmm_score
 from affilspark.llm.language import op4_language_id
 from affilspark.llm.mixing import op6_mix_sources
+from affilspark.llm.periods import op12_periodic_runs
 from affilspark.llm.quality import op8_quality
 from affilspark.llm.simhash import op5_simhash_near_dedup
 from affilspark.llm.substrings import OP1_SQL, op1_substring_dedup
@@ -24,5 +25,6 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_exact_top_k": op9_exact_top_k,
     "op10_training_order": op10_training_order,
+    "op12_periodic_runs": op12_periodic_runs,
 }
 ORACLES = {"op1_substring_dedup": OP1_SQL, "op3_chat_format": OP3_SQL, "op9_exact_top_k": OP9_SQL}
