@@ -9,6 +9,7 @@ from affilspark.llm.language import op4_language_id
 from affilspark.llm.mixing import op6_mix_sources
 from affilspark.llm.periods import op12_periodic_runs
 from affilspark.llm.quality import op8_quality
+from affilspark.llm.ranked import OP13_SQL, op13_ranked_search
 from affilspark.llm.simhash import op5_simhash_near_dedup
 from affilspark.llm.substrings import OP1_SQL, op1_substring_dedup
 from affilspark.llm.tokens import op10_training_order
@@ -26,5 +27,6 @@ QUERIES = {
     "op9_exact_top_k": op9_exact_top_k,
     "op10_training_order": op10_training_order,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_ranked_search": op13_ranked_search,
 }
-ORACLES = {"op1_substring_dedup": OP1_SQL, "op3_chat_format": OP3_SQL, "op9_exact_top_k": OP9_SQL}
+ORACLES = {"op1_substring_dedup": OP1_SQL, "op3_chat_format": OP3_SQL, "op9_exact_top_k": OP9_SQL, "op13_ranked_search": OP13_SQL}

@@ -50,7 +50,7 @@ def test_top_k_small(spark):
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_oracles(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "conversations"):
+    for t in ("documents", "embeddings", "conversations", "benchmark"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     want = con.sql(queries.ORACLES[name]).df()
     got = queries.QUERIES[name](spark, SF).toPandas()
