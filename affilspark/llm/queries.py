@@ -8,6 +8,7 @@ from affilspark.llm.hmm import op7_hmm_score
 from affilspark.llm.language import op4_language_id
 from affilspark.llm.mixing import op6_mix_sources
 from affilspark.llm.periods import op12_periodic_runs
+from affilspark.llm.personal import op11_personal_data
 from affilspark.llm.quality import op8_quality
 from affilspark.llm.ranked import OP13_SQL, op13_ranked_search
 from affilspark.llm.simhash import op5_simhash_near_dedup
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_exact_top_k": op9_exact_top_k,
     "op10_training_order": op10_training_order,
+    "op11_personal_data": op11_personal_data,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_ranked_search": op13_ranked_search,
 }
