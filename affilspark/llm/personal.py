@@ -288,5 +288,6 @@ def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and digest of the base spans of all documents, and all spans."""
     found = personal_data(table(spark, sf_dir, "documents"))
     joined = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
-    count = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in LABELS[1:]]
+    of = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+    count = [of(k).alias(f"n_{k}") for k in LABELS[1:]]
     return found.select(F.col("id").alias("doc_id"), *count, F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"))

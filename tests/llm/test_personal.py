@@ -78,7 +78,7 @@ def test_gradient():
 PLANTED = [
     ("call +1 (743) 555-3824 today. Again: 743-555-3824 or 743 555 3824, in 2024.", ["phone:5:22", "phone:37:49", "phone:53:65"]),
     ("write to ann.lee9@mail2.example.com or ann.lee9 [at] mail2 [dot] example [dot] com", ["email:9:35", "email:39:82"]),
-    ("the name ann.lee9 is of Ann.Lee9@mail2.example.com", ["email:25:51", "email:9:17"]),
+    ("the name ann.lee9 is of Ann.Lee9@mail2.example.com", ["email:9:17", "email:24:50"]),
     ("host 152.143.123.131 alias 152-143-123-131", ["ip:5:20", "ip:27:42"]),
 ]
 CLEAN = ["order 743-555-3824 of 1999", "999.1.2.3 and 4111111111111112", "ann.lee9 at home, a@b", "tel 555-3824, room 12, 3 4 5 6 7 8 9", "x [at] y [dot] z", "+12 and 1.2.3"]
