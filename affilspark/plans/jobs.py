@@ -24,8 +24,9 @@ def curate(spark: SparkSession, o: argparse.Namespace) -> None:
     fact = spark.read.parquet(f"{o.out}/fact_affiliation")
     writers.write_ordered(K.dim_person(fact), f"{o.out}/dim_person", "person_id")
     writers.write_ordered(K.dim_org_raw(fact), f"{o.out}/dim_org_raw", F.asc_nulls_last("raw_org_key"))
+    dim_org = spark.read.parquet(f"{o.out}/dim_org_raw")
     for name in ("organization_country", "organization_city", "organization_name", "role_title"):
-        writers.write_ordered(K.value_frequency(fact, name), f"{o.out}/field_freq/{name}", *writers.by_frequency("cnt", "value"))
+        writers.write_ordered(K.value_frequency(fact if name == "role_title" else dim_org, name), f"{o.out}/field_freq/{name}", *writers.by_frequency("cnt", "value"))
 
 
 def registry(spark: SparkSession, o: argparse.Namespace) -> None:

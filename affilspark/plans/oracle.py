@@ -37,8 +37,8 @@ def _best(table: str, key: str, order: str) -> str:
     return f"SELECT * EXCLUDE (rk) FROM (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY {order}) AS rk FROM {table}) WHERE rk=1"
 
 
-def _freq(col: str) -> str:
-    return f"SELECT {col} AS value, count(*) AS cnt FROM fact GROUP BY 1"
+def _freq(col: str, table: str = "dim_org") -> str:
+    return f"SELECT {col} AS value, count(*) AS cnt FROM {table} GROUP BY 1"
 
 
 def _found(rows: str, join: str, value: str, source: str, priority: int, rule: int) -> str:
@@ -145,7 +145,7 @@ FINAL: dict[str, str] = {
     "freq_country": _freq("organization_country"),
     "freq_city": _freq("organization_city"),
     "freq_org_name": _freq("organization_name"),
-    "freq_role_title": _freq("role_title"),
+    "freq_role_title": _freq("role_title", "fact"),
     "country_map": "SELECT * FROM cmap",
     "country_audit": _audit("cmap", "cnt", "organization_country_iso2"),
     "city_text": "SELECT * FROM city_text",
@@ -200,11 +200,12 @@ FINAL: dict[str, str] = {
  p AS (SELECT doc_id, item_id, CAST(len(list_intersect(d.w, i.w)) AS BIGINT) AS n, count(*) OVER (PARTITION BY doc_id) AS m FROM d JOIN i USING (f) WHERE f<>''),
  b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, item_id) AS rk FROM p) WHERE rk=1)
  SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_tokens, coalesce(b.m,0) AS items, b.item_id, coalesce(b.n,0) AS inter_sz, coalesce(b.n::DOUBLE/len(d.w),0.0) AS confidence FROM d LEFT JOIN b ON b.doc_id=d.doc_id""",
-    "person_xml": """SELECT orcid, given_names, family_name, affiliation_type, trim(role_title) AS role_title, department_name, start_date, end_date, organization_name,
- organization_city, organization_country, disambiguation_source, disambiguated_organization_identifier FROM aff""",
+    "person_xml": "SELECT * FROM aff",
     "ndjson_round_trip": "SELECT * FROM aff",
     "year_round_trip": "SELECT orcid, start_date, start_year, coalesce(lpad(CAST(start_year AS VARCHAR),4,'0'),'null') AS year_dir FROM fact",
-    "ordered_round_trip": _freq("organization_city"),
+    "ordered_round_trip": f"SELECT value, cnt, row_number() OVER (ORDER BY cnt DESC, value NULLS LAST) - 1 AS position FROM ({_freq('organization_city')})",
+    "city_places": """SELECT organization_country_raw, organization_city_raw, organization_country_iso2, organization_city_norm, row_number() OVER (ORDER BY coalesce(organization_country_iso2,'ZZ'),
+ coalesce(organization_city_norm,''), coalesce(organization_city_raw,''), coalesce(organization_country_raw,''), organization_city_raw IS NULL) - 1 AS position FROM city_text""",
     "lenient_tsv": "SELECT ringgold, nullif(isni,'') AS isni, CASE WHEN CAST(ringgold AS BIGINT)%3=0 THEN NULL ELSE name END AS name FROM ring WHERE CAST(ringgold AS BIGINT)%7<>0",
     "registry_json": "SELECT id, value, lang, type FROM reg_name",
     "org_merge_without_lists": f"SELECT {_MATCH} FROM b_direct",

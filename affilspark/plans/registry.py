@@ -143,7 +143,7 @@ def _person_xml(x: Inputs) -> DataFrame:
 
 def _ndjson(x: Inputs) -> DataFrame:
     path = _folder(x.spark)
-    writers.write_ndjson(x.aff, path, max_bytes=16 << 20)
+    writers.write_ndjson(x.aff, path)
     return readers.read_affiliation_ndjson(x.spark, path)
 
 
@@ -155,9 +155,19 @@ def _by_year(x: Inputs) -> DataFrame:
 
 
 def _ordered(x: Inputs) -> DataFrame:
+    """Value frequencies, written in order and read back with their places."""
     path = _folder(x.spark)
-    writers.write_ordered(K.value_frequency(x.fact, "organization_city"), path, *writers.by_frequency("cnt", "value"))
-    return x.spark.read.parquet(path)
+    writers.write_ordered(K.value_frequency(x.dim_org, "organization_city"), path, *writers.by_frequency("cnt", "value"), max_records=50)
+    return readers.read_ordered(x.spark, path)
+
+
+def _places(x: Inputs) -> DataFrame:
+    """Cities by code (null as ZZ) and text, with their places; raw values break ties."""
+    path = _folder(x.spark)
+    cities = x.cities.drop("pair_cnt")
+    order = writers.by_place("organization_country_iso2", "organization_city_norm", "organization_city_raw", "organization_country_raw")
+    writers.write_ordered(cities, path, *order, F.col("organization_city_raw").isNull(), max_records=500)
+    return readers.read_ordered(x.spark, path)
 
 
 def _one_file_each(lines: DataFrame, begin: str, between: str, end: str, path: str) -> None:
@@ -213,9 +223,9 @@ _PLANS: dict[str, Callable[[Inputs], DataFrame]] = {
     "year_layout_counts": lambda x: K.weighted_distinct(x.fact.select(year_dir("start_year").alias("year_dir")), "year_dir"),
     "dim_person": lambda x: K.dim_person(x.fact),
     "dim_org_raw": lambda x: x.dim_org,
-    "freq_country": lambda x: K.value_frequency(x.fact, "organization_country"),
-    "freq_city": lambda x: K.value_frequency(x.fact, "organization_city"),
-    "freq_org_name": lambda x: K.value_frequency(x.fact, "organization_name"),
+    "freq_country": lambda x: K.value_frequency(x.dim_org, "organization_country"),
+    "freq_city": lambda x: K.value_frequency(x.dim_org, "organization_city"),
+    "freq_org_name": lambda x: K.value_frequency(x.dim_org, "organization_name"),
     "freq_role_title": lambda x: K.value_frequency(x.fact, "role_title"),
     "country_map": lambda x: x.cmap,
     "country_audit": lambda x: K.normalization_audit(x.cmap, "cnt", "organization_country_iso2"),
@@ -263,6 +273,7 @@ _PLANS: dict[str, Callable[[Inputs], DataFrame]] = {
     "ndjson_round_trip": _ndjson,
     "year_round_trip": _by_year,
     "ordered_round_trip": _ordered,
+    "city_places": _places,
     "lenient_tsv": _lenient_tsv,
     "registry_json": _registry_json,
     "org_merge_without_lists": _without_lists,

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from affilspark.functions.text import partial_date
-from affilspark.sources.schemas import AFFILIATION, AFFILIATION_COLUMNS, PERSON, REGISTRY
+from affilspark.sources.json_array import read_json_array
+from affilspark.sources.schemas import AFFILIATION, AFFILIATION_COLUMNS, REGISTRY
+from affilspark.sources.xml import records_of, xml_files
 
 
 def _struct(schema: T.StructType | str) -> T.StructType:
@@ -50,26 +52,41 @@ def affiliations_of(records: DataFrame) -> DataFrame:
     return rows.select("orcid", "given_names", "family_name", "a.*").select(*AFFILIATION_COLUMNS)
 
 
-def read_person_xml(spark: SparkSession, path: str) -> DataFrame:
-    """Affiliations in a tree of namespaced XML files with a `record` each; other files give nothing."""
-    reader = spark.read.format("xml").schema(PERSON).option("rowTag", "record").option("ignoreNamespace", "true").option("recursiveFileLookup", "true")
-    return affiliations_of(reader.load(path))
+def read_person_xml(spark: SparkSession, path: str, pattern: str = "*.xml") -> DataFrame:
+    """Affiliations in a tree of namespaced XML files with a `record` each; other files and broken ones (see broken_xml) give nothing."""
+    return affiliations_of(records_of(xml_files(spark, path, pattern)))
+
+
+def read_packed_xml(spark: SparkSession, path: str) -> DataFrame:
+    """Affiliations of the blocks that pack_xml wrote."""
+    return affiliations_of(records_of(spark.read.schema("path string, xml string").parquet(path)))
 
 
 def parse_person_xml(packed: DataFrame, xml_col: str = "value") -> DataFrame:
-    """Affiliations of XML texts kept in a column, e.g. from packed archives; each text is one `record`."""
-    parsed = packed.select(F.from_xml(F.col(xml_col), PERSON, {"ignoreNamespace": "true"}).alias("r")).where("r is not null")
-    return affiliations_of(parsed.select("r.*"))
+    """Affiliations of XML texts kept in a column; texts without a `record` give nothing."""
+    return affiliations_of(records_of(packed, xml_col))
 
 
 def read_affiliation_ndjson(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(AFFILIATION).json(path)
 
 
-def read_registry_json(spark: SparkSession, path: str, schema: T.StructType | str = REGISTRY, partitions: int | None = None) -> DataFrame:
-    """Registry records of JSON array files. A file is one task, so the records are dealt out again."""
-    raw = spark.read.schema(schema).option("multiLine", True).json(path)
-    return raw.repartition(partitions or int(spark.conf.get("spark.sql.shuffle.partitions")))
+def read_registry_json(spark: SparkSession, path: str, schema: T.StructType | str = REGISTRY) -> DataFrame:
+    """Registry records of JSON array files, each read by as many tasks as it has blocks (see json_array)."""
+    return read_json_array(spark, path, schema)
+
+
+def read_ordered(spark: SparkSession, path: str, position: str = "position") -> DataFrame:
+    """A table that write_ordered wrote, with each row's place in its order, from 0.
+
+    Files are in order of the numbers in their names; the counts of rows a file come from Parquet's footers, a row
+    for each file.
+    """
+    rows = spark.read.parquet(path).select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    number = lambda pattern: F.regexp_extract("_file", pattern, 1).cast("long")
+    before = Window.orderBy(number(r"^part-(\d+)"), number(r"-c(\d+)\.")).rowsBetween(Window.unboundedPreceding, -1)
+    files = rows.groupBy("_file").agg(F.count("*").alias("_n")).select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    return rows.join(files, "_file").withColumn(position, F.col("_before") + F.col("_row")).drop("_file", "_row", "_before")
 
 
 def read_tsv_lenient(spark: SparkSession, path: str, schema: T.StructType | str, drop_long: bool = True) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Writers: NDJSON parts, year directories, ordered tables. Nothing counts rows or numbers files."""
+"""Writers: NDJSON parts, year directories, ordered tables. No pass over the rows is made to cut them."""
 
 from __future__ import annotations
 
@@ -6,19 +6,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from affilspark.functions.text import start_year, year_dir
+from affilspark.sources.parts import LineParts
 
-ROWS_PER_FILE = 16_384
+ROWS_PER_FILE, PART_BYTES = 16_384, 16 << 20
 
 
-def write_ndjson(df: DataFrame, path: str, max_records: int = 50_000, max_bytes: int | None = None) -> None:
-    """JSON lines in parts of at most max_records rows; null fields are written.
+def write_ndjson(df: DataFrame, path: str, max_records: int | None = None, max_bytes: int = PART_BYTES) -> None:
+    """JSON lines in parts that end at max_bytes of text (by less than a row more) or at max_records rows; null fields are written.
 
-    With max_bytes (as 16 << 20) parts also end at about that size: a pass over the rows measures their mean.
+    Overwrites; a failed write leaves the folder as it was.
     """
-    if max_bytes:
-        line = F.octet_length(F.to_json(F.struct("*"), {"ignoreNullFields": "false"})) + 1
-        max_records = min(max_records, max(1, int(max_bytes // (df.select(F.avg(line)).first()[0] or 1))))
-    df.write.mode("overwrite").option("maxRecordsPerFile", max_records).option("ignoreNullFields", False).json(path)
+    df.sparkSession.dataSource.register(LineParts)
+    lines = df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))
+    writer = lines.write.format("line_parts").mode("overwrite").option("max_bytes", max_bytes)
+    (writer.option("max_rows", max_records) if max_records else writer).save(path)
 
 
 def write_by_year(df: DataFrame, path: str, date_col: str = "start_date", key: str = "orcid", max_records: int = ROWS_PER_FILE) -> None:
@@ -45,3 +46,8 @@ def by_frequency(count: str = "cnt", *values: str) -> list[Column]:
 def by_place(country: str, *texts: str) -> list[Column]:
     """Order: country (null as ZZ), then texts (null as '')."""
     return [F.coalesce(F.col(country), F.lit("ZZ")), *[F.coalesce(F.col(t), F.lit("")) for t in texts]]
+
+
+def by_candidate(key: str = "org_row_id", *then: str) -> list[Column]:
+    """Order of match candidates: key, priority, registry id; nulls last."""
+    return [F.asc_nulls_last(c) for c in (key, *(then or ("match_priority", "ror_id", "match_source")))]

@@ -2,11 +2,16 @@
 
 import json
 
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from affilspark.sources import json_array
 from affilspark.sources import readers as R
 from affilspark.sources import writers as W
-from affilspark.sources.schemas import AFFILIATION, AFFILIATION_COLUMNS, RINGGOLD, ROLE_MAP
+from affilspark.sources.schemas import AFFILIATION, AFFILIATION_COLUMNS, REGISTRY, RINGGOLD, ROLE_MAP
+from affilspark.sources.xml import broken_xml, pack_xml, xml_files
 
 HEAD = '<r:record xmlns:r="http://x/r" xmlns:c="http://x/c" xmlns:p="http://x/p" xmlns:a="http://x/a" path="/1">'
 
@@ -42,11 +47,61 @@ def test_person_xml(spark, tmp_path):
     assert packed.count() == 4
 
 
+def test_person_xml_text_and_errors(spark, tmp_path):
+    """Texts stay as they are; records inside another root count; broken files go to the error table."""
+    odd = group("education", "  a b ").replace("<c:city>Bonn</c:city>", "<c:city/><c:country> </c:country>").replace("<c:year>2010</c:year>", "<c:year> 2010\n</c:year>")
+    files = {"a": '<?xml version="1.0"?><!-- <record> -->' + person("1", odd), "b": f"<w>{person('2', odd)}</w>", "c": "<other/>", "d": person("3", odd)[:-9], "e": "<open>", "f": " ", "g.txt": person("9", odd)}
+    for name, text in files.items():
+        (tmp_path / (name if "." in name else f"{name}.xml")).write_text(text)
+    rows = sorted(tuple(r)[i] for r in R.read_person_xml(spark, str(tmp_path)).collect() for i in (0, 4, 6, 8, 9, 10))
+    assert rows == sorted([x for n in "12" for x in (n, "  a b ", "2010-00-00", "Uni   a b ", "", " ")])
+    assert sorted(r.path[-5] for r in broken_xml(xml_files(spark, str(tmp_path))).collect()) == ["d", "e", "f"]
+
+
+def test_packed_xml(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for i in range(1500):
+        (tmp_path / "in" / f"{i}.xml").write_text(person(str(i), group("education", "x")))
+    pack_xml(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    assert len(list((tmp_path / "out").glob("part*"))) <= 15
+    assert R.read_packed_xml(spark, str(tmp_path / "out")).select("orcid").distinct().count() == 1500
+    pack_xml(spark, str(tmp_path / "in"), str(tmp_path / "one"), block_bytes=50_000)
+    assert len(list((tmp_path / "one").glob("part*"))) > 8
+
+
+def sizes(folder):
+    return [p.stat().st_size for p in sorted(folder.glob("part*"))]
+
+
+def test_parts_by_bytes(spark, tmp_path):
+    """Rows of very unequal length: no part is over the bound by more than a row, none but a task's last is under it."""
+    rows = [(str(i), "x" * (2000 if i >= 1000 else i % 7)) for i in range(2000)]
+    df = spark.createDataFrame(rows, "a string, b string").coalesce(1)
+    W.write_ndjson(df, str(tmp_path / "n"), max_bytes=100_000)
+    got = sizes(tmp_path / "n")
+    assert all(100_000 <= s < 100_000 + 2030 for s in got[:-1]) and len(got) == 21
+    assert sorted(map(tuple, spark.read.schema("a string, b string").json(str(tmp_path / "n")).collect())) == sorted(rows)
+    assert [json.loads(line)["a"] for p in sorted((tmp_path / "n").glob("part*")) for line in p.open()] == [r[0] for r in rows]
+    W.write_ndjson(df.limit(3), str(tmp_path / "n"))  # replaces all
+    assert len(sizes(tmp_path / "n")) == 1 and {p.name for p in (tmp_path / "n").iterdir() if not p.name.startswith(("part", "."))} == {"_SUCCESS"}
+    W.write_ndjson(df.limit(0), str(tmp_path / "none"))
+    assert sizes(tmp_path / "none") == []
+
+
+def test_failed_write_leaves_no_part(spark, tmp_path):
+    W.write_ndjson(spark.range(5).selectExpr("cast(id as string) as a"), str(tmp_path / "n"))
+    before = {p.name: p.read_text() for p in (tmp_path / "n").glob("part*")}
+    bad = spark.range(0, 4000, 1, 4).selectExpr("if(id = 3999, raise_error('stop'), cast(id as string)) as a")
+    with pytest.raises(Exception, match="stop"):
+        W.write_ndjson(bad, str(tmp_path / "n"), max_bytes=100)
+    assert {p.name: p.read_text() for p in (tmp_path / "n").glob("part*")} == before and not (tmp_path / "n" / "_temporary").exists()
+
+
 def test_ndjson_round_trip(spark, tmp_path):
     rows = [tuple(f"{c}{i}" if (i + k) % 3 else None for k, c in enumerate(AFFILIATION_COLUMNS)) for i in range(10)]
     df = spark.createDataFrame(rows, AFFILIATION)
     W.write_ndjson(df.coalesce(1), str(tmp_path / "n"), 4)
-    parts = list((tmp_path / "n").glob("*.json"))
+    parts = list((tmp_path / "n").glob("part*.json"))
     assert len(parts) == 3 and all(len(json.loads(line)) == 13 for p in parts for line in p.open())
     assert sorted(map(tuple, R.read_affiliation_ndjson(spark, str(tmp_path / "n")).collect()), key=str) == sorted(rows, key=str)
 
@@ -87,6 +142,73 @@ def test_lookups_and_missing(spark, tmp_path):
     assert R.read_if_exists(spark, str(tmp_path / "none"), AFFILIATION).count() == 0
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.data())
+def test_array_cutter(data):
+    """Any cut of a document in blocks gives its objects and arrays back, whatever is in their strings."""
+    text = st.text(st.sampled_from('{}[]",:\\ \n}aé'), max_size=6)
+    value = st.recursive(st.one_of(text, st.integers(), st.none()), lambda v: st.one_of(st.lists(v, max_size=3), st.dictionaries(text, v, max_size=3)), max_leaves=6)
+    array = data.draw(st.lists(value, max_size=6))
+    document = json.dumps(array, ensure_ascii=False, indent=data.draw(st.sampled_from([None, 1])))
+    pieces = document.split("}")
+    cuts = sorted(data.draw(st.sets(st.integers(0, len(pieces)), max_size=4)) | {0})
+    blocks = [(a, pieces[a:b]) for a, b in zip(cuts, [*cuts[1:], len(pieces)]) if a < b]
+    sums = []
+    for n, own in blocks:
+        turned, a, b = False, 0, 0
+        for piece in own:
+            turn, outside, inside = json_array.piece_effect(piece + "}")
+            turned, a, b = turned ^ turn, a + (inside if turned else outside), b + (outside if turned else inside)
+        sums.append(("f", n, turned, a, b))
+    starts, got, held = json_array.block_starts(sums), [], None
+    for n, own in blocks:
+        cutter = json_array.Cutter(*starts["f", n])
+        for kind, part in [x for p in own for x in cutter.feed(p + "}")] + [x for x in [cutter.rest()] if x]:
+            if kind == "whole":
+                got.append(part)
+            elif kind == "head":
+                held = part
+            else:
+                held += part
+                if kind == "tail":
+                    got.append(held)
+    assert [json.loads(x) for x in got] == [x for x in array if isinstance(x, dict | list)]
+
+
+def test_json_array_in_many_tasks(spark, tmp_path):
+    odd = ['}{', '"', '\\', '[{"a": 1}]', "\n", "é😀", "]", ""]
+    records = [{"id": f"r{i}", "names": [{"value": odd[i % 8] * (i % 5), "types": ["label"]}], "domains": [odd[(i + 3) % 8]]} for i in range(3000)] + [{"id": "long", "domains": ["}x{" * 20_000]}]
+    (tmp_path / "r.json").write_text(json.dumps(records, indent=2, ensure_ascii=False))
+    (tmp_path / "s.json").write_text("[]")
+    (tmp_path / "t.json").write_text(json.dumps([{"id": "one"}, 5, "}", ["{"], {"id": "two"}]))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        got = R.read_registry_json(spark, str(tmp_path))
+        assert json_array._pieces(spark, str(tmp_path / "r.json")).rdd.getNumPartitions() > 20
+        rows = sorted((r.id, r.names and r.names[0].value, r.domains and r.domains[0]) for r in got.collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert rows == sorted([(r["id"], r["names"][0]["value"] if "names" in r else None, r["domains"][0]) for r in records] + [("one", None, None), ("two", None, None)])
+    whole = spark.read.schema(REGISTRY).option("multiLine", True).json(str(tmp_path / "r.json"))
+    assert sorted(map(str, R.read_registry_json(spark, str(tmp_path / "r.json")).collect())) == sorted(map(str, whole.collect()))
+
+
+def test_order_by_names(spark, tmp_path):
+    """Files read in order of their names give the order; more files than three digits can number."""
+    df = spark.range(0, 1100).selectExpr("(id * 7919) % 1100 as k")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        W.write_ordered(df, str(tmp_path / "o"), "k", max_records=1)
+        got = R.read_ordered(spark, str(tmp_path / "o"))
+        assert got.where("k <> position").count() == 0 and got.count() == 1100
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    W.write_ordered(df.limit(0), str(tmp_path / "e"), "k")
+    assert R.read_ordered(spark, str(tmp_path / "e")).count() == 0
+
+
 def test_registry_json(spark, tmp_path):
     from affilspark.operators import registry as G
 
