@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from affilspark.functions.text import first_token, norm_text, row_key, token_overlap, token_set, trim
 from affilspark.operators.matching import best_per_key, union_matches
+from affilspark.operators.skew import PAIRS, tiled_join
 
 CITY = ["city_row_id", "organization_city_raw", "organization_city_norm", "organization_country_iso2", "pair_cnt"]
 PLACE = ["geoname_id", "city_official_name", "admin1_code", "admin2_code", "timezone"]
@@ -49,26 +50,30 @@ def match_alias(pending: DataFrame, gaz: DataFrame) -> DataFrame:
     return found.withColumn("confidence", F.lit(1.0)).withColumn("match_rule", F.lit(2)).select(*MATCH)
 
 
-def match_tokens_first(pending: DataFrame, gaz: DataFrame) -> DataFrame:
+def match_tokens_first(pending: DataFrame, gaz: DataFrame, pairs: int = PAIRS) -> DataFrame:
     """Rule 3: the place of the same country that shares most tokens, ids as text breaking ties.
 
     Candidates share the first token of the place's official name or of an alias; blocks are distinct,
-    so a place is compared once. Shared tokens count those of the official name; confidence is their
-    share of the city's tokens. The best is an aggregate, so tasks reduce before the shuffle.
+    so a place is compared once, and so are texts: cities of one code and normalized text have one match. Shared
+    tokens count those of the official name; confidence is their share of the city's tokens. Pairs are made
+    of texts and places alone; a (country, first token) that makes over `pairs` of them is dealt in tiles.
+    The best is an aggregate, so tasks reduce before the shuffle.
     """
     ref = _places(gaz).where(F.col("country_code").isNotNull() & F.col("city_official_name").isNotNull())
     ref = ref.withColumn("official", norm_text("city_official_name", trimmed=False, empty_to_null=False))
-    names = ref.select("geoname_id", "official", token_set("official").alias("g_toks"))
     own = ref.select("geoname_id", "country_code", first_token("official").alias("first_tok"))
     other = explode_aliases(_places(gaz).where("country_code is not null"), "alternate_names")
     other = other.select("geoname_id", "country_code", first_token(norm_text("alias", empty_to_null=False)).alias("first_tok"))
     block = own.unionByName(other).where("first_tok <> ''").distinct().withColumnRenamed("country_code", "organization_country_iso2")
-    city = pending.withColumn("p_toks", token_set(F.coalesce("organization_city_norm", F.lit("")))).withColumn("first_tok", first_token(F.coalesce("organization_city_norm", F.lit(""))))
-    pairs = city.join(block, ["organization_country_iso2", "first_tok"]).join(names.select("geoname_id", "g_toks"), "geoname_id")
+    block = block.join(ref.select("geoname_id", token_set("official").alias("g_toks")), "geoname_id")
+    text = ["organization_country_iso2", "organization_city_norm"]
+    city = pending.select(*text).where("organization_country_iso2 is not null and organization_city_norm is not null").distinct()
+    city = city.select(*text, token_set("organization_city_norm").alias("p_toks"), first_token("organization_city_norm").alias("first_tok")).where("first_tok <> ''")
     shared, _, conf = token_overlap(F.col("p_toks"), F.col("g_toks"))
-    scored = pairs.select("city_row_id", "geoname_id", shared.alias("inter_sz"), conf.alias("confidence")).where("inter_sz > 0")
-    best = scored.groupBy("city_row_id").agg(F.min(F.struct((-F.col("inter_sz")).alias("n"), "geoname_id", "confidence")).alias("b")).select("city_row_id", "b.geoname_id", "b.confidence")
-    return pending.join(best, "city_row_id").join(_places(gaz).select(*PLACE), "geoname_id").withColumn("match_rule", F.lit(3)).select(*MATCH)
+    met = tiled_join(city, block, ["organization_country_iso2", "first_tok"], pairs)
+    scored = met.select(*text, "geoname_id", shared.alias("inter_sz"), conf.alias("confidence")).where("inter_sz > 0")
+    best = scored.groupBy(*text).agg(F.min(F.struct((-F.col("inter_sz")).alias("n"), "geoname_id", "confidence")).alias("b")).select(*text, "b.geoname_id", "b.confidence")
+    return pending.join(best, text).join(_places(gaz).select(*PLACE), "geoname_id").withColumn("match_rule", F.lit(3)).select(*MATCH)
 
 
 def city_weights(cities: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from affilspark.functions.text import lower_key, norm_text, org_key, percent, start_year, trim
+from affilspark.operators.skew import left_join_past_nulls
 from affilspark.sources.schemas import AFFILIATION_COLUMNS
 
 _KEY = "orcid affiliation_type role_title department_name organization_name organization_city organization_country start_date end_date".split()
@@ -43,13 +44,20 @@ def value_frequency(df: DataFrame, col: str) -> DataFrame:
     return weighted_distinct(df.select(F.col(col).alias("value")), "value")
 
 
-def normalization_audit(df: DataFrame, weight: str, mapped: str) -> DataFrame:
-    """One row: weight and rows in all, weight with and without a mapped value, percent mapped (null for none)."""
+def normalization_metrics(weight: str, mapped: str) -> dict[str, Column]:
+    """The sums of normalization_audit()."""
     has = F.col(mapped).isNotNull()
     part = lambda when: F.sum(F.when(when, F.col(weight)).otherwise(0))
-    return df.agg(
-        F.sum(weight).alias("total_weighted"), F.count("*").alias("distinct_rows"), part(has).alias("mapped_weighted"), part(~has).alias("unmapped_weighted"), percent(part(has), F.sum(weight)).alias("mapped_pct")
-    )
+    return {"total_weighted": F.sum(weight), "distinct_rows": F.count(F.lit(1)), "mapped_weighted": part(has), "unmapped_weighted": part(~has)}
+
+
+def with_mapped_percent(sums: DataFrame) -> DataFrame:
+    return sums.withColumn("mapped_pct", percent(F.col("mapped_weighted"), F.col("total_weighted")))
+
+
+def normalization_audit(df: DataFrame, weight: str, mapped: str) -> DataFrame:
+    """One row: weight and rows in all, weight with and without a mapped value, percent mapped (null for none)."""
+    return with_mapped_percent(df.agg(*[c.alias(k) for k, c in normalization_metrics(weight, mapped).items()]))
 
 
 def attach_country(df: DataFrame, cmap: DataFrame, raw: str) -> DataFrame:
@@ -71,13 +79,13 @@ def org_text(dim_org: DataFrame, cmap: DataFrame, cities: DataFrame, dedupe_city
     """Distinct (country, city, name) with code, normalized name ('' for null) and city, and pair_cnt.
 
     Two raw countries of one code make a city occur twice under (code, raw city), which repeats its
-    organizations; dedupe_city joins distinct pairs instead.
+    organizations; dedupe_city joins distinct pairs instead. Rows without a code or city go past that join.
     """
     raw = {"organization_country": "organization_country_raw", "organization_city": "organization_city_raw", "organization_name": "organization_name_raw"}
     rows = weighted_distinct(dim_org.select(*[F.col(k).alias(v) for k, v in raw.items()]), *raw.values(), name="pair_cnt")
     named = cities.select("organization_country_iso2", "organization_city_raw", "organization_city_norm")
     named = named.distinct() if dedupe_city else named
-    return attach_country(rows, cmap, "organization_country_raw").join(named, ["organization_country_iso2", "organization_city_raw"], "left").withColumn("organization_name_norm", norm_text("organization_name_raw", empty_to_null=False))
+    return left_join_past_nulls(attach_country(rows, cmap, "organization_country_raw"), named, ["organization_country_iso2", "organization_city_raw"]).withColumn("organization_name_norm", norm_text("organization_name_raw", empty_to_null=False))
 
 
 def role_title_text(fact: DataFrame) -> DataFrame:

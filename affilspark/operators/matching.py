@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from affilspark.functions.text import percent
@@ -40,6 +40,18 @@ def coverage_audit(total: DataFrame, matched: DataFrame, key: str, weight: str,
     return alls.crossJoin(some).withColumn("stage", F.lit(stage)).withColumn("matched_pct_weighted", percent(F.col("matched_weighted"), F.col("total_pairs_weighted")))
 
 
+def covered(spark: SparkSession, *rows: tuple[int, int, int, int, int]) -> DataFrame:
+    """coverage_audit() from known numbers: stage, rows and weight in all, and matched."""
+    known = spark.createDataFrame(list(rows), "stage int, total_pairs_distinct long, total_pairs_weighted long, matched_distinct long, matched_weighted long")
+    return known.withColumn("matched_pct_weighted", percent(F.col("matched_weighted"), F.col("total_pairs_weighted")))
+
+
+def covered_by_source(spark: SparkSession, total: int | None, rows: list[tuple[int, str, int, int]]) -> DataFrame:
+    """coverage_by_source() from known numbers: stage, source, keys and weight."""
+    known = spark.createDataFrame(rows, "stage int, match_source string, matched_distinct long, matched_weighted long")
+    return known.withColumn("matched_pct_weighted_source", percent(F.col("matched_weighted"), F.lit(total).cast("long")))
+
+
 def coverage_by_source(best: DataFrame, total: DataFrame, key: str = "org_row_id", weight: str = "pair_cnt", sources: DataFrame | None = None, stage: int = 5) -> DataFrame:
     """Distinct keys and weight per match source of a stage, with its percent of all weight; `sources` adds rows of 0."""
     got = best.groupBy("match_source").agg(F.countDistinct(key).alias("matched_distinct"), F.sum(weight).alias("matched_weighted"))

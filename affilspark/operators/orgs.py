@@ -13,6 +13,7 @@ from affilspark.operators.registry import crosswalk
 ORG = ["org_row_id", "organization_name_raw", "organization_name_norm", "organization_country_iso2", "pair_cnt"]
 MATCH = [*ORG, "ror_id", "match_source", "source_value_norm", "match_priority", "confidence", "match_rule"]
 BY_SOURCE = [*ORG, "ror_id", "inter_sz", "org_len", *MATCH[6:]]
+BLOCK = ["organization_country_iso2", "city_geoname_id"]
 #: Order of identifier sources when they disagree.
 SOURCE_ORDER = ("ror", "fundref", "grid", "ringgold_isni")
 
@@ -97,23 +98,67 @@ def registry_city_names(names: DataFrame, locations: DataFrame) -> DataFrame:
     return place.join(name, "id").withColumnRenamed("id", "ror_id")
 
 
-def match_tokens_block(orgs: DataFrame, registry: DataFrame, plan: str = "inverted") -> DataFrame:
+def _by_rarity(rows: DataFrame, toks: str, stats: DataFrame, *key: str) -> DataFrame:
+    """key, block, and `ts`: the tokens that the block's entries have, rarest first."""
+    each = rows.select(*key, *BLOCK, F.explode(toks).alias("tok")).join(stats, [*BLOCK, "tok"])
+    return each.groupBy(*key, *BLOCK).agg(F.array_sort(F.collect_list(F.struct("df", "tok", "first_id"))).alias("ts"))
+
+
+def _prefix_pairs(asked: DataFrame, index: DataFrame) -> DataFrame:
+    """Best (more shared tokens, then least id) of the entries that hold one of the asked tokens.
+
+    asked: org, block, m (tokens in ts), tok at place i, need; index: entry, block, tok at place j of r. As both
+    sides keep one order, a pair first met at (i, j) shares min(m - i, r - j) tokens at most; it is left out
+    where that is under need. A pair met again at a later token was judged at the first.
+    """
+    met = asked.join(index, [*BLOCK, "tok"]).where(F.least(F.col("m") - F.col("i"), F.col("r") - F.col("j")) >= F.col("need"))
+    shared = met.select("org_row_id", "org_len", *BLOCK, "ror_id", F.size(F.array_intersect("mine", "theirs")).alias("inter_sz"))
+    best = shared.groupBy("org_row_id", "org_len", *BLOCK).agg(F.min(F.struct((-F.col("inter_sz")).alias("n"), "ror_id")).alias("b"))
+    return best.select("org_row_id", "org_len", *BLOCK, (-F.col("b.n")).alias("inter_sz"), "b.ror_id")
+
+
+def _prefix_best(mine: DataFrame, registry: DataFrame) -> DataFrame:
+    """(org, org_len, ror_id, inter_sz): per block the entry that shares most tokens, least id first, by prefixes of the rarest tokens.
+
+    An entry that shares n of an organization's m known tokens has one of its m - n + 1 rarest. So: what shares one token is known
+    without a pair, as the least id of each token; entries with the rarest token give a first bound; the tokens up to
+    that bound's prefix give the rest. The most frequent token of an organization's block makes no pairs: to share
+    two tokens an entry has a rarer one too.
+    """
+    entries = registry.select("ror_id", *BLOCK, "ror_toks")
+    stats = entries.select(*BLOCK, "ror_id", F.explode("ror_toks").alias("tok")).groupBy(*BLOCK, "tok").agg(F.count("*").alias("df"), F.min("ror_id").alias("first_id"))
+    names = lambda c: F.transform(c, lambda t: t["tok"])
+    ranked = _by_rarity(entries, "ror_toks", stats, "ror_id").select("ror_id", *BLOCK, names("ts").alias("theirs"))
+    index = ranked.select("ror_id", *BLOCK, "theirs", F.size("theirs").alias("r"), F.posexplode("theirs").alias("j", "tok"))
+    known = _by_rarity(mine.withColumn("org_len", F.size("org_toks").cast("long")), "org_toks", stats, "org_row_id", "org_len")
+    one = known.select("org_row_id", "org_len", F.lit(1).alias("inter_sz"), F.array_min(F.transform("ts", lambda t: t["first_id"])).alias("ror_id"))
+    several = known.where(F.size("ts") > 1).select("org_row_id", "org_len", *BLOCK, names("ts").alias("mine"), F.size("ts").alias("m"))
+    rarest = _prefix_pairs(several.withColumns({"i": F.lit(0), "tok": F.get("mine", F.lit(0)), "need": F.lit(2)}), index)
+    bound = several.join(rarest.select("org_row_id", *BLOCK, F.col("inter_sz").alias("b")), ["org_row_id", *BLOCK], "left").withColumn("need", F.greatest(F.coalesce("b", F.lit(2)), F.lit(2)))
+    more = bound.select("org_row_id", "org_len", *BLOCK, "mine", "m", "need", F.posexplode(F.slice("mine", F.lit(2), F.greatest(F.col("m") - F.col("need"), F.lit(0)))).alias("k", "tok"))
+    rest = _prefix_pairs(more.withColumn("i", F.col("k") + 1).drop("k"), index)
+    return one.unionByName(rarest.select(*one.columns)).unionByName(rest.select(*one.columns))
+
+
+def match_tokens_block(orgs: DataFrame, registry: DataFrame, plan: str = "prefix") -> DataFrame:
     """The registry entry in one of the organization's cities that covers most of its name's tokens.
 
-    plan 'inverted' joins single tokens on (country, city, token) and counts, so an entry that shares
-    nothing is never paired; 'block' pairs all of a city and intersects. Both keep pairs with a shared
-    token only and give the same result.
+    plan 'prefix' pairs on an organization's rarest tokens within a city and bounds what later ones can give; 'inverted'
+    joins all tokens on (country, city, token) and counts; 'block' pairs all of a city and intersects. All keep
+    pairs with a shared token only and give the same result.
     """
-    block = ["organization_country_iso2", "city_geoname_id"]
-    mine = restrict(orgs, registry, *block).withColumn("org_toks", token_set("organization_name_norm"))
+    mine = restrict(orgs, registry, *BLOCK).withColumn("org_toks", token_set("organization_name_norm"))
     if plan == "block":
         shared, size, conf = token_overlap(F.col("org_toks"), F.col("ror_toks"))
-        pairs = mine.join(registry, block).select("org_row_id", "ror_id", shared.alias("inter_sz"), size.alias("org_len"), conf.alias("confidence")).where("inter_sz > 0")
+        pairs = mine.join(registry, BLOCK).select("org_row_id", "ror_id", shared.alias("inter_sz"), size.alias("org_len"), conf.alias("confidence")).where("inter_sz > 0")
     else:
-        left = mine.select("org_row_id", *block, F.size("org_toks").cast("long").alias("org_len"), F.explode("org_toks").alias("tok"))
-        right = registry.select("ror_id", *block, F.explode("ror_toks").alias("tok"))
-        pairs = left.join(right, [*block, "tok"]).groupBy("org_row_id", "ror_id", "city_geoname_id", "org_len").agg(F.count("*").alias("inter_sz"))
-        pairs = pairs.withColumn("confidence", F.col("inter_sz") / F.col("org_len"))
+        if plan == "prefix":
+            pairs = _prefix_best(mine, registry)
+        else:
+            left = mine.select("org_row_id", *BLOCK, F.size("org_toks").cast("long").alias("org_len"), F.explode("org_toks").alias("tok"))
+            right = registry.select("ror_id", *BLOCK, F.explode("ror_toks").alias("tok"))
+            pairs = left.join(right, [*BLOCK, "tok"]).groupBy("org_row_id", "ror_id", "city_geoname_id", "org_len").agg(F.count("*").alias("inter_sz"))
+        pairs = pairs.select("org_row_id", "ror_id", "org_len", F.col("inter_sz").cast("long"), (F.col("inter_sz") / F.col("org_len")).alias("confidence"))
     best = pairs.groupBy("org_row_id").agg(F.min(F.struct((-F.col("confidence")).alias("c"), (-F.col("inter_sz")).alias("n"), "ror_id", "org_len")).alias("b"))
     best = best.select("org_row_id", "b.ror_id", (-F.col("b.n")).alias("inter_sz"), "b.org_len", (-F.col("b.c")).alias("confidence"))
     found = orgs.select(*ORG).distinct().join(best, "org_row_id").withColumn("source_value_norm", F.lit(""))

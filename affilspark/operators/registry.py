@@ -68,14 +68,22 @@ def registry_enriched(organization: DataFrame, names: DataFrame) -> DataFrame:
     return organization.drop("types").join(names, "id", "left")
 
 
+def preferred_metrics() -> dict[str, Column]:
+    """Organizations of registry_enriched(), and those with a preferred name."""
+    has = F.sum(F.when(F.length(trim(F.coalesce("preferred_name", F.lit("")))) > 0, 1).otherwise(0))
+    return {"org_total": F.count(F.lit(1)), "org_with_preferred_name": F.coalesce(has, F.lit(0))}
+
+
+def with_preferred_percent(counts: DataFrame) -> DataFrame:
+    return counts.withColumn("preferred_name_coverage_pct", percent(F.col("org_with_preferred_name"), F.col("org_total")))
+
+
 def registry_audit(organization: DataFrame, enriched: DataFrame, **tables: DataFrame) -> DataFrame:
     """One row: row counts of the tables by name, and how many organizations have a preferred name."""
     out = organization.agg(F.count("*").alias("organization_rows"))
     for name, t in tables.items():
         out = out.crossJoin(t.agg(F.count("*").alias(f"{name}_rows")))
-    has = F.sum(F.when(F.length(trim(F.coalesce("preferred_name", F.lit("")))) > 0, 1).otherwise(0))
-    cover = enriched.agg(F.count("*").alias("org_total"), F.coalesce(has, F.lit(0)).alias("org_with_preferred_name"), percent(has, F.count("*")).alias("preferred_name_coverage_pct"))
-    return out.crossJoin(cover)
+    return with_preferred_percent(out.crossJoin(enriched.agg(*[c.alias(k) for k, c in preferred_metrics().items()])))
 
 
 def crosswalk(external_ids: DataFrame, kind: str) -> DataFrame:

@@ -143,7 +143,7 @@ class OrgResolution:
 
     @cached_property
     def ror_geo_fuzzy(self) -> DataFrame:
-        pending = O.org_city_geo(self.left_exact, self.dim_org, self.cmap, self._city_best())
+        pending = self.keep(O.org_city_geo(self.left_exact, self.dim_org, self.cmap, self._city_best()))
         return self.keep(O.match_tokens_block(pending, O.registry_city_names(self.names, self.locations)))
 
     @cached_property

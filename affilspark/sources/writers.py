@@ -34,8 +34,8 @@ def write_by_year(df: DataFrame, path: str, date_col: str = "start_date", key: s
 
 
 def write_ordered(df: DataFrame, path: str, *order: Column | str, max_records: int = ROWS_PER_FILE) -> None:
-    """Parquet in a total order: a range shuffle and sorted files, no global row number."""
-    df.orderBy(*order).write.mode("overwrite").option("maxRecordsPerFile", max_records).option("compression", "zstd").parquet(path)
+    """Parquet in a total order: a range shuffle and sorted files, no global row number. Without an order the rows stay as they come."""
+    (df.orderBy(*order) if order else df).write.mode("overwrite").option("maxRecordsPerFile", max_records).option("compression", "zstd").parquet(path)
 
 
 def by_frequency(count: str = "cnt", *values: str) -> list[Column]:
