@@ -26,9 +26,9 @@ def country_map(counted: DataFrame, iso: DataFrame, territories: DataFrame, raw:
     Python sees distinct values only; both lookups are joins of small tables.
     """
     x = counted.select(F.col(raw).alias("raw"), F.col(cnt).alias("cnt")).withColumn("clean", nfkc("raw"))
-    code: Column = F.upper(F.regexp_replace("clean", r"\s+", ""))
+    code: Column = F.upper(F.regexp_replace("clean", r"(?U)\s+", ""))
     two = code.rlike(r"^\p{L}{2}$")
-    x = x.withColumn("code", F.when(two, code)).withColumn("name", F.when(two, code).otherwise(F.upper(F.regexp_replace(F.lower("clean"), r"\s+", " "))))
+    x = x.withColumn("code", F.when(two, code)).withColumn("name", F.when(two, code).otherwise(F.upper(F.regexp_replace(F.lower("clean"), r"(?U)\s+", " "))))
     known = iso.select(F.col("alpha2").alias("code"), F.lit(True).alias("is_iso")).distinct()
     legal = iso.select(F.col("alpha2")).distinct()
     land = territories.join(legal, "alpha2", "left_semi").select(F.col("from").alias("name"), F.col("alpha2").alias("land")).dropDuplicates(["name"])

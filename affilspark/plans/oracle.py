@@ -208,6 +208,10 @@ FINAL: dict[str, str] = {
  coalesce(organization_city_norm,''), coalesce(organization_city_raw,''), coalesce(organization_country_raw,''), organization_city_raw IS NULL) - 1 AS position FROM city_text""",
     "lenient_tsv": "SELECT ringgold, nullif(isni,'') AS isni, CASE WHEN CAST(ringgold AS BIGINT)%3=0 THEN NULL ELSE name END AS name FROM ring WHERE CAST(ringgold AS BIGINT)%7<>0",
     "registry_json": "SELECT id, value, lang, type FROM reg_name",
+    "skipping_tsv": """SELECT row_number() OVER (PARTITION BY CAST(src_rownum AS BIGINT)//500 ORDER BY src_rownum) AS src_rownum, nullif(role_title_raw,'') AS role_title_raw,
+ nullif(edu_level_isced2011,'') AS edu_level_isced2011, nullif(career_stage_efrc,'') AS career_stage_efrc, nullif(occupation_isco08,'') AS occupation_isco08, nullif(field_fos2015,'') AS field_fos2015, CAST(is_academic AS INTEGER) AS is_academic FROM rolemap""",
+    "country_lookups": """SELECT CAST(NULL AS VARCHAR) AS "from", CASE WHEN n_nationkey=3 THEN 'NA' ELSE upper(substr(n_name,1,2)) END AS alpha2 FROM nation
+ UNION ALL SELECT upper(replace(c_name,'#','NO')), upper(substr(c_mktsegment,1,2)) FROM customer""",
     "org_merge_without_lists": f"SELECT {_MATCH} FROM b_direct",
     "person_lineage": "SELECT orcid AS person_id, min(given_names) AS given_names, min(family_name) AS family_name, count(*) AS records, '2025_10' AS source_version, '2025-11-14T00:00:00Z' AS ingested_at FROM fact GROUP BY 1",
     "partial_dates": """SELECT event_id, CASE WHEN y IS NULL AND m IS NULL AND d IS NULL THEN NULL ELSE lpad(coalesce(y,'0'),4,'0')||'-'||lpad(coalesce(m,'0'),2,'0')||'-'||lpad(coalesce(d,'0'),2,'0') END AS partial

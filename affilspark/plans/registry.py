@@ -22,9 +22,10 @@ from affilspark.plans.fixtures import view
 from affilspark.plans.oracle import ORACLES
 from affilspark.plans.workflow import CityResolution, OrgResolution, resolve_cities, resolve_orgs, stage
 from affilspark.sources import readers, writers
-from affilspark.sources.schemas import RINGGOLD
+from affilspark.sources.schemas import RINGGOLD, ROLE_MAP
 
 __all__ = ["ORACLES", "QUERIES"]
+SKIPPED = [c.split(" ")[0] for c in ROLE_MAP.split(", ")]
 
 
 class Inputs:
@@ -190,6 +191,25 @@ def _registry_json(x: Inputs) -> DataFrame:
     return R.registry_name(readers.read_registry_json(x.spark, path))
 
 
+def _skipping_tsv(x: Inputs) -> DataFrame:
+    """Title maps of at most 500 rows a file, with two lines before the rows; '' is null and rows are numbered in each file."""
+    path, at = _folder(x.spark), F.col("src_rownum").cast("long")
+    line = F.concat_ws("\t", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in SKIPPED])
+    files = x.rolemap.groupBy(F.floor(at / 500).alias("bucket")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(at.alias("n"), line.alias("line")))), lambda r: r["line"]), "\n").alias("all"))
+    files.select(F.concat(F.lit("titles\nof a file\n"), "all")).write.option("maxRecordsPerFile", 1).text(path)
+    return readers.read_tsv_skip(x.spark, path, ROLE_MAP)
+
+
+def _lookups(x: Inputs) -> DataFrame:
+    """Codes and territories as the lookup files hold them, one row for each nation and customer."""
+    path, tsv = _folder(x.spark), lambda df, name: df.write.option("sep", "\t").option("header", True).csv(name)
+    spaced = F.replace(F.replace(F.lower("c_name"), F.lit("#"), F.lit(" no\u2003 ")), F.lit("c"), F.lit("\uff43"))
+    tsv(x.table("nation").select(F.when(F.col("n_nationkey") == 3, "NA").otherwise(F.lower(F.substring("n_name", 1, 2))).alias("alpha2")), f"{path}/iso")
+    tsv(x.table("customer").select(spaced.alias("from"), F.lower(F.substring("c_mktsegment", 1, 2)).alias("alpha2")), f"{path}/territories")
+    iso, territories = readers.read_country_lookups(x.spark, f"{path}/iso", f"{path}/territories")
+    return iso.select(F.lit(None).cast("string").alias("from"), "alpha2").unionByName(territories)
+
+
 def _without_lists(x: Inputs) -> DataFrame:
     """Identifier stages where the registry's lists do not exist yet: only direct identifiers are left."""
     missing = lambda name, schema: readers.read_if_exists(x.spark, f"{x.sf_dir}/absent/{name}.parquet", schema)
@@ -276,6 +296,8 @@ _PLANS: dict[str, Callable[[Inputs], DataFrame]] = {
     "city_places": _places,
     "lenient_tsv": _lenient_tsv,
     "registry_json": _registry_json,
+    "skipping_tsv": _skipping_tsv,
+    "country_lookups": _lookups,
     "org_merge_without_lists": _without_lists,
     "person_lineage": lambda x: K.with_lineage(K.dim_person(x.fact), source_version="2025_10", ingested_at="2025-11-14T00:00:00Z"),
     "partial_dates": _partial_dates,

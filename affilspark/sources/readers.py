@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from affilspark.functions.country import nfkc
 from affilspark.functions.text import partial_date
 from affilspark.sources.json_array import read_json_array
 from affilspark.sources.schemas import AFFILIATION, AFFILIATION_COLUMNS, REGISTRY
@@ -113,10 +114,11 @@ def read_tsv_skip(spark: SparkSession, path: str, schema: T.StructType | str, sk
 
 
 def read_country_lookups(spark: SparkSession, iso_path: str, territory_path: str) -> tuple[DataFrame, DataFrame]:
-    """ISO codes (alpha2) and territories (from, alpha2), upper case without whitespace. `NA` stays a code."""
-    clean = lambda c: F.upper(F.regexp_replace(F.col(c), r"\s+", "")).alias(c)
+    """ISO codes (alpha2) and territories (from, alpha2) in upper case, the latter's names in NFKC and without whitespace. `NA` stays a code."""
     tsv = lambda p, s: spark.read.schema(s).option("sep", "\t").option("header", True).option("nullValue", "\u0000").csv(p)
-    return tsv(iso_path, "alpha2 string").select(clean("alpha2")), tsv(territory_path, "`from` string, alpha2 string").select(clean("from"), clean("alpha2"))
+    code = F.upper("alpha2").alias("alpha2")
+    name = F.upper(F.regexp_replace(nfkc("from"), r"(?U)\s+", "")).alias("from")
+    return tsv(iso_path, "alpha2 string").select(code), tsv(territory_path, "`from` string, alpha2 string").select(name, code)
 
 
 def read_if_exists(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:

@@ -48,6 +48,6 @@ def by_place(country: str, *texts: str) -> list[Column]:
     return [F.coalesce(F.col(country), F.lit("ZZ")), *[F.coalesce(F.col(t), F.lit("")) for t in texts]]
 
 
-def by_candidate(key: str = "org_row_id", *then: str) -> list[Column]:
-    """Order of match candidates: key, priority, registry id; nulls last."""
-    return [F.asc_nulls_last(c) for c in (key, *(then or ("match_priority", "ror_id", "match_source")))]
+def by_candidate(*columns: str) -> list[Column]:
+    """Order of match candidates: by default key, priority, registry id, source; nulls last."""
+    return [F.asc_nulls_last(c) for c in columns or ("org_row_id", "match_priority", "ror_id", "match_source")]

@@ -136,9 +136,9 @@ def test_skipping_tsv(spark, tmp_path):
 
 def test_lookups_and_missing(spark, tmp_path):
     (tmp_path / "i.tsv").write_text("alpha2\nna\nNA\nU S\n")
-    (tmp_path / "t.tsv").write_text("from\talpha2\nx k\trs\n")
+    (tmp_path / "t.tsv").write_text("from\talpha2\nx\u2003 ｋ\trs\n")
     iso, terr = R.read_country_lookups(spark, str(tmp_path / "i.tsv"), str(tmp_path / "t.tsv"))
-    assert [r[0] for r in iso.collect()] == ["NA", "NA", "US"] and [tuple(r) for r in terr.collect()] == [("XK", "RS")]
+    assert [r[0] for r in iso.collect()] == ["NA", "NA", "U S"] and [tuple(r) for r in terr.collect()] == [("XK", "RS")]
     assert R.read_if_exists(spark, str(tmp_path / "none"), AFFILIATION).count() == 0
 
 
