@@ -156,8 +156,9 @@ def links(fps: DataFrame, distance: int = 4, bucket: int = BUCKET) -> DataFrame:
 
     fps: one row per distinct `fp`. Each table keeps some blocks of the fingerprint as its key; a
     bucket of up to `bucket` fingerprints is compared at once, a larger one as pairs of hashed
-    chunks, so no task gets a hot bucket. Of a bucket's links a spanning forest is emitted: no
-    component is lost and rows stay linear in the bucket's size.
+    chunks, so no task gets a hot bucket. Of a bucket's links, or of a pair of chunks', a spanning forest is
+    emitted: no component is lost, and n fingerprints of one bucket make fewer than n links up to `bucket` of them
+    and about n * n / bucket beyond.
     """
     spark = fps.sparkSession
     n = fps.count()

@@ -26,7 +26,7 @@ KEYS = ["k1", "k2"]
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    key = lambda n: F.xxhash64(F.lit(n), F.col(id_col), F.col(text_col))
+    key = lambda n: F.xxhash64(F.lit(n), F.col(id_col).isNull(), F.col(id_col), F.col(text_col).isNull(), F.col(text_col))
     return docs.select(key(1).alias("k1"), key(2).alias("k2"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
 

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import base64
+import json
 import re
+import uuid
 from array import array
 from itertools import groupby
 
@@ -189,40 +191,58 @@ def materialise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return records.repartitionById(p, F.expr(f"cast(shard * {p} div {shards} as int)")).sortWithinPartitions("slot")
 
 
-def write_shards(records: DataFrame, path: str) -> None:
-    """Writes shard-NNNNNNNN.bin files of records end to end; path is a folder or URI that all tasks reach (also hdfs, s3, gs).
+def write_shards(records: DataFrame, path: str, length: int = LENGTH, per_shard: int = PER_SHARD) -> None:
+    """Writes the records end to end as files of per_shard; path is a folder or URI that all tasks reach (also hdfs, s3, gs).
 
-    A file is written under a name of its task's attempt and then moved to its own, so a task that runs
-    again replaces equal bytes. The record of slot s is at byte_offset of file shard: reading on, or
-    resuming at any slot, is a seek.
+    A run writes shard-NNNNNNNN.bin below a folder of its own, each first under a name of its task's attempt, so a
+    task that runs again replaces equal bytes. manifest.json, put in place last, names the run and its number of
+    sequences: until then readers see the former run, afterwards none of its shards, and its folder goes. A run that is cut
+    off leaves the former one whole. The record of slot s is at byte_offset of file shard: reading on, or resuming at
+    any slot, is a seek.
     """
-    fs.FileSystem.from_uri(path)[0].create_dir(fs.FileSystem.from_uri(path)[1], recursive=True)
+    run = f"run-{uuid.uuid4().hex}"
+    store, folder = fs.FileSystem.from_uri(path)
+    store.create_dir(f"{folder}/{run}", recursive=True)
 
-    def write(rows):
+    def write(batches):
         store, folder = fs.FileSystem.from_uri(path)
         attempt = TaskContext.get().taskAttemptId()
-        for shard, group in groupby(rows, key=lambda row: row["shard"]):
-            name = f"{folder}/.shard-{shard:08d}.{attempt}"
+        rows = (row for batch in batches for row in zip(batch.column(0).to_pylist(), batch.column(1), strict=True))
+        shards, counts = [], []
+        for shard, group in groupby(rows, key=lambda row: row[0]):
+            name, n = f"{folder}/{run}/.shard-{shard:08d}.{attempt}", 0
             with store.open_output_stream(name) as out:
-                for row in group:
-                    out.write(bytes(row["tokens"]))
-            store.move(name, f"{folder}/shard-{shard:08d}.bin")
-
-    records.select("shard", "tokens").foreachPartition(write)
-
-
-def read_from(path: str, slot: int = 0, length: int = LENGTH, per_shard: int = PER_SHARD):
-    """Sequences of written shards from `slot` on, as arrays of 16-bit ids."""
+                for _, record in group:
+                    out.write(record.as_buffer())
+                    n += 1
+            store.move(name, f"{folder}/{run}/shard-{shard:08d}.bin")
+            shards.append(shard)
+            counts.append(n)
+        yield pa.RecordBatch.from_arrays([pa.array(shards, pa.int64()), pa.array(counts, pa.int64())], names=["shard", "n"])
+
+    written = records.select("shard", "tokens").mapInArrow(write, "shard long, n long").agg(F.count("*"), F.sum("n")).first()
+    manifest = {"run": run, "length": length, "per_shard": per_shard, "shards": written[0], "sequences": written[1] or 0}
+    with store.open_output_stream(f"{folder}/.manifest.{run}") as out:
+        out.write(json.dumps(manifest).encode())
+    store.move(f"{folder}/.manifest.{run}", f"{folder}/manifest.json")
+    for old in store.get_file_info(fs.FileSelector(folder)):
+        if old.type == fs.FileType.Directory and old.base_name.startswith("run-") and old.base_name != run:
+            store.delete_dir(old.path)
+
+
+def read_from(path: str, slot: int = 0):
+    """Sequences of the committed run from `slot` on, as arrays of 16-bit ids."""
     store, folder = fs.FileSystem.from_uri(path)
-    stride = 2 * length
-    shard = slot // per_shard
-    skip = slot % per_shard * stride
-    while store.get_file_info(name := f"{folder}/shard-{shard:08d}.bin").type == fs.FileType.File:
-        with store.open_input_file(name) as f:
-            f.seek(skip)
+    with store.open_input_file(f"{folder}/manifest.json") as f:
+        m = json.loads(f.read())
+    stride = 2 * m["length"]
+    while slot < m["sequences"]:
+        shard, skip = divmod(slot, m["per_shard"])
+        with store.open_input_file(f"{folder}/{m['run']}/shard-{shard:08d}.bin") as f:
+            f.seek(skip * stride)
             while record := f.read(stride):
                 yield np.frombuffer(record, "<u2")
-        shard, skip = shard + 1, 0
+                slot += 1
 
 
 def op10_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from affilspark.llm import chat, decontaminate, hmm, language, mixing, quality, simhash, substrings, svm, tokens
 from affilspark.llm.automaton import SuffixAutomaton, spans
@@ -555,9 +556,20 @@ def test_training_order_round_trip(docs, empty, tmp_path):
     assert Counter((r.doc_id, r.part, r.n_tokens, tuple(np.frombuffer(r.tokens, "<u2").tolist())) for r in rows) == want
     again = {(r.slot, r.doc_id, r.part) for r in tokens.materialise(docs.repartition(7), length=16, per_shard=10).collect()}
     assert again == {(r.slot, r.doc_id, r.part) for r in rows}
-    tokens.write_shards(out, str(tmp_path / "shards"))
-    read = list(tokens.read_from(str(tmp_path / "shards"), 13, 16, 10))
-    assert [x.tobytes() for x in read] == [bytes(r.tokens) for r in rows[13:]]
+    where = str(tmp_path / "shards")
+    tokens.write_shards(out, where, 16, 10)
+    for slot in (0, 13, len(rows) - 1, len(rows), len(rows) + 5):
+        assert [x.tobytes() for x in tokens.read_from(where, slot)] == [bytes(r.tokens) for r in rows[slot:]]
+    bad = out.withColumn("shard", F.when(F.col("slot") == len(rows) - 1, F.raise_error(F.lit("lost"))).otherwise(F.col("shard")))
+    with pytest.raises(Exception, match="lost"):
+        tokens.write_shards(bad, where, 16, 10)
+    assert len(list(tokens.read_from(where))) == len(rows)  # the former run is whole
+    few = tokens.materialise(docs.limit(3), length=16, per_shard=10)
+    tokens.write_shards(few, where, 16, 10)  # fewer shards than before: none of the former ones is read
+    assert [x.tobytes() for x in tokens.read_from(where)] == [bytes(r.tokens) for r in few.collect()]
+    assert len([x for x in (tmp_path / "shards").iterdir() if x.is_dir()]) == 1
+    tokens.write_shards(tokens.materialise(empty), where)
+    assert list(tokens.read_from(where)) == []
     assert tokens.materialise(empty).count() == 0
     named = docs.selectExpr("cast(doc_id as string) as doc_id", "text", "1 as uid", "2 as id", "3 as tie", "4 as start", "5 as slot")
     assert Counter((r.doc_id, r.part) for r in tokens.materialise(named).collect()) == Counter((r.doc_id and str(r.doc_id), r.part) for r in tokens.materialise(docs.select("doc_id", "text").withColumn("doc_id", docs.doc_id.cast("string"))).collect())
@@ -579,6 +591,13 @@ def test_chat(spark):
     assert chat.format_chats(spark.createDataFrame([], "conv_id long, turn int, role string, text string")).count() == 0
 
 
+def test_string_ids_and_nulls(spark):
+    """A row without an id and one without a text are not taken for each other."""
+    t = " ".join(f"w{i}" for i in range(50))
+    rows = spark.createDataFrame([(None, t), (t, None), ("a", t)], "doc_id string, text string")
+    assert {(r.doc_id, r.n_words, r.n_removed) for r in substrings.strip_repeats(rows).collect()} == {(None, 50, 50), (t, 0, 0), ("a", 50, 50)}
+
+
 def test_kept_digest(docs):
     plain = {(r.doc_id, hashlib.sha256(r.kept.encode()).hexdigest()) for r in substrings.strip_repeats(docs).collect()}
     assert plain == {(r.doc_id, r.kept) for r in substrings.strip_repeats(docs, digest=True).collect()}
