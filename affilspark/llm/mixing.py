@@ -61,7 +61,8 @@ def rates(sized: DataFrame, sources: DataFrame, steps: int = 40, close: float =
     sum(size * r) = target for each source. Its dual is convex, with r = exp(tilt); as a document is in one
     source, the gradient (target less words taken) and the Hessian (words taken) are a sum each.
     Every Newton step, damped to at most 1, sums them over all documents in the tasks, until no
-    source is farther than `close` of its target from it. A source without words (or target) has rate 0.
+    source is farther than `close` of its target from it; if `steps` of them do not get there, the job
+    stops with an error. A source without words (or target) has rate 0.
     """
     same = F.col("source").eqNullSafe(F.col("s"))
     dual = sources.select(F.col("source").alias("s"), "target").withColumn("tilt", F.lit(0.0)).where("target > 0")
@@ -73,6 +74,8 @@ def rates(sized: DataFrame, sources: DataFrame, steps: int = 40, close: float =
             break
         step = (F.col("target") - F.col("mass")) / F.col("mass")
         dual = sums.select("s", "target", (F.col("tilt") + F.greatest(F.lit(-1.0), F.least(F.lit(1.0), step))).alias("tilt"))
+    else:
+        raise RuntimeError(f"rates did not settle in {steps} Newton steps: a source is off its target by {far:.3g} of it")
     return sources.join(dual.select("s", "tilt"), same, "left").drop("s").withColumn("rate", F.coalesce(F.exp("tilt"), F.lit(0.0)))
 
 
