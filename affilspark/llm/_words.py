@@ -47,8 +47,11 @@ def blocks(column: pa.Array, max_bytes: int = 2 << 20) -> Iterator[tuple[int, in
         lo = hi
 
 
-def spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end of each word, and for each row the number of its first word (one more at the end)."""
+def spans(data: np.ndarray, offsets: np.ndarray, breaks: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of each word, and for each row the number of its first word (one more at the end).
+
+    breaks: more places (bytes) where a word ends and the next begins.
+    """
     word = ~SPACE[data]
     if not len(word):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
@@ -56,7 +59,7 @@ def spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     begin[1:] &= ~word[:-1]
     finish = word.copy()
     finish[:-1] &= ~word[1:]
-    cut = offsets[1:-1]
+    cut = offsets[1:-1] if breaks is None else np.concatenate([offsets[1:-1], breaks])
     cut = cut[(cut > 0) & (cut < len(word))]
     begin[cut] = word[cut]
     finish[cut - 1] = word[cut - 1]

@@ -21,6 +21,64 @@ _EDGE[[c for c in range(33, 127) if not chr(c).isalnum()]] = True
 _EDGE[[ord(c) for c in "%+"]] = False
 _STOP = np.zeros(256, bool)
 _STOP[[ord(c) for c in '.!?:"']] = True
+#: Code points of scripts written without blanks (Thai to Lao, Myanmar, Khmer, kana, Han and its extensions).
+UNSPACED = [(0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3005, 0x3007), (0x3041, 0x30FA), (0x30FC, 0x30FF), (0x31F0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x20000, 0x3FFFF)]
+#: Code points of quotes, dashes and wide punctuation, which part words as blanks do.
+PARTING = [(0x00A0, 0x00A1), (0x00AB, 0x00AB), (0x00BB, 0x00BB), (0x00BF, 0x00BF), (0x2013, 0x2015), (0x2018, 0x2018), (0x201A, 0x201F), (0x2026, 0x2026), (0x2039, 0x203A), (0x3000, 0x3004), (0x3008, 0x303F), (0x30FB, 0x30FB), (0xFF01, 0xFF0F), (0xFF1A, 0xFF20), (0xFF3B, 0xFF40), (0xFF5B, 0xFF65)]
+
+
+def _within(ranges: list[tuple[int, int]]) -> np.ndarray:
+    """For each code point below 0x40000 whether a range holds it."""
+    out = np.zeros(0x40000, bool)
+    for lo, hi in ranges:
+        out[lo : hi + 1] = True
+    return out
+
+
+def _lowered() -> np.ndarray:
+    """For each code point below 0x10000 its lower case, where that is one code point of as many UTF-8 bytes; else itself."""
+    out = np.arange(0x10000)
+    for c in range(0x80, 0x10000):
+        low = chr(c).lower()
+        if len(low) == 1 and ord(low) != c and (c < 0x800) == (ord(low) < 0x800) and 0x80 <= ord(low) < 0x10000:
+            out[c] = ord(low)
+    return out
+
+
+_UNSPACED, _PARTING, _LOWERED = _within(UNSPACED), _within(PARTING), _lowered()
+
+
+def _read(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """A block's bytes with parting marks as blanks, these in lower case, where a capital begins, and breaks at characters that are words alone."""
+    low, capital = W.LOWER[data], (data >= 65) & (data <= 90)
+    if not (data > 127).any():
+        return data, low, capital, np.zeros(0, np.int64)
+    data, breaks = data.copy(), []
+    more = lambda at, i: (data[at + i] & 0x3F).astype(np.int64)
+    found = []
+    for size, lo, hi in ((2, 0xC2, 0xDF), (3, 0xE0, 0xEF), (4, 0xF0, 0xF4)):
+        at = np.flatnonzero((data >= lo) & (data <= hi))
+        at = at[at + size <= len(data)]
+        point = (data[at] & (0x7F >> size)).astype(np.int64)
+        for i in range(1, size):
+            point = point << 6 | more(at, i)
+        found.append((size, at, point))
+    for size, at, point in found:
+        known = point < 0x40000
+        at, point = at[known], point[known]
+        alone = at[_UNSPACED[point]]
+        breaks += [alone, alone + size]
+        if size < 4:
+            lower = _LOWERED[point]
+            big, to = at[lower != point], lower[lower != point]
+            capital[big] = True
+            low[big] = (to >> 6 | 0xC0) if size == 2 else (to >> 12 | 0xE0)
+            for i in range(1, size):
+                low[big + i] = to >> 6 * (size - 1 - i) & 0x3F | 0x80
+        part = at[_PARTING[point]]
+        for i in range(size):
+            data[part + i] = low[part + i] = 32
+    return data, low, capital, np.concatenate(breaks)
 
 
 def _unit_hashes() -> np.ndarray:
@@ -32,12 +90,13 @@ def _unit_hashes() -> np.ndarray:
 def canonical(data: np.ndarray, offsets: np.ndarray):
     """The template words of a block: hash, type, start, end, each row's first word, the hash as a literal, and doubt.
 
-    Edge punctuation goes and A-Z are lowered (also two-byte capitals); words of punctuation alone
-    are left out. Words with a leading digit (or sign and digit) are numbers; a unit is a listed word
+    Words lie between blanks, quotes and wide punctuation; a character of a script without blanks is a word. Edge
+    punctuation goes and capitals of any script are lowered; words of punctuation alone are left out. Words with a leading digit (or sign and digit) are numbers; a unit is a listed word
     after a number; a capital inside a sentence is a name, one at the start of a row, line or sentence is a
     literal in doubt: it may be a name.
     """
-    starts, ends, first = W.spans(data, offsets)
+    data, low, upper, breaks = _read(data)
+    starts, ends, first = W.spans(data, offsets, breaks)
     s, e = starts.copy(), ends.copy()
     if not len(s):
         return np.zeros(0, np.uint64), np.zeros(0, np.int8), s, e, first, np.zeros(0, np.uint64), np.zeros(0, bool)
@@ -56,10 +115,6 @@ def canonical(data: np.ndarray, offsets: np.ndarray):
     line = np.r_[0, np.cumsum(data == 10)]
     lead[1:] |= line[starts[1:]] != line[ends[:-1]]
     lead[first[:-1][first[:-1] < len(lead)]] = True
-    low = W.LOWER[data]
-    if len(data) > 1:
-        wide = np.flatnonzero((data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)) + 1
-        low[wide] += 0x20
     full = s < e
     count = np.r_[0, np.cumsum(full)]
     first = count[first]
@@ -72,7 +127,7 @@ def canonical(data: np.ndarray, offsets: np.ndarray):
     second = data[np.minimum(s + 1, len(data) - 1)]
     digit = lambda x: (x >= 48) & (x <= 57)
     number = digit(head) | (((head == 43) | (head == 45)) & (e - s > 1) & digit(second))
-    capital = ((head >= 65) & (head <= 90)) | ((head == 0xC3) & (second >= 0x80) & (second <= 0x9E) & (second != 0x97))
+    capital = upper[s]
     kind[capital & ~lead] = NAME
     kind[number] = NUMBER
     after = np.zeros(len(s), bool)
@@ -201,7 +256,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
     Windows have `words` words; an item with fewer is one window. A window also matches by its plain words in
     any case, and with capitals in doubt as names; a pair that holds without these names is reported
-    so. An item none of whose windows carries a template (numbers, names) is matched by its plain words.
+    so. Capitals are those of any script; where a script has no blanks each character is a word, so an item is
+    found inside a longer run, but names have no capitals there and count as literals. Numbers written as words are
+    literals too. An item none of whose windows carries a template (numbers, names) is matched by its plain words.
     Items of one template are all reported. Null or empty texts on either side give nothing; very long
     texts are searched whole; null ids are ids; repeated rows count once; other columns are ignored; an empty
     table on either side gives no rows.

@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -97,6 +98,49 @@ def test_decontaminate(spark):
     assert decontaminate.contaminated(d.limit(0), b).count() == 0 and decontaminate.contaminated(d, b.limit(0)).count() == 0
 
 
+def test_decontaminate_beyond_latin(spark):
+    russian = "поезд выходит из города Москва в 9 часов и проходит 120 километров за 2 часа . Сколько времени едет Анна до города Тверь ?"
+    chinese = "一列火车早上九点从北京出发,每小时行驶120公里,请问它需要多长时间才能到达上海。"
+    thai = "รถไฟออกจากสถานีตอนเก้าโมงเช้าและวิ่งไปถึงเชียงใหม่ในตอนเย็น"
+    german = "Wie weit fährt die Straßenbahn von Ärlen nach Überlingen , wenn sie 9 Minuten lang gleich schnell fährt ?"
+    docs = [
+        (1, "шум «до» этого . " + russian + " и после"),
+        (2, russian.replace("Анна", "Ольга").replace("120", "350").replace("Москва", "Самара")),
+        (3, russian.upper()),
+        (4, "这是前面的文字" * 20 + chinese + "后面还有别的内容" * 20),
+        (5, "“" + chinese.replace("120", "350").replace(",", "，") + "”"),
+        (6, "ข่าวก่อนหน้า" + thai + "ข่าวหลัง"),
+        (7, german.replace("Ärlen", "Öhringen").replace("9", "12")),
+        (8, "这是一篇完全不同的文章,讲的是北京的天气和上海的饮食文化。"),
+        (9, "Сегодня в городе Москва шёл дождь , и поезд опоздал на два часа"),
+        (10, "รถไฟสายใหม่เปิดให้บริการแล้ววันนี้"),
+        (11, "\u00a0…“”"),
+    ]
+    items = [(1, russian), (2, chinese), (3, thai), (4, german)]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(d, b).collect()}
+    assert got == {(1, 1), (2, 1), (3, 1), (4, 2), (5, 2), (6, 3), (7, 4)}
+
+
+def test_words_beyond_latin_against_characters():
+    r = random.Random(4)
+    alphabet = "aZ9 ,.\nÄéßЖяΩœŒ漢字かナー々ไทยກ𠀀😀«»“…，。！\u00a0ẞİ"
+    inside = lambda c, ranges: any(lo <= ord(c) <= hi for lo, hi in ranges)
+    texts = ["".join(r.choice(alphabet) for _ in range(r.randint(0, 40))) for _ in range(300)]
+    raw = [t.encode() for t in texts]
+    data = np.frombuffer(b"".join(raw), np.uint8)
+    _, _, s, e, first, _, _ = decontaminate.canonical(data, np.cumsum([0, *map(len, raw)]))
+    held = data.tobytes()
+    for i, t in enumerate(texts):
+        spaced = "".join(" " if inside(c, decontaminate.PARTING) else f" {c} " if inside(c, decontaminate.UNSPACED) else c for c in t)
+        edge = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c not in "%+")
+        want = [w for w in (x.strip(edge) for x in re.split(r"[ \t-\r]+", spaced)) if w]
+        assert [held[s[j] : e[j]].decode() for j in range(first[i], first[i + 1])] == want
+    low = decontaminate._read(data)[1].tobytes()
+    assert "жяωœ".encode() in decontaminate._read(np.frombuffer("ЖяΩŒ".encode(), np.uint8))[1].tobytes() and len(low) == len(data)
+
+
 def fingerprint(text):
     w = bytes(c + 32 if 65 <= c <= 90 else c for c in (text or "").encode()).split()
     shingles = [b" ".join(w[i : i + 4]) for i in range(len(w) - 3)] or ([b" ".join(w)] if w else [])
@@ -295,6 +339,36 @@ def test_links_in_hot_buckets(spark):
         assert got in (None, want)
 
 
+@pytest.mark.parametrize("flips", [(1, 6), (6, 14), (1, 20)])
+def test_links_of_one_bucket_stay_few(spark, flips):
+    r = random.Random(5)
+    low = lambda: sum(1 << b for b in r.sample(range(40), r.randint(*flips)))
+    fps = np.array(sorted({(9 << 58) ^ low() for _ in range(6000)}), np.uint64)  # all agree in 24 bits
+    label = np.arange(len(fps))
+    a, b = (np.concatenate(x) for x in zip(*[(np.full(len(j), i), j) for i in range(len(fps)) for j in [i + 1 + np.flatnonzero(np.bitwise_count(fps[i + 1 :] ^ fps[i]) <= 4)]], strict=True))
+    hung, root = simhash._span(len(fps), a, b)
+    label[hung] = root
+    table = spark.createDataFrame(pa.table({"fp": fps.view(np.int64)}))
+    edges = simhash.links(table, 4).toArrow()
+    place = {f: i for i, f in enumerate(fps.view(np.int64).tolist())}
+    x, y = (np.array([place[v] for v in edges.column(c).to_pylist()], np.int64) for c in ("a", "b"))
+    assert (label[x] == label[y]).all()
+    hung, root = simhash._span(len(fps), x, y)
+    mine = np.arange(len(fps))
+    mine[hung] = root
+    assert (mine == label).all()
+    assert len(x) <= len(simhash.masks(len(fps), 4)) * len(fps)  # no more than a forest in each table
+
+
+def test_mixing_says_when_rates_do_not_settle(spark):
+    sized = spark.createDataFrame([("a", 10), ("b", 30)], "source string, size long")
+    goal = spark.createDataFrame([("a", 29.0), ("b", 11.0)], "source string, target double")
+    with pytest.raises(RuntimeError, match="settle"):
+        mixing.rates(sized, goal, steps=2)
+    got = {r.source: r.rate for r in mixing.rates(sized, goal).collect()}
+    assert got["a"] == pytest.approx(2.9) and got["b"] == pytest.approx(11 / 30)
+
+
 def test_language(docs, spark, empty):
     r = random.Random(2)
     kinds = {"en": "the and thing with", "de": "und der schön nicht", "fr": "être çela une que", "es": "niño que ción los"}
