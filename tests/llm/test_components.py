@@ -5,6 +5,7 @@ import re
 
 from pyspark.sql import functions as F
 
+from affilspark.llm import components
 from affilspark.llm.components import connected_components, with_least
 
 
@@ -38,3 +39,16 @@ def test_least_of_a_hot_key_is_spread(spark):
     assert nulls.count() == 5 and nulls.where("m is null").count() == 5
     plan = got._jdf.queryExecution().sparkPlan().toString()
     assert re.search(r"Join \[k#\d+L?, salt#\d+\]", plan)
+
+
+def test_least_values_sent_or_joined(spark, monkeypatch):
+    rows = spark.range(20_000).select(F.when(F.col("id") % 40 == 0, F.col("id") % 1000).otherwise(-1).alias("a"), (F.col("id") * 7919 % 20_011).alias("b"))
+    want = {tuple(x) for x in rows.groupBy("a").agg(F.min("b")).collect()}
+    for sent in (1 << 18, 100, 3):
+        monkeypatch.setattr(components, "SENT", sent)
+        got = components._with_least_sent(rows, "a", "b", 20_000)
+        assert got.count() == 20_000 and {tuple(x) for x in got.select("a", "m").distinct().collect()} == want
+        joins = len(re.findall(r"SortMergeJoin|ShuffledHashJoin", got._jdf.queryExecution().sparkPlan().toString()))
+        assert joins <= (sent < 20_000)  # the hot key's rows never go through it
+    monkeypatch.setattr(components, "SENT", 3)
+    test_components_of_hubs_chains_and_loops(spark)
