@@ -48,6 +48,12 @@ def row_key(*cols: str):
     return F.unhex(F.md5(F.concat_ws("\u0001", *texts)))
 
 
+def row_hashes(*cols):
+    """Two 64-bit hashes that name a row by its content, k1 and k2; a null is told from an absent value of its neighbour."""
+    each = [x for c in (F.col(c) if isinstance(c, str) else c for c in cols) for x in (c.isNull(), c)]
+    return [F.xxhash64(F.lit(i), *each).alias(f"k{i}") for i in (1, 2)]
+
+
 def fold(id_col: str, modulus: int):
     """crc32(id as text) mod modulus; a null id counts as empty text."""
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % modulus

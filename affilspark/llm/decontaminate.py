@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from affilspark.llm import _words as W
-from affilspark.llm._spark import cut, small_batches, table, widen
+from affilspark.llm._spark import cut, row_hashes, small_batches, table, widen
 
 #: Units of measure that become a placeholder after a number.
 UNITS = "% cm day days dollar dollars eur euro euros feet ft g gram grams h hour hours inch inches kg kilometers km l lb litre litres m meter meters mile miles minute minutes ml mm month months pound pounds s second seconds usd week weeks year years".split()
@@ -271,8 +271,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     index = windows(items, ["item", "item_id"], "text", list(range(1, words + 1)), whole_only=True).distinct()
     index = cut(index.join(index.where("not low").select("item").distinct().withColumn("any", F.lit(True)), "item", "left").where("not low or any is null").drop("any", "low"))
     lengths = sorted(r[0] for r in index.select("k").distinct().collect()) or [words]
-    key = [F.xxhash64(F.lit(i), F.col(id_col), F.col(text_col)).alias(f"k{i}") for i in (1, 2)]
-    keyed = docs.select(*key, F.col(id_col).alias("id"), F.xxhash64(text_col).alias("key"), F.col(text_col).alias("text"))
+    keyed = docs.select(*row_hashes(id_col, text_col), F.col(id_col).alias("id"), F.xxhash64(text_col).alias("key"), F.col(text_col).alias("text"))
     found = cut(windows(keyed, ["k1", "k2", "id", "key"], "text", lengths, _filter(index, filter_max)))
     pairs = _candidates(found, index, similarity)
     left = index.select("item", "k", "h", "w", F.col("how").alias("ihow"), F.col("pos").alias("ipos"), F.col("slots").alias("islots"))

@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from affilspark.llm._spark import cut, parts, small_batches, table
+from affilspark.llm._spark import cut, parts, row_hashes, small_batches, table
 
 #: Weights of sources in code-point order, repeating.
 WEIGHTS = (5, 2, 1)
@@ -105,7 +105,7 @@ def _mixed(docs: DataFrame, text_col: str, source_col: str, id_col: str, weights
     small_batches(docs.sparkSession)
     own = docs.toDF(*[f"u{i}" for i in range(len(docs.columns))])
     text, source, the_id = (f"u{docs.columns.index(c)}" for c in (text_col, source_col, id_col))
-    named = own.select("*", *[F.xxhash64(F.lit(i), the_id, text).alias(f"k{i}") for i in (1, 2)])
+    named = own.select("*", *row_hashes(the_id, text))
     sized = cut(named.withColumn("size", n_words(F.col(text))).drop(text))
     rows = sized.select("k1", "k2", F.col(source).alias("source"), "size")
     stats = _ordered(rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("docs")))

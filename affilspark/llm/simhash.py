@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from xxhash import xxh64_intdigest
 
 from affilspark.llm import _words as W
-from affilspark.llm._spark import cut, parts, small_batches, table, widen
+from affilspark.llm._spark import cut, parts, row_hashes, small_batches, table, widen
 from affilspark.llm.components import connected_components, with_least
 
 #: Most distinct fingerprints of a bucket that one comparison takes; larger buckets are split in pairs of chunks.
@@ -530,8 +530,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
     small_batches(docs.sparkSession)
     marked = docs.toDF(*[f"u{i}" for i in range(len(docs.columns))])
     own = dict(zip(docs.columns, marked.columns, strict=True))
-    key = [F.xxhash64(F.lit(i), own[id_col], own[text_col]).alias(f"k{i}") for i in (1, 2)]
-    marked = marked.select("*", *key)
+    marked = marked.select("*", *row_hashes(own[id_col], own[text_col]))
     plain = marked.select("k1", "k2", F.col(own[id_col]).alias("id"), F.xxhash64(own[text_col]).alias("tie"), F.col(own[text_col]).alias("text"))
     low = int(FEW * similarity)
 

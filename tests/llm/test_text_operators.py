@@ -12,7 +12,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from affilspark.llm import chat, decontaminate, hmm, language, mixing, quality, simhash, substrings, svm, tokens
+from affilspark.llm import _spark, chat, decontaminate, hmm, language, mixing, quality, simhash, substrings, svm, tokens
 from affilspark.llm.automaton import SuffixAutomaton, spans
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, groups long, score double, label int"
@@ -672,6 +672,21 @@ def test_string_ids_and_nulls(spark):
     assert {(r.doc_id, r.n_words, r.n_removed) for r in substrings.strip_repeats(rows).collect()} == {(None, 50, 50), (t, 0, 0), ("a", 50, 50)}
 
 
+def test_row_keys_tell_a_null_id_from_a_null_text(spark):
+    text = "one two three four five six seven eight"
+    rows = spark.createDataFrame([(None, text, "s"), (text, None, "s"), (None, text, "s"), ("b", None, "s")], "doc_id string, text string, source string")
+    keys = {(r["k1"], r["k2"]) for r in rows.select(*_spark.row_hashes("doc_id", "text")).collect()}
+    assert len(keys) == 3
+    kept = [tuple(r) for r in simhash.keep_one(rows, "doc_id", "text").select("doc_id", "text").collect()]
+    assert sorted(kept, key=str) == sorted([(None, text), ("b", None)], key=str)
+    taken = mixing.mix(rows, keep_text=False).select("doc_id", "_size", "_copies").collect()
+    assert sorted((str(r["doc_id"]), r["_size"]) for r in taken) == sorted([("None", 8), ("None", 8), (text, 0), ("b", 0)])
+    assert sum(r["_copies"] for r in taken) == 2 and all(not r["_copies"] for r in taken if not r["_size"])
+    bench = spark.createDataFrame([("x", text), (text, None)], "item_id string, text string")
+    found = decontaminate.contaminated(rows, bench).select("doc_id", "item_id").collect()
+    assert [tuple(r) for r in found] == [(None, "x")]
+
+
 def test_kept_digest(docs):
     plain = {(r.doc_id, hashlib.sha256(r.kept.encode()).hexdigest()) for r in substrings.strip_repeats(docs).collect()}
     assert plain == {(r.doc_id, r.kept) for r in substrings.strip_repeats(docs, digest=True).collect()}
