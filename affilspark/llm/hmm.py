@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from affilspark.llm import _words as W
-from affilspark.llm._spark import cut, fold, small_batches, table, widen
+from affilspark.llm._spark import cut, fold, parts, small_batches, table, widen
 
 #: Latent states, most words with a symbol of their own in the rounds, word classes, most words whose
 #: emissions are sent to every task (the rest are looked up by a join), tokens of a training piece and of its
@@ -26,6 +26,8 @@ from affilspark.llm._spark import cut, fold, small_batches, table, widen
 STATES, OWN, CLASSES, HEAD, PIECE, OVERLAP, SAMPLE, WARM = 8, 1 << 14, 1024, 1 << 18, 112, 12, 1000, 12
 #: Rounds on all documents end when one gains less than this many log10 a token, or after so many.
 GAIN, ROUNDS = 0.005, 8
+#: Bytes of texts in a packed row.
+BYTES = 64 << 10
 SMOOTH = 0.1
 #: Tokens of its class's states that a word's own states are smoothed with.
 PRIOR = 8.0
@@ -227,23 +229,54 @@ def _start(states: int, own_keys: np.ndarray):
     return run
 
 
-def _round(docs: DataFrame, text_col: str, shared, states: int) -> tuple[dict, float]:
-    """Expected counts over all rows, summed in each task, then by Spark over the tasks; and the log10 likelihood."""
-    names = [f"e{j}" for j in range(states)]
+def _packed(docs: DataFrame, text_col: str, shared) -> DataFrame:
+    """s, n: the symbols of all texts, as the rounds read them, and each text's number of them.
+
+    A row holds the whole texts of a block of BYTES: 16-bit symbols, compressed, and 32-bit lengths. Rows are
+    dealt evenly, so a round is shared by all tasks however the texts lie in their files.
+    """
 
     def run(batches):
-        model, own = shared.value
-        own, counts, gain = Lookup(own), _zero(states), np.zeros(states)
+        own = Lookup(shared.value)
         for batch in batches:
-            for _, _, data, offsets in W.blocks(batch.column(0), 2 << 20):
-                s, n = _symbols(data, offsets, own)
-                gain[0] += expect(s, n, model, counts)
+            rows = [_symbols(data, offsets, own) for _, _, data, offsets in W.blocks(batch.column(0), BYTES)]
+            s = [pa.compress(s.astype(np.uint16), "zstd", asbytes=True) for s, _ in rows]
+            yield pa.RecordBatch.from_arrays([pa.array(s, pa.binary()), pa.array([n.astype(np.uint32).tobytes() for _, n in rows], pa.binary())], names=["s", "n"])
+
+    return docs.select(text_col).mapInArrow(run, "s binary, n binary").repartition(parts(docs.sparkSession))
+
+
+def _unpacked(batches, tokens: int = 1 << 18):
+    """Symbols and lengths of the texts of packed rows, some rows at a time."""
+    held, sizes, total = [], [], 0
+    for batch in batches:
+        for s, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            sizes.append(np.frombuffer(n, np.uint32).astype(np.int64))
+            here = int(sizes[-1].sum())
+            held.append(np.frombuffer(pa.decompress(s, 2 * here, "zstd", asbytes=True), np.uint16))
+            total += here
+            if total > tokens:
+                yield np.concatenate(held).astype(np.int64), np.concatenate(sizes)
+                held, sizes, total = [], [], 0
+    if held:
+        yield np.concatenate(held).astype(np.int64), np.concatenate(sizes)
+
+
+def _round(packed: DataFrame, shared, states: int) -> tuple[dict, float]:
+    """Expected counts over all texts, summed in each task, then by Spark over the tasks; and the log10 likelihood."""
+    names = [f"e{j}" for j in range(states)]
+
+    def run(batches):
+        model, _ = shared.value
+        counts, gain = _zero(states), np.zeros(states)
+        for s, n in _unpacked(batches):
+            gain[0] += expect(s, n, model, counts)
         rows = np.vstack([counts["emit"], counts["move"], counts["first"], counts["later"], gain])
         at = np.flatnonzero(rows.any(axis=1))
         yield pa.RecordBatch.from_arrays([pa.array(at), *[pa.array(rows[at, j]) for j in range(states)]], names=["i", *names])
 
-    parts = docs.select(text_col).mapInArrow(run, "i long, " + ", ".join(f"{x} double" for x in names))
-    got = parts.groupBy("i").agg(*[F.sum(x).alias(x) for x in names]).toPandas()  # at most OWN + CLASSES + states + 4 rows
+    sums = packed.mapInArrow(run, "i long, " + ", ".join(f"{x} double" for x in names))
+    got = sums.groupBy("i").agg(*[F.sum(x).alias(x) for x in names]).toPandas()  # at most OWN + CLASSES + states + 4 rows
     rows = np.zeros((OWN + CLASSES + 1 + states + 3, states))
     rows[got["i"].to_numpy()] = got[names].to_numpy()
     s = OWN + CLASSES + 1
@@ -346,10 +379,11 @@ def train(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", state
     got = some.withColumn("_one", F.lit(1)).groupBy("_one").applyInPandas(_start(states, keys), fields).first()
     shape = {"move": (states, states), "emit": (OWN + CLASSES + 1, states), "first": (states,), "later": (states,)}
     model = {k: np.frombuffer(got[k], np.float32).reshape(v) for k, v in shape.items()} if got else maximise(_zero(states))
+    packed = cut(_packed(docs, text_col, spark.sparkContext.broadcast(keys)))  # texts are read and cut into words once for all rounds
     before = -np.inf
     for _ in range(ROUNDS if n_docs else 0):
         shared = spark.sparkContext.broadcast((model, keys))
-        counts, likelihood = _round(docs, text_col, shared, states)
+        counts, likelihood = _round(packed, shared, states)
         shared.unpersist()
         model = maximise(counts)
         if likelihood - before < GAIN * total:
@@ -357,11 +391,12 @@ def train(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", state
         before = likelihood
     lexicon = cut(_lexicon(docs, text_col, spark.sparkContext.broadcast((model, keys)), states))
     choice, classes = _choice(lexicon, states), model["emit"][OWN : OWN + CLASSES].astype(float)
-    head = lexicon.where(F.col("c") >= cut_head).orderBy(F.desc("c"), "word").toPandas()  # at most HEAD rows
-    more = _emissions(pa.array(head["word"], pa.string()), head["c"].to_numpy(np.int64), pa.array(head["q"], pa.binary()), classes, choice)
+    head = lexicon.where(F.col("c") >= cut_head).select("word", "c", "q").toArrow().combine_chunks()  # at most HEAD rows
+    named, often, share = (pa.concat_arrays(x.chunks) if x.num_chunks else pa.array([], x.type) for x in head.columns)
+    more = _emissions(named, often.to_numpy(), share, classes, choice)
     emit = np.vstack([model["emit"][: len(keys)], more, model["emit"][OWN + CLASSES :]])
-    c = np.concatenate([top["c"].to_numpy(np.int64), head["c"].to_numpy(np.int64)])
-    keys = np.concatenate([keys, _hash_words(head["word"].tolist())])
+    c = np.concatenate([top["c"].to_numpy(np.int64), often.to_numpy()])
+    keys = np.concatenate([keys, _hash_words(named.to_pylist())])
     return {"move": model["move"], "first": model["first"], "emit": emit, "classes": classes, "choice": choice, "keys": keys, "c": c, "rest": lexicon.where(F.col("c") < cut_head), "total": int(total), "whole": float(whole), "ends": int(n_docs)}
 
 
