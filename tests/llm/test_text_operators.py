@@ -597,24 +597,6 @@ def test_hmm_words_beyond_the_symbols(spark, monkeypatch):
         assert (g.n_tokens, g.n_known) == (len(w) + 1, sum(x in seen for x in w) + 1)
 
 
-def test_packed_symbols_round_trip(docs, empty, spark):
-    """Rows of packed symbols hold each text's symbols once, those of a long text and of nulls too."""
-    keys = hmm._hash_words(["word", "x", "one", "tail"])
-    more = docs.unionByName(spark.createDataFrame([(1000, "word x unknown " * 30_000, None, None, None, None, None, None)], SCHEMA))
-    packed = hmm._packed(more, "text", spark.sparkContext.broadcast(keys)).collect()
-    got = Counter()
-    for r in packed:
-        batch = pa.RecordBatch.from_arrays([pa.array([bytes(r.s)] * 2, pa.binary()), pa.array([bytes(r.n)] * 2, pa.binary())], names=["s", "n"])
-        for s, n in hmm._unpacked([batch], 10):
-            got.update(tuple(x) for x in np.split(s, np.cumsum(n)[:-1]))
-    own, want = hmm.Lookup(keys), Counter()
-    for r in more.select("text").collect():
-        s, n = hmm._symbols(np.frombuffer((r.text or "").encode(), np.uint8), np.array([0, len((r.text or "").encode())]), own)
-        want[tuple(s)] += 2
-    assert got == want and max(map(len, got)) == 90_001
-    assert not hmm._packed(empty, "text", spark.sparkContext.broadcast(keys)).collect()
-
-
 def test_lookup():
     rng = np.random.default_rng(1)
     keys = rng.integers(0, 1 << 63, 5000, dtype=np.uint64) * np.uint64(2)
