@@ -23,14 +23,18 @@ def org_rows(orgs: DataFrame) -> DataFrame:
     return orgs.withColumn("org_row_id", row_key("organization_country_raw", "organization_city_raw", "organization_name_raw")).select(*ORG)
 
 
-def org_signals(orgs: DataFrame, dim_org: DataFrame, cmap: DataFrame, *sources: str) -> DataFrame:
-    """Organizations with the distinct identifiers that raw rows of the same country code and name carry."""
+def raw_identifiers(dim_org: DataFrame, cmap: DataFrame, *sources: str) -> DataFrame:
+    """Country code, name, source and comparable identifier of each raw row of those sources."""
     raw = attach_country(dim_org.where(F.lower("disambiguation_source").isin(*sources)), cmap, "organization_country")
-    raw = raw.select(
+    return raw.select(
         "organization_country_iso2", F.col("organization_name").alias("organization_name_raw"), F.lower("disambiguation_source").alias("source"),
         org_identifier("disambiguation_source", F.coalesce("disambiguated_organization_identifier", F.lit(""))).alias("source_value_norm"),
-    ).distinct()
-    return orgs.join(raw, ["organization_country_iso2", "organization_name_raw"])
+    )
+
+
+def org_signals(orgs: DataFrame, dim_org: DataFrame, cmap: DataFrame, *sources: str) -> DataFrame:
+    """Organizations with the distinct identifiers that raw rows of the same country code and name carry."""
+    return orgs.join(raw_identifiers(dim_org, cmap, *sources).distinct(), ["organization_country_iso2", "organization_name_raw"])
 
 
 def _matched(df: DataFrame, source: str, priority: int, rule: int, confidence: Column | None = None) -> DataFrame:
@@ -50,14 +54,40 @@ def match_direct(signals: DataFrame, drop_empty_ids: bool = False) -> DataFrame:
     return _matched(own, "ror", 0, 1).select(*MATCH)
 
 
+def _hops(ringgold: DataFrame, external_ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """ringgold to ISNI, and ISNI to registry id."""
+    first = ringgold.where(is_filled("isni")).select(trim(F.col("ringgold").cast("string")).alias("source_value_norm"), norm_isni("isni").alias("isni_norm"))
+    return first, external_ids.where((F.lower("type") == "isni") & F.col("value").isNotNull()).select(norm_isni("value").alias("isni_norm"), F.col("id").alias("ror_id"))
+
+
 def match_chain(signals: DataFrame, ringgold: DataFrame, external_ids: DataFrame) -> DataFrame:
     """ringgold to ISNI to registry id; either hop may fan out."""
-    first = ringgold.where(is_filled("isni")).select(trim(F.col("ringgold").cast("string")).alias("source_value_norm"), norm_isni("isni").alias("isni_norm"))
-    second = external_ids.where((F.lower("type") == "isni") & F.col("value").isNotNull()).select(norm_isni("value").alias("isni_norm"), F.col("id").alias("ror_id"))
+    first, second = _hops(ringgold, external_ids)
     hop = first.join(second, "isni_norm").select("source_value_norm", "ror_id").distinct()
     return _matched(signals.where(F.col("source") == "ringgold").join(hop, "source_value_norm"), "ringgold_isni", 3, 1).select(*MATCH)
 
 
+def match_least_ids(orgs: DataFrame, identifiers: DataFrame, ringgold: DataFrame, external_ids: DataFrame) -> DataFrame:
+    """Of match_crosswalk(), match_direct() and match_chain() of the orgs' signals, what best_of_sources() keeps: the least id of each source.
+
+    Organizations of one country code and name share their identifiers, and a source has one priority, so both hops and the
+    identifiers of a name are reduced to their least id before organizations are joined: no step has more rows than it
+    reads. identifiers: raw_identifiers(), repeats allowed. Of equal ids the one by the least identifier stays.
+    """
+    first, second = _hops(ringgold, external_ids)
+    least = F.min("ror_id").alias("ror_id")
+    hop = first.join(second.groupBy("isni_norm").agg(least), "isni_norm").groupBy("source_value_norm").agg(least)
+    walks = [crosswalk(external_ids, k).select(F.lit(k).alias("source"), F.col("value_norm").alias("source_value_norm"), "ror_id") for k in ("fundref", "grid")]
+    listed = walks[0].unionByName(walks[1]).unionByName(hop.select(F.lit("ringgold").alias("source"), "source_value_norm", "ror_id"))
+    own = identifiers.where(F.col("source") == "ror").withColumn("ror_id", F.col("source_value_norm"))
+    found = own.unionByName(identifiers.where(F.col("source") != "ror").join(listed, ["source", "source_value_norm"]).select(*own.columns))
+    name = ["organization_country_iso2", "organization_name_raw"]
+    best = found.groupBy(*name, "source").agg(F.min(F.struct(F.col("ror_id").isNull().alias("no"), "ror_id", "source_value_norm")).alias("b")).select(*name, "source", "b.ror_id", "b.source_value_norm")
+    priority = F.when(F.col("source") == "ror", 0).when(F.col("source") == "fundref", 1).when(F.col("source") == "grid", 2).otherwise(3)
+    shown = F.when(F.col("source") == "ringgold", "ringgold_isni").otherwise(F.col("source"))
+    return orgs.join(best, name).withColumns({"match_source": shown, "match_priority": priority, "confidence": F.lit(1.0), "match_rule": F.lit(1)}).select(*MATCH)
+
+
 def best_match(matches: DataFrame) -> DataFrame:
     return best_per_key(matches, "org_row_id", F.asc_nulls_last("match_priority"), F.asc_nulls_last("ror_id"))
 
@@ -73,11 +103,13 @@ def merge_sources(*bests: DataFrame) -> DataFrame:
     return best_per_key(union_matches(*bests, columns=MATCH), "org_row_id", order, "match_priority", F.desc("confidence"), F.asc_nulls_last("ror_id"))
 
 
-def match_org_exact(pending: DataFrame, names: DataFrame, locations: DataFrame) -> DataFrame:
-    """Country and preferred registry name."""
+def match_org_exact(pending: DataFrame, names: DataFrame, locations: DataFrame, least: bool = False) -> DataFrame:
+    """Country and preferred registry name; with `least` only the least of the ids that share both, which is what best_match() keeps."""
     name = names.where(is_filled("preferred_name")).select("id", norm_text("preferred_name").alias("organization_name_norm"))
     place = locations.where(is_filled("country_code")).select("id", F.col("country_code").alias("organization_country_iso2")).distinct()
     ref = place.join(name, "id").withColumnRenamed("id", "ror_id").where("organization_name_norm is not null")
+    if least:
+        ref = ref.groupBy("organization_country_iso2", "organization_name_norm").agg(F.min("ror_id").alias("ror_id"))
     found = pending.join(ref, ["organization_country_iso2", "organization_name_norm"]).withColumn("source_value_norm", F.col("organization_name_norm"))
     return _matched(found, "ror_geo_exact", 4, 2).select(*MATCH)
 

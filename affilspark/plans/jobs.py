@@ -81,7 +81,7 @@ def resolve(spark: SparkSession, o: argparse.Namespace) -> Store:
     org_text = store.keep(K.org_text(dim_org, cmap, found.cities, dedupe_city=True), "org_text", ("dim_org_raw", "country", "city_text"), by_name, K.normalization_metrics("pair_cnt", "organization_name_norm"))
     ring = readers.read_tsv_lenient(spark, o.ringgold, RINGGOLD)
     orgs = resolve_orgs(org_text, dim_org, cmap, table("external_id"), ring, table("name_preferred"), table("location"), lambda: found.best, keep=store.keep)
-    for made in (found.all, found.best, found.left_fuzzy, orgs.best, orgs.best_by_source, orgs.left_fuzzy):
+    for made in (found.all, found.best, found.left_fuzzy, orgs.candidates, orgs.exact_candidates, orgs.best, orgs.best_by_source, orgs.left_fuzzy):
         made.schema  # noqa: B018  builds the stage
     titles = store.keep(K.role_title_text(table("fact_affiliation")), "role_title_text", ("fact_affiliation",), writers.by_frequency("pair_cnt", "role_title_raw"), K.normalization_metrics("pair_cnt", "role_title_norm"))
     mapped = store.keep(roles.role_title_map(readers.read_tsv_skip(spark, o.roles, ROLE_MAP)), "role_title_map", ("roles",), ["role_title_norm"])

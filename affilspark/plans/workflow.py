@@ -149,8 +149,13 @@ class OrgResolution:
 
     @cached_property
     def by_id(self) -> DataFrame:
-        """The best match of each identifier source; one table, as merging, the last union and the audits read it."""
-        return self.keep(O.best_of_sources(self.candidates), "org_by_id", "org_candidates", sources=(*LISTED, *CHAINED))
+        """The best match of each identifier source; one table, as merging, the last union and the audits read it.
+
+        It is not taken from the candidates, whose number grows with that of identifiers times that of ids they lead to.
+        """
+        raw = O.raw_identifiers(self.dim_org, self.cmap, "fundref", "grid", "ror", "ringgold")
+        found = O.match_least_ids(self.rows, raw, self.ringgold, self.external_ids)
+        return self.keep(O.best_of_sources(found), "org_by_id", "dim_org_raw", "country", "external_id", "ringgold", sources=(*LISTED, *CHAINED))
 
     @cached_property
     def fundref(self) -> DataFrame:
@@ -182,7 +187,8 @@ class OrgResolution:
 
     @cached_property
     def ror_geo_exact(self) -> DataFrame:
-        return self.keep(O.best_match(self.exact_candidates), "org_exact", "org_exact_candidates")
+        found = O.match_org_exact(self.left_ids, self.names, self.locations, True)
+        return self.keep(O.best_match(found), "org_exact", "org_left_ids", "name_preferred", "location")
 
     @cached_property
     def left_exact(self) -> DataFrame:

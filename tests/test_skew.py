@@ -10,6 +10,7 @@ from affilspark.operators import cities as C
 from affilspark.operators import curate as K
 from affilspark.operators import orgs as O
 from affilspark.operators.skew import left_join_past_nulls, tiled_join
+from affilspark.plans.workflow import resolve_orgs
 
 
 @pytest.fixture
@@ -117,3 +118,34 @@ def test_frequent_token_makes_no_pairs(spark, monkeypatch):
     assert got["university x4 y4"] == ("r004", 2) and got["university"][1] == 1
     pairs = [a.join(i, [*O.BLOCK, "tok"]).select("tok").collect() for a, i in asked_for]
     assert len(pairs) == 2 and not any(r.tok == "university" for p in pairs for r in p) and 0 < len(pairs[0]) <= 80
+
+
+def test_least_ids_without_candidates(spark, monkeypatch):
+    """Names with many identifiers that lead to many ids: the best of each source as from all candidates, none of which is made."""
+    rng = random.Random(4)
+    ids = {"ROR": lambda i: f"r{i:03d}", "GRID": lambda i: f"GRID.{i}", "FUNDREF": lambda i: f"x/10.13039/{i}", "Ringgold": lambda i: f"RIN{i}"}
+    raw = [("k", f"n{rng.randrange(6)}", c, rng.choice(["DE", "de", "??", None]), s, rng.choice([ids[s](rng.randrange(40)), "", None])) for c in ("Bonn", None) for s in ids for _ in range(120)]
+    dim = spark.createDataFrame(raw, "raw_org_key string, organization_name string, organization_city string, organization_country string, disambiguation_source string, disambiguated_organization_identifier string")
+    cmap = spark.createDataFrame([("DE", "DE"), ("de", "DE"), ("??", None)], "organization_country_raw string, organization_country_iso2 string")
+    ext = spark.createDataFrame([(f"r{rng.randrange(300):03d}", t, v(i)) for i in range(60) for t, v in (("fundref", str), ("GRID", lambda i: f" grid.{i} "), ("isni", lambda i: f"0000 {i % 9}"), ("isni", lambda i: f"0000 {i % 9}"))], "id string, type string, value string")
+    ring = spark.createDataFrame([(str(i), f"0000-{i % 9}") for i in range(35)] + [("36", " "), ("37", None)], "ringgold string, isni string")
+    orgs = K.org_text(dim, cmap, K.city_text(dim, cmap), dedupe_city=True)
+    found = resolve_orgs(orgs, dim, cmap, ext, ring, None, None, lambda: None)
+    apart = ["org_row_id", "organization_country_iso2", "pair_cnt", "ror_id", "match_source", "match_priority", "confidence", "match_rule"]  # equal ids by several identifiers are ties
+    every, schema = rows_of(found.candidates), found.candidates.schema
+    want, wanted = rows_of(O.best_of_sources(found.candidates).select(apart)), rows_of(O.merge_sources(O.best_of_sources(found.candidates)).select(apart))
+    for made in ("match_chain", "match_crosswalk", "match_direct", "org_signals"):
+        monkeypatch.setattr(O, made, None)
+    found = resolve_orgs(orgs, dim, cmap, ext, ring, None, None, lambda: None)
+    assert rows_of(found.by_id.select(apart)) == want and rows_of(found.merged.select(apart)) == wanted and {r[4] for r in want} == {"ror", "grid", "fundref", "ringgold_isni"}
+    assert set(rows_of(found.by_id)) <= set(every) and len(every) > 3 * len(want)
+    assert [(f.name, f.dataType) for f in found.by_id.schema] == [(f.name, f.dataType) for f in schema] and O.match_least_ids(found.rows, O.raw_identifiers(dim, cmap, "ror", "grid", "fundref", "ringgold"), ring, ext).count() == len(want)
+
+
+def test_exact_names_meet_one_id(spark):
+    """An organization meets the least of the ids that share its country and name."""
+    names = spark.createDataFrame([(f"r{i:02d}", f" Uni  {i % 2} ") for i in range(30)] + [("r98", None), ("r99", " ")], "id string, preferred_name string")
+    places = spark.createDataFrame([(f"r{i:02d}", "DE" if i % 3 else "FR") for i in range(100)], "id string, country_code string")
+    pending = spark.createDataFrame([(f"o{i}", "x", f"uni {i % 3}", "DE", 1) for i in range(9)], "org_row_id string, organization_name_raw string, organization_name_norm string, organization_country_iso2 string, pair_cnt long")
+    every, least = O.match_org_exact(pending, names, places), O.match_org_exact(pending, names, places, True)
+    assert rows_of(O.best_match(every)) == rows_of(O.best_match(least)) == rows_of(least) and least.count() == 6 and every.count() == 60
