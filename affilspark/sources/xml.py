@@ -39,8 +39,9 @@ def _record(xml: Column) -> Column:
 
 
 def _parsed(packed: DataFrame, xml_col: str) -> DataFrame:
+    """path, xml, record and r, its fields; as a generated column r is parsed once, however many conditions and fields are taken from it."""
     own = packed.select(*[c for c in ("path",) if c in packed.columns], F.col(xml_col).alias("xml"), _record(F.col(xml_col)).alias("record"))
-    return own.withColumn("r", F.from_xml("record", f"{PERSON}, _corrupt_record string", _OPTIONS))
+    return own.select("*", F.explode(F.array(F.from_xml("record", f"{PERSON}, _corrupt_record string", _OPTIONS))).alias("r"))
 
 
 def records_of(packed: DataFrame, xml_col: str = "xml") -> DataFrame:

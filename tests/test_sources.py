@@ -11,7 +11,7 @@ from affilspark.sources import json_array
 from affilspark.sources import readers as R
 from affilspark.sources import writers as W
 from affilspark.sources.schemas import AFFILIATION, AFFILIATION_COLUMNS, REGISTRY, RINGGOLD, ROLE_MAP
-from affilspark.sources.xml import broken_xml, pack_xml, xml_files
+from affilspark.sources.xml import broken_xml, pack_xml, records_of, xml_files
 
 HEAD = '<r:record xmlns:r="http://x/r" xmlns:c="http://x/c" xmlns:p="http://x/p" xmlns:a="http://x/a" path="/1">'
 
@@ -231,3 +231,12 @@ def test_registry_json(spark, tmp_path):
     assert rows(G.registry_org_type(organization)) == [("r1", "education")]
     enriched = G.registry_enriched(organization, G.preferred_name(G.registry_name(raw)))
     assert G.registry_audit(organization, enriched).first().asDict() == {"organization_rows": 2, "org_total": 2, "org_with_preferred_name": 1, "preferred_name_coverage_pct": 50.0}
+
+
+def test_xml_is_parsed_once(spark):
+    """Conditions and fields of a record take one parse of it, not one each."""
+    packed = spark.createDataFrame([("a", "<record><person><name><given-names>Ada</given-names></name></person></record>"), ("b", "<x/>"), ("c", "<record><person></record>"), ("d", None)], "path string, xml string")
+    for frame in (records_of(packed), R.affiliations_of(records_of(packed))):
+        assert frame._jdf.queryExecution().optimizedPlan().toString().count("from_xml(") == 1
+    assert [r.person.name["given-names"] for r in records_of(packed).collect()] == ["Ada"]
+    assert [r.path for r in broken_xml(packed).collect()] == ["c"]
