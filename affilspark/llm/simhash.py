@@ -454,6 +454,16 @@ def similar_links(nodes: DataFrame, texts_of, similarity: float = 0.8, bucket: i
     return block.mapInArrow(compare, "a long, b long").distinct()
 
 
+def fingerprint_links(nodes: DataFrame, distance: int = 4, bucket: int = BUCKET) -> DataFrame:
+    """Edges (a, b) that join all of nodes(node, fp) whose SimHash fingerprints are within `distance` bits: the pigeonhole tables of links(), and equal fingerprints."""
+    first = cut(nodes.groupBy("fp").agg(F.min("node").alias("node"), F.count("*").alias("n")))
+    near = links(first.select("fp"), distance, bucket)
+    for side in ("a", "b"):
+        near = near.join(first.select(F.col("fp").alias(side), F.col("node").alias(f"{side}_node")), side)
+    same = nodes.join(first.where("n > 1").select("fp", F.col("node").alias("b")), "fp").select(F.col("node").alias("a"), "b")
+    return near.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")).unionByName(same).where("a <> b")
+
+
 def alike_links(sets: DataFrame, similarity: float = 0.8, bucket: int = BUCKET) -> DataFrame:
     """Edges (a, b) that span the pairs within each group of sets(node, set, t, key) of at least that Jaccard similarity.
 
@@ -515,14 +525,15 @@ def _prefixes(similarity: float):
     return run
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8, bucket: int = BUCKET, crowd: int = CROWD) -> DataFrame:
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8, bucket: int = BUCKET, crowd: int = CROWD, distance: int = 4) -> DataFrame:
     """One row of docs for each group of near duplicates: that of the group's smallest id.
 
     Near duplicates have shingle sets (A-Z lowered, `words` words; fewer words are one shingle) of
-    Jaccard similarity of `similarity` or more, or are linked by such. 64 bits within 4 of each
-    other, as near_duplicates() has, would find a fifth of them. Equal sets are found by a 128-bit
-    hash; pairs of up to FEW shingles share one of their least shingles; others share a pigeonhole block of
-    their sets and are candidates by SimHash distance. All are decided on the sets. Null texts and
+    Jaccard similarity of `similarity` or more, or are linked by such. Equal sets are found by a 128-bit
+    hash; pairs of up to FEW shingles share one of their least shingles. Of others, those whose SimHash
+    fingerprints (the first 64 bits) are within `distance` bits are candidates by pigeonhole tables of the fingerprints; as
+    these find only a fifth of the pairs, pairs that share a pigeonhole block of their sets and are within a
+    loose distance of all bits are candidates as well. All are decided on the sets. Null texts and
     texts without words are one group. Very long texts are treated as others. Null ids come last; of rows that share
     the id the one whose text has the least hash stays, and of equal rows one. Columns
     may have any names and pass as they are; an empty table gives no rows.
@@ -571,7 +582,9 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
         return plain.select("k1", "k2", "text").join(named, ["k1", "k2"]).select("node", "text", *[c for c in some.columns if c != "node"])
 
     short = nodes.where((F.col("n") > 0) & F.col("few").isNotNull()).select("node", "few").mapInArrow(_prefixes(similarity), "node long, set binary, t int, key long")
-    near = similar_links(nodes.where(F.col("n") >= low), texts_of, similarity, bucket, words, crowd)
+    long = nodes.where(F.col("n") >= low)
+    near = fingerprint_links(long.select("node", F.col(CHECKS[0]).alias("fp")), distance, bucket)
+    near = near.unionByName(similar_links(long, texts_of, similarity, bucket, words, crowd)).distinct()
     near = connected_components(near).select(F.col("a").alias("node"), F.col("root").alias("key"))
     sets = cut(texts_of(near).mapInArrow(sets_of, "node long, set binary, key long"))
     found = alike_links(short, similarity, bucket).unionByName(alike_pairs(sets, similarity, bucket))

@@ -690,3 +690,35 @@ def test_row_keys_tell_a_null_id_from_a_null_text(spark):
 def test_kept_digest(docs):
     plain = {(r.doc_id, hashlib.sha256(r.kept.encode()).hexdigest()) for r in substrings.strip_repeats(docs).collect()}
     assert plain == {(r.doc_id, r.kept) for r in substrings.strip_repeats(docs, digest=True).collect()}
+
+
+def test_keep_one_by_fingerprints(spark, monkeypatch):
+    """Close copies are found by the pigeonhole tables of their fingerprints, with nothing from the blocks of their sets; the sets decide."""
+    rng = random.Random(8)
+    texts = [[f"w{rng.randrange(5000)}" for _ in range(3000)] for _ in range(6)]
+    rows = [(10 * i, " ".join(t)) for i, t in enumerate(texts)] + [(10 * i + 1, " ".join([*t[:1500], "other", *t[1501:]])) for i, t in enumerate(texts)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(simhash, "similar_links", lambda nodes, *_: nodes.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0))
+    kept = {r.doc_id for r in simhash.keep_one(frame).collect()}
+    assert {10 * i for i in range(6)} <= kept and len(kept) < 9
+    assert {r.doc_id for r in simhash.keep_one(frame, similarity=0.9999).collect()} == {r[0] for r in rows}
+
+
+def test_fingerprint_links(spark):
+    """All within 4 bits lie in one component, equal fingerprints too; no link joins others."""
+    rng = random.Random(9)
+    base = [rng.getrandbits(63) for _ in range(20)]
+    nodes = [(i, b ^ (1 << rng.randrange(60)) ^ (1 << rng.randrange(60))) for i, b in enumerate(base * 6)] + [(200 + i, b) for i, b in enumerate(base * 2)]
+    fp = dict(nodes)
+    edges = [tuple(r) for r in simhash.fingerprint_links(spark.createDataFrame(nodes, "node long, fp long"), bucket=8).collect()]
+    assert all((fp[a] ^ fp[b]).bit_count() <= 4 for a, b in edges)
+    root = {n: n for n in fp}
+
+    def top(n):
+        while root[n] != n:
+            n = root[n]
+        return n
+
+    for a, b in edges:
+        root[top(a)] = top(b)
+    assert all(top(a) == top(b) for a in fp for b in fp if (fp[a] ^ fp[b]).bit_count() <= 4)
