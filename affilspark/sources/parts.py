@@ -8,7 +8,9 @@ from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
@@ -27,8 +29,17 @@ def _opened(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{posixpath.abspath(uri)}")
 
 
+def _lines(column: pa.Array) -> tuple[memoryview, np.ndarray]:
+    """The column's texts as lines in one buffer (null: an empty line), and the places between them."""
+    none = pa.scalar(b"", pa.large_binary())
+    lines = pc.binary_join_element_wise(column.cast(pa.large_binary()), none, pa.scalar(b"\n", pa.large_binary()), null_handling="replace")
+    _, ends, text = lines.buffers()
+    return memoryview(text or b""), np.frombuffer(ends, np.int64)[lines.offset : lines.offset + len(lines) + 1]
+
+
 class LineWriter(DataSourceArrowWriter):
     """Writes one text column. A part is closed once it has max_bytes or max_rows, so it is over max_bytes by less than a row.
+    What a batch has for a part is written at once; no Python object is made for a row.
 
     Tasks write below `_temporary`; only when all have ended are the parts of the attempts that count moved,
     named by partition and place, and what an overwrite replaces is removed. A failed or lost task leaves nothing
@@ -50,14 +61,17 @@ class LineWriter(DataSourceArrowWriter):
         out, size, rows = None, 0, 0
         try:
             for batch in iterator:
-                for line in batch.column(0).cast(pa.large_binary()):
-                    data = (line.as_py() or b"") + b"\n"
+                text, ends = _lines(batch.column(0))
+                at, n = 0, len(batch)
+                while at < n:
                     if out is None:
                         name, size, rows = f"{folder}/{len(done.names):06d}{self.suffix}", 0, 0
                         out = store.open_output_stream(name)
                         done.names.append(name)
-                    out.write(data)
-                    size, rows = size + len(data), rows + 1
+                    full = int(np.searchsorted(ends[at + 1 :], ends[at] + self.max_bytes - size)) + 1  # lines that fill the part
+                    to = at + max(1, min(n - at, full, self.max_rows - rows))
+                    out.write(text[ends[at] : ends[to]])
+                    size, rows, at = size + int(ends[to] - ends[at]), rows + to - at, to
                     if size >= self.max_bytes or rows >= self.max_rows:
                         out.close()
                         out = None

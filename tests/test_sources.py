@@ -1,13 +1,16 @@
 """Readers and writers on small files."""
 
 import json
+from types import SimpleNamespace
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyarrow import fs
 from pyspark.sql import functions as F
 
-from affilspark.sources import json_array
+from affilspark.sources import json_array, parts
 from affilspark.sources import readers as R
 from affilspark.sources import writers as W
 from affilspark.sources.schemas import AFFILIATION, AFFILIATION_COLUMNS, REGISTRY, RINGGOLD, ROLE_MAP
@@ -88,6 +91,32 @@ def test_parts_by_bytes(spark, tmp_path):
     assert sizes(tmp_path / "none") == []
 
 
+@pytest.mark.parametrize(("max_bytes", "max_rows"), [(1, 1 << 62), (50, 1 << 62), (997, 7), (1 << 20, 64), (1 << 20, 1 << 62)])
+def test_lines_are_written_by_batch(tmp_path, monkeypatch, max_bytes, max_rows):
+    """A write for what a batch has for a part, not for each row; parts end where they do row by row."""
+    texts = [None if i % 11 == 0 else "" if i % 7 == 0 else "é\U0001f600\n"[: i % 4] + "x" * (i * 37 % 91) for i in range(3000)]
+    whole, wanted, size, rows = pa.array(texts), [b""], 0, 0
+    for text in texts:
+        if size >= max_bytes or rows >= max_rows:
+            wanted, size, rows = [*wanted, b""], 0, 0
+        line = (text or "").encode() + b"\n"
+        wanted[-1] += line
+        size, rows = size + len(line), rows + 1
+    batches = [pa.record_batch([whole.slice(a, b - a)], ["value"]) for a, b in ((0, 1), (1, 1), (1, 1500), (1500, 3000))]
+    task, store, calls = SimpleNamespace(partitionId=lambda: 0, taskAttemptId=lambda: 0), fs.LocalFileSystem(), []
+
+    def opened(name):
+        out = store.open_output_stream(name)
+        return SimpleNamespace(write=lambda data: (calls.append(1), out.write(data)), close=out.close)
+
+    monkeypatch.setattr("pyspark.TaskContext.get", lambda: task)
+    monkeypatch.setattr(parts, "_opened", lambda uri: (SimpleNamespace(create_dir=store.create_dir, open_output_stream=opened), uri))
+    writer = parts.LineWriter(str(tmp_path), ".json", max_bytes, max_rows, True)
+    done = writer.write(iter(batches))
+    assert [open(name, "rb").read() for name in done.names] == wanted
+    assert len(calls) <= len(wanted) + len(batches)
+
+
 def test_failed_write_leaves_no_part(spark, tmp_path):
     W.write_ndjson(spark.range(5).selectExpr("cast(id as string) as a"), str(tmp_path / "n"))
     before = {p.name: p.read_text() for p in (tmp_path / "n").glob("part*")}
