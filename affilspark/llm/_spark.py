@@ -64,6 +64,25 @@ def small(df: DataFrame, most: int) -> DataFrame:
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
+#: Bits of a bitmap (Spark's bitmap_construct_agg), bitmaps that are sent to every task at most (16 MB in all), and bits for each key.
+BITMAP, BITMAPS, BITS_A_KEY = 1 << 15, 1 << 12, 16
+
+
+def with_hint(rows: DataFrame, keys: DataFrame, key: str, name: str, most: int = BITMAPS) -> DataFrame:
+    """rows with a boolean `name`, which is true for every row whose `key` occurs in keys, and for few others.
+
+    Hashed keys are bits of bitmaps that are sent to every task, so rows that are surely not in keys need no
+    shuffle; a join must decide on the rest. keys is read twice.
+    """
+    n = min(most, keys.count() * BITS_A_KEY // BITMAP + 1)
+    place = F.pmod(F.xxhash64(key, F.lit(0)), F.lit(n * BITMAP))
+    number, bit = F.floor(place / BITMAP).cast("int"), (place % BITMAP).cast("int")
+    bitmaps = keys.select(number.alias("_number"), bit.cast("long").alias("_bit")).repartition("_number").groupBy("_number").agg(F.bitmap_construct_agg("_bit").alias("_bits"))
+    byte = F.conv(F.hex(F.substring("_bits", F.floor(bit / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("long")
+    met = rows.withColumn("_number", number).join(F.broadcast(bitmaps), "_number", "left")
+    return met.withColumn(name, F.coalesce(F.getbit(byte, bit % 8) == 1, F.lit(False))).drop("_number", "_bits")
+
+
 def union(dfs: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, dfs)
 

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from xxhash import xxh64_intdigest
 
 from affilspark.llm import _words as W
-from affilspark.llm._spark import cut, parts, row_hashes, small_batches, table, widen
+from affilspark.llm._spark import cut, parts, row_hashes, small_batches, table, widen, with_hint
 from affilspark.llm.components import connected_components, with_least
 
 #: Most distinct fingerprints of a bucket that one comparison takes; larger buckets are split in pairs of chunks.
@@ -496,16 +496,17 @@ def alike_pairs(sets: DataFrame, similarity: float = 0.8, bucket: int = BUCKET)
     first = sets.where("node = key").groupBy("key").agg(F.first("set").alias("first"))
     star = cut(sets.join(first, "key").select("node", "key", "set", "first").mapInArrow(_like_first(similarity), "node long, key long, alike boolean").distinct())
     found = star.where("alike and node <> key").select(F.col("node").alias("a"), F.col("key").alias("b"))
-    rest = star.where("not alike").select("node", F.lit(True).alias("lone"))
-    if not rest.limit(1).count():
+    if not star.where("not alike").limit(1).count():
         return found
     chunks = lambda n: F.ceil(n / bucket).cast("int")
     sizes = star.groupBy("key").agg(chunks(F.count("*")).alias("every"), chunks(F.count_if(~F.col("alike"))).alias("some")).where("some > 0")
-    mixed = sets.join(sizes, "key").join(rest, "node", "left")
+    marks = star.join(sizes, "key").select("node", "every", "some", (~F.col("alike")).alias("lone"))
     h = F.xxhash64("node")
-    own = mixed.select("node", "set", "key", F.explode(F.sequence(F.lit(0), F.col("some") - 1)).alias("x"), F.pmod(h, "every").cast("int").alias("y"))
-    lone = mixed.where("lone").select("node", "set", "key", F.pmod(h, "some").cast("int").alias("x"), F.explode(F.sequence(F.lit(0), F.col("every") - 1)).alias("y"))
-    dealt = own.unionByName(lone).select("node", "set", F.lit(0).alias("t"), "key", "x", "y")
+    at = lambda x, y: F.struct(x.cast("int").alias("x"), y.cast("int").alias("y"))
+    own = F.transform(F.sequence(F.lit(0), F.col("some") - 1), lambda x: at(x, F.pmod(h, "every")))
+    lone = F.transform(F.sequence(F.lit(0), F.col("every") - 1), lambda y: at(F.pmod(h, "some"), y))
+    places = F.when(F.col("lone"), F.array_union(own, lone)).otherwise(own)
+    dealt = sets.join(marks, "node").select("node", "set", F.lit(0).alias("t"), "key", F.explode(places).alias("p")).select("node", "set", "t", "key", "p.x", "p.y")
     dealt = dealt.repartition(parts(sets.sparkSession), "key", "x", "y").sortWithinPartitions("key", "x", "y", "node")
     return found.unionByName(dealt.mapInArrow(_compare_sets(similarity), "a long, b long")).where("a <> b").distinct()
 
@@ -578,8 +579,9 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
     nodes = cut(rows.groupBy("one", "two").agg(F.min(order).alias("first"), *kept).withColumn("node", F.monotonically_increasing_id()))
 
     def texts_of(some: DataFrame) -> DataFrame:
-        named = some.join(nodes.select("node", "first.k1", "first.k2"), "node")
-        return plain.select("k1", "k2", "text").join(named, ["k1", "k2"]).select("node", "text", *[c for c in some.columns if c != "node"])
+        named = cut(some.join(nodes.select("node", "first.k1", "first.k2"), "node"))
+        texts = with_hint(plain.select("k1", "k2", "text"), named, "k1", "met").where("met").drop("met")
+        return texts.join(named, ["k1", "k2"]).select("node", "text", *[c for c in some.columns if c != "node"])
 
     short = nodes.where((F.col("n") > 0) & F.col("few").isNotNull()).select("node", "few").mapInArrow(_prefixes(similarity), "node long, set binary, t int, key long")
     long = nodes.where(F.col("n") >= low)
@@ -590,7 +592,10 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
     found = alike_links(short, similarity, bucket).unionByName(alike_pairs(sets, similarity, bucket))
     roots = connected_components(found).withColumnRenamed("a", "node")
     first = nodes.select("node", "first").join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("first").alias("m"))
-    out = marked.join(first.select("m.k1", "m.k2"), ["k1", "k2"], "left_semi")
+    kept = cut(first.select("m.k1", "m.k2"))
+    gone = cut(marked.select("k1", "k2").join(kept, ["k1", "k2"], "left_anti"))
+    hinted = with_hint(marked, gone, "k1", "_doubtful")  # the rows of other keys stay where they are
+    out = hinted.where("not _doubtful").unionByName(hinted.where("_doubtful").join(gone, ["k1", "k2"], "left_anti")).drop("_doubtful").select(*marked.columns)
     again = plain.groupBy("k1", "k2").count().where("count > 1").select("k1", "k2")
     if again.limit(1).count():  # rows that agree in id and text: the first by their other columns stays
         rest = [c for c in marked.columns if c not in ("k1", "k2", own[text_col]) and not isinstance(marked.schema[c].dataType, (T.MapType, T.VariantType))]

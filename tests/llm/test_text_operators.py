@@ -722,3 +722,35 @@ def test_fingerprint_links(spark):
     for a, b in edges:
         root[top(a)] = top(b)
     assert all(top(a) == top(b) for a in fp for b in fp if (fp[a] ^ fp[b]).bit_count() <= 4)
+
+
+def test_with_hint(spark):
+    """No row whose key occurs is missed, few others are named, also with full bitmaps and without keys; repeats stay."""
+    rows = spark.range(20000).select(F.xxhash64("id").alias("k"), "id").unionByName(spark.range(5).select(F.xxhash64("id").alias("k"), "id"))
+    keys = rows.where("id % 10 = 0").select("k")
+    for most, others in ((4096, 0.1), (1, 0.1)):
+        got = [(r.id, r.met) for r in _spark.with_hint(rows, keys, "k", "met", most).collect()]
+        assert len(got) == 20005 and all(met for i, met in got if i % 10 == 0)
+        assert sum(met for i, met in got if i % 10) < others * 18000
+    assert not _spark.with_hint(rows, keys.limit(0), "k", "met").where("met").count()
+
+
+def test_keep_one_leaves_texts_in_place(spark):
+    """Texts that have no near copy meet no shuffle: only marks and shingles of them do."""
+    rng = random.Random(12)
+    rows = [(i, " ".join("%040x" % rng.getrandbits(160) for _ in range(400))) for i in range(240)]
+    frame = spark.createDataFrame([*rows, (900, rows[7][1] + " tail")], "doc_id long, text string")
+    store, none = spark.sparkContext._jsc.sc().statusStore(), spark.sparkContext._gateway.new_array(spark.sparkContext._jvm.double, 0)
+
+    def written():
+        stages = store.stageList(None, False, False, none, spark.sparkContext._jvm.java.util.ArrayList())
+        return sum(stages.apply(i).shuffleWriteBytes() for i in range(stages.size()))
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        start = written()
+        got = sorted(tuple(r) for r in simhash.keep_one(frame).collect())
+        assert got == rows and written() - start < 0.5 * sum(len(t) for _, t in rows)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
