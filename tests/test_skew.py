@@ -10,6 +10,7 @@ from affilspark.operators import cities as C
 from affilspark.operators import curate as K
 from affilspark.operators import orgs as O
 from affilspark.operators.skew import left_join_past_nulls, tiled_join
+from affilspark.plans.registry import Inputs
 from affilspark.plans.workflow import resolve_orgs
 
 
@@ -149,3 +150,22 @@ def test_exact_names_meet_one_id(spark):
     pending = spark.createDataFrame([(f"o{i}", "x", f"uni {i % 3}", "DE", 1) for i in range(9)], "org_row_id string, organization_name_raw string, organization_name_norm string, organization_country_iso2 string, pair_cnt long")
     every, least = O.match_org_exact(pending, names, places), O.match_org_exact(pending, names, places, True)
     assert rows_of(O.best_match(every)) == rows_of(O.best_match(least)) == rows_of(least) and least.count() == 6 and every.count() == 60
+
+
+def test_best_and_coverage_without_candidates(spark, monkeypatch):
+    """The last tables and their audits as all candidates of the identifiers give them, none of which is made for them."""
+    sf, ids = "/root/testdata/sf0.001", ["ror", "fundref", "grid", "ringgold_isni"]
+    made = O.best_of_sources(Inputs(spark, sf).resolved_orgs.candidates)
+    pick = ["org_row_id", "ror_id", "match_source", "pair_cnt"]
+    each, merged = rows_of(made.select(pick)), rows_of(O.merge_sources(made).select(pick))
+    for name in ("match_chain", "match_crosswalk", "match_direct", "org_signals"):
+        monkeypatch.setattr(O, name, None)
+    found = Inputs(spark, sf).resolved_orgs
+    by_id = F.col("match_source").isin(ids)
+    assert each and rows_of(found.best_by_source.where(by_id).select(pick)) == each and rows_of(found.best.where(by_id).select(pick)) == merged
+    per = lambda rows: {s: (len(own), sum(r[3] for r in own)) for s in ids if (own := [r for r in rows if r[2] == s])}
+    audit = found.audits["by_source"].collect()
+    counted = lambda *stages: {r.match_source: (r.matched_distinct, r.matched_weighted) for r in audit if r.stage in stages and r.match_source in ids and r.matched_distinct}
+    assert counted(1, 2) == counted(5) == per(each) and counted(3) == per(merged)
+    ends = found.audits["ids"].first()
+    assert (ends.matched_distinct, ends.matched_weighted) == (len(merged), sum(r[3] for r in merged))
